@@ -71,16 +71,35 @@ def not_cancelled(col="estado") -> Column:
 
 
 def div_round(num, den, mid_scale: int, final_scale: int, out_precision: int = 18) -> Column:
-    """MySQL decimal division then ROUND: ``ROUND(num / den, final)``.
+    """MySQL ``ROUND(num / den, final)`` for non-negative integer-valued inputs.
 
-    MySQL keeps ``mid_scale`` digits after the division (scale of the
-    dividend + 4) and ROUND rounds that value half away from zero, so the
-    result is rounded twice.  NULL when ``den`` is 0 or NULL (NULLIF guard).
+    MySQL keeps ``mid_scale`` digits after a decimal division (scale of the
+    dividend + 4) and ROUND then rounds that value half away from zero, so
+    the value is rounded twice.  Both roundings are done exactly with
+    integral division on decimal(38,0), so no binary float is involved.
+    NULL when ``den`` is 0 or NULL (the reference's NULLIF guard).
     """
-    n = c(num).cast("decimal(38,6)")
-    d = F.nullif(c(den).cast("decimal(38,6)"), F.lit(0).cast("decimal(38,6)"))
-    q = F.round(n / d, mid_scale)
-    return F.round(q, final_scale).cast(f"decimal({out_precision},{final_scale})")
+    n = c(num).cast("decimal(38,0)")
+    d = F.nullif(c(den).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+    two = F.lit(2).cast("decimal(38,0)")
+    scale_mid = F.lit(10 ** mid_scale).cast("decimal(38,0)")
+    step = F.lit(10 ** (mid_scale - final_scale)).cast("decimal(38,0)")
+    r_mid = int_div(two * n * scale_mid + d, two * d)
+    r_fin = int_div(two * r_mid + step, two * step)
+    unit = F.lit(Decimal(1).scaleb(-final_scale)).cast(f"decimal({final_scale + 1},{final_scale})")
+    return (r_fin * unit).cast(f"decimal({out_precision},{final_scale})")
+
+
+def int_div(a: Column, b: Column) -> Column:
+    """Exact floor(a / b) for non-negative decimal(38,0) columns.
+
+    The decimal quotient is rounded to 6 places, so its floor can be one
+    too high; a single multiply-back correction makes it exact.
+    """
+    a = a.cast("decimal(38,0)")
+    b = b.cast("decimal(38,0)")
+    q = F.floor(a / b).cast("decimal(38,0)")
+    return F.when(q * b > a, q - 1).otherwise(q).cast("decimal(38,0)")
 
 
 def guarded_greatest(lower, x) -> Column:
