@@ -41,7 +41,9 @@ def whole_months(a: str, b: str) -> str:
 
 
 def whole_years(a: str, b: str) -> str:
-    return f"(CASE WHEN {whole_months(a, b)} IS NULL THEN NULL ELSE trunc({whole_months(a, b)} / 12) END)"
+    """TIMESTAMPDIFF(YEAR, a, b) = complete months // 12, toward zero."""
+    m = whole_months(a, b)
+    return f"(CASE WHEN {m} >= 0 THEN {m} // 12 ELSE -((-{m}) // 12) END)"
 
 
 def guarded_greatest(lower: str, x: str) -> str:
@@ -51,3 +53,20 @@ def guarded_greatest(lower: str, x: str) -> str:
 def days_between(end: str, start: str) -> str:
     """DATEDIFF(end, start): calendar dates."""
     return f"(CAST({end} AS DATE) - CAST({start} AS DATE))"
+
+
+def local_city(city: str) -> str:
+    return f"({fold(f'lower(trim(COALESCE({city}, {chr(39)}{chr(39)})))')} = 'medellin')"
+
+
+def full_name(first: str, last: str) -> str:
+    def cap(x):
+        return f"(CASE WHEN strlen({x}) > 0 THEN upper(left({x}, 1)) || lower(substr({x}, 2)) ELSE '' END)"
+    f = f"trim(COALESCE({first}, ''))"
+    l = f"trim(COALESCE({last}, ''))"
+    return f"(CASE WHEN {first} IS NULL AND {last} IS NULL THEN '' ELSE trim({cap(f)} || ' ' || {cap(l)}) END)"
+
+
+TIER = ("CASE WHEN {t} IS NULL OR {t} < 0 THEN 'Bronce' WHEN {t} >= 1000000.00 THEN 'Platino' "
+        "WHEN {t} >= 500000.00 THEN 'Oro' WHEN {t} >= 100000.00 THEN 'Plata' ELSE 'Bronce' END")
+EMAIL_RE = "^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}$"

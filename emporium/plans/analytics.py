@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from emporium.functions import semantics as S
 from emporium.operators.rank import global_row_number, top_k
+from emporium.operators.scalars import attach_scalars
 from emporium.operators.scope import scoped_products
 
 MONEY = "decimal(18,2)"
@@ -56,7 +57,7 @@ def q02_slowest_10pct(t) -> DataFrame:
     total = F.broadcast(active.agg(F.count(F.lit(1)).alias("total_products")))  # one row
     # k = GREATEST(1, CEIL(n * 0.10)) in integer arithmetic
     k = F.greatest(F.lit(1), F.floor((F.col("total_products") + 9) / 10).cast("bigint"))
-    return (ranked.crossJoin(total).where(F.col("position") <= k)
+    return (attach_scalars(ranked, total).where(F.col("position") <= k)
             .select(F.col("id_producto").alias("product_id"), F.col("nombre").alias("product_name"),
                     F.col("units").alias("units_sold"), F.col("position").cast("bigint").alias("position"),
                     F.col("total_products").cast("bigint").alias("total_products")))

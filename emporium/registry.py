@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from emporium.oracle.adapter_sql import with_adapter
 from emporium.plans import analytics as Q
+from emporium.plans import enrich as F_
+from emporium.plans import reports as P
+from emporium.plans import views as V
 from emporium.sources.testdata import AS_OF, AS_OF_EVENTS, TestdataCatalog
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -46,13 +49,33 @@ QUERIES: dict[str, Job] = {
     "q18_view_conversion": _cat(Q.q18_view_conversion),
     "q19_rfm": _cat(Q.q19_rfm, as_of=AS_OF),
     "q20_run_rate": _cat(Q.q20_run_rate, as_of=AS_OF),
+    # F: enrichment jobs
+    "enr_orders": _cat(F_.enr_orders, as_of=AS_OF),
+    "enr_customers": _cat(F_.enr_customers, as_of=AS_OF),
+    "enr_products": _cat(F_.enr_products),
+    "enr_availability": _cat(F_.enr_availability),
+    "enr_promo_prices": _cat(F_.enr_promo_prices),
+    "enr_category_stock": _cat(F_.enr_category_stock),
+    # V, R: views and role projection
+    "v_customers_basic": _cat(V.v_customers_basic),
+    "v_public_catalog": _cat(V.v_public_catalog),
+    "v_public_orders": _cat(V.v_public_orders),
+    "r1_role_projection": _cat(V.role_projection, role="Analista_Datos", table="clientes"),
+    # P (read): reports
+    "rpt_purchase_history": _cat(P.rpt_purchase_history),
+    "rpt_monthly_sales": _cat(P.rpt_monthly_sales, year=2001, month=7),
+    "rpt_product_360": _cat(P.rpt_product_360),
+    "rpt_search_products": _cat(P.rpt_search_products, term=" blue "),
+    "rpt_dashboard": _cat(P.rpt_dashboard),
+    "rpt_related_products": _cat(P.rpt_related_products),
 }
 
 
 def _oracle() -> dict[str, str]:
     from emporium.oracle.analytics_sql import SQL as QSQL
+    from emporium.oracle.enrich_sql import SQL as FSQL
     out: dict[str, str] = {}
-    for src in (QSQL,):
+    for src in (QSQL, FSQL):
         for k, v in src.items():
             out[k] = with_adapter(v)
     return out
