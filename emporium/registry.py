@@ -10,13 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from emporium.oracle.adapter_sql import with_adapter
 from emporium.plans import analytics as Q
 from emporium.plans import enrich as F_
+from emporium.plans import periodic as E
 from emporium.plans import reports as P
 from emporium.plans import views as V
-from emporium.sources.testdata import AS_OF, AS_OF_EVENTS, TestdataCatalog
+from emporium.sources.testdata import AS_OF, AS_OF_EVENTS, RETENTION_AS_OF, TestdataCatalog
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -68,14 +70,39 @@ QUERIES: dict[str, Job] = {
     "rpt_search_products": _cat(P.rpt_search_products, term=" blue "),
     "rpt_dashboard": _cat(P.rpt_dashboard),
     "rpt_related_products": _cat(P.rpt_related_products),
+    # E, S: periodic jobs
+    "job_weekly_sales": _cat(E.job_weekly_sales, as_of=AS_OF),
+    "job_converted_cart_cleanup": _cat(E.job_converted_cart_cleanup),
+    "job_log_retention_actions": _cat(lambda t: E.job_log_retention(t, RETENTION_AS_OF)["log_permisos"]),
+    "job_log_retention_logins": _cat(lambda t: E.job_log_retention(t, RETENTION_AS_OF)["logins_fallidos"]),
+    "job_expire_promos": _cat(E.job_expire_promos, as_of=AS_OF),
+    "job_loyalty_tiers": _cat(E.job_loyalty_tiers),
+    "job_reorder_list": _cat(E.job_reorder_list, as_of=AS_OF),
+    "job_suspend_inactive": _cat(E.job_suspend_inactive, as_of=AS_OF),
+    "job_daily_sales": _cat(E.job_daily_sales, as_of=AS_OF, backfill_from="first_order"),
+    "job_order_total_audit": _cat(E.job_order_total_audit),
+    "job_birthdays": _cat(E.job_birthdays, as_of=AS_OF),
+    "job_product_ranking": _cat(E.job_product_ranking, as_of=AS_OF),
+    "job_catalog_snapshot": _cat(E.job_catalog_snapshot, as_of=AS_OF),
+    "job_mark_abandoned": _cat(E.job_mark_abandoned, as_of=AS_OF_EVENTS),
+    "job_monthly_kpis": _cat(E.job_monthly_kpis, as_of=AS_OF),
+    "job_refresh_counters": _cat(E.job_refresh_counters),
+    "job_order_velocity": _cat(lambda t: E.job_order_velocity(
+        t.order_requests.select("id_cliente", F.col("ts").alias("fecha_venta")), AS_OF_EVENTS,
+        window_hours=24, min_orders=2)),
+    "job_supplier_month": _cat(E.job_supplier_month, as_of=AS_OF),
+    "job_purge_products": _cat(E.job_purge_products, as_of=AS_OF),
+    "job_seed_category_count": _cat(E.job_seed_category_count),
+    "job_seed_product_counters": _cat(E.job_seed_product_counters),
 }
 
 
 def _oracle() -> dict[str, str]:
     from emporium.oracle.analytics_sql import SQL as QSQL
     from emporium.oracle.enrich_sql import SQL as FSQL
+    from emporium.oracle.periodic_sql import SQL as ESQL
     out: dict[str, str] = {}
-    for src in (QSQL, FSQL):
+    for src in (QSQL, FSQL, ESQL):
         for k, v in src.items():
             out[k] = with_adapter(v)
     return out

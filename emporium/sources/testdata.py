@@ -23,6 +23,8 @@ from emporium.functions import semantics as S
 # Clocks used by every job run over the test data (rule N1).
 AS_OF = "2001-08-01 12:00:00"
 AS_OF_EVENTS = "2024-01-31 00:00:00"
+# Log-retention run: half a month after the first event rows turn 12 months old.
+RETENTION_AS_OF = "2025-01-16 00:00:00"
 
 # --- fixed fixture values ------------------------------------------------
 # Category names = the six part types, ids 1-6 in alphabetical order.
