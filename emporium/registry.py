@@ -16,6 +16,7 @@ from emporium.oracle.adapter_sql import with_adapter
 from emporium.plans import analytics as Q
 from emporium.plans import enrich as F_
 from emporium.plans import periodic as E
+from emporium.plans import quality as DQ
 from emporium.plans import reports as P
 from emporium.plans import views as V
 from emporium.sources.testdata import AS_OF, AS_OF_EVENTS, RETENTION_AS_OF, TestdataCatalog
@@ -94,6 +95,11 @@ QUERIES: dict[str, Job] = {
     "job_purge_products": _cat(E.job_purge_products, as_of=AS_OF),
     "job_seed_category_count": _cat(E.job_seed_category_count),
     "job_seed_product_counters": _cat(E.job_seed_product_counters),
+    # DQ: constraints as data-quality reports
+    "dq_checks": _cat(DQ.dq_checks),
+    "dq_unique": _cat(DQ.dq_unique),
+    "dq_orphans": _cat(DQ.dq_orphans),
+    "dq_not_null": _cat(DQ.dq_not_null),
 }
 
 
@@ -101,8 +107,9 @@ def _oracle() -> dict[str, str]:
     from emporium.oracle.analytics_sql import SQL as QSQL
     from emporium.oracle.enrich_sql import SQL as FSQL
     from emporium.oracle.periodic_sql import SQL as ESQL
+    from emporium.oracle.quality_sql import SQL as DSQL
     out: dict[str, str] = {}
-    for src in (QSQL, FSQL, ESQL):
+    for src in (QSQL, FSQL, ESQL, DSQL):
         for k, v in src.items():
             out[k] = with_adapter(v)
     return out
