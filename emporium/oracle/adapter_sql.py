@@ -152,6 +152,27 @@ ADAPTER: list[tuple[str, str]] = [
         SELECT event_id AS id_log, 'user' || CAST(user_id AS VARCHAR) AS usuario_bd,
                'Alta de cuenta ' || CAST(user_id AS VARCHAR) AS accion, ts AS fecha_accion
         FROM events WHERE event_type = 'signup'"""),
+    ("productos_after", """
+        SELECT * REPLACE (
+            CASE WHEN id_producto % 7 = 0 THEN CAST(precio * CAST(1.10 AS DECIMAL(3,2)) AS DECIMAL(10,2)) ELSE precio END AS precio,
+            CASE WHEN id_producto % 5 = 0 THEN greatest(stock - 20, 0) ELSE stock END AS stock,
+            CASE WHEN id_producto % 11 = 0 THEN upper(nombre) ELSE nombre END AS nombre)
+        FROM productos"""),
+    ("clientes_after", """
+        SELECT * REPLACE (
+            CASE WHEN id_cliente % 9 = 0 THEN upper(email) ELSE email END AS email,
+            CASE WHEN id_cliente % 4 = 0 THEN 'Carrera ' || CAST(id_cliente AS VARCHAR) ELSE direccion_envio END
+                AS direccion_envio)
+        FROM clientes"""),
+    ("ventas_after", """
+        SELECT * REPLACE (CASE WHEN id_venta % 7 = 0 THEN
+            CASE WHEN estado = 'Pendiente de Pago' THEN 'Procesando' WHEN estado = 'Procesando' THEN 'Enviado'
+                 WHEN estado = 'Enviado' THEN 'Entregado'
+                 WHEN estado = 'Entregado' AND id_venta % 14 = 0 THEN 'Cancelado' ELSE estado END
+            ELSE estado END AS estado)
+        FROM ventas WHERE id_venta % 101 <> 0"""),
+    ("detalle_ventas_after", """
+        SELECT * FROM detalle_ventas WHERE NOT (id_venta % 13 = 0 AND id_producto % 2 = 0)"""),
     ("order_requests", """
         SELECT event_id AS request_id, ts, user_id AS id_cliente, event_id % 20 AS id_producto,
                CAST(event_id % 9 + 1 AS INTEGER) AS cantidad
@@ -166,6 +187,8 @@ def with_adapter(body: str) -> str:
     """Prefix ``body`` with the adapter CTEs; a leading WITH in ``body`` is merged."""
     ctes = ",\n".join(f"{name} AS ({sql.strip()})" for name, sql in ADAPTER)
     b = body.strip()
+    if b[:14].upper() == "WITH RECURSIVE":
+        return f"WITH RECURSIVE {ctes},\n{b[14:].lstrip()}"
     if b[:4].upper() == "WITH":
         return f"WITH {ctes},\n{b[4:].lstrip()}"
     return f"WITH {ctes}\n{b}"

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from emporium.oracle.adapter_sql import with_adapter
 from emporium.plans import analytics as Q
+from emporium.plans import changes as C
 from emporium.plans import enrich as F_
 from emporium.plans import periodic as E
 from emporium.plans import quality as DQ
@@ -31,6 +32,21 @@ def _cat(fn, **kw) -> Job:
     return run
 
 
+def _line_requests(t) -> DataFrame:
+    return t.order_requests.select("request_id", "ts", "id_producto", "cantidad")
+
+
+def _inserts(df: DataFrame, key: str) -> DataFrame:
+    return C.as_inserts(df, [key], AS_OF, C.ACTOR)
+
+
+def _purge_feed(t) -> DataFrame:
+    from emporium.operators.changes import diff_snapshots
+    from emporium.operators.overlay import delete_keys
+    gone = E.job_purge_products(t, AS_OF).select(F.col("product_id").alias("id_producto"))
+    return diff_snapshots(t.productos, delete_keys(t.productos, gone, ["id_producto"]), ["id_producto"], AS_OF, C.ACTOR)
+
+
 QUERIES: dict[str, Job] = {
     "q01_top_revenue_products": _cat(Q.q01_top_revenue_products),
     "q02_slowest_10pct": _cat(Q.q02_slowest_10pct),
@@ -100,6 +116,32 @@ QUERIES: dict[str, Job] = {
     "dq_unique": _cat(DQ.dq_unique),
     "dq_orphans": _cat(DQ.dq_orphans),
     "dq_not_null": _cat(DQ.dq_not_null),
+    # T: change-feed jobs
+    "chg_price_log": _cat(lambda t: C.chg_price_log(C.product_feed(t, AS_OF))),
+    "chg_stock_admission": _cat(lambda t: C.chg_stock_admission(_line_requests(t), t.productos)),
+    "chg_stock_ledger": _cat(lambda t: C.chg_stock_ledger(C.chg_stock_admission(_line_requests(t), t.productos),
+                                                          t.productos)),
+    "chg_category_delete_guard": _cat(lambda t: C.chg_category_delete_guard(t.categorias.select("id_categoria"),
+                                                                            t.productos)),
+    "chg_new_customer_log": _cat(lambda t: C.chg_new_customer_log(_inserts(t.clientes, "id_cliente"))),
+    "chg_customer_spend": _cat(lambda t: C.chg_customer_spend(C.order_feed(t, AS_OF), t.clientes)),
+    "chg_catalog_stamp": _cat(lambda t: C.chg_catalog_stamp(C.product_feed(t, AS_OF))),
+    "chg_negative_stock": _cat(lambda t: C.chg_negative_stock(C.product_feed(t, AS_OF))),
+    "chg_name_normalise": _cat(lambda t: C.chg_name_normalise(_inserts(t.clientes, "id_cliente"))),
+    "chg_order_total": _cat(lambda t: C.chg_order_total(C.line_feed(t, AS_OF), t.ventas, t.detalle_ventas_after)),
+    "chg_order_status_log": _cat(lambda t: C.chg_order_status_log(C.order_feed(t, AS_OF))),
+    "chg_price_positive": _cat(lambda t: C.chg_price_positive(_inserts(t.productos_base, "id_producto"))),
+    "chg_low_stock_alert": _cat(lambda t: C.chg_low_stock_alert(C.product_feed(t, AS_OF))),
+    "chg_archive_orders": _cat(lambda t: C.chg_archive_orders(C.order_feed(t, AS_OF))),
+    "chg_email_valid": _cat(lambda t: C.chg_email_valid(_inserts(t.clientes, "id_cliente"))),
+    "chg_last_order_date": _cat(lambda t: C.chg_last_order_date(
+        t.order_requests.select("id_cliente", F.col("ts").alias("fecha_venta")), t.clientes)),
+    "chg_self_referral": _cat(lambda t: C.chg_self_referral(C.customer_feed(t, AS_OF))),
+    "chg_default_category": _cat(lambda t: C.chg_default_category(_inserts(t.productos_base, "id_producto"))),
+    "chg_category_count": _cat(lambda t: C.chg_category_count(
+        _inserts(t.productos_base, "id_producto"), _purge_feed(t),
+        t.categorias.withColumn("total_productos", F.lit(0)))),
+    "chg_customer_audit": _cat(lambda t: C.chg_customer_audit(C.customer_feed(t, AS_OF))),
 }
 
 
@@ -108,8 +150,9 @@ def _oracle() -> dict[str, str]:
     from emporium.oracle.enrich_sql import SQL as FSQL
     from emporium.oracle.periodic_sql import SQL as ESQL
     from emporium.oracle.quality_sql import SQL as DSQL
+    from emporium.oracle.changes_sql import SQL as TSQL
     out: dict[str, str] = {}
-    for src in (QSQL, FSQL, ESQL, DSQL):
+    for src in (QSQL, FSQL, ESQL, DSQL, TSQL):
         for k, v in src.items():
             out[k] = with_adapter(v)
     return out

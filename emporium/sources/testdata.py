@@ -304,6 +304,48 @@ class TestdataCatalog:
             F.concat(F.lit("Alta de cuenta "), F.col("user_id").cast("string")).alias("accion"),
             F.col("ts").alias("fecha_accion"))
 
+    # -- "after" snapshots: the same tables after a day of edits -----------
+    @cached_property
+    def productos_after(self) -> DataFrame:
+        """Price x1.10 when id % 7 = 0, stock - 20 (floor 0) when id % 5 = 0,
+        name upper-cased when id % 11 = 0."""
+        pid = F.col("id_producto")
+        return self.productos.select(
+            *[F.when(pid % 7 == 0, (F.col("precio") * F.lit(1.10).cast("decimal(3,2)")).cast("decimal(10,2)"))
+               .otherwise(F.col("precio")).alias("precio") if c == "precio" else
+              F.when(pid % 5 == 0, F.greatest(F.col("stock") - 20, F.lit(0))).otherwise(F.col("stock")).alias("stock")
+              if c == "stock" else
+              F.when(pid % 11 == 0, F.upper("nombre")).otherwise(F.col("nombre")).alias("nombre") if c == "nombre"
+              else F.col(c) for c in self.productos.columns])
+
+    @cached_property
+    def clientes_after(self) -> DataFrame:
+        """Email upper-cased when id % 9 = 0; address set or changed when id % 4 = 0."""
+        cid = F.col("id_cliente")
+        return self.clientes.select(
+            *[F.when(cid % 9 == 0, F.upper("email")).otherwise(F.col("email")).alias("email") if c == "email" else
+              F.when(cid % 4 == 0, F.concat(F.lit("Carrera "), cid.cast("string"))).otherwise(F.col("direccion_envio"))
+              .alias("direccion_envio") if c == "direccion_envio" else F.col(c) for c in self.clientes.columns])
+
+    @cached_property
+    def ventas_after(self) -> DataFrame:
+        """Orders with id % 7 = 0 move one state forward (delivered ones with
+        id % 14 = 0 are cancelled); orders with id % 101 = 0 are deleted."""
+        vid = F.col("id_venta")
+        nxt = (F.when(F.col("estado") == "Pendiente de Pago", F.lit("Procesando"))
+               .when(F.col("estado") == "Procesando", F.lit("Enviado"))
+               .when(F.col("estado") == "Enviado", F.lit("Entregado"))
+               .when((F.col("estado") == "Entregado") & (vid % 14 == 0), F.lit("Cancelado"))
+               .otherwise(F.col("estado")))
+        v = self.ventas.where(vid % 101 != 0)
+        return v.select(*[F.when(vid % 7 == 0, nxt).otherwise(F.col("estado")).alias("estado") if c == "estado"
+                          else F.col(c) for c in v.columns])
+
+    @cached_property
+    def detalle_ventas_after(self) -> DataFrame:
+        """Lines of even products removed from orders with id % 13 = 0."""
+        return self.detalle_ventas.where(~((F.col("id_venta") % 13 == 0) & (F.col("id_producto") % 2 == 0)))
+
     # -- request batches and change feeds (our shapes) ---------------------
     @cached_property
     def order_requests(self) -> DataFrame:
