@@ -71,3 +71,51 @@ def greedy_admission(requests: DataFrame, capacity: DataFrame, key: str, qty: st
     for d in decided:
         out = out.unionByName(d)
     return out
+
+
+REJECT_NEGATIVE = "negative balance"
+
+
+def sequential_balance(requests: DataFrame, start: DataFrame, key: str, delta: str = "delta",
+                       order: tuple[str, ...] = ("ts", "request_id"), request_id: str = "request_id") -> DataFrame:
+    """Signed requests applied in order; a request is rejected when it would
+    take the balance below zero (and then changes nothing).
+
+    Rounds: per key, the running balance of the unresolved requests is exact
+    up to the first request that would go negative; everything before it is
+    accepted, it is rejected, the rest waits for the next round with the
+    balance reached.  Each round settles at least one request per key, so
+    the number of rounds is one more than the largest number of rejections
+    of a single key.  ``start(key, bal)``; keys without a start row are not
+    handled here (callers reject them first).
+    """
+    spark = requests.sparkSession
+    ensure_checkpoint_dir(spark)
+    cand = requests.select(request_id, key, delta, *[c for c in order if c != request_id]).join(
+        start.select(key, F.col("bal").cast("bigint").alias("bal")), key)
+    w_rn = Window.partitionBy(key).orderBy(*order)
+    w_run = w_rn.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    decided = []
+    while True:
+        cand = cand.checkpoint(eager=True)
+        if cand.isEmpty():
+            break
+        r = (cand.withColumn("_rn", F.row_number().over(w_rn))
+             .withColumn("_after", F.col("bal") + F.sum(delta).over(w_run)))
+        first_bad = r.where(F.col("_after") < 0).groupBy(key).agg(F.min("_rn").alias("_bad"))
+        r = r.join(first_bad, key, "left")
+        ok = F.col("_bad").isNull() | (F.col("_rn") < F.col("_bad"))
+        decided.append(r.where(ok).select(request_id, F.lit(True).alias("accepted"),
+                                          F.lit(None).cast("string").alias("reason")))
+        decided.append(r.where(F.col("_rn") == F.col("_bad")).select(
+            request_id, F.lit(False).alias("accepted"), F.lit(REJECT_NEGATIVE).alias("reason")))
+        used = r.where(ok).groupBy(key).agg(F.sum(delta).alias("_used"))
+        cand = (r.where(F.col("_rn") > F.col("_bad")).drop("_rn", "_after", "_bad")
+                .join(used, key, "left").withColumn("bal", F.col("bal") + F.coalesce("_used", F.lit(0)))
+                .drop("_used"))
+    out = None
+    for d in decided:
+        out = d if out is None else out.unionByName(d)
+    if out is None:
+        out = requests.sparkSession.createDataFrame([], f"{request_id} bigint, accepted boolean, reason string")
+    return out

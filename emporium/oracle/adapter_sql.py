@@ -19,6 +19,7 @@ def _sql_lit(v) -> str:
 
 _CATS = ", ".join(f"({i + 1}, '{n}', 'Categoria {n}')" for i, n in enumerate(CATEGORY_NAMES))
 _BRANCHES = ", ".join("(" + ", ".join(_sql_lit(x) for x in r) + ")" for r in BRANCHES)
+AS_OF_SQL_ = f"TIMESTAMP '{AS_OF}'"
 _PROMOS = ", ".join("(" + ", ".join(_sql_lit(x) for x in r) + ")" for r in PROMOTIONS)
 
 SKU_SQL = ("'SKU-' || CASE WHEN {cat} IS NULL OR strlen(upper(left({cat}, 3))) < 3 "
@@ -174,9 +175,90 @@ ADAPTER: list[tuple[str, str]] = [
     ("detalle_ventas_after", """
         SELECT * FROM detalle_ventas WHERE NOT (id_venta % 13 = 0 AND id_producto % 2 = 0)"""),
     ("order_requests", """
-        SELECT event_id AS request_id, ts, user_id AS id_cliente, event_id % 20 AS id_producto,
-               CAST(event_id % 9 + 1 AS INTEGER) AS cantidad
+        SELECT event_id AS request_id, ts, user_id AS id_cliente, CAST(event_id % 3 + 1 AS INTEGER) AS id_sucursal,
+               event_id % 20 AS id_producto, CAST(event_id % 9 + 1 AS INTEGER) AS cantidad
         FROM events WHERE event_type = 'purchase'"""),
+    ("product_requests", f"""
+        SELECT p_partkey AS request_id, {AS_OF_SQL_} AS ts,
+               CAST(CASE WHEN p_partkey % 40 = 0 THEN NULL ELSE (p_partkey // 10) % 6 + 1 END AS INTEGER) AS id_categoria,
+               p_partkey % (SELECT count(*) FROM supplier) AS id_proveedor,
+               'Nuevo ' || p_name || ' ' || CAST(p_partkey AS VARCHAR) AS nombre, p_brand AS descripcion,
+               CASE WHEN p_partkey % 30 = 0 THEN CAST(0 AS DECIMAL(10,2)) ELSE CAST(p_retailprice AS DECIMAL(10,2)) END
+                   AS precio,
+               CASE WHEN p_partkey % 70 = 0 THEN CAST(-1 AS DECIMAL(10,2))
+                    ELSE CAST(CAST(p_retailprice AS DECIMAL(10,2)) / 2 AS DECIMAL(10,2)) END AS costo,
+               p_size AS stock
+        FROM part WHERE p_partkey % 10 = 0"""),
+    ("address_requests", """
+        SELECT event_id AS request_id, ts,
+               user_id + CASE WHEN event_id % 50 = 0 THEN 1000000 ELSE 0 END AS id_cliente,
+               'Avenida ' || CAST(event_id AS VARCHAR) AS direccion_envio,
+               CASE WHEN event_id % 5 = 0 THEN NULL ELSE 'Ciudad ' || CAST(event_id % 7 AS VARCHAR) END AS ciudad,
+               'PAIS' AS pais
+        FROM events WHERE event_type = 'signup'"""),
+    ("return_requests", """
+        SELECT d.id_detalle AS request_id, v.fecha_venta + INTERVAL 30 DAY AS ts, d.id_venta, d.id_producto,
+               CAST(d.cantidad - COALESCE(r.r, 0) + CASE WHEN d.id_venta % 34 = 0 THEN 1 ELSE 0 END AS INTEGER) AS cantidad
+        FROM detalle_ventas d JOIN ventas v ON v.id_venta = d.id_venta
+        LEFT JOIN (SELECT id_venta, id_producto, sum(cantidad) AS r FROM devoluciones GROUP BY 1, 2) r
+               ON r.id_venta = d.id_venta AND r.id_producto = d.id_producto
+        WHERE d.id_venta % 17 = 0"""),
+    ("stock_adjust_requests", """
+        SELECT event_id AS request_id, ts, event_id % (SELECT count(*) FROM part) AS id_producto,
+               CAST(event_id % 21 - 10 AS INTEGER) AS ajuste, 'Conteo ' || CAST(event_id AS VARCHAR) AS motivo
+        FROM events WHERE event_type = 'view'"""),
+    ("erasure_requests", f"""
+        SELECT c_custkey AS request_id, {AS_OF_SQL_} AS ts,
+               c_custkey + CASE WHEN c_custkey % 100 = 0 THEN 1000000 ELSE 0 END AS id_cliente
+        FROM customer WHERE c_custkey % 25 = 0"""),
+    ("transition_requests", f"""
+        SELECT id_venta * 10 + 1 AS request_id, {AS_OF_SQL_} AS ts, id_venta,
+               CASE WHEN id_venta % 13 = 0 THEN 'Perdido' WHEN id_venta % 14 = 0 THEN 'Cancelado'
+                    WHEN estado = 'Pendiente de Pago' THEN 'Procesando' WHEN estado = 'Procesando' THEN 'Enviado'
+                    ELSE 'Entregado' END AS nuevo_estado
+        FROM ventas WHERE id_venta % 7 = 0
+        UNION ALL
+        SELECT id_venta * 10 + 2, {AS_OF_SQL_} + INTERVAL 1 HOUR, id_venta, 'Entregado'
+        FROM ventas WHERE id_venta % 7 = 0 AND id_venta % 21 = 0"""),
+    ("registration_requests", """
+        SELECT event_id AS request_id, ts, '  nuevo ' AS nombre, 'CLIENTE ' || CAST(event_id AS VARCHAR) AS apellido,
+               CASE WHEN event_id % 10 = 0 THEN 'correo-invalido'
+                    WHEN event_id % 10 = 1 THEN 'C' || CAST(user_id AS VARCHAR) || '@EXAMPLE.com'
+                    ELSE 'n' || CAST(event_id % 500 AS VARCHAR) || '@example.com' END AS email
+        FROM events WHERE event_type = 'signup'"""),
+    ("merge_requests", f"""
+        SELECT c_custkey * 10 AS request_id, c_custkey AS primario, c_custkey + 1 AS secundario, {AS_OF_SQL_} AS ts
+        FROM customer WHERE c_custkey % 100 = 0 AND c_custkey > 0
+        UNION ALL
+        SELECT c_custkey * 10 + 1, c_custkey + 1, c_custkey + 2, {AS_OF_SQL_}
+        FROM customer WHERE c_custkey % 100 = 0 AND c_custkey > 0 AND c_custkey % 300 = 0"""),
+    ("supplier_requests", f"""
+        SELECT id_producto AS request_id, {AS_OF_SQL_} AS ts, id_producto,
+               (id_producto // 10) % ((SELECT count(*) FROM supplier) + 1) AS id_proveedor
+        FROM productos_base WHERE id_producto % 10 = 1"""),
+    ("payment_requests", f"""
+        SELECT id_venta * 10 + 1 AS request_id, {AS_OF_SQL_} AS ts, id_venta,
+               CAST(CASE WHEN id_venta % 12 = 0 THEN NULL WHEN id_venta % 8 = 0 THEN total - 1 ELSE total END
+                    AS DECIMAL(12,2)) AS monto
+        FROM ventas WHERE id_venta % 4 = 0
+        UNION ALL
+        SELECT id_venta * 10 + 2, {AS_OF_SQL_} + INTERVAL 5 MINUTE, id_venta, CAST(total + 5 AS DECIMAL(12,2))
+        FROM ventas WHERE id_venta % 4 = 0 AND id_venta % 8 = 0"""),
+    ("review_requests", """
+        SELECT event_id AS request_id, ts, event_id % (SELECT count(*) FROM part) AS id_producto,
+               user_id AS id_cliente, CAST(event_id % 6 AS INTEGER) AS calificacion,
+               'Vista ' || CAST(event_id AS VARCHAR) AS comentario
+        FROM events WHERE event_type = 'view'"""),
+    ("category_promo_requests", f"""
+        SELECT id_categoria AS request_id, {AS_OF_SQL_} AS ts,
+               CASE WHEN id_categoria = 6 THEN 99 ELSE id_categoria END AS id_categoria,
+               CAST((id_categoria * 25) % 120 AS DECIMAL(5,2)) AS pct, {AS_OF_SQL_} AS inicio,
+               CASE WHEN id_categoria = 5 THEN {AS_OF_SQL_} ELSE {AS_OF_SQL_} + INTERVAL 30 DAY END AS fin
+        FROM categorias_base"""),
+    ("category_move_requests", f"""
+        SELECT id_categoria AS request_id, {AS_OF_SQL_} AS ts, id_categoria AS origen,
+               CASE WHEN id_categoria = 6 THEN 5 ELSE 99 END AS destino
+        FROM categorias_base WHERE id_categoria IN (1, 6)"""),
 ]
 
 AS_OF_SQL = f"TIMESTAMP '{AS_OF}'"

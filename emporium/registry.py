@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from emporium.oracle.adapter_sql import with_adapter
 from emporium.plans import analytics as Q
+from emporium.plans import batch as B
 from emporium.plans import changes as C
 from emporium.plans import enrich as F_
 from emporium.plans import periodic as E
@@ -142,6 +143,31 @@ QUERIES: dict[str, Job] = {
         _inserts(t.productos_base, "id_producto"), _purge_feed(t),
         t.categorias.withColumn("total_productos", F.lit(0)))),
     "chg_customer_audit": _cat(lambda t: C.chg_customer_audit(C.customer_feed(t, AS_OF))),
+    # P (write): request batches
+    "bat_orders": _cat(lambda t: B.bat_orders(t, t.order_requests)["decisions"]),
+    "bat_orders_stock": _cat(lambda t: B.bat_orders(t, t.order_requests)["stock"]),
+    "bat_new_products": _cat(lambda t: B.bat_new_products(t, t.product_requests)),
+    "bat_address_updates": _cat(lambda t: B.bat_address_updates(t, t.address_requests)["decisions"]),
+    "bat_address_state": _cat(lambda t: B.bat_address_updates(t, t.address_requests)["state"]),
+    "bat_address_audit": _cat(lambda t: B.bat_address_updates(t, t.address_requests)["audit"]),
+    "bat_returns": _cat(lambda t: B.bat_returns(t, t.return_requests)["decisions"]),
+    "bat_returns_cancelled": _cat(lambda t: B.bat_returns(t, t.return_requests)["cancelled"]),
+    "bat_returns_stock": _cat(lambda t: B.bat_returns(t, t.return_requests)["stock"]),
+    "bat_stock_adjust": _cat(lambda t: B.bat_stock_adjust(t, t.stock_adjust_requests)["decisions"]),
+    "bat_stock_adjust_stock": _cat(lambda t: B.bat_stock_adjust(t, t.stock_adjust_requests)["stock"]),
+    "bat_stock_adjust_log": _cat(lambda t: B.bat_stock_adjust(t, t.stock_adjust_requests)["log"]),
+    "bat_customer_erasure": _cat(lambda t: B.bat_customer_erasure(t, t.erasure_requests)),
+    "bat_category_promos": _cat(lambda t: B.bat_category_promos(t, t.category_promo_requests)),
+    "bat_order_transitions": _cat(lambda t: B.bat_order_transitions(t, t.transition_requests)["decisions"]),
+    "bat_order_transitions_stock": _cat(lambda t: B.bat_order_transitions(t, t.transition_requests)["stock"]),
+    "bat_register_customers": _cat(lambda t: B.bat_register_customers(t, t.registration_requests)),
+    "bat_merge_accounts": _cat(lambda t: B.bat_merge_accounts(t, t.merge_requests)["decisions"]),
+    "bat_merge_customers": _cat(lambda t: B.bat_merge_accounts(t, t.merge_requests)["customers"]),
+    "bat_merge_reviews": _cat(lambda t: B.bat_merge_accounts(t, t.merge_requests)["reviews"]),
+    "bat_assign_supplier": _cat(lambda t: B.bat_assign_supplier(t, t.supplier_requests)),
+    "bat_payments": _cat(lambda t: B.bat_payments(t, t.payment_requests)),
+    "bat_review_upsert": _cat(lambda t: B.bat_review_upsert(t, t.review_requests)["state"]),
+    "bat_move_category": _cat(lambda t: B.bat_move_category(t, t.category_move_requests)["categories"]),
 }
 
 
@@ -151,8 +177,9 @@ def _oracle() -> dict[str, str]:
     from emporium.oracle.periodic_sql import SQL as ESQL
     from emporium.oracle.quality_sql import SQL as DSQL
     from emporium.oracle.changes_sql import SQL as TSQL
+    from emporium.oracle.batch_sql import SQL as BSQL
     out: dict[str, str] = {}
-    for src in (QSQL, FSQL, ESQL, DSQL, TSQL):
+    for src in (QSQL, FSQL, ESQL, DSQL, TSQL, BSQL):
         for k, v in src.items():
             out[k] = with_adapter(v)
     return out

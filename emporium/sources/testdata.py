@@ -353,8 +353,164 @@ class TestdataCatalog:
         return self._events("purchase").select(
             F.col("event_id").alias("request_id"), F.col("ts"),
             F.col("user_id").alias("id_cliente"),
+            (F.col("event_id") % 3 + 1).cast("int").alias("id_sucursal"),
             (F.col("event_id") % 20).alias("id_producto"),
             (F.col("event_id") % 9 + 1).cast("int").alias("cantidad"))
 
+    @cached_property
+    def product_requests(self) -> DataFrame:
+        """Every tenth part offered again as a new product."""
+        pid = F.col("p_partkey")
+        p = self.raw("part").where(pid % 10 == 0).crossJoin(self._n_suppliers)
+        price = F.col("p_retailprice").cast("decimal(10,2)")
+        return p.select(
+            pid.alias("request_id"), F.lit(self.as_of).cast("timestamp_ntz").alias("ts"),
+            F.when(pid % 40 == 0, F.lit(None)).otherwise(F.floor(pid / 10) % 6 + 1).cast("int").alias("id_categoria"),
+            (pid % F.col("n_sup")).alias("id_proveedor"),
+            F.concat(F.lit("Nuevo "), F.col("p_name"), F.lit(" "), pid.cast("string")).alias("nombre"),
+            F.col("p_brand").alias("descripcion"),
+            F.when(pid % 30 == 0, F.lit(0).cast("decimal(10,2)")).otherwise(price).alias("precio"),
+            F.when(pid % 70 == 0, F.lit(-1).cast("decimal(10,2)"))
+             .otherwise((price / 2).cast("decimal(10,2)")).alias("costo"),
+            F.col("p_size").alias("stock"))
+
+    @cached_property
+    def address_requests(self) -> DataFrame:
+        """Each 'signup' event re-addresses its user (some unknown ids)."""
+        e = F.col("event_id")
+        return self._events("signup").select(
+            e.alias("request_id"), "ts",
+            (F.col("user_id") + F.when(e % 50 == 0, F.lit(1000000)).otherwise(F.lit(0))).alias("id_cliente"),
+            F.concat(F.lit("Avenida "), e.cast("string")).alias("direccion_envio"),
+            F.when(e % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit("Ciudad "), (e % 7).cast("string"))).alias("ciudad"),
+            F.lit("PAIS").alias("pais"))
+
+    @cached_property
+    def return_requests(self) -> DataFrame:
+        """Every line of orders with id % 17 = 0 returned in full (one
+        unit too many when id % 34 = 0), 30 days after the sale."""
+        ret = self.devoluciones.groupBy("id_venta", "id_producto").agg(F.sum("cantidad").alias("_r"))
+        d = (self.detalle_ventas.where(F.col("id_venta") % 17 == 0)
+             .join(ret, ["id_venta", "id_producto"], "left")
+             .join(self.ventas.select("id_venta", "fecha_venta"), "id_venta"))
+        qty = (F.col("cantidad") - F.coalesce("_r", F.lit(0))
+               + F.when(F.col("id_venta") % 34 == 0, F.lit(1)).otherwise(F.lit(0)))
+        return d.select(F.col("id_detalle").alias("request_id"),
+                        F.timestamp_add("DAY", F.lit(30), F.col("fecha_venta")).alias("ts"),
+                        "id_venta", "id_producto", qty.cast("int").alias("cantidad"))
+
+    @cached_property
+    def stock_adjust_requests(self) -> DataFrame:
+        """Each 'view' event adjusts its product by (id % 21) - 10 units."""
+        v = self._events("view").crossJoin(self._n_parts)
+        return v.select(F.col("event_id").alias("request_id"), "ts",
+                        (F.col("event_id") % F.col("n_parts")).alias("id_producto"),
+                        ((F.col("event_id") % 21) - 10).cast("int").alias("ajuste"),
+                        F.concat(F.lit("Conteo "), F.col("event_id").cast("string")).alias("motivo"))
+
+    @cached_property
+    def erasure_requests(self) -> DataFrame:
+        """Customers with id % 25 = 0 (id % 100 = 0 shifted to unknown ids)."""
+        c = self.raw("customer").where(F.col("c_custkey") % 25 == 0)
+        cid = F.col("c_custkey")
+        return c.select(cid.alias("request_id"), F.lit(self.as_of).cast("timestamp_ntz").alias("ts"),
+                        (cid + F.when(cid % 100 == 0, F.lit(1000000)).otherwise(F.lit(0))).alias("id_cliente"))
+
+    @cached_property
+    def transition_requests(self) -> DataFrame:
+        """P10: orders with id % 7 = 0 move to the state of the after
+        snapshot (cancel when id % 14 = 0); id % 21 = 0 also asks for
+        'Entregado' an hour later; id % 13 = 0 asks for an unknown state."""
+        v = self.ventas.where(F.col("id_venta") % 7 == 0).select("id_venta", "estado")
+        vid = F.col("id_venta")
+        nxt = (F.when(vid % 14 == 0, F.lit("Cancelado"))
+               .when(F.col("estado") == "Pendiente de Pago", F.lit("Procesando"))
+               .when(F.col("estado") == "Procesando", F.lit("Enviado"))
+               .otherwise(F.lit("Entregado")))
+        ts = F.lit(self.as_of).cast("timestamp_ntz")
+        first = v.select((vid * 10 + 1).alias("request_id"), ts.alias("ts"), vid.alias("id_venta"),
+                         F.when(vid % 13 == 0, F.lit("Perdido")).otherwise(nxt).alias("nuevo_estado"))
+        second = v.where(vid % 21 == 0).select(
+            (vid * 10 + 2).alias("request_id"), F.timestamp_add("HOUR", F.lit(1), ts).alias("ts"),
+            vid.alias("id_venta"), F.lit("Entregado").alias("nuevo_estado"))
+        return first.unionByName(second)
+
+    @cached_property
+    def registration_requests(self) -> DataFrame:
+        """Each 'signup' event registers a customer; some emails are
+        invalid, some repeat an existing one (case differs), some repeat
+        within the batch."""
+        e = F.col("event_id")
+        email = (F.when(e % 10 == 0, F.lit("correo-invalido"))
+                 .when(e % 10 == 1, F.concat(F.lit("C"), F.col("user_id").cast("string"), F.lit("@EXAMPLE.com")))
+                 .otherwise(F.concat(F.lit("n"), (e % 500).cast("string"), F.lit("@example.com"))))
+        return self._events("signup").select(
+            e.alias("request_id"), "ts", F.lit("  nuevo ").alias("nombre"),
+            F.concat(F.lit("CLIENTE "), e.cast("string")).alias("apellido"), email.alias("email"))
+
+    @cached_property
+    def merge_requests(self) -> DataFrame:
+        """Customer id (id % 100 = 0, id > 0) absorbs id + 1; when
+        id % 300 = 0, id + 1 also absorbs id + 2 (a chain, rejected)."""
+        c = self.raw("customer").where((F.col("c_custkey") % 100 == 0) & (F.col("c_custkey") > 0))
+        cid = F.col("c_custkey")
+        a = c.select((cid * 10).alias("request_id"), cid.alias("primario"), (cid + 1).alias("secundario"))
+        b = c.where(cid % 300 == 0).select((cid * 10 + 1).alias("request_id"), (cid + 1).alias("primario"),
+                                           (cid + 2).alias("secundario"))
+        return a.unionByName(b).withColumn("ts", F.lit(self.as_of).cast("timestamp_ntz"))
+
+    @cached_property
+    def supplier_requests(self) -> DataFrame:
+        """Products with id % 10 = 1 move to supplier (id div 10) mod (n + 1)."""
+        p = self.productos_base.where(F.col("id_producto") % 10 == 1).crossJoin(self._n_suppliers)
+        return p.select(F.col("id_producto").alias("request_id"), F.lit(self.as_of).cast("timestamp_ntz").alias("ts"),
+                        "id_producto", (F.floor(F.col("id_producto") / 10) % (F.col("n_sup") + 1)).alias("id_proveedor"))
+
+    @cached_property
+    def payment_requests(self) -> DataFrame:
+        """Payments for orders with id % 4 = 0: the total; short then
+        overpaid when id % 8 = 0; no amount when id % 12 = 0."""
+        v = self.ventas.where(F.col("id_venta") % 4 == 0).select("id_venta", "total")
+        vid = F.col("id_venta")
+        ts = F.lit(self.as_of).cast("timestamp_ntz")
+        amount = (F.when(vid % 12 == 0, F.lit(None))
+                  .when(vid % 8 == 0, F.col("total") - 1).otherwise(F.col("total"))).cast("decimal(12,2)")
+        first = v.select((vid * 10 + 1).alias("request_id"), ts.alias("ts"), vid.alias("id_venta"), amount.alias("monto"))
+        second = v.where(vid % 8 == 0).select((vid * 10 + 2).alias("request_id"),
+                                              F.timestamp_add("MINUTE", F.lit(5), ts).alias("ts"), vid.alias("id_venta"),
+                                              (F.col("total") + 5).cast("decimal(12,2)").alias("monto"))
+        return first.unionByName(second)
+
+    @cached_property
+    def review_requests(self) -> DataFrame:
+        """Each 'view' event rates its product (event_id % 6; 0 is invalid)."""
+        v = self._events("view").crossJoin(self._n_parts)
+        return v.select(F.col("event_id").alias("request_id"), "ts",
+                        (F.col("event_id") % F.col("n_parts")).alias("id_producto"),
+                        F.col("user_id").alias("id_cliente"),
+                        (F.col("event_id") % 6).cast("int").alias("calificacion"),
+                        F.concat(F.lit("Vista "), F.col("event_id").cast("string")).alias("comentario"))
+
+    @cached_property
+    def category_promo_requests(self) -> DataFrame:
+        """One campaign per category: pct (id*25) mod 120; category 5 ends
+        when it starts; category 6 asks for a missing id 99."""
+        cid = F.col("id_categoria")
+        ts = F.lit(self.as_of).cast("timestamp_ntz")
+        return self._categories_base.select(
+            cid.alias("request_id"), ts.alias("ts"),
+            F.when(cid == 6, F.lit(99)).otherwise(cid).alias("id_categoria"),
+            ((cid * 25) % 120).cast("decimal(5,2)").alias("pct"), ts.alias("inicio"),
+            F.when(cid == 5, ts).otherwise(F.timestamp_add("DAY", F.lit(30), ts)).alias("fin"))
+
+    @cached_property
+    def category_move_requests(self) -> DataFrame:
+        """P20: category 6 merges into 5; category 1 into a missing id 99."""
+        c = self._categories_base.where(F.col("id_categoria").isin(1, 6))
+        return c.select(F.col("id_categoria").alias("request_id"),
+                        F.lit(self.as_of).cast("timestamp_ntz").alias("ts"),
+                        F.col("id_categoria").alias("origen"),
+                        F.when(F.col("id_categoria") == 6, F.lit(5)).otherwise(F.lit(99)).alias("destino"))
+
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
