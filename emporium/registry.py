@@ -21,6 +21,7 @@ from emporium.plans import periodic as E
 from emporium.plans import quality as DQ
 from emporium.plans import reports as P
 from emporium.plans import views as V
+from emporium.streaming import streams as ST
 from emporium.sources.testdata import AS_OF, AS_OF_EVENTS, RETENTION_AS_OF, TestdataCatalog
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -168,6 +169,14 @@ QUERIES: dict[str, Job] = {
     "bat_payments": _cat(lambda t: B.bat_payments(t, t.payment_requests)),
     "bat_review_upsert": _cat(lambda t: B.bat_review_upsert(t, t.review_requests)["state"]),
     "bat_move_category": _cat(lambda t: B.bat_move_category(t, t.category_move_requests)["categories"]),
+    # ST: streaming jobs (availableNow runs into file sinks)
+    "st_order_velocity": lambda spark, sf_dir: ST.st_order_velocity(spark, sf_dir),
+    "st_cart_abandonment": lambda spark, sf_dir: ST.st_cart_abandonment(spark, sf_dir),
+    "st_price_log": _cat(ST.st_price_log, ts=AS_OF),
+    "st_status_log": _cat(ST.st_status_log, ts=AS_OF),
+    "st_customer_audit": _cat(ST.st_customer_audit, ts=AS_OF),
+    "st_low_stock": _cat(ST.st_low_stock, as_of=AS_OF),
+    "st_daily_sales": _cat(ST.st_daily_sales),
 }
 
 
@@ -178,8 +187,9 @@ def _oracle() -> dict[str, str]:
     from emporium.oracle.quality_sql import SQL as DSQL
     from emporium.oracle.changes_sql import SQL as TSQL
     from emporium.oracle.batch_sql import SQL as BSQL
+    from emporium.oracle.streams_sql import SQL as SSQL
     out: dict[str, str] = {}
-    for src in (QSQL, FSQL, ESQL, DSQL, TSQL, BSQL):
+    for src in (QSQL, FSQL, ESQL, DSQL, TSQL, BSQL, SSQL):
         for k, v in src.items():
             out[k] = with_adapter(v)
     return out
