@@ -13,12 +13,18 @@ The DuckDB twin of every definition lives in
 
 from __future__ import annotations
 
+import hashlib
+import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporium.functions import semantics as S
+from emporium.session import ensure_checkpoint_dir
+
+# Bump when a derivation rule below changes, so stored copies are rebuilt.
+FIXTURE_VERSION = "1"
 
 # Clocks used by every job run over the test data (rule N1).
 AS_OF = "2001-08-01 12:00:00"
@@ -48,6 +54,23 @@ PROMOTIONS = (
 LINE_KEY = 100_000_000  # composite ids: order * LINE_KEY + product
 
 
+def stored(build):
+    """A derived table, built once per catalog.  With materialisation on it
+    is written as Parquet under the shared checkpoint folder (keyed by a
+    fingerprint of the source files) and read back, so every job scans a
+    stored table — filters and column pruning reach the Parquet reader and
+    multi-branch plans do not re-derive it."""
+    name = build.__name__
+
+    @cached_property
+    def prop(self):
+        df = build(self)
+        return self._store(name, df) if self.materialize else df
+
+    prop.__doc__ = build.__doc__
+    return prop
+
+
 class TestdataCatalog:
     """Lazily derived, reference-shaped DataFrames for one scale factor.
 
@@ -55,11 +78,41 @@ class TestdataCatalog:
     twice refers to the same plan and Spark reuses its exchanges.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    SOURCES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.as_of = AS_OF
         self.as_of_events = AS_OF_EVENTS
+        if materialize is None:
+            materialize = os.environ.get("EMPORIUM_MATERIALIZE", "1") != "0"
+        self.materialize = materialize
+
+    # -- materialisation -----------------------------------------------------
+    def _fs(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(conf), p
+
+    @cached_property
+    def _store_root(self) -> str:
+        parts = [self.sf_dir]
+        for t in self.SOURCES:
+            fs, p = self._fs(f"{self.sf_dir}/{t}.parquet")
+            st = fs.getFileStatus(p)
+            parts.append(f"{t}:{st.getLen()}:{st.getModificationTime()}")
+        parts.append(FIXTURE_VERSION)
+        key = hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+        return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/warehouse/{key}"
+
+    def _store(self, name: str, df: DataFrame) -> DataFrame:
+        path = f"{self._store_root}/{name}"
+        fs, done = self._fs(f"{path}/_SUCCESS")
+        if not fs.exists(done):
+            df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     # -- driver tables -----------------------------------------------------
     def raw(self, name: str) -> DataFrame:
@@ -81,7 +134,7 @@ class TestdataCatalog:
         return self.spark.createDataFrame(
             rows, "id_categoria int, nombre string, descripcion string")
 
-    @cached_property
+    @stored
     def categorias(self) -> DataFrame:
         counts = (self.productos_base.where(F.col("id_categoria").isNotNull())
                   .groupBy("id_categoria").agg(F.count(F.lit(1)).cast("int").alias("n")))
@@ -89,7 +142,7 @@ class TestdataCatalog:
                 .select("id_categoria", "nombre", "descripcion",
                         F.coalesce("n", F.lit(0)).cast("int").alias("total_productos")))
 
-    @cached_property
+    @stored
     def proveedores(self) -> DataFrame:
         return self.raw("supplier").select(
             F.col("s_suppkey").alias("id_proveedor"),
@@ -97,11 +150,11 @@ class TestdataCatalog:
             F.concat(F.lit("proveedor"), F.col("s_suppkey").cast("string"), F.lit("@example.com")).alias("email_contacto"),
             F.concat(F.lit("+57 300 "), F.col("s_suppkey").cast("string")).alias("telefono_contacto"))
 
-    @cached_property
+    @stored
     def sucursales(self) -> DataFrame:
         return self.spark.createDataFrame(list(BRANCHES), "id_sucursal int, nombre string, ciudad string, activa int")
 
-    @cached_property
+    @stored
     def productos_base(self) -> DataFrame:
         """Products without the two maintained counters (no dependency on facts)."""
         pid = F.col("p_partkey")
@@ -127,7 +180,7 @@ class TestdataCatalog:
             F.when(pid % 20 == 3, F.lit(0)).otherwise(F.lit(1)).alias("activo"),
         )
 
-    @cached_property
+    @stored
     def productos(self) -> DataFrame:
         """Products with ``total_vendido`` (gross units, all states) and
         ``total_vistas`` as the seed rollup S2 leaves them."""
@@ -140,7 +193,7 @@ class TestdataCatalog:
                 .withColumn("total_vistas", F.coalesce("_views", F.lit(0)))
                 .drop("_sold", "_views"))
 
-    @cached_property
+    @stored
     def clientes_base(self) -> DataFrame:
         cid = F.col("c_custkey")
         geo = (self.raw("nation").join(self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -163,7 +216,7 @@ class TestdataCatalog:
             F.when(cid % 40 == 7, F.lit(0)).otherwise(F.lit(1)).alias("activo"),
         )
 
-    @cached_property
+    @stored
     def clientes(self) -> DataFrame:
         agg = (self.ventas.groupBy(F.col("id_cliente"))
                .agg(F.sum(F.when(F.col("estado") == S.DELIVERED, F.col("total"))).alias("_spent"),
@@ -178,7 +231,7 @@ class TestdataCatalog:
                         "total_gastado", "nivel_lealtad", "referido_por", "activo"))
 
     # -- facts -------------------------------------------------------------
-    @cached_property
+    @stored
     def detalle_ventas(self) -> DataFrame:
         li = (self.raw("lineitem").where(F.col("l_partkey") % 53 != 0)
               .groupBy("l_orderkey", "l_partkey")
@@ -192,7 +245,7 @@ class TestdataCatalog:
             F.col("cantidad"),
             (F.col("precio") - (F.col("l_orderkey") % 10)).cast("decimal(10,2)").alias("precio_unitario_congelado"))
 
-    @cached_property
+    @stored
     def ventas(self) -> DataFrame:
         key = F.col("o_orderkey")
         lines = (self.detalle_ventas.groupBy("id_venta")
@@ -213,7 +266,7 @@ class TestdataCatalog:
             estado.alias("estado"),
             total.alias("total"))
 
-    @cached_property
+    @stored
     def devoluciones(self) -> DataFrame:
         li = (self.raw("lineitem")
               .where((F.col("l_returnflag") == "R") & (F.col("l_partkey") % 53 != 0))
@@ -228,7 +281,7 @@ class TestdataCatalog:
     def _events(self, kind: str) -> DataFrame:
         return self.raw("events").where(F.col("event_type") == kind)
 
-    @cached_property
+    @stored
     def vistas_productos(self) -> DataFrame:
         return (self._events("view").crossJoin(self._n_parts)
                 .select(F.col("event_id").alias("id_vista"),
@@ -244,7 +297,7 @@ class TestdataCatalog:
             F.col("user_id"), F.col("ts"), F.col("event_id"),
             (F.col("event_id") % F.col("n_parts")).alias("id_producto"))
 
-    @cached_property
+    @stored
     def carritos(self) -> DataFrame:
         g = (self._clicks.groupBy("id_carrito", "user_id")
              .agg(F.min("ts").alias("fecha_creacion"), F.max("ts").alias("fecha_actualizacion")))
@@ -254,14 +307,14 @@ class TestdataCatalog:
         return g.select("id_carrito", F.col("user_id").alias("id_cliente"), "fecha_creacion",
                         "fecha_actualizacion", estado.alias("estado"))
 
-    @cached_property
+    @stored
     def carrito_items(self) -> DataFrame:
         return (self._clicks.groupBy("id_carrito", "id_producto")
                 .agg(F.min("event_id").alias("id_item"),
                      F.sum(F.col("event_id") % 5 + 1).cast("int").alias("cantidad"))
                 .select("id_item", "id_carrito", "id_producto", "cantidad"))
 
-    @cached_property
+    @stored
     def resenas_productos(self) -> DataFrame:
         o = self.ventas.where(F.col("id_venta") % 3 == 0).select("id_venta", "id_cliente", "fecha_venta")
         j = o.join(self.detalle_ventas.select("id_venta", "id_producto"), "id_venta")
@@ -273,7 +326,7 @@ class TestdataCatalog:
             F.when(cal >= 3, F.lit("Buen producto")).alias("comentario"),
             "fecha_resena")
 
-    @cached_property
+    @stored
     def promociones(self) -> DataFrame:
         lit = self.spark.createDataFrame(
             [(r[0], r[1], r[2], r[3], r[4], r[5], r[6], r[7]) for r in PROMOTIONS],
@@ -288,7 +341,7 @@ class TestdataCatalog:
                         F.col("pct").cast("decimal(5,2)").alias("porcentaje_descuento"),
                         ini.alias("fecha_inicio"), fin.alias("fecha_fin"), "activa")
 
-    @cached_property
+    @stored
     def logins_fallidos(self) -> DataFrame:
         return self._events("error").select(
             F.col("event_id").alias("id_log"),
@@ -296,7 +349,7 @@ class TestdataCatalog:
             F.concat(F.lit("10.0.0."), (F.col("user_id") % 250).cast("string")).alias("host_origen"),
             F.col("ts").alias("fecha_intento"))
 
-    @cached_property
+    @stored
     def log_permisos(self) -> DataFrame:
         return self._events("signup").select(
             F.col("event_id").alias("id_log"),
@@ -305,7 +358,7 @@ class TestdataCatalog:
             F.col("ts").alias("fecha_accion"))
 
     # -- "after" snapshots: the same tables after a day of edits -----------
-    @cached_property
+    @stored
     def productos_after(self) -> DataFrame:
         """Price x1.10 when id % 7 = 0, stock - 20 (floor 0) when id % 5 = 0,
         name upper-cased when id % 11 = 0."""
@@ -318,7 +371,7 @@ class TestdataCatalog:
               F.when(pid % 11 == 0, F.upper("nombre")).otherwise(F.col("nombre")).alias("nombre") if c == "nombre"
               else F.col(c) for c in self.productos.columns])
 
-    @cached_property
+    @stored
     def clientes_after(self) -> DataFrame:
         """Email upper-cased when id % 9 = 0; address set or changed when id % 4 = 0."""
         cid = F.col("id_cliente")
@@ -327,7 +380,7 @@ class TestdataCatalog:
               F.when(cid % 4 == 0, F.concat(F.lit("Carrera "), cid.cast("string"))).otherwise(F.col("direccion_envio"))
               .alias("direccion_envio") if c == "direccion_envio" else F.col(c) for c in self.clientes.columns])
 
-    @cached_property
+    @stored
     def ventas_after(self) -> DataFrame:
         """Orders with id % 7 = 0 move one state forward (delivered ones with
         id % 14 = 0 are cancelled); orders with id % 101 = 0 are deleted."""
@@ -341,13 +394,13 @@ class TestdataCatalog:
         return v.select(*[F.when(vid % 7 == 0, nxt).otherwise(F.col("estado")).alias("estado") if c == "estado"
                           else F.col(c) for c in v.columns])
 
-    @cached_property
+    @stored
     def detalle_ventas_after(self) -> DataFrame:
         """Lines of even products removed from orders with id % 13 = 0."""
         return self.detalle_ventas.where(~((F.col("id_venta") % 13 == 0) & (F.col("id_producto") % 2 == 0)))
 
     # -- request batches and change feeds (our shapes) ---------------------
-    @cached_property
+    @stored
     def order_requests(self) -> DataFrame:
         """Every 'purchase' event as a new-order request."""
         return self._events("purchase").select(
@@ -357,7 +410,7 @@ class TestdataCatalog:
             (F.col("event_id") % 20).alias("id_producto"),
             (F.col("event_id") % 9 + 1).cast("int").alias("cantidad"))
 
-    @cached_property
+    @stored
     def product_requests(self) -> DataFrame:
         """Every tenth part offered again as a new product."""
         pid = F.col("p_partkey")
@@ -374,7 +427,7 @@ class TestdataCatalog:
              .otherwise((price / 2).cast("decimal(10,2)")).alias("costo"),
             F.col("p_size").alias("stock"))
 
-    @cached_property
+    @stored
     def address_requests(self) -> DataFrame:
         """Each 'signup' event re-addresses its user (some unknown ids)."""
         e = F.col("event_id")
@@ -385,7 +438,7 @@ class TestdataCatalog:
             F.when(e % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit("Ciudad "), (e % 7).cast("string"))).alias("ciudad"),
             F.lit("PAIS").alias("pais"))
 
-    @cached_property
+    @stored
     def return_requests(self) -> DataFrame:
         """Every line of orders with id % 17 = 0 returned in full (one
         unit too many when id % 34 = 0), 30 days after the sale."""
@@ -399,7 +452,7 @@ class TestdataCatalog:
                         F.timestamp_add("DAY", F.lit(30), F.col("fecha_venta")).alias("ts"),
                         "id_venta", "id_producto", qty.cast("int").alias("cantidad"))
 
-    @cached_property
+    @stored
     def stock_adjust_requests(self) -> DataFrame:
         """Each 'view' event adjusts its product by (id % 21) - 10 units."""
         v = self._events("view").crossJoin(self._n_parts)
@@ -408,7 +461,7 @@ class TestdataCatalog:
                         ((F.col("event_id") % 21) - 10).cast("int").alias("ajuste"),
                         F.concat(F.lit("Conteo "), F.col("event_id").cast("string")).alias("motivo"))
 
-    @cached_property
+    @stored
     def erasure_requests(self) -> DataFrame:
         """Customers with id % 25 = 0 (id % 100 = 0 shifted to unknown ids)."""
         c = self.raw("customer").where(F.col("c_custkey") % 25 == 0)
@@ -416,7 +469,7 @@ class TestdataCatalog:
         return c.select(cid.alias("request_id"), F.lit(self.as_of).cast("timestamp_ntz").alias("ts"),
                         (cid + F.when(cid % 100 == 0, F.lit(1000000)).otherwise(F.lit(0))).alias("id_cliente"))
 
-    @cached_property
+    @stored
     def transition_requests(self) -> DataFrame:
         """P10: orders with id % 7 = 0 move to the state of the after
         snapshot (cancel when id % 14 = 0); id % 21 = 0 also asks for
@@ -435,7 +488,7 @@ class TestdataCatalog:
             vid.alias("id_venta"), F.lit("Entregado").alias("nuevo_estado"))
         return first.unionByName(second)
 
-    @cached_property
+    @stored
     def registration_requests(self) -> DataFrame:
         """Each 'signup' event registers a customer; some emails are
         invalid, some repeat an existing one (case differs), some repeat
@@ -448,7 +501,7 @@ class TestdataCatalog:
             e.alias("request_id"), "ts", F.lit("  nuevo ").alias("nombre"),
             F.concat(F.lit("CLIENTE "), e.cast("string")).alias("apellido"), email.alias("email"))
 
-    @cached_property
+    @stored
     def merge_requests(self) -> DataFrame:
         """Customer id (id % 100 = 0, id > 0) absorbs id + 1; when
         id % 300 = 0, id + 1 also absorbs id + 2 (a chain, rejected)."""
@@ -459,14 +512,14 @@ class TestdataCatalog:
                                            (cid + 2).alias("secundario"))
         return a.unionByName(b).withColumn("ts", F.lit(self.as_of).cast("timestamp_ntz"))
 
-    @cached_property
+    @stored
     def supplier_requests(self) -> DataFrame:
         """Products with id % 10 = 1 move to supplier (id div 10) mod (n + 1)."""
         p = self.productos_base.where(F.col("id_producto") % 10 == 1).crossJoin(self._n_suppliers)
         return p.select(F.col("id_producto").alias("request_id"), F.lit(self.as_of).cast("timestamp_ntz").alias("ts"),
                         "id_producto", (F.floor(F.col("id_producto") / 10) % (F.col("n_sup") + 1)).alias("id_proveedor"))
 
-    @cached_property
+    @stored
     def payment_requests(self) -> DataFrame:
         """Payments for orders with id % 4 = 0: the total; short then
         overpaid when id % 8 = 0; no amount when id % 12 = 0."""
@@ -481,7 +534,7 @@ class TestdataCatalog:
                                               (F.col("total") + 5).cast("decimal(12,2)").alias("monto"))
         return first.unionByName(second)
 
-    @cached_property
+    @stored
     def review_requests(self) -> DataFrame:
         """Each 'view' event rates its product (event_id % 6; 0 is invalid)."""
         v = self._events("view").crossJoin(self._n_parts)
@@ -491,7 +544,7 @@ class TestdataCatalog:
                         (F.col("event_id") % 6).cast("int").alias("calificacion"),
                         F.concat(F.lit("Vista "), F.col("event_id").cast("string")).alias("comentario"))
 
-    @cached_property
+    @stored
     def category_promo_requests(self) -> DataFrame:
         """One campaign per category: pct (id*25) mod 120; category 5 ends
         when it starts; category 6 asks for a missing id 99."""
@@ -503,7 +556,7 @@ class TestdataCatalog:
             ((cid * 25) % 120).cast("decimal(5,2)").alias("pct"), ts.alias("inicio"),
             F.when(cid == 5, ts).otherwise(F.timestamp_add("DAY", F.lit(30), ts)).alias("fin"))
 
-    @cached_property
+    @stored
     def category_move_requests(self) -> DataFrame:
         """P20: category 6 merges into 5; category 1 into a missing id 99."""
         c = self._categories_base.where(F.col("id_categoria").isin(1, 6))
