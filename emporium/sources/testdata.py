@@ -104,6 +104,8 @@ class TestdataCatalog:
             st = fs.getFileStatus(p)
             parts.append(f"{t}:{st.getLen()}:{st.getModificationTime()}")
         parts.append(FIXTURE_VERSION)
+        with open(__file__, "rb") as fh:  # any change to the rules rebuilds the copies
+            parts.append(hashlib.sha1(fh.read()).hexdigest())
         key = hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
         return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/warehouse/{key}"
 

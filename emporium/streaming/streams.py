@@ -149,49 +149,51 @@ def st_customer_audit(t, ts: str) -> DataFrame:
 
 
 # -- ST4 -----------------------------------------------------------------------
-ALERT_SCHEMA = "product_id long, ts timestamp, stock_after long, alert string"
+ALERT_SCHEMA = "product_id long, ts timestamp, stock_after long"
 STATE_SCHEMA = "stock long"
 
 
 def _low_stock(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Running stock of one product; emit when it crosses from above the
-    threshold to at or below it (T14).  The first movement is the opening
-    stock and never alerts."""
-    stock = state.get[0] if state.exists else None
+    threshold to at or below it (T14).  The state starts from the opening
+    stock carried by the product's first movement (stream-static lookup)."""
     pdf = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "seq"], kind="mergesort")
+    stock = state.get[0] if state.exists else int(pdf["opening"].iloc[0])
     rows = []
-    for ts, delta, kind in zip(pdf["ts"], pdf["delta"], pdf["kind"]):
-        if kind == "open" or stock is None:
-            stock = int(delta) if kind == "open" else (stock or 0) + int(delta)
-            continue
+    for ts, delta in zip(pdf["ts"], pdf["delta"]):
         before, stock = stock, stock + int(delta)
         if before > S.LOW_STOCK >= stock:
-            rows.append((key[0], ts, stock, f"{C.LOW_STOCK_TEXT}{key[0]}. Stock actual: {stock}"))
+            rows.append((key[0], ts, stock))
     state.update((stock,))
     if rows:
-        yield pd.DataFrame(rows, columns=["product_id", "ts", "stock_after", "alert"])
+        yield pd.DataFrame(rows, columns=["product_id", "ts", "stock_after"])
 
 
-def stock_movements(t, as_of: str) -> DataFrame:
-    """Opening stock of every product plus the lines admitted by the order
-    batch (P01), as (product, ts, seq, delta, kind)."""
+def sales_movements(t) -> DataFrame:
+    """Lines admitted by the order batch (P01) as stock movements."""
     from emporium.plans.batch import bat_orders
+    return bat_orders(t, t.order_requests)["orders"].select(
+        F.col("id_producto").alias("product_id"), F.col("fecha_venta").alias("ts"),
+        F.col("request_id").cast("long").alias("seq"), (-F.col("cantidad")).cast("long").alias("delta"))
+
+
+def stock_movements(t, as_of: str) -> DataFrame:
+    """Batch twin input: opening stock of every product plus the sales."""
     opening = t.productos.select(F.col("id_producto").alias("product_id"),
                                  F.timestamp_add("DAY", F.lit(-1), F.lit(as_of).cast("timestamp_ntz")).alias("ts"),
                                  F.lit(0).cast("long").alias("seq"), F.col("stock").cast("long").alias("delta"),
                                  F.lit("open").alias("kind"))
-    lines = bat_orders(t, t.order_requests)["orders"].select(
-        F.col("id_producto").alias("product_id"), F.col("fecha_venta").alias("ts"),
-        F.col("request_id").cast("long").alias("seq"), (-F.col("cantidad")).cast("long").alias("delta"),
-        F.lit("sale").alias("kind"))
-    return opening.unionByName(lines)
+    return opening.unionByName(sales_movements(t).withColumn("kind", F.lit("sale")))
 
 
 def st_low_stock(t, as_of: str) -> DataFrame:
-    """T03+T14 as a keyed stateful stream (``applyInPandasWithState``)."""
-    mv = stock_movements(t, as_of)
-    s = _feed_stream(mv, "movements").withColumn("ts", F.col("ts").cast("timestamp"))
-    alerts = s.groupBy("product_id").applyInPandasWithState(
+    """T03+T14 as a keyed stateful stream (``applyInPandasWithState``).
+
+    Sales arrive as a stream; the opening stock comes from the product table
+    by a stream-static join, so only products that move get state."""
+    s = _feed_stream(sales_movements(t), "movements").withColumn("ts", F.col("ts").cast("timestamp"))
+    opening = t.productos.select(F.col("id_producto").alias("product_id"), F.col("stock").cast("long").alias("opening"))
+    alerts = s.join(opening, "product_id").groupBy("product_id").applyInPandasWithState(
         _low_stock, ALERT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
     out = run_append(alerts, "st4-low-stock")
     return out.select("product_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "stock_after")
