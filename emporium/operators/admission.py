@@ -12,65 +12,72 @@ wrong once the first request is rejected.  Exact distributed form:
   whatever comes later), accept the longest in-order prefix whose running
   sum fits, charge it to the capacity.  The first candidate after that
   prefix overflows and is dropped next round, so every round after the
-  first starts with less capacity than the largest quantity: the number of
-  rounds is bounded by the largest quantity, not by the data.
+  first starts with less capacity than the largest quantity, and every
+  round lowers the capacity of each key still contended: the loop ends
+  after at most min(largest quantity, requests of a key) + 1 rounds.
 
-Running sums are window aggregates (streamed and spillable, no arrays of
-a whole group are collected); each round's state is checkpointed to cut
-the lineage.
+Running sums come from :func:`emporium.operators.scan.keyed_running`, so a
+hot product is split over many tasks; each round's state is checkpointed
+to cut the lineage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emporium.operators.scan import keyed_running
 from emporium.session import ensure_checkpoint_dir
 
 REJECT_CAPACITY = "insufficient stock"
 REJECT_UNKNOWN = "unknown product"
 
+_DECISION = "request_id bigint, accepted boolean, reason string"
+
+
+def _decided(df: DataFrame, request_id: str, accepted: bool, reason: str | None) -> DataFrame:
+    return df.select(F.col(request_id).alias("request_id"), F.lit(accepted).alias("accepted"),
+                     F.lit(reason).cast("string").alias("reason"))
+
+
+def _union(parts: list[DataFrame], spark) -> DataFrame:
+    out = None
+    for d in parts:
+        out = d if out is None else out.unionByName(d)
+    return out if out is not None else spark.createDataFrame([], _DECISION)
+
 
 def greedy_admission(requests: DataFrame, capacity: DataFrame, key: str, qty: str = "qty",
-                     order: tuple[str, ...] = ("ts", "request_id"), request_id: str = "request_id",
-                     max_rounds: int = 64) -> DataFrame:
+                     order: tuple[str, ...] = ("ts", "request_id"), request_id: str = "request_id") -> DataFrame:
     """``requests(request_id, key, qty, order...)`` x ``capacity(key, cap)`` ->
     ``(request_id, accepted bool, reason)`` for every request."""
     spark = requests.sparkSession
     ensure_checkpoint_dir(spark)
+    order = list(order)
     req = requests.select(request_id, key, qty, *[c for c in order if c != request_id])
     cap = capacity.select(key, F.col("cap").cast("bigint").alias("cap"))
-    unknown = req.join(cap, key, "left_anti").select(
-        request_id, F.lit(False).alias("accepted"), F.lit(REJECT_UNKNOWN).alias("reason"))
+    unknown = _decided(req.join(cap, key, "left_anti"), request_id, False, REJECT_UNKNOWN)
     known = req.join(cap, key)
     demand = known.groupBy(key).agg(F.sum(qty).alias("_demand"))
     k2 = known.join(demand, key)
-    easy = k2.where(F.col("_demand") <= F.col("cap")).select(
-        request_id, F.lit(True).alias("accepted"), F.lit(None).cast("string").alias("reason"))
+    decided = [unknown, _decided(k2.where(F.col("_demand") <= F.col("cap")), request_id, True, None)]
     cand = k2.where(F.col("_demand") > F.col("cap")).drop("_demand")
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    decided = []
-    for _ in range(max_rounds):
+    while True:
         cand = cand.checkpoint(eager=True)
-        if cand.isEmpty():
+        n = cand.count()
+        if n == 0:
             break
-        fits = cand.where(F.col(qty) <= F.col("cap"))
-        decided.append(cand.where(F.col(qty) > F.col("cap")).select(
-            request_id, F.lit(False).alias("accepted"), F.lit(REJECT_CAPACITY).alias("reason")))
-        run = fits.withColumn("_run", F.sum(qty).over(w))
-        decided.append(run.where(F.col("_run") <= F.col("cap")).select(
-            request_id, F.lit(True).alias("accepted"), F.lit(None).cast("string").alias("reason")))
-        used = run.where(F.col("_run") <= F.col("cap")).groupBy(key).agg(F.sum(qty).alias("_used"))
-        cand = (run.where(F.col("_run") > F.col("cap")).drop("_run")
+        decided.append(_decided(cand.where(F.col(qty) > F.col("cap")), request_id, False, REJECT_CAPACITY))
+        run = keyed_running(cand.where(F.col(qty) <= F.col("cap")), [key], order, sums={"_run": qty},
+                            rows=n, stable=True)
+        fit = F.col("_run") <= F.col("cap")
+        decided.append(_decided(run.where(fit), request_id, True, None))
+        used = run.where(fit).groupBy(key).agg(F.sum(qty).alias("_used"))
+        cand = (run.where(~fit).drop("_run")
                 .join(used, key, "left")
                 .withColumn("cap", F.col("cap") - F.coalesce("_used", F.lit(0)))
                 .drop("_used"))
-    else:
-        raise RuntimeError("admission did not converge; quantities larger than max_rounds?")
-    out = unknown.unionByName(easy)
-    for d in decided:
-        out = out.unionByName(d)
-    return out
+    return _union(decided, spark)
 
 
 REJECT_NEGATIVE = "negative balance"
@@ -83,39 +90,38 @@ def sequential_balance(requests: DataFrame, start: DataFrame, key: str, delta: s
 
     Rounds: per key, the running balance of the unresolved requests is exact
     up to the first request that would go negative; everything before it is
-    accepted, it is rejected, the rest waits for the next round with the
-    balance reached.  Each round settles at least one request per key, so
-    the number of rounds is one more than the largest number of rejections
-    of a single key.  ``start(key, bal)``; keys without a start row are not
-    handled here (callers reject them first).
+    accepted, it is rejected, and with B the balance reached, every later
+    withdrawal that would go negative even if all deposits between were
+    counted (B + deposits so far + delta < 0) is rejected too — the true
+    balance can only be lower.  The rest waits for the next round with
+    balance B.  A key with a long run of hopeless withdrawals settles in one
+    round.  ``start(key, bal)``; keys without a start row are not handled
+    here (callers reject them first).
     """
     spark = requests.sparkSession
     ensure_checkpoint_dir(spark)
+    order = list(order)
     cand = requests.select(request_id, key, delta, *[c for c in order if c != request_id]).join(
         start.select(key, F.col("bal").cast("bigint").alias("bal")), key)
-    w_rn = Window.partitionBy(key).orderBy(*order)
-    w_run = w_rn.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pos = F.greatest(F.col(delta), F.lit(0))
     decided = []
     while True:
         cand = cand.checkpoint(eager=True)
-        if cand.isEmpty():
+        n = cand.count()
+        if n == 0:
             break
-        r = (cand.withColumn("_rn", F.row_number().over(w_rn))
-             .withColumn("_after", F.col("bal") + F.sum(delta).over(w_run)))
-        first_bad = r.where(F.col("_after") < 0).groupBy(key).agg(F.min("_rn").alias("_bad"))
-        r = r.join(first_bad, key, "left")
-        ok = F.col("_bad").isNull() | (F.col("_rn") < F.col("_bad"))
-        decided.append(r.where(ok).select(request_id, F.lit(True).alias("accepted"),
-                                          F.lit(None).cast("string").alias("reason")))
-        decided.append(r.where(F.col("_rn") == F.col("_bad")).select(
-            request_id, F.lit(False).alias("accepted"), F.lit(REJECT_NEGATIVE).alias("reason")))
-        used = r.where(ok).groupBy(key).agg(F.sum(delta).alias("_used"))
-        cand = (r.where(F.col("_rn") > F.col("_bad")).drop("_rn", "_after", "_bad")
-                .join(used, key, "left").withColumn("bal", F.col("bal") + F.coalesce("_used", F.lit(0)))
-                .drop("_used"))
-    out = None
-    for d in decided:
-        out = d if out is None else out.unionByName(d)
-    if out is None:
-        out = requests.sparkSession.createDataFrame([], f"{request_id} bigint, accepted boolean, reason string")
-    return out
+        r = keyed_running(cand.withColumn("_pos", pos), [key], order,
+                          sums={"_run": delta, "_posrun": "_pos"}, rank="_rn", rows=n, stable=True)
+        bad = (r.where(F.col("bal") + F.col("_run") < 0).groupBy(key)
+               .agg(F.min(F.struct("_rn", "_run", "_posrun", F.col(delta).alias("_d"))).alias("_bad")))
+        r = r.join(bad, key, "left")
+        ok = F.col("_bad").isNull() | (F.col("_rn") < F.col("_bad._rn"))
+        decided.append(_decided(r.where(ok), request_id, True, None))
+        decided.append(_decided(r.where(F.col("_rn") == F.col("_bad._rn")), request_id, False, REJECT_NEGATIVE))
+        rest = r.where(F.col("_rn") > F.col("_bad._rn")).withColumn(
+            "bal", F.col("bal") + F.col("_bad._run") - F.col("_bad._d"))
+        upper = F.col("bal") + F.col("_posrun") - F.col("_pos") - F.col("_bad._posrun")
+        hopeless = (F.col(delta) < 0) & (upper + F.col(delta) < 0)
+        decided.append(_decided(rest.where(hopeless), request_id, False, REJECT_NEGATIVE))
+        cand = rest.where(~hopeless).select(request_id, key, delta, *[c for c in order if c != request_id], "bal")
+    return _union(decided, spark)

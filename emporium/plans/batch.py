@@ -9,12 +9,13 @@ Row locks and transactions become per-key ordered folds
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporium.functions import semantics as S
 from emporium.operators.admission import greedy_admission, sequential_balance
 from emporium.operators.ledger import floored_totals
+from emporium.operators.scan import keyed_running
 from emporium.operators.scalars import attach_scalars
 
 # --- fixed values: messages and texts of the reference's procedures -------
@@ -144,12 +145,12 @@ def bat_address_updates(t, requests: DataFrame) -> dict[str, DataFrame]:
               .agg(F.max_by(F.struct("direccion_envio", "ciudad", "pais"), F.struct(*ORDER)).alias("_l")))
     state = latest.select(F.col("id_cliente").alias("customer_id"), F.col("_l.direccion_envio").alias("direccion_envio"),
                           F.col("_l.ciudad").alias("ciudad"), F.col("_l.pais").alias("pais"))
-    w = Window.partitionBy("id_cliente").orderBy(*ORDER)
-    prev = F.coalesce(F.lag(F.struct("direccion_envio")).over(w), F.struct(F.col("_cur").alias("direccion_envio")))
-    a = acc.withColumn("_prev", prev)
-    audit = (a.where(~F.col("_prev.direccion_envio").eqNullSafe(F.col("direccion_envio")))
+    a = keyed_running(acc.select("request_id", "id_cliente", "ts", "direccion_envio", "_cur"), ["id_cliente"],
+                      list(ORDER), rank="_rn", lags={"_lag": "direccion_envio"})
+    a = a.withColumn("_prev", F.when(F.col("_rn") == 1, F.col("_cur")).otherwise(F.col("_lag")))
+    audit = (a.where(~F.col("_prev").eqNullSafe(F.col("direccion_envio")))
              .select(F.col("id_cliente").alias("customer_id"), F.lit("direccion_envio").alias("field"),
-                     F.col("_prev.direccion_envio").alias("old_value"), F.col("direccion_envio").alias("new_value"),
+                     F.col("_prev").alias("old_value"), F.col("direccion_envio").alias("new_value"),
                      F.col("ts").alias("modified_at")))
     return {"decisions": decisions, "state": state, "audit": audit}
 
@@ -178,9 +179,10 @@ def bat_returns(t, requests: DataFrame) -> dict[str, DataFrame]:
     # order completeness: running returned units per order over accepted requests
     tot_bought = t.detalle_ventas.groupBy("id_venta").agg(F.sum("cantidad").alias("_tb"))
     tot_done = t.devoluciones.groupBy("id_venta").agg(F.sum("cantidad").alias("_td"))
-    w = Window.partitionBy("id_venta").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    accp = (p2.where("accepted").join(tot_bought, "id_venta").join(tot_done, "id_venta", "left")
-            .withColumn("_ret", F.coalesce("_td", F.lit(0)) + F.sum("cantidad").over(w)))
+    accp = keyed_running(p2.where("accepted").select("request_id", "id_venta", "ts", "cantidad"),
+                         ["id_venta"], list(ORDER), sums={"_run": "cantidad"})
+    accp = (accp.join(tot_bought, "id_venta").join(tot_done, "id_venta", "left")
+            .withColumn("_ret", F.coalesce("_td", F.lit(0)) + F.col("_run")))
     closing = (accp.where(F.col("_ret") >= F.col("_tb")).groupBy("id_venta")
                .agg(F.min(F.struct(*ORDER)).alias("_close")))
     # requests after the closing one find the order cancelled
@@ -279,48 +281,77 @@ def bat_category_promos(t, requests: DataFrame) -> DataFrame:
 
 
 # -- P10 ---------------------------------------------------------------------------
+def _longest_path(edges) -> int:
+    """Edges of the longest path in the transition graph; the graph must be
+    acyclic (an order can then change state at most that many times)."""
+    succ: dict[str, list[str]] = {}
+    for a, b in edges:
+        succ.setdefault(a, []).append(b)
+    memo: dict[str, int] = {}
+
+    def depth(v, seen=()):
+        if v in seen:
+            raise ValueError("transition whitelist has a cycle")
+        if v not in memo:
+            memo[v] = max((1 + depth(w, seen + (v,)) for w in succ.get(v, [])), default=0)
+        return memo[v]
+
+    return max(depth(v) for v in succ)
+
+
 def bat_order_transitions(t, requests: DataFrame) -> dict[str, DataFrame]:
     """P10: state changes checked against the whitelist and the order's state
-    at that moment.  Requests of one order are applied rank by rank (each
-    round is one join over all orders); a cancel puts the lines back in
-    stock and takes them off the sold counter (floor 0)."""
+    at that moment.  A request is accepted exactly when it is the first
+    request after the order's last accepted change whose (state, new state)
+    is in the whitelist, so each round finds, per order, that first request
+    with one aggregate (a hot order is pre-aggregated map-side, never
+    gathered).  The whitelist is acyclic, so an order changes state at most
+    ``_longest_path`` times: that is the number of rounds, whatever the data.
+    A cancel puts the lines back in stock and takes them off the sold
+    counter (floor 0)."""
     valid = F.col("nuevo_estado").isin(*S.ORDER_STATES)
     r = requests.join(t.ventas.select("id_venta", F.col("estado").alias("_st0")), "id_venta", "left")
     why = _first_reason((F.col("nuevo_estado").isNull() | ~valid, MSG_BAD_STATE), (F.col("_st0").isNull(), MSG_NO_ORDER))
     r = r.withColumn("_why", why)
     static_rej = r.where(F.col("_why").isNotNull()).select("request_id", F.lit(False).alias("accepted"),
                                                           F.col("_why").alias("reason"))
-    live = r.where(F.col("_why").isNull()).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("id_venta").orderBy(*ORDER)))
-    allowed = t.spark.createDataFrame(list(S.TRANSITIONS), "_from string, _to string").withColumn("_okt", F.lit(True))
-    state = t.ventas.select("id_venta", F.col("estado").alias("_cur"))
-    max_rank = live.agg(F.max("_rank")).first()[0] or 0
-    decided = []
-    for k in range(1, max_rank + 1):
-        step = (live.where(F.col("_rank") == k).join(state, "id_venta")
-                .join(F.broadcast(allowed), (F.col("_cur") == F.col("_from")) & (F.col("nuevo_estado") == F.col("_to")),
-                      "left"))
-        step = step.select("request_id", "id_venta", "nuevo_estado", "_cur", F.col("_okt").isNotNull().alias("accepted"))
+    live = r.where(F.col("_why").isNull()).select("request_id", "id_venta", "nuevo_estado", "ts")
+    allowed = t.spark.createDataFrame(list(S.TRANSITIONS), "_from string, _to string")
+    me = F.struct(*ORDER)
+    # per touched order: current state and the position of its last accepted change
+    state = (t.ventas.join(live, "id_venta", "left_semi")
+             .select("id_venta", F.col("estado").alias("_cur"), F.lit(None).cast(live.select(me).schema[0].dataType)
+                     .alias("_pos")))
+    taken = []
+    for _ in range(_longest_path(S.TRANSITIONS)):
+        state = state.checkpoint(eager=True)
+        step = (live.join(state, "id_venta")
+                .where(F.col("_pos").isNull() | (me > F.col("_pos")))
+                .join(F.broadcast(allowed), (F.col("_cur") == F.col("_from")) & (F.col("nuevo_estado") == F.col("_to")))
+                .groupBy("id_venta").agg(F.min(F.struct(*ORDER, "nuevo_estado")).alias("_acc")))
         step = step.checkpoint(eager=True)
-        decided.append(step)
-        moved = step.where("accepted").select("id_venta", F.col("nuevo_estado").alias("_new"))
-        state = (state.join(moved, "id_venta", "left")
-                 .select("id_venta", F.coalesce("_new", "_cur").alias("_cur")).checkpoint(eager=True))
-    steps = None
-    for d in decided:
-        steps = d if steps is None else steps.unionByName(d)
-    if steps is None:
-        steps = t.spark.createDataFrame([], "request_id bigint, id_venta bigint, nuevo_estado string, _cur string, "
-                                            "accepted boolean")
-    dyn = steps.select("request_id", "accepted", F.when(~F.col("accepted"), F.lit(MSG_TRANSITION)).alias("reason"))
+        taken.append(step.select("id_venta", F.col("_acc.request_id").alias("request_id"),
+                                 F.col("_acc.nuevo_estado").alias("nuevo_estado")))
+        state = (state.join(step, "id_venta", "left")
+                 .select("id_venta", F.coalesce("_acc.nuevo_estado", "_cur").alias("_cur"),
+                         F.when(F.col("_acc").isNotNull(),
+                                F.struct(F.col("_acc.ts").alias("ts"), F.col("_acc.request_id").alias("request_id")))
+                         .otherwise(F.col("_pos")).alias("_pos")))
+    acc = taken[0]
+    for d in taken[1:]:
+        acc = acc.unionByName(d)
+    ok = F.col("_ok").isNotNull()
+    dyn = live.join(acc.select("request_id", F.lit(True).alias("_ok")), "request_id", "left").select(
+        "request_id", ok.alias("accepted"), F.when(~ok, F.lit(MSG_TRANSITION)).alias("reason"))
     decisions = static_rej.unionByName(dyn)
-    cancels = steps.where(F.col("accepted") & (F.col("nuevo_estado") == S.CANCELLED)).select("id_venta")
+    cancels = acc.where(F.col("nuevo_estado") == S.CANCELLED).select("id_venta")
     back = (t.detalle_ventas.join(cancels, "id_venta", "left_semi").groupBy("id_producto")
             .agg(F.sum("cantidad").alias("_q")))
     stock = (t.productos.select("id_producto", "stock", "total_vendido").join(back, "id_producto")
              .select(F.col("id_producto").alias("product_id"), (F.col("stock") + F.col("_q")).cast("bigint").alias("stock"),
                      F.greatest(F.lit(0), F.col("total_vendido") - F.col("_q")).cast("bigint").alias("total_sold")))
-    final_state = state.select(F.col("id_venta").alias("order_id"), F.col("_cur").alias("state"))
+    final_state = (t.ventas.select("id_venta", "estado").join(state, "id_venta", "left")
+                   .select(F.col("id_venta").alias("order_id"), F.coalesce("_cur", "estado").alias("state")))
     return {"decisions": decisions, "stock": stock, "orders": final_state}
 
 
@@ -333,9 +364,10 @@ def bat_register_customers(t, requests: DataFrame) -> DataFrame:
     taken = t.clientes.select(key.alias("_k")).withColumn("_taken", F.lit(True))
     bad = S.email_ok(F.col("email")) == 0
     r = requests.withColumn("_k", key).join(taken, "_k", "left")
-    valid_first = F.row_number().over(Window.partitionBy("_k", "_valid").orderBy(*ORDER))
-    r = r.withColumn("_valid", ~bad).withColumn("_n", valid_first)
-    why = _first_reason((bad, MSG_EMAIL), (F.col("_taken").isNotNull() | (F.col("_n") > 1), MSG_DUPLICATE_EMAIL))
+    firsts = r.where(~bad).groupBy("_k").agg(F.min(F.struct(*ORDER)).alias("_first"))
+    r = r.join(firsts, "_k", "left")
+    later = F.struct(*ORDER) > F.col("_first")
+    why = _first_reason((bad, MSG_EMAIL), (F.col("_taken").isNotNull() | later, MSG_DUPLICATE_EMAIL))
     r = r.withColumn("reason", why)
     ok = F.col("reason").isNull()
     return r.select("request_id", ok.alias("accepted"), "reason",

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from emporium.operators import overlay
@@ -11,6 +13,15 @@ from emporium.operators.ledger import floored_totals
 from emporium.operators.rank import global_row_number
 
 
+@pytest.fixture
+def chunked_scan(spark):
+    """Force the range-chunk path of keyed_running (no single-window shortcut)."""
+    from emporium.operators.scan import SINGLE_TASK_ROWS_CONF
+    spark.conf.set(SINGLE_TASK_ROWS_CONF, "0")
+    yield
+    spark.conf.unset(SINGLE_TASK_ROWS_CONF)
+
+
 def brute_admission(reqs, caps):
     left = dict(caps)
     out = {}
@@ -33,6 +44,16 @@ def test_admission_doc_example(spark):
     assert got == {1: True, 2: False, 3: True, 4: True, 5: False}
 
 
+def test_admission_hot_key_on_chunked_path(spark, chunked_scan):
+    rng = random.Random(29)
+    reqs = [(i, 0 if rng.random() < 0.8 else 1, rng.randrange(1, 9), rng.randrange(60)) for i in range(300)]
+    caps = [(0, 150), (1, 20)]
+    df = spark.createDataFrame(reqs, "request_id long, k long, qty long, ts long")
+    cdf = spark.createDataFrame(caps, "k long, cap long")
+    got = {r.request_id: r.accepted for r in greedy_admission(df, cdf, "k", "qty").collect()}
+    assert got == brute_admission(reqs, caps)
+
+
 def test_admission_matches_brute_force(spark):
     rng = random.Random(7)
     reqs = [(i, rng.randrange(4), rng.randrange(1, 9), rng.randrange(50)) for i in range(400)]
@@ -104,3 +125,86 @@ def test_diff_snapshots_ops(spark):
     new = spark.createDataFrame([(2, "Y"), (3, None), (4, "z")], "k long, v string")
     got = sorted((r.k, r.op) for r in diff_snapshots(old, new, ["k"], "2026-01-01 00:00:00").collect())
     assert got == [(1, "D"), (2, "U"), (4, "I")]
+
+
+def test_keyed_running_matches_brute_force_with_hot_key(spark):
+    from emporium.operators.scan import keyed_running
+    rng = random.Random(17)
+    # key 0 holds ~60 % of the rows, key None is a real key too
+    rows = []
+    for i in range(1500):
+        k = 0 if rng.random() < 0.6 else rng.choice([1, 2, 3, None])
+        rows.append((i, k, rng.randrange(40), rng.randrange(-5, 9)))
+    df = spark.createDataFrame(rows, "rid long, k long, ts long, d long")
+    got = keyed_running(df, ["k"], ["ts", "rid"], sums={"run": "d"}, rank="rn",
+                        lags={"prev": "rid"}, partitions=12)
+    got = {r.rid: (r.run, r.rn, r.prev) for r in got.collect()}
+    want, state = {}, {}
+    for rid, k, ts, d in sorted(rows, key=lambda r: (r[2], r[0])):
+        run, rn, prev = state.get(k, (0, 0, None))
+        state[k] = (run + d, rn + 1, rid)
+        want[rid] = (run + d, rn + 1, prev)
+    assert got == want
+
+
+def test_keyed_running_splits_a_hot_key(spark):
+    """The hot key's rows land in many chunks (not in one task)."""
+    from emporium.operators import scan
+    df = spark.range(4000).select(F.lit(1).alias("k"), F.col("id").alias("ts"), F.lit(1).alias("d"))
+    out = scan.keyed_running(df, ["k"], ["ts"], sums={"run": "d"}, partitions=8)
+    assert sorted(r.run for r in out.collect()) == list(range(1, 4001))
+    chunks = (df.repartitionByRange(8, "k", "ts").select(F.spark_partition_id().alias("p"))
+              .distinct().count())
+    assert chunks == 8
+
+
+def test_sequential_balance_hot_key_and_hopeless_runs(spark, chunked_scan):
+    """One key with most requests, long runs of withdrawals that cannot pass
+    interleaved with deposits, on the range-chunk path: still equal to the
+    sequential fold."""
+    rng = random.Random(23)
+    reqs = []
+    for i in range(300):
+        k = 0 if rng.random() < 0.7 else rng.randrange(1, 4)
+        d = rng.choice([-15, -9, -4, -1, 2, 3, 5]) if i % 50 else 40
+        reqs.append((i, k, d, rng.randrange(200)))
+    start = [(0, 0), (1, 3), (2, 10), (3, 0)]
+    bal, want = dict(start), {}
+    for rid, k, d, ts in sorted(reqs, key=lambda r: (r[3], r[0])):
+        want[rid] = bal[k] + d >= 0
+        if want[rid]:
+            bal[k] += d
+    df = spark.createDataFrame(reqs, "request_id long, k long, delta long, ts long")
+    sdf = spark.createDataFrame(start, "k long, bal long")
+    got = {r.request_id: r.accepted for r in sequential_balance(df, sdf, "k", "delta").collect()}
+    assert got == want
+
+
+def test_order_transitions_hot_order_matches_sequential(spark):
+    """P10 on one order holding most requests: whitelist rounds = fold."""
+    from types import SimpleNamespace
+
+    from emporium.functions import semantics as S
+    from emporium.plans.batch import bat_order_transitions
+    rng = random.Random(31)
+    states = list(S.ORDER_STATES)
+    start = {1: "Pendiente de Pago", 2: "Procesando", 3: "Enviado", 4: "Entregado", 5: "Pendiente de Pago"}
+    reqs = [(i, 1 if rng.random() < 0.7 else rng.randrange(2, 6), rng.choice(states), rng.randrange(100))
+            for i in range(250)]
+    allowed = set(S.TRANSITIONS)
+    cur, want = dict(start), {}
+    for rid, o, new, ts in sorted(reqs, key=lambda r: (r[3], r[0])):
+        want[rid] = (cur[o], new) in allowed
+        if want[rid]:
+            cur[o] = new
+    t = SimpleNamespace(
+        spark=spark,
+        ventas=spark.createDataFrame([(k, v) for k, v in start.items()], "id_venta long, estado string"),
+        detalle_ventas=spark.createDataFrame([(1, 7, 2)], "id_venta long, id_producto long, cantidad int"),
+        productos=spark.createDataFrame([(7, 10, 5)], "id_producto long, stock int, total_vendido int"))
+    df = spark.createDataFrame([(rid, o, new, ts) for rid, o, new, ts in reqs],
+                               "request_id long, id_venta long, nuevo_estado string, ts long")
+    out = bat_order_transitions(t, df)
+    got = {r.request_id: r.accepted for r in out["decisions"].collect()}
+    assert got == want
+    assert {r.order_id: r.state for r in out["orders"].collect()} == cur
