@@ -1,15 +1,16 @@
 """Attach one-row aggregates to every row.
 
-The right side is a global aggregate (no grouping keys), so it has exactly
-one row whatever the input size; broadcasting it is bounded, and the join
-is a single pass over the left side with no shuffle.
+Each column of the one-row aggregate becomes an uncorrelated scalar
+subquery (``DataFrame.scalar()``): Spark computes it once (merging
+subqueries over the same aggregate) and uses the value as a literal, so
+there is no join, no broadcast of a relation and no shuffle of the left
+side.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    return df.crossJoin(F.broadcast(one_row))
+    return df.select("*", *[one_row.select(c).scalar().alias(c) for c in one_row.columns])

@@ -54,7 +54,7 @@ def q02_slowest_10pct(t) -> DataFrame:
     ranked_in = (active.join(_units_by_product(t), "id_producto", "left")
                  .withColumn("units", F.coalesce("units", F.lit(0)).cast("bigint")))
     ranked = global_row_number(ranked_in, [F.col("units").asc(), F.col("id_producto").asc()], "position")
-    total = F.broadcast(active.agg(F.count(F.lit(1)).alias("total_products")))  # one row
+    total = active.agg(F.count(F.lit(1)).alias("total_products"))  # one row -> scalar subquery
     # k = GREATEST(1, CEIL(n * 0.10)) in integer arithmetic
     k = F.greatest(F.lit(1), F.floor((F.col("total_products") + 9) / 10).cast("bigint"))
     return (attach_scalars(ranked, total).where(F.col("position") <= k)

@@ -17,7 +17,7 @@ import hashlib
 import os
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporium.functions import semantics as S
@@ -121,13 +121,13 @@ class TestdataCatalog:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
-    def _n_parts(self) -> DataFrame:
-        # one row, so broadcasting it is bounded
-        return F.broadcast(self.raw("part").agg(F.count(F.lit(1)).alias("n_parts")))
+    def _n_parts(self) -> Column:
+        # uncorrelated scalar subquery: computed once, no join
+        return self.raw("part").agg(F.count(F.lit(1))).scalar()
 
     @cached_property
-    def _n_suppliers(self) -> DataFrame:
-        return F.broadcast(self.raw("supplier").agg(F.count(F.lit(1)).alias("n_sup")))
+    def _n_suppliers(self) -> Column:
+        return self.raw("supplier").agg(F.count(F.lit(1))).scalar()
 
     # -- dimensions --------------------------------------------------------
     @cached_property
@@ -162,7 +162,7 @@ class TestdataCatalog:
         pid = F.col("p_partkey")
         cat = F.broadcast(self._categories_base.select(
             F.col("id_categoria").alias("_cat_id"), F.col("nombre").alias("_cat_name")))
-        p = (self.raw("part").crossJoin(self._n_suppliers)
+        p = (self.raw("part").withColumn("n_sup", self._n_suppliers)
              .join(cat, F.col("p_type") == F.col("_cat_name"), "left"))
         cat_id = F.when(pid % 97 == 0, F.lit(None)).otherwise(F.col("_cat_id")).cast("int")
         precio = F.col("p_retailprice").cast("decimal(10,2)")
@@ -285,7 +285,7 @@ class TestdataCatalog:
 
     @stored
     def vistas_productos(self) -> DataFrame:
-        return (self._events("view").crossJoin(self._n_parts)
+        return (self._events("view").withColumn("n_parts", self._n_parts)
                 .select(F.col("event_id").alias("id_vista"),
                         (F.col("event_id") % F.col("n_parts")).alias("id_producto"),
                         F.col("user_id").alias("id_cliente"),
@@ -293,7 +293,7 @@ class TestdataCatalog:
 
     @cached_property
     def _clicks(self) -> DataFrame:
-        e = self._events("click").crossJoin(self._n_parts)
+        e = self._events("click").withColumn("n_parts", self._n_parts)
         return e.select(
             (F.col("user_id") * 100 + F.dayofmonth("ts")).alias("id_carrito"),
             F.col("user_id"), F.col("ts"), F.col("event_id"),
@@ -416,7 +416,7 @@ class TestdataCatalog:
     def product_requests(self) -> DataFrame:
         """Every tenth part offered again as a new product."""
         pid = F.col("p_partkey")
-        p = self.raw("part").where(pid % 10 == 0).crossJoin(self._n_suppliers)
+        p = self.raw("part").where(pid % 10 == 0).withColumn("n_sup", self._n_suppliers)
         price = F.col("p_retailprice").cast("decimal(10,2)")
         return p.select(
             pid.alias("request_id"), F.lit(self.as_of).cast("timestamp_ntz").alias("ts"),
@@ -457,7 +457,7 @@ class TestdataCatalog:
     @stored
     def stock_adjust_requests(self) -> DataFrame:
         """Each 'view' event adjusts its product by (id % 21) - 10 units."""
-        v = self._events("view").crossJoin(self._n_parts)
+        v = self._events("view").withColumn("n_parts", self._n_parts)
         return v.select(F.col("event_id").alias("request_id"), "ts",
                         (F.col("event_id") % F.col("n_parts")).alias("id_producto"),
                         ((F.col("event_id") % 21) - 10).cast("int").alias("ajuste"),
@@ -517,7 +517,7 @@ class TestdataCatalog:
     @stored
     def supplier_requests(self) -> DataFrame:
         """Products with id % 10 = 1 move to supplier (id div 10) mod (n + 1)."""
-        p = self.productos_base.where(F.col("id_producto") % 10 == 1).crossJoin(self._n_suppliers)
+        p = self.productos_base.where(F.col("id_producto") % 10 == 1).withColumn("n_sup", self._n_suppliers)
         return p.select(F.col("id_producto").alias("request_id"), F.lit(self.as_of).cast("timestamp_ntz").alias("ts"),
                         "id_producto", (F.floor(F.col("id_producto") / 10) % (F.col("n_sup") + 1)).alias("id_proveedor"))
 
@@ -539,7 +539,7 @@ class TestdataCatalog:
     @stored
     def review_requests(self) -> DataFrame:
         """Each 'view' event rates its product (event_id % 6; 0 is invalid)."""
-        v = self._events("view").crossJoin(self._n_parts)
+        v = self._events("view").withColumn("n_parts", self._n_parts)
         return v.select(F.col("event_id").alias("request_id"), "ts",
                         (F.col("event_id") % F.col("n_parts")).alias("id_producto"),
                         F.col("user_id").alias("id_cliente"),
