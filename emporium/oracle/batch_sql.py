@@ -298,11 +298,25 @@ FROM (SELECT r.*, row_number() OVER (PARTITION BY r.id_cliente, r.id_producto OR
 LEFT JOIN resenas_productos o ON o.id_cliente = x.id_cliente AND o.id_producto = x.id_producto
 WHERE x.k = 1"""
 
-SQL["bat_move_category"] = """
-WITH ok AS (SELECT r.origen, r.destino FROM category_move_requests r
-            WHERE r.origen IN (SELECT id_categoria FROM categorias) AND r.destino IN (SELECT id_categoria FROM categorias)),
-moved AS (SELECT COALESCE(ok.destino, p.id_categoria) AS id_categoria FROM productos p
-          LEFT JOIN ok ON ok.origen = p.id_categoria)
+_P20 = """
+WITH RECURSIVE ok AS (
+    SELECT r.*, row_number() OVER (ORDER BY r.ts, r.request_id) AS rn FROM category_move_requests r
+    WHERE r.origen IN (SELECT id_categoria FROM categorias) AND r.destino IN (SELECT id_categoria FROM categorias)),
+walk(rn, start_cat, cur, changed) AS (
+    SELECT CAST(0 AS BIGINT), id_categoria, id_categoria, false FROM categorias
+    UNION ALL
+    SELECT m.rn, w.start_cat, CASE WHEN w.cur = m.origen THEN m.destino ELSE w.cur END,
+           w.changed OR (w.cur = m.origen AND m.destino <> w.cur)
+    FROM walk w JOIN ok m ON m.rn = w.rn + 1),
+final AS (SELECT start_cat, cur, changed FROM walk WHERE rn = (SELECT COALESCE(max(rn), 0) FROM ok)),
+moved AS (SELECT p.id_producto, COALESCE(f.cur, p.id_categoria) AS id_categoria, COALESCE(f.changed, false) AS stamped
+          FROM productos p LEFT JOIN final f ON f.start_cat = p.id_categoria),
+touched AS (SELECT origen AS id_categoria FROM ok UNION SELECT destino FROM ok)"""
+SQL["bat_move_category"] = _P20 + """
 SELECT c.id_categoria AS category_id,
-       CAST((SELECT count(*) FROM moved m WHERE m.id_categoria = c.id_categoria) AS BIGINT) AS total_products
+       CAST(CASE WHEN c.id_categoria IN (SELECT id_categoria FROM touched)
+                 THEN (SELECT count(*) FROM moved m WHERE m.id_categoria = c.id_categoria)
+                 ELSE c.total_productos END AS BIGINT) AS total_products
 FROM categorias c"""
+SQL["bat_move_category_products"] = _P20 + """
+SELECT id_producto, id_categoria, stamped FROM moved"""

@@ -475,23 +475,54 @@ def bat_review_upsert(t, requests: DataFrame) -> dict[str, DataFrame]:
 # -- P20 ---------------------------------------------------------------------------
 def bat_move_category(t, requests: DataFrame) -> dict[str, DataFrame]:
     """P20: both categories must exist -> every product of the origin moves
-    to the destination, both counters are recounted, moved products are
-    stamped (T07).  Requests are independent when no category appears in
-    two of them; chained moves are resolved by following the accepted
-    moves to their end."""
+    to the destination; the two categories' counters are recounted; moved
+    products are stamped (T07: only when the category really changed).
+
+    Accepted moves apply in (ts, request_id) order, so a product follows a
+    chain of moves (A->B, later B->C ends in C).  The walk runs on the small
+    category domain, not on products: per category that is the origin of
+    some move, each round follows the first later move out of the category
+    reached so far (one join + one aggregate), until no category moves.
+    Products then take their category's end point with one join.  Counters
+    of categories no accepted move touched keep their stored value."""
     cats = t.categorias.select("id_categoria")
     r = (requests.join(cats.select(F.col("id_categoria").alias("origen"), F.lit(True).alias("_o")), "origen", "left")
          .join(cats.select(F.col("id_categoria").alias("destino"), F.lit(True).alias("_d")), "destino", "left"))
     ok = F.col("_o").isNotNull() & F.col("_d").isNotNull()
     decisions = r.select("request_id", ok.alias("accepted"), F.when(~ok, F.lit(MSG_NO_CATEGORIES)).alias("reason"))
-    moves = r.where(ok).select(F.col("origen").alias("id_categoria"), F.col("destino").alias("_to"))
-    p = t.productos.join(moves, "id_categoria", "left")
-    products = p.select("id_producto", F.coalesce("_to", "id_categoria").alias("id_categoria"),
-                        F.col("_to").isNotNull().alias("stamped"))
+    moves = r.where(ok).select("request_id", "ts", "origen", "destino").checkpoint(eager=True)
+    me = F.struct(*ORDER)
+    walk = moves.select(F.col("origen").alias("_start")).distinct().select(
+        "_start", F.col("_start").alias("_cur"), F.lit(None).cast(moves.select(me).schema[0].dataType).alias("_pos"),
+        F.lit(False).alias("_changed"))
+    while True:
+        walk = walk.checkpoint(eager=True)
+        step = (walk.join(moves, F.col("_cur") == F.col("origen"))
+                .where(F.col("_pos").isNull() | (me > F.col("_pos")))
+                .groupBy("_start").agg(F.min(F.struct(*ORDER, "destino")).alias("_m"))
+                .checkpoint(eager=True))
+        if step.isEmpty():
+            break
+        walk = (walk.join(step, "_start", "left")
+                .select("_start", F.coalesce("_m.destino", "_cur").alias("_cur"),
+                        F.when(F.col("_m").isNotNull(), F.struct(F.col("_m.ts").alias("ts"),
+                                                                  F.col("_m.request_id").alias("request_id")))
+                        .otherwise(F.col("_pos")).alias("_pos"),
+                        (F.col("_changed") | F.coalesce(F.col("_m.destino") != F.col("_cur"), F.lit(False)))
+                        .alias("_changed")))
+    ends = walk.select(F.col("_start").alias("id_categoria"), "_cur", "_changed")
+    p = t.productos.select("id_producto", "id_categoria").join(ends, "id_categoria", "left")
+    products = p.select("id_producto", F.coalesce("_cur", "id_categoria").alias("id_categoria"),
+                        F.coalesce("_changed", F.lit(False)).alias("stamped"))
+    touched = (moves.select(F.col("origen").alias("id_categoria"))
+               .unionByName(moves.select(F.col("destino").alias("id_categoria"))).distinct()
+               .withColumn("_touched", F.lit(True)))
     counts = products.groupBy("id_categoria").agg(F.count(F.lit(1)).alias("_n"))
-    cat_state = (t.categorias.select("id_categoria").join(counts, "id_categoria", "left")
+    cat_state = (t.categorias.select("id_categoria", "total_productos").join(touched, "id_categoria", "left")
+                 .join(counts, "id_categoria", "left")
                  .select(F.col("id_categoria").alias("category_id"),
-                         F.coalesce("_n", F.lit(0)).cast("bigint").alias("total_products")))
+                         F.when(F.col("_touched").isNotNull(), F.coalesce("_n", F.lit(0)))
+                         .otherwise(F.col("total_productos")).cast("bigint").alias("total_products")))
     return {"decisions": decisions, "categories": cat_state, "products": products}
 
 

@@ -169,6 +169,7 @@ QUERIES: dict[str, Job] = {
     "bat_payments": _cat(lambda t: B.bat_payments(t, t.payment_requests)),
     "bat_review_upsert": _cat(lambda t: B.bat_review_upsert(t, t.review_requests)["state"]),
     "bat_move_category": _cat(lambda t: B.bat_move_category(t, t.category_move_requests)["categories"]),
+    "bat_move_category_products": _cat(lambda t: B.bat_move_category(t, t.category_move_requests)["products"]),
     # ST: streaming jobs (availableNow runs into file sinks)
     "st_order_velocity": lambda spark, sf_dir: ST.st_order_velocity(spark, sf_dir),
     "st_cart_abandonment": lambda spark, sf_dir: ST.st_cart_abandonment(spark, sf_dir),

@@ -208,3 +208,36 @@ def test_order_transitions_hot_order_matches_sequential(spark):
     got = {r.request_id: r.accepted for r in out["decisions"].collect()}
     assert got == want
     assert {r.order_id: r.state for r in out["orders"].collect()} == cur
+
+
+def test_move_category_chains_match_sequential(spark):
+    """P20 with chains (A->B then B->C), repeated origins, a cycle and a
+    missing category: equal to applying the moves one by one."""
+    from types import SimpleNamespace
+
+    from emporium.plans.batch import bat_move_category
+    rng = random.Random(37)
+    cats = {1: 9, 2: 0, 3: 4, 4: 1, 5: 2}  # stored counters, deliberately stale
+    prods = [(i, rng.choice([1, 2, 3, 4, 5, None])) for i in range(60)]
+    reqs = [(i, rng.randrange(12), rng.choice([1, 2, 3, 4, 5, 99]), rng.choice([1, 2, 3, 4, 5])) for i in range(14)]
+    cur = {pid: c for pid, c in prods}
+    stamped = {pid: False for pid, _ in prods}
+    touched = set()
+    for rid, ts, o, d in sorted(reqs, key=lambda r: (r[1], r[0])):
+        if o not in cats or d not in cats:
+            continue
+        touched |= {o, d}
+        for pid in cur:
+            if cur[pid] == o:
+                stamped[pid] |= d != o
+                cur[pid] = d
+    want_counts = {c: (sum(1 for v in cur.values() if v == c) if c in touched else n) for c, n in cats.items()}
+    t = SimpleNamespace(
+        spark=spark,
+        categorias=spark.createDataFrame(list(cats.items()), "id_categoria int, total_productos int"),
+        productos=spark.createDataFrame(prods, "id_producto long, id_categoria int"))
+    df = spark.createDataFrame(reqs, "request_id long, ts long, origen int, destino int")
+    out = bat_move_category(t, df)
+    assert {r.id_producto: (r.id_categoria, r.stamped) for r in out["products"].collect()} == {
+        pid: (cur[pid], stamped[pid]) for pid in cur}
+    assert {r.category_id: r.total_products for r in out["categories"].collect()} == want_counts
