@@ -54,6 +54,13 @@ PROMOTIONS = (
 LINE_KEY = 100_000_000  # composite ids: order * LINE_KEY + product
 
 
+# Stored copies are immutable (their folder name is a fingerprint of the
+# sources and of the derivation rules), so the read-back DataFrame — file
+# listing and Parquet schema — is kept per session, like a metastore entry.
+_STORED: dict[tuple[str, str], DataFrame] = {}
+_ROOTS: dict[tuple[str, str], str] = {}
+
+
 def stored(build):
     """A derived table, built once per catalog.  With materialisation on it
     is written as Parquet under the shared checkpoint folder (keyed by a
@@ -64,8 +71,11 @@ def stored(build):
 
     @cached_property
     def prop(self):
-        df = build(self)
-        return self._store(name, df) if self.materialize else df
+        if not self.materialize:
+            return build(self)
+        # look for the stored copy first: the derivation plan is only built
+        # (and analysed) when the copy is missing
+        return self._store(name, lambda: build(self))
 
     prop.__doc__ = build.__doc__
     return prop
@@ -96,8 +106,14 @@ class TestdataCatalog:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(conf), p
 
-    @cached_property
+    @property
     def _store_root(self) -> str:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _ROOTS:
+            _ROOTS[key] = self._fingerprint_root()
+        return _ROOTS[key]
+
+    def _fingerprint_root(self) -> str:
         parts = [self.sf_dir]
         for t in self.SOURCES:
             fs, p = self._fs(f"{self.sf_dir}/{t}.parquet")
@@ -109,12 +125,15 @@ class TestdataCatalog:
         key = hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
         return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/warehouse/{key}"
 
-    def _store(self, name: str, df: DataFrame) -> DataFrame:
+    def _store(self, name: str, make) -> DataFrame:
         path = f"{self._store_root}/{name}"
-        fs, done = self._fs(f"{path}/_SUCCESS")
-        if not fs.exists(done):
-            df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        key = (self.spark.sparkContext.applicationId, path)
+        if key not in _STORED:
+            fs, done = self._fs(f"{path}/_SUCCESS")
+            if not fs.exists(done):
+                make().write.mode("overwrite").parquet(path)
+            _STORED[key] = self.spark.read.parquet(path)
+        return _STORED[key]
 
     # -- driver tables -----------------------------------------------------
     def raw(self, name: str) -> DataFrame:
