@@ -169,7 +169,7 @@ def bat_returns(t, requests: DataFrame) -> dict[str, DataFrame]:
     why = _first_reason((F.col("cantidad").isNull() | (F.col("cantidad") <= 0), MSG_RETURN_QTY),
                         (F.col("_st").isNull(), MSG_NO_ORDER_RETURN), (F.col("_st") != S.DELIVERED, MSG_NOT_DELIVERED),
                         (F.col("_bought").isNull(), MSG_NOT_IN_ORDER))
-    r = r.withColumn("_why", why).withColumn("_line", F.col("id_venta") * 100_000_000 + F.col("id_producto"))
+    r = r.withColumn("_why", why).withColumn("_line", F.struct("id_venta", "id_producto"))  # exact composite key
     static_rej = r.where(F.col("_why").isNotNull()).select("request_id", F.lit(False).alias("accepted"),
                                                           F.col("_why").alias("reason"))
     passing = r.where(F.col("_why").isNull())
