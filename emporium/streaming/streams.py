@@ -65,30 +65,49 @@ def run_append(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{out}/data")
 
 
-def run_update_upsert(stream: DataFrame, name: str, keys: list[str]) -> DataFrame:
+def _published_versions(spark: SparkSession, out: str) -> list[int]:
+    """Batch ids of the complete versions under ``out`` (``v=<id>/_SUCCESS``)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(out)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            found.append(int(name[2:]))
+    return sorted(found)
+
+
+def run_update_upsert(stream: DataFrame, name: str, keys: list[str], out: str | None = None) -> DataFrame:
     """Update-mode query whose micro-batches are upserted by ``keys`` into a
     versioned Parquet table (one immutable version per batch, the last one
-    is current).  Returns the current version."""
+    is current).  Returns the current version.
+
+    The previous version is found in the sink folder, not in driver memory,
+    so a query restarted from its checkpoint continues from the last
+    published version, and a micro-batch that is re-run after a failure
+    rebuilds the same version (idempotent)."""
     spark = stream.sparkSession
-    out = _scratch(spark, name)
-    state = {"last": None}
+    out = out or _scratch(spark, name)
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        target = f"{out}/v={batch_id:012d}"
-        if state["last"] is None:
-            new = batch
-        else:
-            prev = batch.sparkSession.read.parquet(state["last"])
+        prior = [v for v in _published_versions(batch.sparkSession, out) if v < batch_id]
+        if prior:
+            prev = batch.sparkSession.read.parquet(f"{out}/v={prior[-1]:012d}")
             new = overlay.upsert(prev, batch, keys)
-        new.write.mode("overwrite").parquet(target)
-        state["last"] = target
+        else:
+            new = batch
+        new.write.mode("overwrite").parquet(f"{out}/v={batch_id:012d}")
 
     q = (stream.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", f"{out}/_checkpoint")
          .outputMode("update").trigger(availableNow=True).start())
     q.awaitTermination()
-    if state["last"] is None:
+    versions = _published_versions(spark, out)
+    if not versions:
         return spark.createDataFrame([], stream.schema)
-    return spark.read.parquet(state["last"])
+    return spark.read.parquet(f"{out}/v={versions[-1]:012d}")
 
 
 # -- ST1 -----------------------------------------------------------------------
@@ -128,12 +147,14 @@ def st_cart_abandonment(spark: SparkSession, sf_dir: str, gap: str = "3 days", l
 
 
 # -- ST3 -----------------------------------------------------------------------
-MAX_FILES_PER_TRIGGER = 64  # bounds one micro-batch (and one group's rows in it)
-
-
 def _feed_stream(feed: DataFrame, name: str) -> DataFrame:
+    """A staged table as a file stream.  Its files are not in event-time
+    order, so it is read as one micro-batch (no ``maxFilesPerTrigger``):
+    splitting it would make earlier events arrive after the watermark and
+    after later stock movements.  Live feeds, which arrive in time order,
+    bound their micro-batches with ``file_stream(max_files=...)``."""
     path = stage(feed, name)
-    return file_stream(feed.sparkSession, path, feed.schema, max_files=MAX_FILES_PER_TRIGGER)
+    return file_stream(feed.sparkSession, path, feed.schema)
 
 
 def st_price_log(t, ts: str) -> DataFrame:
@@ -161,8 +182,8 @@ def _low_stock(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -
     threshold to at or below it (T14).  The state starts from the opening
     stock carried by the product's first movement (stream-static lookup).
     Vectorised: one sort and one cumulative sum per product and micro-batch;
-    a product's rows in one call are bounded by the micro-batch size
-    (``maxFilesPerTrigger`` on the source)."""
+    a product's rows in one call are those of one micro-batch, which a live
+    source bounds with ``maxFilesPerTrigger``."""
     pdf = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "seq"], kind="mergesort")
     start = state.get[0] if state.exists else int(pdf["opening"].iloc[0])
     after = start + pdf["delta"].cumsum()
