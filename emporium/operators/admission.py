@@ -69,7 +69,7 @@ def greedy_admission(requests: DataFrame, capacity: DataFrame, key: str, qty: st
             break
         decided.append(_decided(cand.where(F.col(qty) > F.col("cap")), request_id, False, REJECT_CAPACITY))
         run = keyed_running(cand.where(F.col(qty) <= F.col("cap")), [key], order, sums={"_run": qty},
-                            rows=n, stable=True)
+                            rows=n)
         fit = F.col("_run") <= F.col("cap")
         decided.append(_decided(run.where(fit), request_id, True, None))
         used = run.where(fit).groupBy(key).agg(F.sum(qty).alias("_used"))
@@ -111,7 +111,7 @@ def sequential_balance(requests: DataFrame, start: DataFrame, key: str, delta: s
         if n == 0:
             break
         r = keyed_running(cand.withColumn("_pos", pos), [key], order,
-                          sums={"_run": delta, "_posrun": "_pos"}, rank="_rn", rows=n, stable=True)
+                          sums={"_run": delta, "_posrun": "_pos"}, rank="_rn", rows=n)
         bad = (r.where(F.col("bal") + F.col("_run") < 0).groupBy(key)
                .agg(F.min(F.struct("_rn", "_run", "_posrun", F.col(delta).alias("_d"))).alias("_bad")))
         r = r.join(bad, key, "left")

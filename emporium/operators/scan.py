@@ -71,7 +71,7 @@ def _plain(df: DataFrame, keys, order, sums, rank, lags) -> DataFrame:
 def keyed_running(df: DataFrame, keys: list[str], order: list[str], *,
                   sums: dict[str, str] | None = None, rank: str | None = None,
                   lags: dict[str, str] | None = None, partitions: int | None = None,
-                  rows: int | None = None, stable: bool = False) -> DataFrame:
+                  rows: int | None = None) -> DataFrame:
     """Add per-key running columns over rows ordered by ``order``.
 
     ``sums``: ``{out: col}`` inclusive running sum of ``col``;
@@ -80,9 +80,13 @@ def keyed_running(df: DataFrame, keys: list[str], order: list[str], *,
     (NULL on the key's first row).  ``order`` should be a total order within
     a key (e.g. ``(ts, request_id)``) for the results to be deterministic.
     ``rows``: known row count of ``df`` (enables the size-checked single
-    window); ``stable``: ``df`` is a deterministic read of materialised data
-    (e.g. just checkpointed), so the chunks need no checkpoint of their own
-    — the range exchange is computed once and reused by both consumers.
+    window).
+
+    The chunk id is always materialised before its two uses: evaluated
+    lazily, ``spark_partition_id()`` is only the range partition while the
+    plan keeps that exchange's partitioning, and AQE may change how a
+    shuffle is read at run time (a forced chunked run at sf0.1 disagreed
+    between the two uses without the checkpoint).
     """
     sums, lags = dict(sums or {}), dict(lags or {})
     spark = df.sparkSession
@@ -93,9 +97,8 @@ def keyed_running(df: DataFrame, keys: list[str], order: list[str], *,
     sum_types = {o: df.select(F.sum(c)).schema.fields[0].dataType for o, c in sums.items()}
     base = df.withColumn(_K, F.struct(*[F.col(k) for k in keys]))
     chunked = (base.repartitionByRange(n, F.col(_K), *[F.col(c) for c in order])
-               .withColumn(_C, F.spark_partition_id()))
-    if not stable:
-        chunked = chunked.checkpoint(eager=True)
+               .withColumn(_C, F.spark_partition_id())
+               .checkpoint(eager=True))
 
     wl = Window.partitionBy(_K, _C).orderBy(*order)
     wl_run = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
