@@ -35,3 +35,24 @@ SQL["st_daily_sales"] = """
 SELECT CAST(fecha_venta AS DATE) AS day, CAST(sum(total) AS DECIMAL(14,2)) AS total_sold,
        CAST(count(*) AS BIGINT) AS order_count
 FROM ventas WHERE estado <> 'Cancelado' GROUP BY 1"""
+
+# ST2: gap sessions per user (an event more than 3 days after the previous
+# one opens a new session; exactly 3 days still merges, as Spark's
+# session_window does); a session is emitted once the final watermark
+# (latest click - 1 hour) has reached its end (last click + 3 days).
+SQL["st_cart_abandonment"] = """
+WITH ev AS (SELECT user_id, ts FROM events WHERE event_type = 'click'),
+marked AS (
+    SELECT user_id, ts,
+           CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
+                  OR ts > lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 3 DAY THEN 1 ELSE 0 END AS opens
+    FROM ev),
+numbered AS (
+    SELECT user_id, ts, sum(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid
+    FROM marked),
+sessions AS (
+    SELECT user_id AS customer_id, min(ts) AS session_start, max(ts) + INTERVAL 3 DAY AS session_end,
+           CAST(count(*) AS BIGINT) AS clicks, max(ts) AS last_click
+    FROM numbered GROUP BY user_id, sid)
+SELECT * FROM sessions
+WHERE session_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM ev)"""
