@@ -57,6 +57,8 @@ TEMPLATES = (
      "this work is licensed under a creative commons attribution international license"),
 )
 RARE, VOTES = 8, 5
+#: Shorter words are common in any text: they would be most of the lookups and tell least.
+LETTERS = 5
 SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -67,7 +69,7 @@ def _index(templates) -> list[tuple[str, int, int, float]]:
     idf = {w: math.log((1 + len(templates)) / n) for w, n in held.items()}
     out = []
     for k, t in enumerate(words):
-        rare = sorted({w for w in t if len(w) > 2}, key=lambda w: (-idf[w], -len(w), w))[:2 * RARE]
+        rare = sorted({w for w in t if len(w) >= LETTERS}, key=lambda w: (-idf[w], -len(w), w))[:2 * RARE]
         out += [(w, k, p, idf[w]) for p, w in enumerate(t) if w in rare]
     return out
 
