@@ -388,6 +388,9 @@ def train(pages: list[str]) -> dict:
 def sample_pages(pages: DataFrame, html_col: str = "html", limit: int = TRAIN_PAGES) -> list[str]:
     """At most ``limit`` pages of at most ``TRAIN_CHARS`` characters."""
     src = pages.select(F.col(html_col).cast("string").alias("html")).where(F.length("html").between(1, TRAIN_CHARS))
+    n = pages.count()
+    if n > 8 * limit:  # about four times the limit by hash, so that tasks do not each send the limit to the driver
+        src = src.where(F.pmod(F.xxhash64("html", F.lit(1)), F.lit(1 << 40)) < int((1 << 40) * 4 * limit / n))
     return [r.html for r in src.orderBy(F.xxhash64("html"), "html").limit(limit).collect()]
 
 
