@@ -122,6 +122,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of ids (tens of bytes each) that a join may broadcast; more are shuffled.
+BROADCAST_ROWS = 1_000_000
+
+
+def keys(df: DataFrame) -> DataFrame:
+    """A narrow table of keys, materialised and counted: broadcast up to
+    ``BROADCAST_ROWS`` rows, else left to a shuffled join."""
+    out = cut(df)
+    return F.broadcast(out) if out.count() <= BROADCAST_ROWS else out
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

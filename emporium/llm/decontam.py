@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emporium.llm.common import cut, keys
+
 #: Offsets that are hashed, of two masks.
 MASKS = ((0, 1, 2, 5, 7, 8), (0, 2, 3, 4, 9, 11))
 SPAN, AGREE = 14, 80
@@ -62,19 +64,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     verified overlaps, one row per document, item and diagonal (the window
     with most agreement); ``_row`` is the hash of the text."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    d = d.select("doc_id", F.xxhash64("text").alias("_row"), _words("text").alias("words"))
+    src = d.select("doc_id", "text", F.xxhash64("text").alias("_row"))
+    d = src.select("doc_id", "_row", _words("text").alias("words"))
     b = (benchmark.select(F.col(item_col).cast("long").alias("item_id"), _words(item_text).alias("words"))
          .where(F.size("words") >= MIN_ITEM).dropDuplicates(["item_id", "words"])
          .select("item_id", F.xxhash64("words").alias("item_row"), "words"))
     test = _seed_rows(b, ["item_id", "item_row"], masks).withColumnRenamed("i", "j")
     small = test.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    hits = (_seed_rows(d, ["doc_id", "_row"], masks).join(F.broadcast(test) if small else test, "h")
+    hits = cut(_seed_rows(d, ["doc_id", "_row"], masks).join(F.broadcast(test) if small else test, "h")
             .groupBy("doc_id", "_row", "item_id", "item_row", (F.col("i") - F.col("j")).alias("diag"))
             .agg(F.sort_array(F.collect_set("j")).alias("at")))  # at most one entry per word of the item
-    texts = hits.select("doc_id", "_row").distinct()
-    found = d.join(texts.select(F.col("doc_id").alias("_d"), F.col("_row").alias("_r")),
-                   F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_row") == F.col("_r")), "left_semi") \
-        .dropDuplicates(["doc_id", "_row"]).select(F.col("doc_id").alias("_d"), F.col("_row").alias("_r"), "words")
+    texts = keys(hits.select(F.col("doc_id").alias("_d"), F.col("_row").alias("_r")).distinct())
+    found = src.join(texts, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_row") == F.col("_r")), "left_semi") \
+        .dropDuplicates(["doc_id", "_row"]).select(F.col("doc_id").alias("_d"), F.col("_row").alias("_r"), _words("text").alias("words"))
     items = b.select(F.col("item_id").alias("_i"), F.col("item_row").alias("_ir"), F.col("words").alias("item"))
     pairs = (hits.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_row") == F.col("_r")))
              .join(items, F.col("item_id").eqNullSafe(F.col("_i")) & (F.col("item_row") == F.col("_ir"))))
@@ -105,6 +107,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that overlap a benchmark item."""
-    bad = contaminated(docs, benchmark, id_col=id_col, text_col=text_col).select("doc_id", "_row")
-    cond = docs[id_col].cast("long").eqNullSafe(bad["doc_id"]) & (F.xxhash64(docs[text_col].cast("string")) == bad["_row"])
+    bad = keys(contaminated(docs, benchmark, id_col=id_col, text_col=text_col)
+               .select(F.col("doc_id").alias("_d"), F.col("_row").alias("_r")))
+    cond = docs[id_col].cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64(docs[text_col].cast("string")) == F.col("_r"))
     return docs.join(bad, cond, "left_anti")
