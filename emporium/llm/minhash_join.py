@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporium.llm.common import components, cut, mix, shingle_set
+from emporium.llm.common import components, cut, keys, mix, shingle_set
 
 K, T, N = 64, 34, 5
 ROUNDS = 2
@@ -79,11 +79,8 @@ def shingled(docs: DataFrame) -> DataFrame:
         run, "doc_id long, cls long, n_shingles long, sig array<long>")
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
+def _confirm(pairs: DataFrame, texts: DataFrame, similarity: int) -> DataFrame:
     """``pairs(a, b)`` whose full shingle sets reach the similarity."""
-    need = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    carrier = need.join(classes.select("cls", "carrier"), "cls")
-    texts = cut(docs.join(carrier, docs.doc_id == carrier.carrier).select("cls", "text"))
     left = texts.select(F.col("cls").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("cls").alias("b"), F.col("text").alias("tb"))
 
@@ -140,6 +137,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .select("cls", "n", F.explode(F.slice("l", F.lit(1), F.size("l") - (T - 1))).alias("l"))
               .select("cls", "n", F.col("l.token").alias("token")))
     post = cut(prefix.withColumn("grp", F.col("cls")))
+    # Texts of the classes that can have a partner, one document each.
+    carriers = keys(post.select("cls").distinct().join(classes.select("cls", "carrier"), "cls"))
+    texts = cut(docs.join(carriers, docs.doc_id == carriers.carrier).select("cls", "text"))
     edges = None
     for turn in range(ROUNDS):
         mixed = post.groupBy("token").agg(
@@ -153,7 +153,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                    .select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct())
         if pick.isEmpty():
             break
-        found = cut(_confirm(pick, docs, classes, similarity))
+        found = cut(_confirm(pick, texts, similarity))
         edges = found if edges is None else edges.union(found)
         post = _regroup(post, components(edges))
     post = _left_over(post)
@@ -164,7 +164,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                   .join(sig.select(F.col("cls").alias("b"), F.col("sig").alias("sb")), "b")
                   .where(F.expr(f"size(filter(zip_with(sa, sb, (x, y) -> x = y), e -> e)) >= {T}"))
                   .select("a", "b"))
-        found = cut(_confirm(cut(probed), docs, classes, similarity))
+        found = cut(_confirm(cut(probed), texts, similarity))
         edges = found if edges is None else edges.union(found)
     groups = classes.select("cls", "carrier")
     if edges is not None:
@@ -209,5 +209,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` with one document of each group (the smallest id); word-less
     documents and documents without an id whose group has none stay."""
     found = near_duplicates(docs, id_col, text_col).where("not kept").select("doc_id").distinct()
-    gone = found.where("doc_id is not null").select(F.col("doc_id").alias(id_col))
-    return docs.join(gone, id_col, "left_anti")
+    gone = keys(found.where("doc_id is not null").select(F.col("doc_id").alias("_gone")))
+    return docs.join(gone, docs[id_col].cast("long") == F.col("_gone"), "left_anti")
