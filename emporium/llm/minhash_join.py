@@ -11,14 +11,18 @@
    group proposes the hub that it meets in most lists, the pair is confirmed on
    the full shingle sets (``100 * common >= 75 * union``), and confirmed groups
    are contracted.  A large group of near copies needs about one pair per
-   member, and its lists drop out once they hold one group only.
+   member and round, and its lists drop out once they hold one group only.
+   Rounds go on while they confirm a tenth of what they propose.
 4. What is left, pairs of classes of *different* groups in a common list, is
-   joined whole: (list, group) cells pair up, members expand, signatures
-   are probed for ``T`` agreements, and survivors are confirmed on full sets.
+   joined whole, but no two members of one group meet: each list's groups pair
+   up first (classes that are alone in theirs count as one).  A pair comes from
+   its first common list only, and only if sizes, signatures (``T`` agreements)
+   and a one-bit sketch of ``BITS`` more minima allow the similarity; survivors
+   are confirmed on full sets.
 
-No pair is lost for want of candidates but for the chance of the signature:
-a pair at similarity 0.75 agrees in fewer than 34 of 64 coordinates with a
-probability below 1e-4, at 0.8 below 1e-6.
+No pair is lost for want of candidates but for the chance of the sketches: a
+pair at similarity 0.75 exactly fails them with a probability of about 1e-4,
+at 0.8 below 1e-6.
 
 Defined results: null or word-less texts have an empty set, are linked with
 nothing and are kept; a text of fewer than five words is one shingle;
@@ -37,7 +41,8 @@ from pyspark.sql import functions as F
 from emporium.llm.common import components, cut, keys, mix, shingle_set
 
 K, T, N = 64, 34, 5
-ROUNDS = 2
+ROUNDS = 5
+BITS, DIFFER = 1024, 170  # at 0.75 one bit in eight differs: 128 on average, deviation 10.6
 _rng = np.random.default_rng(75)
 _MULT = _rng.integers(0, 2 ** 63, K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -51,6 +56,18 @@ def _signature(s: np.ndarray) -> np.ndarray:
     return best.view(np.int64)
 
 
+_SKETCH = _rng.integers(0, 2 ** 31, BITS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+
+
+def _sketch(s: np.ndarray) -> np.ndarray:
+    """``BITS`` one-bit minima, packed into longs."""
+    s, best = (s >> np.uint64(32)).astype(np.uint32), np.full(BITS, 2 ** 32 - 1, dtype=np.uint32)
+    for a in range(0, len(s), 256):
+        np.minimum(best, np.multiply.outer(_SKETCH, s[a:a + 256]).min(axis=1), out=best)
+    best = mix(best.astype(np.uint64) * np.uint64(BITS) + np.arange(BITS, dtype=np.uint64))
+    return np.packbits((best & np.uint64(1)).astype(np.uint8)).view(np.int64)
+
+
 def _fingerprint(s: np.ndarray) -> int:
     """64-bit fingerprint of a set (order-free sums of mixed members)."""
     x = np.uint64(len(s)) + mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
@@ -79,20 +96,37 @@ def shingled(docs: DataFrame) -> DataFrame:
         run, "doc_id long, cls long, n_shingles long, sig array<long>")
 
 
+def _sketched(texts: DataFrame) -> DataFrame:
+    """``texts(cls, text)`` with the sketch; texts of other classes (under an
+    id that is used twice) go."""
+
+    def run(batches):
+        for batch in batches:
+            for n in range(0, batch.num_rows, 256):
+                part = batch.slice(n, 256)
+                sets = [shingle_set(t, N) for t in part.column(1).to_pylist()]
+                own = [len(s) and _fingerprint(s) == c for s, c in zip(sets, part.column(0).to_pylist())]
+                part = part.filter(pa.array([bool(x) for x in own], pa.bool_()))
+                sketch = [_sketch(s) for s, x in zip(sets, own) if x]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sketch, pa.list_(pa.int64()))],
+                                                 names=["cls", "text", "sketch"])
+
+    return texts.mapInArrow(run, "cls long, text string, sketch array<long>").dropDuplicates(["cls"])
+
+
 def _confirm(pairs: DataFrame, texts: DataFrame, similarity: int) -> DataFrame:
     """``pairs(a, b)`` whose full shingle sets reach the similarity."""
     left = texts.select(F.col("cls").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("cls").alias("b"), F.col("text").alias("tb"))
 
     def run(batches):
-        seen: dict[int, np.ndarray | None] = {}
+        seen: dict[int, np.ndarray] = {}
 
         def of(c, t):
             if c not in seen:
                 if len(seen) > 64:
                     seen.clear()
-                s = shingle_set(t, N)
-                seen[c] = s if _fingerprint(s) == c else None  # another text under the same id
+                seen[c] = shingle_set(t, N)
             return seen[c]
 
         for batch in batches:
@@ -100,12 +134,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, similarity: int) -> DataFrame:
             a, b, ta, tb = batch.columns
             for i in range(batch.num_rows):
                 x, y = a[i].as_py(), b[i].as_py()
-                s = of(x, ta[i].as_py())
-                if s is None:
-                    continue
-                t = shingle_set(tb[i].as_py(), N)
-                if _fingerprint(t) != y:
-                    continue
+                s, t = of(x, ta[i].as_py()), shingle_set(tb[i].as_py(), N)
                 both = len(np.intersect1d(s, t, assume_unique=True))
                 if 100 * both >= similarity * (len(s) + len(t) - both):
                     out.append((x, y))
@@ -139,7 +168,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     post = cut(prefix.withColumn("grp", F.col("cls")))
     # Texts of the classes that can have a partner, one document each.
     carriers = keys(post.select("cls").distinct().join(classes.select("cls", "carrier"), "cls"))
-    texts = cut(docs.join(carriers, docs.doc_id == carriers.carrier).select("cls", "text"))
+    texts = cut(_sketched(docs.join(carriers, docs.doc_id == carriers.carrier).select("cls", "text")))
     edges = None
     for turn in range(ROUNDS):
         mixed = post.groupBy("token").agg(
@@ -151,21 +180,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  .groupBy("cls", "hub").count())
         pick = cut(meets.groupBy("cls").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
                    .select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct())
-        if pick.isEmpty():
+        proposed = pick.count()
+        if not proposed:
             break
         found = cut(_confirm(pick, texts, similarity))
-        edges = found if edges is None else edges.union(found)
-        post = _regroup(post, components(edges))
-    post = _left_over(post)
-    if not post.isEmpty():
-        pairs = _cross_pairs(post, similarity)
-        sig = classes.select("cls", "sig")
-        probed = (pairs.join(sig.select(F.col("cls").alias("a"), F.col("sig").alias("sa")), "a")
-                  .join(sig.select(F.col("cls").alias("b"), F.col("sig").alias("sb")), "b")
-                  .where(F.expr(f"size(filter(zip_with(sa, sb, (x, y) -> x = y), e -> e)) >= {T}"))
-                  .select("a", "b"))
-        found = cut(_confirm(cut(probed), texts, similarity))
-        edges = found if edges is None else edges.union(found)
+        confirmed = found.count()
+        if confirmed:
+            edges = found if edges is None else edges.union(found)
+            post = _regroup(post, components(edges))
+        if confirmed * 10 < proposed:
+            break
+    rest = _left_over(post)
+    if not rest.isEmpty():
+        pairs = cut(_cross_pairs(rest, classes.select("cls", "sig"), texts.select("cls", "sketch"), similarity))
+        if not pairs.isEmpty():
+            found = cut(_confirm(pairs, texts, similarity))
+            edges = found if edges is None else edges.union(found)
     groups = classes.select("cls", "carrier")
     if edges is not None:
         roots = components(edges)
@@ -190,19 +220,32 @@ def _left_over(post: DataFrame) -> DataFrame:
     return cut(post.join(mixed.select("token"), "token"))
 
 
-def _cross_pairs(post: DataFrame, similarity: int) -> DataFrame:
-    """Distinct pairs of classes of different groups that share a list: cells
-    (list, group) pair up first, then their members, so no two members of one
-    group are ever compared."""
-    cell = post.groupBy("token", "grp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    x = cell.select("token", F.col("grp").alias("ga"), F.col("lo").alias("la"), F.col("hi").alias("ha"))
-    y = cell.select("token", F.col("grp").alias("gb"), F.col("lo").alias("lb"), F.col("hi").alias("hb"))
-    cells = (x.join(y, "token").where("ga < gb")
-             .where(f"la * {similarity} <= hb * 100 and lb * {similarity} <= ha * 100").select("token", "ga", "gb"))
-    pa_ = post.select("token", F.col("grp").alias("ga"), F.col("cls").alias("ca"), F.col("n").alias("na"))
-    pb_ = post.select("token", F.col("grp").alias("gb"), F.col("cls").alias("cb"), F.col("n").alias("nb"))
-    return (cells.join(pa_, ["token", "ga"]).join(pb_, ["token", "gb"]).where(_fits("na", "nb", similarity))
-            .select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
+def _cross_pairs(rest: DataFrame, sig: DataFrame, sketch: DataFrame, similarity: int) -> DataFrame:
+    """Pairs of classes of different groups that share a list of ``rest`` and
+    that sizes, signatures and sketches allow, each from its first common
+    list.  ``side`` is a member's group in the list, 0 for all that are alone
+    in theirs, so that two members of one group never meet."""
+    alone = rest.groupBy("token", "grp").agg(F.count("*").alias("c"))
+    sides = cut(rest.join(alone, ["token", "grp"]).select("token", "grp", "cls", "n", F.when(F.col("c") > 1, F.col("grp"))
+                                                         .otherwise(F.lit(0)).alias("side")))
+    order = (sides.groupBy("cls").agg(F.array_sort(F.collect_list("token")).alias("all"))  # at most K entries
+             .join(sig, "cls").join(sketch, "cls"))
+    wide = cut(sides.join(order, "cls").select("token", "side", "grp", "cls", "n", "sig", "sketch", F.expr(
+        "filter(all, t -> t < token)").alias("before")))
+    one = sides.select("token", "side").distinct()
+    cells = (one.join(one.select("token", F.col("side").alias("other")), "token")
+             .where("side < other OR (side = 0 AND other = 0)"))
+    a = cells.join(wide, ["token", "side"]).select("token", "side", "other", *[F.col(c).alias(f"{c}_a") for c in (
+        "grp", "cls", "n", "sig", "sketch", "before")])
+    b = wide.select(F.col("token").alias("token_b"), F.col("side").alias("side_b"), *[F.col(c).alias(f"{c}_b") for c in (
+        "grp", "cls", "n", "sig", "sketch", "before")])
+    differ = " + ".join(f"bit_count(get(sketch_a, {i}) ^ get(sketch_b, {i}))" for i in range(BITS // 64))
+    agree = " + ".join(f"if(get(sig_a, {i}) = get(sig_b, {i}), 1, 0)" for i in range(K))
+    near = F.expr(f"""token = token_b AND other = side_b AND grp_a <> grp_b AND (side <> other OR cls_a < cls_b)
+        AND least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {similarity}
+        AND {differ} <= {DIFFER} AND {agree} >= {T} AND NOT arrays_overlap(before_a, before_b)""")
+    return (a.join(b, near)
+            .select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")).distinct())
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
