@@ -143,17 +143,16 @@ def components(edges: DataFrame) -> DataFrame:
     neighbour (aggregated map-side, so a hub is never gathered), edges are
     rewritten to the targets and loops dropped, until no edge is left."""
     e = cut(edges.where("a <> b").select("a", "b").distinct())
-    both = e.select("a").union(e.select("b")).distinct()
-    m = both.select(F.col("a").alias("id"), F.col("a").alias("root"))
+    m = e.select(F.col("a").alias("id")).union(e.select("b")).distinct().withColumn("root", F.col("id"))
     while not e.isEmpty():
-        p = cut(e.union(e.select("b", "a")).groupBy("a").agg(F.min("b").alias("p"))
-                .select(F.col("a").alias("v"), F.least("a", "p").alias("p")))
-        m = cut(m.join(p, m.root == p.v, "left").select("id", F.coalesce("p", "root").alias("root")))
+        p = (e.union(e.select("b", "a")).groupBy("a").agg(F.min("b").alias("p"))
+             .select(F.col("a").alias("v"), F.least("a", "p").alias("p")))
+        m = m.join(p, m.root == p.v, "left").select("id", F.coalesce("p", "root").alias("root"))
         pa = p.select(F.col("v").alias("a"), F.col("p").alias("na"))
         pb = p.select(F.col("v").alias("b"), F.col("p").alias("nb"))
         e = cut(e.join(pa, "a").join(pb, "b").where("na <> nb")
                 .select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct())
-    return m
+    return cut(m)
 
 
 def tokenizer_path(name: str) -> str:

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from emporium.llm.common import components, cut, keys, mix, shingle_set
 
 K, T, N = 64, 34, 5
-ROUNDS = 5
+ROUNDS = 3
 BITS, DIFFER = 1024, 170  # at 0.75 one bit in eight differs: 128 on average, deviation 10.6
 _rng = np.random.default_rng(75)
 _MULT = _rng.integers(0, 2 ** 63, K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
