@@ -14,11 +14,10 @@
    member and round, and its lists drop out once they hold one group only.
    Rounds go on while they confirm a tenth of what they propose.
 4. What is left, pairs of classes of *different* groups in a common list, is
-   joined whole, but no two members of one group meet: each list's groups pair
-   up first (classes that are alone in theirs count as one).  A pair comes from
-   its first common list only, and only if sizes, signatures (``T`` agreements)
-   and a one-bit sketch of ``BITS`` more minima allow the similarity; survivors
-   are confirmed on full sets.
+   joined whole, but members of one large group never meet: each list's groups
+   pair up first (those of up to ``CELL`` members count as one).  A pair comes
+   from its first common list only, and only if sizes and a one-bit sketch of
+   ``BITS`` more minima allow the similarity; survivors are confirmed on full sets.
 
 No pair is lost for want of candidates but for the chance of the sketches: a
 pair at similarity 0.75 exactly fails them with a probability of about 1e-4,
@@ -42,7 +41,8 @@ from emporium.llm.common import components, cut, keys, mix, shingle_set
 
 K, T, N = 64, 34, 5
 ROUNDS = 3
-BITS, DIFFER = 1024, 170  # at 0.75 one bit in eight differs: 128 on average, deviation 10.6
+BITS, DIFFER = 2048, 316  # at 0.75 one bit in eight differs: 256 on average, deviation 15
+CELL = 32
 _rng = np.random.default_rng(75)
 _MULT = _rng.integers(0, 2 ** 63, K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -192,7 +192,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
     rest = _left_over(post)
     if not rest.isEmpty():
-        pairs = cut(_cross_pairs(rest, classes.select("cls", "sig"), texts.select("cls", "sketch"), similarity))
+        pairs = cut(_cross_pairs(rest, texts.select("cls", "sketch"), similarity))
         if not pairs.isEmpty():
             found = cut(_confirm(pairs, texts, similarity))
             edges = found if edges is None else edges.union(found)
@@ -220,30 +220,28 @@ def _left_over(post: DataFrame) -> DataFrame:
     return cut(post.join(mixed.select("token"), "token"))
 
 
-def _cross_pairs(rest: DataFrame, sig: DataFrame, sketch: DataFrame, similarity: int) -> DataFrame:
+def _cross_pairs(rest: DataFrame, sketch: DataFrame, similarity: int) -> DataFrame:
     """Pairs of classes of different groups that share a list of ``rest`` and
-    that sizes, signatures and sketches allow, each from its first common
-    list.  ``side`` is a member's group in the list, 0 for all that are alone
-    in theirs, so that two members of one group never meet."""
+    that sizes and sketches allow, each from its first common list.  ``side``
+    is a member's group in the list, 0 for all groups of up to ``CELL``."""
     alone = rest.groupBy("token", "grp").agg(F.count("*").alias("c"))
-    sides = cut(rest.join(alone, ["token", "grp"]).select("token", "grp", "cls", "n", F.when(F.col("c") > 1, F.col("grp"))
+    sides = cut(rest.join(alone, ["token", "grp"]).select("token", "grp", "cls", "n", F.when(F.col("c") > CELL, F.col("grp"))
                                                          .otherwise(F.lit(0)).alias("side")))
     order = (sides.groupBy("cls").agg(F.array_sort(F.collect_list("token")).alias("all"))  # at most K entries
-             .join(sig, "cls").join(sketch, "cls"))
-    wide = cut(sides.join(order, "cls").select("token", "side", "grp", "cls", "n", "sig", "sketch", F.expr(
+             .join(sketch, "cls"))
+    wide = cut(sides.join(order, "cls").select("token", "side", "grp", "cls", "n", "sketch", F.expr(
         "filter(all, t -> t < token)").alias("before")))
     one = sides.select("token", "side").distinct()
     cells = (one.join(one.select("token", F.col("side").alias("other")), "token")
              .where("side < other OR (side = 0 AND other = 0)"))
     a = cells.join(wide, ["token", "side"]).select("token", "side", "other", *[F.col(c).alias(f"{c}_a") for c in (
-        "grp", "cls", "n", "sig", "sketch", "before")])
+        "grp", "cls", "n", "sketch", "before")])
     b = wide.select(F.col("token").alias("token_b"), F.col("side").alias("side_b"), *[F.col(c).alias(f"{c}_b") for c in (
-        "grp", "cls", "n", "sig", "sketch", "before")])
+        "grp", "cls", "n", "sketch", "before")])
     differ = " + ".join(f"bit_count(get(sketch_a, {i}) ^ get(sketch_b, {i}))" for i in range(BITS // 64))
-    agree = " + ".join(f"if(get(sig_a, {i}) = get(sig_b, {i}), 1, 0)" for i in range(K))
     near = F.expr(f"""token = token_b AND other = side_b AND grp_a <> grp_b AND (side <> other OR cls_a < cls_b)
         AND least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {similarity}
-        AND {differ} <= {DIFFER} AND {agree} >= {T} AND NOT arrays_overlap(before_a, before_b)""")
+        AND {differ} <= {DIFFER} AND NOT arrays_overlap(before_a, before_b)""")
     return (a.join(b, near)
             .select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")).distinct())
 
