@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporium.llm.common import cut, ngram_hashes, word_hashes
+from emporium.llm.common import ngram_hashes, word_hashes
 
 ALPHA, MIN_COUNT = 0.4, 2
 BLOCK_WORDS = 2_000_000
@@ -42,6 +42,19 @@ def _unpack(b: bytes, dtype: str) -> np.ndarray:
     return np.frombuffer(pa.decompress(b[8:], n * np.dtype(dtype).itemsize, codec="zstd", asbytes=True), dtype)
 
 
+def _pack_sorted(x: np.ndarray) -> bytes:
+    """Sorted hashes as differences in byte planes: the high bytes are small."""
+    d = np.diff(x, prepend=np.uint64(0)).astype("<u8")
+    planes = np.ascontiguousarray(d.view(np.uint8).reshape(-1, 8).T)
+    return len(x).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack_sorted(b: bytes) -> np.ndarray:
+    n = int.from_bytes(b[:8], "little")
+    planes = np.frombuffer(pa.decompress(b[8:], 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
 def _pairs_of(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Positions whose word has a predecessor in the same document."""
     first = np.zeros(len(words), dtype=bool)
@@ -59,8 +72,9 @@ def _grams(uniq: np.ndarray, code: np.ndarray, sizes: np.ndarray):
 
 
 def _requests(docs: DataFrame, ranges: int, block_words: int) -> DataFrame:
-    """Per block one index row (``part`` -1: ids, words per document, dictionary,
-    word sequence) and one row per hash range (n-grams, the block's counts)."""
+    """Per block one index row (``part`` negative and its own: ids, words per
+    document, dictionary, word sequence) and one row per hash range (n-grams,
+    the block's counts)."""
 
     def emit(block, ids, hashes):
         sizes = np.array([len(h) for h in hashes], dtype="<i8")
@@ -75,10 +89,10 @@ def _requests(docs: DataFrame, ranges: int, block_words: int) -> DataFrame:
         place, times = np.unique(np.searchsorted(grams, both), return_counts=True)
         own[place] = times
         own[0] = len(code)
-        rows = [(block, -1, ids, _pack(sizes), _pack(uniq), _pack(code))]
+        rows = [(block, -1 - block, ids, _pack(sizes), _pack(uniq), _pack(code))]
         part = (grams // np.uint64((2 ** 64 - 1) // ranges + 1)).astype(np.int64) if ranges > 1 else np.zeros(len(grams), np.int64)
         edge = np.searchsorted(part, np.arange(ranges + 1))
-        rows += [(block, int(k), None, _pack(grams[edge[k]:edge[k + 1]]), _pack(own[edge[k]:edge[k + 1]]), None)
+        rows += [(block, int(k), None, _pack_sorted(grams[edge[k]:edge[k + 1]]), _pack(own[edge[k]:edge[k + 1]]), None)
                  for k in np.unique(part)]
         for n in range(0, len(rows), 64):
             cols = list(zip(*rows[n:n + 64]))
@@ -110,15 +124,20 @@ _ROW = "block long, part long, ids array<long>, x binary, y binary, z binary"
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """One hash range: adds up the blocks' counts and answers every block."""
-    grams = [_unpack(b, "<u8") for b in table["x"].to_pylist()]
+    """One hash range: adds up the blocks' counts and answers every block.  An
+    index row is a group of its own and passes through to its block."""
+    if table["part"][0].as_py() < 0:
+        return table
+    grams = [_unpack_sorted(b) for b in table["x"].to_pylist()]
     own = np.concatenate([_unpack(b, "<i8") for b in table["y"].to_pylist()])
     _, inverse = np.unique(np.concatenate(grams), return_inverse=True)
     total = np.zeros(int(inverse.max()) + 1, dtype="<i8")
     np.add.at(total, inverse, own)
     ends = np.cumsum([len(g) for g in grams])
     out = [_pack(total[inverse[e - len(g):e]]) for g, e in zip(grams, ends)]
-    return pa.table({"block": table["block"], "part": table["part"], "x": pa.array(out, pa.binary())})
+    none = pa.nulls(table.num_rows, pa.binary())
+    return pa.table({"block": table["block"], "part": table["part"], "ids": pa.nulls(table.num_rows, pa.list_(pa.int64())),
+                     "x": pa.array(out, pa.binary()), "y": none, "z": none})
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA,
@@ -127,12 +146,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     ranges = max(1, round(chars / 5 / range_ngrams))
-    sent = cut(_requests(docs, ranges, block_words))
-    answers = (sent.where("part >= 0").select("block", "part", "x", "y").groupBy("part")
-               .applyInArrow(_answer, "block long, part long, x binary"))
-    null = lambda n, t: F.lit(None).cast(t).alias(n)
-    merged = sent.where("part < 0").unionByName(answers.select(
-        "block", "part", null("ids", "array<long>"), "x", null("y", "binary"), null("z", "binary")))
+    merged = _requests(docs, ranges, block_words).groupBy("part").applyInArrow(_answer, _ROW)
 
     def total(table: pa.Table) -> pa.Table:
         rows = sorted(zip(table["part"].to_pylist(), range(table.num_rows)))
