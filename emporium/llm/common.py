@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -122,6 +123,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def table(df: DataFrame) -> DataFrame:
+    """Like :func:`cut`, but as a Parquet table in the shared folder, which
+    packs many narrow rows better; it goes when the driver ends."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/llm-table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 #: Rows of ids (tens of bytes each) that a join may broadcast; more are shuffled.
 BROADCAST_ROWS = 1_000_000
 

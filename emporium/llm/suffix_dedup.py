@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporium.llm.common import cut, ngram_hashes, word_hashes
+from emporium.llm.common import keys, ngram_hashes, table, word_hashes
 
 LENGTH, KGRAM, WINDOW = 50, 10, 24
 
@@ -99,7 +99,8 @@ def _neighbours(suffixes: DataFrame) -> DataFrame:
 def _windows(docs: DataFrame, anchors: DataFrame, length: int, window: int) -> DataFrame:
     """``(win, doc_id, start)``: windows that extend an anchor."""
     places = anchors.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    src = docs.join(places, "doc_id").select("doc_id", "text", "places")
+    some = docs.join(keys(anchors.select("doc_id").distinct()), "doc_id", "left_semi")
+    src = some.join(places, "doc_id").select("doc_id", "text", "places")
 
     def run(batches):
         for batch in batches:
@@ -135,9 +136,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     if kgram + window - 1 > length:
         raise ValueError("kgram + window - 1 must not exceed length")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    suffixes = cut(_suffixes(docs, length, kgram, window))
-    anchors = _neighbours(suffixes)
-    wins = cut(_windows(docs, anchors, length, window))
+    anchors = table(_neighbours(table(_suffixes(docs, length, kgram, window))))
+    wins = table(_windows(docs, anchors, length, window))
     shared = (wins.groupBy("win").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
               .where("first <> last").select("win", "first"))
     per = (wins.join(shared, "win").groupBy("doc_id").agg(
