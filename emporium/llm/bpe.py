@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 #: Fixed value: the pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-BLOCK_CHARS = 4_000_000
-MEMO = 400_000
+BLOCK_CHARS = 1_000_000
+MEMO = 200_000
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -45,12 +45,12 @@ class Merger:
         self.tokens = tokens
         self.rank = {t: i for i, t in enumerate(tokens)}
         self.byte = [self.rank[bytes([i])] for i in range(256)]
-        self.pairs: dict[tuple[int, int], int] = {}
+        self.pairs: dict[int, int] = {}  # key: left << 20 | right
         for r, t in enumerate(tokens):
             for k in range(1, len(t)):
                 a, b = self.rank.get(t[:k]), self.rank.get(t[k:])
                 if a is not None and b is not None:
-                    self.pairs[a, b] = r
+                    self.pairs[(a << 20) + b] = r
 
     def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
         out: list[list[int] | None] = [None] * len(pieces)
@@ -78,7 +78,7 @@ class Merger:
         prv = list(range(-1, len(tok) - 1))
         index: dict[int, list[int]] = {}
         for i in range(len(tok) - 1):
-            r = pair((tok[i], tok[i + 1]))
+            r = pair((tok[i] << 20) + tok[i + 1])
             if r is not None:
                 index.setdefault(r, []).append(i)
         heap = list(index)
@@ -91,13 +91,13 @@ class Merger:
             places.sort()
             for n, i in enumerate(places):
                 j = nxt[i]
-                if tok[i] < 0 or pair((tok[i], tok[j])) != r:
+                if tok[i] < 0 or pair((tok[i] << 20) + tok[j]) != r:
                     continue  # one of the two was merged meanwhile
                 k, h = nxt[j], prv[i]
                 tok[i], tok[j] = r, -2
                 nxt[i], prv[k] = k, i
                 lower = False
-                for at, key in ((h, (tok[h], r)), (i, (r, tok[k]))):
+                for at, key in ((h, (tok[h] << 20) + r), (i, (r << 20) + tok[k])):
                     q = pair(key)
                     if q is not None:
                         if q in index:
