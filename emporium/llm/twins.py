@@ -25,4 +25,20 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     NOT base_failed AND failed_rules = '' AS kept, failed_rules FROM r
 """
 
-SQL: dict[str, str] = {"op8_quality_rules": _OP8}
+_OP7 = r"""
+WITH turns AS (SELECT DISTINCT conv_id, turn, regexp_replace(coalesce(role, 'unknown'), '[\x00-\x1F]|<\|', ' ', 'g') AS who,
+    replace(coalesce(text, ''), '<|', '< |') AS words FROM conversations),
+views AS (SELECT DISTINCT conv_id AS c, who AS speaker FROM turns WHERE who <> 'system'),
+heads AS (SELECT *, '<|im_start|>' || CASE WHEN who = speaker THEN 'assistant' WHEN who = 'system' THEN 'system'
+    ELSE 'user name=' || who END || chr(10) AS head FROM turns JOIN views ON conv_id IS NOT DISTINCT FROM c),
+lines AS (SELECT *, head || words || '<|im_end|>' || chr(10) AS line FROM heads),
+placed AS (SELECT *, coalesce(sum(length(line)) OVER (PARTITION BY conv_id, speaker ORDER BY turn NULLS FIRST, who, words
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place FROM lines)
+SELECT conv_id, speaker, coalesce(floor(turn / 512), -1)::BIGINT AS part, count(*) AS n_turns,
+    string_agg(line, '' ORDER BY turn NULLS FIRST, who, words) AS rendered, min(place) AS start,
+    coalesce(string_agg(CASE WHEN who = speaker THEN (place + length(head)) || ':' || (place + length(line) - 1) END, ','
+        ORDER BY turn NULLS FIRST, who, words), '') AS masks
+FROM placed GROUP BY ALL
+"""
+
+SQL: dict[str, str] = {"op7_chat_format": _OP7, "op8_quality_rules": _OP8}
