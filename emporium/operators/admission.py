@@ -1,127 +1,118 @@
-"""Greedy admission of requests against a per-key capacity (stock).
-
-Sequential semantics: requests of a key are taken in (ts, request_id)
-order; a request is accepted when its quantity fits the capacity left,
-and a rejected request consumes nothing.  A running sum is therefore
-wrong once the first request is rejected.  Exact distributed form:
-
-* keys whose total demand fits the capacity accept everything — one
-  aggregate, no ordering (the common case);
-* for contended keys, rounds of: drop candidates that can no longer fit
-  (quantity > capacity left: capacity only shrinks, so they are rejected
-  whatever comes later), accept the longest in-order prefix whose running
-  sum fits, charge it to the capacity.  The first candidate after that
-  prefix overflows and is dropped next round, so every round after the
-  first starts with less capacity than the largest quantity, and every
-  round lowers the capacity of each key still contended: the loop ends
-  after at most min(largest quantity, requests of a key) + 1 rounds.
-
-Running sums come from :func:`emporium.operators.scan.keyed_running`, so a
-hot product is split over many tasks; each round's state is checkpointed
-to cut the lineage.
+"""Ordered admission of requests against a balance per key (stock).
+
+Requests of a key are taken in (ts, request_id) order; one is accepted when
+what it needs is at most what is left, and a refused one consumes nothing, so
+a running sum is wrong after the first refusal.  Distributed form:
+
+* keys whose needs together fit the balance accept everything: one aggregate,
+  no ordering (the common case);
+* the rows of the other keys are range-partitioned once on (key, ts,
+  request_id) into chunks of about ``CHUNK_ROWS`` rows and stored, so a hot key
+  spans many chunks;
+* turn n decides the n-th chunk of every key at once: the rows of a chunk pass
+  in order through one task that carries only the balance left; what the
+  accepted ones used is an aggregate and gives the next turn's balance.  There
+  are as many turns as the hottest key has chunks, whatever the requests say.
+
+Every request gets one decision: a missing quantity is refused.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-from emporium.operators.scan import keyed_running
 from emporium.session import ensure_checkpoint_dir
 
-REJECT_CAPACITY = "insufficient stock"
-REJECT_UNKNOWN = "unknown product"
-
-_DECISION = "request_id bigint, accepted boolean, reason string"
-
-
-def _decided(df: DataFrame, request_id: str, accepted: bool, reason: str | None) -> DataFrame:
-    return df.select(F.col(request_id).alias("request_id"), F.lit(accepted).alias("accepted"),
-                     F.lit(reason).cast("string").alias("reason"))
-
-
-def _union(parts: list[DataFrame], spark) -> DataFrame:
-    out = None
-    for d in parts:
-        out = d if out is None else out.unionByName(d)
-    return out if out is not None else spark.createDataFrame([], _DECISION)
+#: The trigger's message (fixed value); it is raised for an unknown product too.
+REJECT_CAPACITY = "Stock insuficiente para completar la venta"
+REJECT_MISSING = "quantity is missing"
+REJECT_NEGATIVE = "negative balance"
+CHUNK_ROWS = 1_000_000
+
+
+def _refused(df: DataFrame, request_id: str, reason: str) -> DataFrame:
+    return df.select(F.col(request_id).alias("request_id"), F.lit(False).alias("accepted"), F.lit(reason).alias("reason"))
+
+
+def _fold(rows: DataFrame, key: str, order: list[str], request_id: str) -> DataFrame:
+    """One chunk per key, decided in order with the balance ``_free``."""
+
+    def run(batches):
+        at, free = None, 0
+        for b in batches:
+            ok = []
+            for k, need, start in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
+                if k != at:
+                    at, free = k, start
+                ok.append(need <= free)
+                if ok[-1]:
+                    free -= need
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(ok, pa.bool_())],
+                                             names=[key, request_id, "_need", "accepted"])
+
+    ordered = rows.repartition(key).sortWithinPartitions(key, *order).select(key, request_id, "_need", "_free")
+    schema = StructType([*ordered.schema.fields[:3], StructField("accepted", BooleanType())])
+    return ordered.mapInArrow(run, schema)
+
+
+def _admit(requests: DataFrame, start: DataFrame, key: str, order: list[str], request_id: str) -> DataFrame:
+    """``requests(request_id, key, _need, order...)`` x ``start(key, _free)`` ->
+    ``(request_id, accepted)`` for requests of keys in ``start``."""
+    ensure_checkpoint_dir(requests.sparkSession)
+    wanted = requests.groupBy(key).agg(F.sum(F.greatest("_need", F.lit(0))).alias("_wanted"))
+    known = requests.join(start, key).join(wanted, key)
+    decided = known.where(F.col("_wanted") <= F.col("_free")).select(request_id, F.lit(True).alias("accepted"))
+    hard = known.where(F.col("_wanted") > F.col("_free")).drop("_wanted").checkpoint(eager=True)
+    n = hard.count()
+    if not n:
+        return decided
+    chunks = (hard.repartitionByRange(-(-n // CHUNK_ROWS), key, *order)
+              .withColumn("_chunk", F.spark_partition_id()).checkpoint(eager=True))
+    turns = (chunks.select(key, "_chunk").distinct()  # one row per key and partition
+             .withColumn("_turn", F.row_number().over(Window.partitionBy(key).orderBy("_chunk"))).checkpoint(eager=True))
+    rows = chunks.drop("_free").join(turns, [key, "_chunk"])
+    free = hard.groupBy(key).agg(F.first("_free").alias("_free"))
+    last = turns.agg(F.max("_turn")).first()[0]
+    for turn in range(1, last + 1):
+        out = _fold(rows.where(F.col("_turn") == turn).join(free, key), key, order, request_id).checkpoint(eager=True)
+        decided = decided.unionByName(out.select(request_id, "accepted"))
+        if turn < last:
+            used = out.where("accepted").groupBy(key).agg(F.sum("_need").alias("_used"))
+            free = (free.join(turns.where(F.col("_turn") == turn + 1).select(key), key, "left_semi")
+                    .join(used, key, "left").select(key, (F.col("_free") - F.coalesce("_used", F.lit(0))).alias("_free"))
+                    .checkpoint(eager=True))
+    return decided
+
+
+def _needs(requests: DataFrame, key: str, need, order: list[str], request_id: str) -> DataFrame:
+    return requests.select(request_id, key, need.cast("bigint").alias("_need"), *[c for c in order if c != request_id])
 
 
 def greedy_admission(requests: DataFrame, capacity: DataFrame, key: str, qty: str = "qty",
                      order: tuple[str, ...] = ("ts", "request_id"), request_id: str = "request_id") -> DataFrame:
     """``requests(request_id, key, qty, order...)`` x ``capacity(key, cap)`` ->
-    ``(request_id, accepted bool, reason)`` for every request."""
-    spark = requests.sparkSession
-    ensure_checkpoint_dir(spark)
-    order = list(order)
-    req = requests.select(request_id, key, qty, *[c for c in order if c != request_id])
-    cap = capacity.select(key, F.col("cap").cast("bigint").alias("cap"))
-    unknown = _decided(req.join(cap, key, "left_anti"), request_id, False, REJECT_UNKNOWN)
-    known = req.join(cap, key)
-    demand = known.groupBy(key).agg(F.sum(qty).alias("_demand"))
-    k2 = known.join(demand, key)
-    decided = [unknown, _decided(k2.where(F.col("_demand") <= F.col("cap")), request_id, True, None)]
-    cand = k2.where(F.col("_demand") > F.col("cap")).drop("_demand")
-    while True:
-        cand = cand.checkpoint(eager=True)
-        n = cand.count()
-        if n == 0:
-            break
-        decided.append(_decided(cand.where(F.col(qty) > F.col("cap")), request_id, False, REJECT_CAPACITY))
-        run = keyed_running(cand.where(F.col(qty) <= F.col("cap")), [key], order, sums={"_run": qty},
-                            rows=n)
-        fit = F.col("_run") <= F.col("cap")
-        decided.append(_decided(run.where(fit), request_id, True, None))
-        used = run.where(fit).groupBy(key).agg(F.sum(qty).alias("_used"))
-        cand = (run.where(~fit).drop("_run")
-                .join(used, key, "left")
-                .withColumn("cap", F.col("cap") - F.coalesce("_used", F.lit(0)))
-                .drop("_used"))
-    return _union(decided, spark)
-
-
-REJECT_NEGATIVE = "negative balance"
+    ``(request_id, accepted, reason)``, one row per request."""
+    req = _needs(requests.where(F.col(qty).isNotNull()), key, F.col(qty), list(order), request_id)
+    free = capacity.where("cap IS NOT NULL").select(key, F.col("cap").cast("bigint").alias("_free"))
+    dec = _admit(req, free, key, list(order), request_id).select(
+        F.col(request_id).alias("request_id"), "accepted",
+        F.when(~F.col("accepted"), F.lit(REJECT_CAPACITY)).alias("reason"))
+    return (dec.unionByName(_refused(req.join(free, key, "left_anti"), request_id, REJECT_CAPACITY))
+            .unionByName(_refused(requests.where(F.col(qty).isNull()), request_id, REJECT_MISSING)))
 
 
 def sequential_balance(requests: DataFrame, start: DataFrame, key: str, delta: str = "delta",
                        order: tuple[str, ...] = ("ts", "request_id"), request_id: str = "request_id") -> DataFrame:
-    """Signed requests applied in order; a request is rejected when it would
-    take the balance below zero (and then changes nothing).
-
-    Rounds: per key, the running balance of the unresolved requests is exact
-    up to the first request that would go negative; everything before it is
-    accepted, it is rejected, and with B the balance reached, every later
-    withdrawal that would go negative even if all deposits between were
-    counted (B + deposits so far + delta < 0) is rejected too — the true
-    balance can only be lower.  The rest waits for the next round with
-    balance B.  A key with a long run of hopeless withdrawals settles in one
-    round.  ``start(key, bal)``; keys without a start row are not handled
-    here (callers reject them first).
-    """
-    spark = requests.sparkSession
-    ensure_checkpoint_dir(spark)
-    order = list(order)
-    cand = requests.select(request_id, key, delta, *[c for c in order if c != request_id]).join(
-        start.select(key, F.col("bal").cast("bigint").alias("bal")), key)
-    pos = F.greatest(F.col(delta), F.lit(0))
-    decided = []
-    while True:
-        cand = cand.checkpoint(eager=True)
-        n = cand.count()
-        if n == 0:
-            break
-        r = keyed_running(cand.withColumn("_pos", pos), [key], order,
-                          sums={"_run": delta, "_posrun": "_pos"}, rank="_rn", rows=n)
-        bad = (r.where(F.col("bal") + F.col("_run") < 0).groupBy(key)
-               .agg(F.min(F.struct("_rn", "_run", "_posrun", F.col(delta).alias("_d"))).alias("_bad")))
-        r = r.join(bad, key, "left")
-        ok = F.col("_bad").isNull() | (F.col("_rn") < F.col("_bad._rn"))
-        decided.append(_decided(r.where(ok), request_id, True, None))
-        decided.append(_decided(r.where(F.col("_rn") == F.col("_bad._rn")), request_id, False, REJECT_NEGATIVE))
-        rest = r.where(F.col("_rn") > F.col("_bad._rn")).withColumn(
-            "bal", F.col("bal") + F.col("_bad._run") - F.col("_bad._d"))
-        upper = F.col("bal") + F.col("_posrun") - F.col("_pos") - F.col("_bad._posrun")
-        hopeless = (F.col(delta) < 0) & (upper + F.col(delta) < 0)
-        decided.append(_decided(rest.where(hopeless), request_id, False, REJECT_NEGATIVE))
-        cand = rest.where(~hopeless).select(request_id, key, delta, *[c for c in order if c != request_id], "bal")
-    return _union(decided, spark)
+    """Signed requests applied in order; one that would take the balance below
+    zero is refused and changes nothing (it needs ``-delta``).  ``start(key,
+    bal)``; keys without a start row are not handled here (callers refuse them
+    first); a missing delta is refused."""
+    req = _needs(requests.where(F.col(delta).isNotNull()), key, -F.col(delta).cast("bigint"), list(order), request_id)
+    free = start.select(key, F.coalesce("bal", F.lit(0)).cast("bigint").alias("_free"))
+    dec = _admit(req, free, key, list(order), request_id).select(
+        F.col(request_id).alias("request_id"), "accepted",
+        F.when(~F.col("accepted"), F.lit(REJECT_NEGATIVE)).alias("reason"))
+    return dec.unionByName(_refused(requests.where(F.col(delta).isNull()), request_id, REJECT_MISSING))

@@ -21,12 +21,7 @@ the key) as a two-level scan:
 Keys are carried as one non-null struct so NULL key values group and join
 like any other value.
 
-Size check: when the caller knows the input has at most
-``emporium.scan.singleTaskRows`` rows (default 1,000,000), a plain
-``Window.partitionBy(key)`` is used — even if every row had the same key,
-one task would hold no more than that bound.  Iterative callers (admission
-rounds) count their shrinking candidate sets anyway, so later rounds take
-this cheap path.
+A sum that met only NULLs so far is NULL, as in a window over the whole key.
 """
 
 from __future__ import annotations
@@ -37,8 +32,6 @@ from pyspark.sql import functions as F
 from emporium.session import ensure_checkpoint_dir
 
 _K, _C = "_scan_key", "_scan_chunk"
-SINGLE_TASK_ROWS_CONF = "emporium.scan.singleTaskRows"
-SINGLE_TASK_ROWS_DEFAULT = 1_000_000
 
 
 def _partitions(spark, partitions: int | None) -> int:
@@ -51,27 +44,9 @@ def _partitions(spark, partitions: int | None) -> int:
         return spark.sparkContext.defaultParallelism
 
 
-def single_task_rows(spark) -> int:
-    return int(spark.conf.get(SINGLE_TASK_ROWS_CONF, str(SINGLE_TASK_ROWS_DEFAULT)))
-
-
-def _plain(df: DataFrame, keys, order, sums, rank, lags) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = df
-    for o, c in sums.items():
-        out = out.withColumn(o, F.sum(c).over(run))
-    if rank:
-        out = out.withColumn(rank, F.row_number().over(w))
-    for o, c in lags.items():
-        out = out.withColumn(o, F.lag(c).over(w))
-    return out
-
-
 def keyed_running(df: DataFrame, keys: list[str], order: list[str], *,
                   sums: dict[str, str] | None = None, rank: str | None = None,
-                  lags: dict[str, str] | None = None, partitions: int | None = None,
-                  rows: int | None = None) -> DataFrame:
+                  lags: dict[str, str] | None = None, partitions: int | None = None) -> DataFrame:
     """Add per-key running columns over rows ordered by ``order``.
 
     ``sums``: ``{out: col}`` inclusive running sum of ``col``;
@@ -79,8 +54,6 @@ def keyed_running(df: DataFrame, keys: list[str], order: list[str], *,
     ``lags``: ``{out: col}`` value of ``col`` on the previous row of the key
     (NULL on the key's first row).  ``order`` should be a total order within
     a key (e.g. ``(ts, request_id)``) for the results to be deterministic.
-    ``rows``: known row count of ``df`` (enables the size-checked single
-    window).
 
     The chunk id is always materialised before its two uses: evaluated
     lazily, ``spark_partition_id()`` is only the range partition while the
@@ -90,8 +63,6 @@ def keyed_running(df: DataFrame, keys: list[str], order: list[str], *,
     """
     sums, lags = dict(sums or {}), dict(lags or {})
     spark = df.sparkSession
-    if rows is not None and rows <= single_task_rows(spark):
-        return _plain(df, keys, order, sums, rank, lags)
     ensure_checkpoint_dir(spark)
     n = _partitions(spark, partitions)
     sum_types = {o: df.select(F.sum(c)).schema.fields[0].dataType for o, c in sums.items()}
@@ -123,7 +94,8 @@ def keyed_running(df: DataFrame, keys: list[str], order: list[str], *,
 
     out = local.join(offsets, [_K, _C])
     for o in sums:
-        out = out.withColumn(o, (F.coalesce(F.col(f"_o_{o}"), F.lit(0)) + F.col(f"_l_{o}")).cast(sum_types[o]))
+        out = out.withColumn(o, F.when(F.col(f"_o_{o}").isNull(), F.col(f"_l_{o}"))
+                             .otherwise(F.col(f"_o_{o}") + F.coalesce(F.col(f"_l_{o}"), F.lit(0))).cast(sum_types[o]))
     if rank:
         out = out.withColumn(rank, F.col("_o_n") + F.col("_l_rn"))
     for o in lags:

@@ -3,6 +3,7 @@ the before/after snapshots; the sequential folds use recursive CTEs."""
 
 from __future__ import annotations
 
+from emporium.operators.admission import REJECT_CAPACITY
 from emporium.oracle.adapter_sql import AS_OF_SQL
 from emporium.oracle.sqlkit import EMAIL_RE, TIER, fold
 
@@ -31,10 +32,10 @@ fold(id_producto, rn, remaining, request_id, cantidad, accepted) AS (
     FROM fold f JOIN req r ON r.id_producto = f.id_producto AND r.rn = f.rn + 1),
 admission AS (
     SELECT request_id, id_producto AS product_id, cantidad AS quantity, accepted,
-           CASE WHEN accepted THEN NULL ELSE 'insufficient stock' END AS reason
+           CASE WHEN accepted THEN NULL ELSE '{REJECT_CAPACITY}' END AS reason
     FROM fold WHERE rn > 0
     UNION ALL
-    SELECT request_id, id_producto, cantidad, false, 'unknown product' FROM order_requests
+    SELECT request_id, id_producto, cantidad, false, '{REJECT_CAPACITY}' FROM order_requests
     WHERE id_producto NOT IN (SELECT id_producto FROM productos))"""
 
 SQL["chg_stock_admission"] = _ADMISSION + "\nSELECT * FROM admission"

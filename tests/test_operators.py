@@ -14,12 +14,9 @@ from emporium.operators.rank import global_row_number
 
 
 @pytest.fixture
-def chunked_scan(spark):
-    """Force the range-chunk path of keyed_running (no single-window shortcut)."""
-    from emporium.operators.scan import SINGLE_TASK_ROWS_CONF
-    spark.conf.set(SINGLE_TASK_ROWS_CONF, "0")
-    yield
-    spark.conf.unset(SINGLE_TASK_ROWS_CONF)
+def small_chunks(monkeypatch):
+    """Chunks of a few rows, so that a hot key takes many turns."""
+    monkeypatch.setattr("emporium.operators.admission.CHUNK_ROWS", 40)
 
 
 def brute_admission(reqs, caps):
@@ -44,7 +41,7 @@ def test_admission_doc_example(spark):
     assert got == {1: True, 2: False, 3: True, 4: True, 5: False}
 
 
-def test_admission_hot_key_on_chunked_path(spark, chunked_scan):
+def test_admission_hot_key_in_many_chunks(spark, small_chunks):
     rng = random.Random(29)
     reqs = [(i, 0 if rng.random() < 0.8 else 1, rng.randrange(1, 9), rng.randrange(60)) for i in range(300)]
     caps = [(0, 150), (1, 20)]
@@ -158,7 +155,7 @@ def test_keyed_running_splits_a_hot_key(spark):
     assert chunks == 8
 
 
-def test_sequential_balance_hot_key_and_hopeless_runs(spark, chunked_scan):
+def test_sequential_balance_hot_key_and_hopeless_runs(spark, small_chunks):
     """One key with most requests, long runs of withdrawals that cannot pass
     interleaved with deposits, on the range-chunk path: still equal to the
     sequential fold."""
@@ -241,3 +238,74 @@ def test_move_category_chains_match_sequential(spark):
     assert {r.id_producto: (r.id_categoria, r.stamped) for r in out["products"].collect()} == {
         pid: (cur[pid], stamped[pid]) for pid in cur}
     assert {r.category_id: r.total_products for r in out["categories"].collect()} == want_counts
+
+
+def test_admission_null_quantity_is_refused(spark):
+    reqs = spark.createDataFrame([(1, 7, None, 1), (2, 7, 5, 2), (3, None, 1, 3)], "request_id long, k long, qty long, ts long")
+    caps = spark.createDataFrame([(7, 5), (8, None)], "k long, cap long")
+    got = {r.request_id: (r.accepted, r.reason) for r in greedy_admission(reqs, caps, "k", "qty").collect()}
+    assert {k: v[0] for k, v in got.items()} == {1: False, 2: True, 3: False}
+    assert got[1][1] and got[3][1] and got[2][1] is None
+
+
+def test_sequential_balance_alternating_key_needs_one_turn_per_chunk(spark, small_chunks, monkeypatch):
+    from emporium.operators import admission
+    turns = []
+    fold = admission._fold
+    monkeypatch.setattr(admission, "_fold", lambda *a: turns.append(1) or fold(*a))
+    reqs = [(i, 1, 5 if i % 2 == 0 else -6, i) for i in range(160)]
+    bal, want = 0, {}
+    for rid, _, d, _ in reqs:
+        want[rid] = bal + d >= 0
+        bal += d if want[rid] else 0
+    df = spark.createDataFrame(reqs, "request_id long, k long, delta long, ts long")
+    got = {r.request_id: r.accepted for r in sequential_balance(
+        df, spark.createDataFrame([(1, 0)], "k long, bal long"), "k", "delta").collect()}
+    assert got == want and 1 < len(turns) <= 4
+
+
+def test_keyed_running_with_nulls_in_the_sum(spark):
+    from emporium.operators.scan import keyed_running
+    rows = [(i, None if i % 10 < 4 or i < 9 else i) for i in range(60)]
+    df = spark.createDataFrame([(1, i, d) for i, d in rows], "k long, ts long, d long")
+    got = {r.ts: r.run for r in keyed_running(df, ["k"], ["ts"], sums={"run": "d"}, partitions=9).collect()}
+    run, want = None, {}
+    for i, d in rows:
+        run = run if d is None else (run or 0) + d
+        want[i] = run
+    assert got == want
+
+
+def test_merges_reviews_and_products_follow_the_rules(spark):
+    from types import SimpleNamespace
+
+    from emporium.plans import batch as B
+    t = SimpleNamespace(
+        clientes=spark.createDataFrame([(i, 10, None, None) for i in range(8)],
+                                       "id_cliente long, total_gastado int, nivel_lealtad string, referido_por long"),
+        ventas=spark.createDataFrame([(1, 2)], "id_venta long, id_cliente long"),
+        vistas_productos=spark.createDataFrame([(1, 2)], "id_vista long, id_cliente long"),
+        carritos=spark.createDataFrame([(1, 2)], "id_carrito long, id_cliente long"),
+        resenas_productos=spark.createDataFrame([(1, 2, 9), (2, 3, 9), (3, 1, 8), (4, 2, 8), (5, 7, 9)],
+                                                "id_resena long, id_cliente long, id_producto long"),
+        productos=spark.createDataFrame([(9, "Caf\u00e9")], "id_producto long, nombre string"),
+        proveedores=spark.createDataFrame([(5,)], "id_proveedor long"),
+        categorias=spark.createDataFrame([(1, "books")], "id_categoria int, nombre string"))
+    req = spark.createDataFrame([(1, 1, 2, 1), (2, 1, 3, 2), (3, 4, 99, 3), (4, 4, 5, 4), (5, 6, 7, 5), (6, 7, 0, 6)],
+                                "request_id long, primario long, secundario long, ts long")
+    out = B.bat_merge_accounts(t, req)
+    assert {r.request_id: r.accepted for r in out["decisions"].collect()} == {
+        1: True, 2: True, 3: False, 4: True, 5: False, 6: False}
+    assert sorted(tuple(r) for r in out["reviews"].collect()) == [(1, 1, 9), (3, 1, 8), (5, 7, 9)]
+    assert [r.id_cliente for r in out["orders"].collect()] == [1]
+    rev = spark.createDataFrame([(1, 9, 1, None, "a", 1), (2, 77, 1, 5, "b", 2), (3, 9, 1, 5, "c", 3), (4, 9, 66, 5, "d", 4)],
+                                "request_id long, id_producto long, id_cliente long, calificacion int, comentario string, ts long")
+    out = B.bat_review_upsert(t, rev)
+    assert {r.request_id: r.accepted for r in out["decisions"].collect()} == {1: False, 2: False, 3: True, 4: False}
+    assert [r.comment for r in out["state"].collect()] == ["c"]
+    new = spark.createDataFrame([(1, None, 5, "CAFE", 1, 0, 0, 1), (2, 77, 5, "x", 1, 0, 0, 2), (3, 1, 6, "x", 1, 0, 0, 3),
+                                 (4, 1, None, "x", 1, 0, 0, 4), (5, 1, 5, "X ", 1, 0, 0, 5), (6, 1, 5, None, 1, 0, 0, 6)],
+                                "request_id long, id_categoria int, id_proveedor long, nombre string, precio int, costo int, "
+                                "stock int, ts long")
+    assert {r.request_id: r.accepted for r in B.bat_new_products(t, new).collect()} == {
+        1: False, 2: False, 3: False, 4: True, 5: False, 6: False}

@@ -60,21 +60,16 @@ def test_parity(spark, con, name):
 
 
 @pytest.mark.parametrize("name", ["bat_orders", "bat_stock_adjust"])
-def test_parity_chunked_path_at_sf01(spark, name):
-    """Admission and signed balances with the range-chunk path forced, on
-    sf0.1, where hot products really span several chunks (a chunk id that
-    was not materialised before its two uses once broke exactly this)."""
-    from emporium.operators.scan import SINGLE_TASK_ROWS_CONF
+def test_parity_of_many_chunks_at_sf01(spark, name, monkeypatch):
+    """Admission and signed balances on sf0.1 with chunks so small that hot
+    products span several of them."""
+    monkeypatch.setattr("emporium.operators.admission.CHUNK_ROWS", 2000)
     sf = "/root/testdata/sf0.1"
     c = duckdb.connect()
     for t in TABLES:
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
-    spark.conf.set(SINGLE_TASK_ROWS_CONF, "0")
-    try:
-        df = QUERIES[name](spark, sf)
-        s_rows = [tuple(norm(x) for x in r) for r in df.collect()]
-    finally:
-        spark.conf.unset(SINGLE_TASK_ROWS_CONF)
+    df = QUERIES[name](spark, sf)
+    s_rows = [tuple(norm(x) for x in r) for r in df.collect()]
     cur = c.execute(ORACLE[name])
     d_cols = [d[0] for d in cur.description]
     order = [d_cols.index(col) for col in df.columns]
