@@ -49,13 +49,15 @@ ADAPTER: list[tuple[str, str]] = [
                TIMESTAMP '1999-01-01 00:00:00' + to_days(CAST(p.p_partkey % 900 AS INTEGER)) AS fecha_creacion,
                CAST(NULL AS TIMESTAMP) AS fecha_modificacion,
                CASE WHEN p.p_partkey % 20 = 3 THEN 0 ELSE 1 END AS activo
-        FROM part p LEFT JOIN categorias_base cb ON cb.nombre = p.p_type"""),
+        FROM (SELECT * FROM part UNION ALL
+              SELECT * REPLACE (p_partkey + (SELECT count(*) FROM part) AS p_partkey) FROM part WHERE p_partkey % 53 = 0) p
+        LEFT JOIN categorias_base cb ON cb.nombre = p.p_type"""),
     ("detalle_ventas", f"""
         SELECT l.l_orderkey * {LINE_KEY} + l.l_partkey AS id_detalle, l.l_orderkey AS id_venta,
                l.l_partkey AS id_producto, l.cantidad,
                CAST(pb.precio - (l.l_orderkey % 10) AS DECIMAL(10,2)) AS precio_unitario_congelado
         FROM (SELECT l_orderkey, l_partkey, CAST(sum(l_quantity) AS INTEGER) AS cantidad
-              FROM lineitem WHERE l_partkey % 53 <> 0 GROUP BY l_orderkey, l_partkey) l
+              FROM lineitem GROUP BY l_orderkey, l_partkey) l
         JOIN productos_base pb ON pb.id_producto = l.l_partkey"""),
     ("ventas", """
         SELECT o.o_orderkey AS id_venta, o.o_custkey AS id_cliente,
@@ -115,7 +117,7 @@ ADAPTER: list[tuple[str, str]] = [
         SELECT l_orderkey * {LINE_KEY} + l_partkey AS id_devolucion, l_orderkey AS id_venta,
                l_partkey AS id_producto, CAST(sum(l_quantity) AS INTEGER) AS cantidad,
                max(l_shipdate) AS fecha_devolucion
-        FROM lineitem WHERE l_returnflag = 'R' AND l_partkey % 53 <> 0
+        FROM lineitem WHERE l_returnflag = 'R'
         GROUP BY l_orderkey, l_partkey"""),
     ("clicks", """
         SELECT user_id * 100 + dayofmonth(ts) AS id_carrito, user_id, ts, event_id,
@@ -231,7 +233,12 @@ ADAPTER: list[tuple[str, str]] = [
         FROM customer WHERE c_custkey % 100 = 0 AND c_custkey > 0
         UNION ALL
         SELECT c_custkey * 10 + 1, c_custkey + 1, c_custkey + 2, {AS_OF_SQL_}
-        FROM customer WHERE c_custkey % 100 = 0 AND c_custkey > 0 AND c_custkey % 300 = 0"""),
+        FROM customer WHERE c_custkey % 100 = 0 AND c_custkey > 0 AND c_custkey % 300 = 0
+        UNION ALL
+        SELECT c_custkey * 10 + 2, c_custkey, c_custkey + 3, {AS_OF_SQL_} FROM customer WHERE c_custkey % 300 = 100
+        UNION ALL
+        SELECT c_custkey * 10 + 3, c_custkey, c_custkey + 1000000000, {AS_OF_SQL_} FROM customer
+        WHERE c_custkey % 300 = 200"""),
     ("supplier_requests", f"""
         SELECT id_producto AS request_id, {AS_OF_SQL_} AS ts, id_producto,
                (id_producto // 10) % ((SELECT count(*) FROM supplier) + 1) AS id_proveedor

@@ -55,16 +55,25 @@ SELECT p.id_producto AS product_id, CAST(p.stock - COALESCE(s.q, 0) AS BIGINT) A
 FROM productos p LEFT JOIN (SELECT id_producto, sum(cantidad) AS q FROM acc GROUP BY 1) s ON s.id_producto = p.id_producto"""
 
 SQL["bat_new_products"] = f"""
-SELECT r.request_id, x.why IS NULL AS accepted, x.why AS reason,
-       CASE WHEN x.why IS NULL THEN (SELECT max(id_producto) FROM productos) + r.request_id + 1 END AS product_id,
-       CASE WHEN x.why IS NULL THEN COALESCE(r.id_categoria, 1) END AS id_categoria,
-       CASE WHEN x.why IS NULL THEN 'SKU-' || CASE WHEN c.nombre IS NULL OR strlen(upper(left(c.nombre, 3))) < 3
-            THEN 'GEN' ELSE upper(left(c.nombre, 3)) END || '-'
-            || lpad(CAST((SELECT max(id_producto) FROM productos) + r.request_id + 1 AS VARCHAR), 4, '0') END AS sku
-FROM product_requests r
-CROSS JOIN LATERAL (SELECT CASE WHEN r.precio <= 0 THEN {q(B.MSG_PRICE)}
-                                WHEN r.costo < 0 OR r.stock < 0 THEN {q(B.MSG_COST_STOCK)} END AS why) x
-LEFT JOIN categorias c ON c.id_categoria = COALESCE(r.id_categoria, 1)"""
+WITH checked AS (
+    SELECT r.*, COALESCE(r.id_categoria, 1) AS cat,
+           CASE WHEN r.precio <= 0 THEN {q(B.MSG_PRICE)} WHEN r.costo < 0 OR r.stock < 0 THEN {q(B.MSG_COST_STOCK)}
+                WHEN r.nombre IS NULL OR r.precio IS NULL OR r.costo IS NULL OR r.stock IS NULL THEN {q(B.MSG_NULL)}
+                WHEN COALESCE(r.id_categoria, 1) NOT IN (SELECT id_categoria FROM categorias)
+                  OR r.id_proveedor NOT IN (SELECT id_proveedor FROM proveedores) THEN {q(B.MSG_FOREIGN_KEY)}
+                WHEN {fold('r.nombre')} IN (SELECT {fold('nombre')} FROM productos) THEN {q(B.MSG_DUPLICATE_NAME)} END AS wrong
+    FROM product_requests r),
+ruled AS (
+    SELECT *, CASE WHEN wrong IS NULL AND row_number() OVER (PARTITION BY {fold('nombre')}, wrong IS NULL
+                                                             ORDER BY ts, request_id) > 1
+                   THEN {q(B.MSG_DUPLICATE_NAME)} ELSE wrong END AS why,
+           (SELECT max(id_producto) FROM productos) + request_id + 1 AS new_id
+    FROM checked)
+SELECT request_id, why IS NULL AS accepted, why AS reason, CASE WHEN why IS NULL THEN new_id END AS product_id,
+       CASE WHEN why IS NULL THEN cat END AS id_categoria,
+       CASE WHEN why IS NULL THEN 'SKU-' || CASE WHEN kind IS NULL OR strlen(upper(left(kind, 3))) < 3
+            THEN 'GEN' ELSE upper(left(kind, 3)) END || '-' || lpad(CAST(new_id AS VARCHAR), 4, '0') END AS sku
+FROM ruled LEFT JOIN (SELECT id_categoria AS cat, nombre AS kind FROM categorias) AS kinds USING (cat)"""
 
 SQL["bat_address_updates"] = f"""
 SELECT r.request_id, c.id_cliente IS NOT NULL AS accepted,
@@ -234,18 +243,20 @@ FROM (SELECT r.*, CASE WHEN NOT (COALESCE(trim(r.email), '') <> '' AND regexp_ma
       FROM registration_requests r) x"""
 
 _P13 = f"""
-WITH roles AS (SELECT request_id, primario AS c FROM merge_requests UNION ALL
-               SELECT request_id, secundario FROM merge_requests),
-busy AS (SELECT c FROM roles GROUP BY c HAVING count(DISTINCT request_id) > 1),
+WITH checked AS (
+    SELECT r.*, CASE WHEN r.primario = r.secundario THEN {q(B.MSG_SELF_MERGE)}
+                     WHEN r.primario NOT IN (SELECT id_cliente FROM clientes) THEN {q(B.MSG_NO_PRIMARY)}
+                     WHEN r.secundario NOT IN (SELECT id_cliente FROM clientes) THEN {q(B.MSG_NO_SECONDARY)} END AS wrong
+    FROM merge_requests r),
+fair AS (SELECT primario, secundario FROM checked WHERE wrong IS NULL),
 dec AS (
-    SELECT r.request_id, r.primario, r.secundario,
-           CASE WHEN r.primario = r.secundario THEN {q(B.MSG_SELF_MERGE)}
-                WHEN r.primario NOT IN (SELECT id_cliente FROM clientes) THEN {q(B.MSG_NO_PRIMARY)}
-                WHEN r.secundario NOT IN (SELECT id_cliente FROM clientes) THEN {q(B.MSG_NO_SECONDARY)}
-                WHEN EXISTS (SELECT 1 FROM roles x JOIN busy b ON b.c = x.c WHERE x.request_id = r.request_id)
+    SELECT c.request_id, c.primario, c.secundario, c.ts,
+           CASE WHEN c.wrong IS NOT NULL THEN c.wrong
+                WHEN c.secundario IN (SELECT secundario FROM fair GROUP BY secundario HAVING count(*) > 1)
+                  OR c.secundario IN (SELECT primario FROM fair) OR c.primario IN (SELECT secundario FROM fair)
                 THEN {q(B.MSG_MERGE_CONFLICT)} END AS reason
-    FROM merge_requests r),
-m AS (SELECT secundario AS sec, primario AS pri FROM dec WHERE reason IS NULL)"""
+    FROM checked c),
+m AS (SELECT secundario AS sec, primario AS pri, ts, request_id FROM dec WHERE reason IS NULL)"""
 
 SQL["bat_merge_accounts"] = _P13 + "\nSELECT request_id, reason IS NULL AS accepted, reason FROM dec"
 SQL["bat_merge_customers"] = _P13 + f"""
@@ -261,11 +272,15 @@ LEFT JOIN (SELECT m.pri, sum(s.total_gastado) AS add FROM m JOIN clientes s ON s
 LEFT JOIN m mr ON mr.sec = c.referido_por
 WHERE c.id_cliente NOT IN (SELECT sec FROM m)"""
 SQL["bat_merge_reviews"] = _P13 + """
-SELECT r.id_resena, r.id_producto, COALESCE(m.pri, r.id_cliente) AS id_cliente, r.calificacion, r.comentario,
-       r.fecha_resena
-FROM resenas_productos r LEFT JOIN m ON m.sec = r.id_cliente
-WHERE m.pri IS NULL OR NOT EXISTS (SELECT 1 FROM resenas_productos p WHERE p.id_cliente = m.pri
-                                   AND p.id_producto = r.id_producto)"""
+SELECT id_resena, id_producto, holder AS id_cliente, calificacion, comentario, fecha_resena
+FROM (SELECT r.*, COALESCE(m.pri, r.id_cliente) AS holder,
+             row_number() OVER (PARTITION BY COALESCE(m.pri, r.id_cliente), r.id_producto
+                                ORDER BY m.pri IS NOT NULL, m.ts, m.request_id) AS nth
+      FROM resenas_productos r LEFT JOIN m ON m.sec = r.id_cliente) AS held
+WHERE nth = 1"""
+for _key, _table in (("orders", "ventas"), ("views", "vistas_productos"), ("carts", "carritos")):
+    SQL[f"bat_merge_{_key}"] = _P13 + f"""
+SELECT x.* REPLACE (COALESCE(m.pri, x.id_cliente) AS id_cliente) FROM {_table} x LEFT JOIN m ON m.sec = x.id_cliente"""
 
 SQL["bat_assign_supplier"] = f"""
 SELECT r.request_id, p.id_producto IS NOT NULL AND s.id_proveedor IS NOT NULL AS accepted,
@@ -294,10 +309,18 @@ SQL["bat_review_upsert"] = f"""
 SELECT COALESCE(o.id_resena, x.request_id) AS review_id, x.id_producto AS product_id, x.id_cliente AS customer_id,
        x.calificacion AS rating, x.comentario AS comment, x.ts AS reviewed_at, o.id_resena IS NULL AS inserted
 FROM (SELECT r.*, row_number() OVER (PARTITION BY r.id_cliente, r.id_producto ORDER BY r.ts DESC, r.request_id DESC) AS k
-      FROM review_requests r WHERE r.calificacion BETWEEN 1 AND 5) x
+      FROM review_requests r WHERE r.calificacion BETWEEN 1 AND 5
+        AND r.id_producto IN (SELECT id_producto FROM productos) AND r.id_cliente IN (SELECT id_cliente FROM clientes)) x
 LEFT JOIN resenas_productos o ON o.id_cliente = x.id_cliente AND o.id_producto = x.id_producto
 WHERE x.k = 1"""
 
+SQL["bat_review_decisions"] = f"""
+SELECT request_id, why IS NULL AS accepted, why AS reason
+FROM (SELECT request_id, CASE WHEN calificacion IS NULL OR calificacion NOT BETWEEN 1 AND 5 THEN {q(B.MSG_RATING)}
+                              WHEN id_producto NOT IN (SELECT id_producto FROM productos)
+                                OR id_cliente NOT IN (SELECT id_cliente FROM clientes) THEN {q(B.MSG_FOREIGN_KEY)} END AS why
+      FROM review_requests) AS checked"""
+
 _P20 = """
 WITH RECURSIVE ok AS (
     SELECT r.*, row_number() OVER (ORDER BY r.ts, r.request_id) AS rn FROM category_move_requests r

@@ -49,6 +49,9 @@ MSG_NO_PRODUCT_SUPPLIER = "El producto o el proveedor especificado no existe"
 MSG_NOT_PENDING = "La orden no se encuentra en estado Pendiente de Pago"
 MSG_UNDERPAID = "El monto pagado es insuficiente para cubrir el total de la venta"
 MSG_RATING = "La calificacion debe encontrarse en el rango de 1 a 5"
+MSG_NULL = "Column cannot be null"
+MSG_FOREIGN_KEY = "Cannot add or update a child row: a foreign key constraint fails"
+MSG_DUPLICATE_NAME = "Duplicate entry for key 'nombre'"
 MSG_NO_CATEGORIES = "Alguna de las categorias ingresadas no existe"
 ADJUST_TEXT = "Ajuste de inventario producto id "
 ANON_NAME, ANON_SURNAME = "CLIENTE", "ANONIMIZADO"
@@ -83,7 +86,7 @@ def bat_orders(t, requests: DataFrame) -> dict[str, DataFrame]:
     total follows (T10)."""
     c = t.clientes.select("id_cliente", F.col("activo").alias("_cact"))
     r = requests.join(c, "id_cliente", "left")
-    why = _first_reason((F.col("cantidad") <= 0, MSG_QTY), (F.col("_cact").isNull(), MSG_NO_CUSTOMER),
+    why = _first_reason((F.col("cantidad").isNull() | (F.col("cantidad") <= 0), MSG_QTY), (F.col("_cact").isNull(), MSG_NO_CUSTOMER),
                         (F.col("_cact") == 0, MSG_INACTIVE))
     r = r.withColumn("_why", why)
     static_rej = r.where(F.col("_why").isNotNull()).select("request_id", F.lit(False).alias("accepted"),
@@ -116,14 +119,26 @@ def bat_orders(t, requests: DataFrame) -> dict[str, DataFrame]:
 
 # -- P02 ---------------------------------------------------------------------------
 def bat_new_products(t, requests: DataFrame) -> DataFrame:
-    """Price > 0; cost and stock >= 0 -> new product with an id, the
-    default category (T19) and its SKU (F15)."""
-    why = _first_reason((F.col("precio") <= 0, MSG_PRICE), ((F.col("costo") < 0) | (F.col("stock") < 0), MSG_COST_STOCK))
-    r = attach_scalars(requests.withColumn("reason", why),
-                       t.productos.agg(F.max("id_producto").alias("_max")))
-    cat = F.coalesce(F.col("id_categoria"), F.lit(1))
+    """Price > 0; cost and stock >= 0; no missing value; category (the
+    default one if none, T19) and supplier exist; name not taken by the table or
+    an earlier request that is in order -> new product with an id and its SKU (F15)."""
     names = t.categorias.select(F.col("id_categoria").alias("_cid"), F.col("nombre").alias("_cname"))
-    r = r.withColumn("_cat", cat).join(names, F.col("_cat") == F.col("_cid"), "left")
+    suppliers = t.proveedores.select(F.col("id_proveedor").alias("_sid"))
+    key = S.collated(F.col("nombre"))
+    taken = t.productos.select(key.alias("_k")).distinct().withColumn("_taken", F.lit(True))
+    r = (requests.withColumn("_cat", F.coalesce(F.col("id_categoria"), F.lit(1))).withColumn("_k", key)
+         .join(names, F.col("_cat") == F.col("_cid"), "left")
+         .join(suppliers, F.col("id_proveedor") == F.col("_sid"), "left").join(taken, "_k", "left"))
+    missing = F.col("nombre").isNull() | F.col("precio").isNull() | F.col("costo").isNull() | F.col("stock").isNull()
+    orphan = F.col("_cid").isNull() | (F.col("id_proveedor").isNotNull() & F.col("_sid").isNull())
+    r = r.withColumn("_why", _first_reason(
+        (F.col("precio") <= 0, MSG_PRICE), ((F.col("costo") < 0) | (F.col("stock") < 0), MSG_COST_STOCK),
+        (missing, MSG_NULL), (orphan, MSG_FOREIGN_KEY), (F.col("_taken").isNotNull(), MSG_DUPLICATE_NAME)))
+    firsts = r.where(F.col("_why").isNull()).groupBy("_k").agg(F.min(F.struct(*ORDER)).alias("_first"))
+    r = r.join(firsts, "_k", "left")
+    later = F.col("_why").isNull() & (F.struct(*ORDER) > F.col("_first"))
+    r = attach_scalars(r.withColumn("reason", F.when(later, F.lit(MSG_DUPLICATE_NAME)).otherwise(F.col("_why"))),
+                       t.productos.agg(F.max("id_producto").alias("_max")))
     ok = F.col("reason").isNull()
     pid = F.col("_max") + F.col("request_id") + 1
     return r.select("request_id", ok.alias("accepted"), "reason",
@@ -377,35 +392,42 @@ def bat_register_customers(t, requests: DataFrame) -> DataFrame:
 
 # -- P13 ---------------------------------------------------------------------------
 def bat_merge_accounts(t, requests: DataFrame) -> dict[str, DataFrame]:
-    """Secondary accounts folded into primaries.  A customer that is in
-    more than one merge of the batch (chains, repeats) makes all those
-    merges fail, so the result does not depend on order."""
+    """Secondary accounts folded into primaries.  A primary may absorb
+    several accounts.  Of the requests that pass the checks, those that name an
+    account as secondary twice, or in both roles, are all refused (chains), so
+    the result does not depend on order."""
     ids = t.clientes.select("id_cliente")
-    roles = (requests.select("request_id", F.col("primario").alias("_c"))
-             .unionByName(requests.select("request_id", F.col("secundario").alias("_c"))))
-    busy = roles.groupBy("_c").agg(F.count_distinct("request_id").alias("_n")).where(F.col("_n") > 1)
-    conflicted = roles.join(busy, "_c", "left_semi").select("request_id").distinct().withColumn("_conf", F.lit(True))
     r = (requests.join(ids.select(F.col("id_cliente").alias("primario"), F.lit(True).alias("_pex")), "primario", "left")
-         .join(ids.select(F.col("id_cliente").alias("secundario"), F.lit(True).alias("_sex")), "secundario", "left")
-         .join(conflicted, "request_id", "left"))
-    why = _first_reason((F.col("primario") == F.col("secundario"), MSG_SELF_MERGE),
-                        (F.col("_pex").isNull(), MSG_NO_PRIMARY), (F.col("_sex").isNull(), MSG_NO_SECONDARY),
-                        (F.col("_conf").isNotNull(), MSG_MERGE_CONFLICT))
-    r = r.withColumn("reason", why)
+         .join(ids.select(F.col("id_cliente").alias("secundario"), F.lit(True).alias("_sex")), "secundario", "left"))
+    r = r.withColumn("_why", _first_reason((F.col("primario") == F.col("secundario"), MSG_SELF_MERGE),
+                                           (F.col("_pex").isNull(), MSG_NO_PRIMARY),
+                                           (F.col("_sex").isNull(), MSG_NO_SECONDARY)))
+    fair = r.where(F.col("_why").isNull())
+    leaving = fair.groupBy("secundario").agg(F.count(F.lit(1)).alias("_n"))
+    staying = fair.select(F.col("primario").alias("secundario"), F.lit(True).alias("_stays")).distinct()
+    r = (r.join(leaving, "secundario", "left").join(staying, "secundario", "left")
+         .join(leaving.select(F.col("secundario").alias("primario"), F.lit(True).alias("_leaves")), "primario", "left"))
+    clash = (F.col("_n") > 1) | F.col("_stays").isNotNull() | F.col("_leaves").isNotNull()
+    r = r.withColumn("reason", F.coalesce("_why", F.when(clash, F.lit(MSG_MERGE_CONFLICT))))
     decisions = r.select("request_id", F.col("reason").isNull().alias("accepted"), "reason")
-    m = r.where(F.col("reason").isNull()).select(F.col("secundario").alias("id_cliente"), F.col("primario").alias("_to"))
+    merges = r.where(F.col("reason").isNull())
+    m = merges.select(F.col("secundario").alias("id_cliente"), F.col("primario").alias("_to"))
 
     def rekey(df: DataFrame, col: str = "id_cliente") -> DataFrame:
         j = df.join(m.withColumnRenamed("id_cliente", col), col, "left")
         return j.withColumn(col, F.coalesce("_to", col)).drop("_to").select(*df.columns)
 
     orders = rekey(t.ventas)
-    revs = t.resenas_productos.join(m, "id_cliente", "left")
-    # UPDATE IGNORE: a moved review that collides with the primary's is left
-    # on the secondary and dies with it (FK cascade)
-    prim_keys = t.resenas_productos.select(F.col("id_cliente").alias("_to"), "id_producto").withColumn("_dup", F.lit(True))
-    revs = revs.join(prim_keys, ["_to", "id_producto"], "left").where(F.col("_to").isNull() | F.col("_dup").isNull())
-    reviews = revs.withColumn("id_cliente", F.coalesce("_to", "id_cliente")).select(*t.resenas_productos.columns)
+    # UPDATE IGNORE: a moved review that meets one of the primary, or of an
+    # account merged before it, is left on the secondary and dies with it
+    turn = merges.select(F.col("secundario").alias("id_cliente"), F.col("primario").alias("_to"),
+                         F.struct(*ORDER).alias("_turn"))
+    own = t.resenas_productos.select(F.col("id_cliente").alias("_to"), "id_producto")
+    moving = t.resenas_productos.join(turn, "id_cliente").join(own, ["_to", "id_producto"], "left_anti")
+    first = moving.groupBy("_to", "id_producto").agg(F.min("_turn").alias("_turn"))
+    moved = (moving.join(first, ["_to", "id_producto", "_turn"]).withColumn("id_cliente", F.col("_to"))
+             .select(*t.resenas_productos.columns))
+    reviews = t.resenas_productos.join(m, "id_cliente", "left_anti").select(*moved.columns).unionByName(moved)
     c = t.clientes.join(m, "id_cliente", "left_anti")
     sec_spend = (t.clientes.join(m, "id_cliente").groupBy(F.col("_to").alias("id_cliente"))
                  .agg(F.sum("total_gastado").alias("_add")))
@@ -455,12 +477,16 @@ def bat_payments(t, requests: DataFrame) -> DataFrame:
 
 # -- P18 ---------------------------------------------------------------------------
 def bat_review_upsert(t, requests: DataFrame) -> dict[str, DataFrame]:
-    """Ratings 1-5 insert or overwrite the review of (customer, product);
-    the last valid request per key wins and stamps the time; an existing
-    review keeps its id."""
-    bad = (F.col("calificacion") < 1) | (F.col("calificacion") > 5)
-    decisions = requests.select("request_id", (~bad).alias("accepted"), F.when(bad, F.lit(MSG_RATING)).alias("reason"))
-    ok = requests.where(~bad)
+    """Ratings 1-5 of known products by known customers insert or
+    overwrite the review of (customer, product); the last valid request per key
+    wins and stamps the time; an existing review keeps its id."""
+    r = (requests.join(t.productos.select("id_producto", F.lit(True).alias("_p")), "id_producto", "left")
+         .join(t.clientes.select("id_cliente", F.lit(True).alias("_c")), "id_cliente", "left"))
+    why = _first_reason((~F.coalesce(F.col("calificacion").between(1, 5), F.lit(False)), MSG_RATING),
+                        (F.col("_p").isNull() | F.col("_c").isNull(), MSG_FOREIGN_KEY))
+    r = r.withColumn("reason", why)
+    decisions = r.select("request_id", F.col("reason").isNull().alias("accepted"), "reason")
+    ok = r.where(F.col("reason").isNull())
     latest = (ok.groupBy("id_cliente", "id_producto")
               .agg(F.max_by(F.struct("calificacion", "comentario", "ts", "request_id"), F.struct(*ORDER)).alias("_l")))
     old = t.resenas_productos.select("id_cliente", "id_producto", "id_resena")

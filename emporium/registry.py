@@ -165,9 +165,13 @@ QUERIES: dict[str, Job] = {
     "bat_merge_accounts": _cat(lambda t: B.bat_merge_accounts(t, t.merge_requests)["decisions"]),
     "bat_merge_customers": _cat(lambda t: B.bat_merge_accounts(t, t.merge_requests)["customers"]),
     "bat_merge_reviews": _cat(lambda t: B.bat_merge_accounts(t, t.merge_requests)["reviews"]),
+    "bat_merge_orders": _cat(lambda t: B.bat_merge_accounts(t, t.merge_requests)["orders"]),
+    "bat_merge_views": _cat(lambda t: B.bat_merge_accounts(t, t.merge_requests)["views"]),
+    "bat_merge_carts": _cat(lambda t: B.bat_merge_accounts(t, t.merge_requests)["carts"]),
     "bat_assign_supplier": _cat(lambda t: B.bat_assign_supplier(t, t.supplier_requests)),
     "bat_payments": _cat(lambda t: B.bat_payments(t, t.payment_requests)),
     "bat_review_upsert": _cat(lambda t: B.bat_review_upsert(t, t.review_requests)["state"]),
+    "bat_review_decisions": _cat(lambda t: B.bat_review_upsert(t, t.review_requests)["decisions"]),
     "bat_move_category": _cat(lambda t: B.bat_move_category(t, t.category_move_requests)["categories"]),
     "bat_move_category_products": _cat(lambda t: B.bat_move_category(t, t.category_move_requests)["products"]),
     # ST: streaming jobs (availableNow runs into file sinks)

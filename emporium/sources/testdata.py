@@ -117,11 +117,12 @@ class TestdataCatalog:
         parts = [self.sf_dir]
         for t in self.SOURCES:
             fs, p = self._fs(f"{self.sf_dir}/{t}.parquet")
-            st = fs.getFileStatus(p)
-            parts.append(f"{t}:{st.getLen()}:{st.getModificationTime()}")
+            for st in fs.listStatus(p):  # every part file of a folder
+                parts.append(f"{t}:{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}")
         parts.append(FIXTURE_VERSION)
-        with open(__file__, "rb") as fh:  # any change to the rules rebuilds the copies
-            parts.append(hashlib.sha1(fh.read()).hexdigest())
+        for rules in (__file__, S.__file__):  # any change to the rules rebuilds the copies
+            with open(rules, "rb") as fh:
+                parts.append(hashlib.sha1(fh.read()).hexdigest())
         key = hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
         return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/warehouse/{key}"
 
@@ -181,7 +182,10 @@ class TestdataCatalog:
         pid = F.col("p_partkey")
         cat = F.broadcast(self._categories_base.select(
             F.col("id_categoria").alias("_cat_id"), F.col("nombre").alias("_cat_name")))
-        p = (self.raw("part").withColumn("n_sup", self._n_suppliers)
+        parts = self.raw("part")
+        unsold = (parts.where(pid % 53 == 0)  # a second copy under ids that no line item names
+                  .withColumn("p_partkey", pid + self._n_parts))
+        p = (parts.unionByName(unsold).withColumn("n_sup", self._n_suppliers)
              .join(cat, F.col("p_type") == F.col("_cat_name"), "left"))
         cat_id = F.when(pid % 97 == 0, F.lit(None)).otherwise(F.col("_cat_id")).cast("int")
         precio = F.col("p_retailprice").cast("decimal(10,2)")
@@ -254,7 +258,7 @@ class TestdataCatalog:
     # -- facts -------------------------------------------------------------
     @stored
     def detalle_ventas(self) -> DataFrame:
-        li = (self.raw("lineitem").where(F.col("l_partkey") % 53 != 0)
+        li = (self.raw("lineitem")
               .groupBy("l_orderkey", "l_partkey")
               .agg(F.sum("l_quantity").cast("int").alias("cantidad")))
         prices = self.productos_base.select(F.col("id_producto"), F.col("precio"))
@@ -290,7 +294,7 @@ class TestdataCatalog:
     @stored
     def devoluciones(self) -> DataFrame:
         li = (self.raw("lineitem")
-              .where((F.col("l_returnflag") == "R") & (F.col("l_partkey") % 53 != 0))
+              .where(F.col("l_returnflag") == "R")
               .groupBy("l_orderkey", "l_partkey")
               .agg(F.sum("l_quantity").cast("int").alias("cantidad"),
                    F.max("l_shipdate").alias("fecha_devolucion")))
@@ -525,13 +529,19 @@ class TestdataCatalog:
     @stored
     def merge_requests(self) -> DataFrame:
         """Customer id (id % 100 = 0, id > 0) absorbs id + 1; when
-        id % 300 = 0, id + 1 also absorbs id + 2 (a chain, rejected)."""
+        id % 300 = 0, id + 1 also absorbs id + 2 (a chain, rejected); when
+        id % 300 = 100, id absorbs id + 3 too; when id % 300 = 200, id also
+        asks for a missing account."""
         c = self.raw("customer").where((F.col("c_custkey") % 100 == 0) & (F.col("c_custkey") > 0))
         cid = F.col("c_custkey")
         a = c.select((cid * 10).alias("request_id"), cid.alias("primario"), (cid + 1).alias("secundario"))
         b = c.where(cid % 300 == 0).select((cid * 10 + 1).alias("request_id"), (cid + 1).alias("primario"),
                                            (cid + 2).alias("secundario"))
-        return a.unionByName(b).withColumn("ts", F.lit(self.as_of).cast("timestamp_ntz"))
+        d = c.where(cid % 300 == 100).select((cid * 10 + 2).alias("request_id"), cid.alias("primario"),
+                                             (cid + 3).alias("secundario"))
+        e = c.where(cid % 300 == 200).select((cid * 10 + 3).alias("request_id"), cid.alias("primario"),
+                                             (cid + 1_000_000_000).alias("secundario"))
+        return a.unionByName(b).unionByName(d).unionByName(e).withColumn("ts", F.lit(self.as_of).cast("timestamp_ntz"))
 
     @stored
     def supplier_requests(self) -> DataFrame:

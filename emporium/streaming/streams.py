@@ -48,8 +48,13 @@ def file_stream(spark: SparkSession, path: str, schema, glob: str | None = None,
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    s = file_stream(spark, sf_dir, schema, glob="events.parquet")
+    """``events.parquet`` as a stream, a folder of part files or one file."""
+    path = f"{sf_dir}/events.parquet"
+    schema = spark.read.parquet(path).schema
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    s = (file_stream(spark, path, schema) if fs.getFileStatus(p).isDirectory()
+         else file_stream(spark, sf_dir, schema, glob="events.parquet"))
     # watermarks need TimestampType; the session clock is UTC
     return s.withColumn("ets", F.col("ts").cast("timestamp"))
 

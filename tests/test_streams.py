@@ -72,3 +72,10 @@ def test_upsert_sink_survives_a_restart(spark, cat, tmp_path):
     want = {r.day: (r.s, r.n) for r in orders.groupBy(F.to_date("fecha_venta").alias("day"))
             .agg(F.sum("total").alias("s"), F.count(F.lit(1)).alias("n")).collect()}
     assert first > 0 and got == want
+
+
+def test_events_stream_reads_a_folder(spark, tmp_path):
+    spark.read.parquet(f"{SMOKE}/events.parquet").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    for job in (ST.st_order_velocity, ST.st_cart_abandonment):
+        want, got = job(spark, SMOKE), job(spark, str(tmp_path))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count()
