@@ -191,6 +191,21 @@ def test_quality(docs, rows, empty):
     assert quality_rules.apply_rules(empty).count() == 0 and quality_rules.keep(empty).count() == 0
 
 
+def test_quality_stop_words(spark):
+    """Word lists in a covered language are rejected by this rule alone; decorated function words count."""
+    r = random.Random(4)
+    menu = " ".join("".join(r.choice("bcdfglmnrst") + r.choice("aeiou") for _ in range(4)) for _ in range(80))
+    prose = " ".join(w + s for k, w in enumerate(re.findall("[a-z]+", menu)) for s in (["%%%"] + [" The***"] * (k % 12 == 0)))
+    rows = [(0, menu, "en"), (1, menu, "de-AT"), (2, menu, "fi"), (3, menu, None), (4, prose, "en"), (5, menu[:300], "en"), (6, None, "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    rules = tuple(x for x in quality_rules.RULES if x.name in ("letters", "stop_words"))
+    got = {x.doc_id: x for x in quality_rules.apply_rules(df, rules).collect()}
+    assert {i: list(x.failed_rules) for i, x in got.items() if x.failed_rules} == {0: ["stop_words"], 1: ["stop_words"]}
+    assert got[4].n_stop_words == 7 and got[4].kept and got[0].n_stop_words == 0
+    assert {x.doc_id for x in quality_rules.keep(df, rules).collect()} == {2, 3, 4, 5}
+    assert {x.doc_id for x in quality_rules.keep(df.drop("lang"), rules).collect()} == {0, 1, 2, 3, 4, 5}
+
+
 def test_license(docs, rows, empty):
     split = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     got = license_scan.scan(docs).collect()
