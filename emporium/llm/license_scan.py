@@ -2,11 +2,11 @@
 
 Two parts.  The base finds every place of fixed phrases in the word sequence.
 The index part recognises licence *texts*: the words of a few template lines
-are indexed with their positions and their IDF over the templates; a file's
-template words are looked up, the ``RARE`` words of highest IDF are kept per
-file, and the index entries are intersected by relative position: words that
-vote for one (template, offset) stand as in the template.  A template with
-``VOTES`` agreeing words and its mandatory phrases present gives its label;
+are indexed with their positions and their IDF over the templates.  Files that
+hold all mandatory phrases of a template are looked up: the index entries of
+their words are intersected by relative position (words that vote for one
+(template, offset) stand as in the template), and the ``RARE`` agreeing words
+of highest IDF are kept.  A template with ``VOTES`` of them gives its label;
 the score is the share of the template's rare words that agree (1 for a
 base phrase).
 
@@ -23,7 +23,6 @@ text are not read, so clashing names do not matter.
 from __future__ import annotations
 
 import math
-import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,26 +56,23 @@ TEMPLATES = (
      "this work is licensed under a creative commons attribution international license"),
 )
 RARE, VOTES = 8, 5
-#: Shorter words are common in any text: they would be most of the lookups and tell least.
-LETTERS = 5
 SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def _index(templates) -> list[tuple[str, int, int, float]]:
-    """(word, template, position, idf) of each template's rarest words."""
+    """(word, template, position, idf) of each template's words of three letters or more."""
     words = [t.split() for _, _, t in templates]
     held = {w: sum(w in t for t in words) for t in words for w in t}
     idf = {w: math.log((1 + len(templates)) / n) for w, n in held.items()}
     out = []
     for k, t in enumerate(words):
-        rare = sorted({w for w in t if len(w) >= LETTERS}, key=lambda w: (-idf[w], -len(w), w))[:2 * RARE]
-        out += [(w, k, p, idf[w]) for p, w in enumerate(t) if w in rare]
+        out += [(w, k, p, idf[w]) for p, w in enumerate(t) if len(w) > 2]
     return out
 
 
-def _has(phrase: str):
+def _has(phrase: str, padded=None):
     """The phrase's words stand consecutively in the padded word string."""
-    return F.contains(F.col("_p"), F.lit(f" {phrase} "))
+    return F.contains(F.col("_p") if padded is None else padded, F.lit(f" {phrase} "))
 
 
 def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, id_col: str = "doc_id",
@@ -109,8 +105,8 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, id_col: str = "d
 
     index = F.broadcast(spark.createDataFrame(_index(templates) or [("", -1, 0, 0.0)],
                                               "word string, tpl int, pos int, idf double"))
-    vocab = sorted({r[0] for r in _index(templates)})
-    near = d.where(F.col("_p").rlike(" (" + "|".join(map(re.escape, vocab)) + ") ")) if vocab else d.limit(0)
+    # Labels need the phrases, so no other file is looked up.  The array keeps the filter from normalising a text anew for each phrase.
+    near = d.where(F.exists(F.array("_p"), lambda p: _any(_all(_has(x, p) for x in must) for _, must, _ in templates)))
     hits = (near.select("doc_id", "_row", F.posexplode(F.split(F.lower("_n"), " ")).alias("at", "word"))
             .join(index, "word"))
     votes = hits.groupBy("doc_id", "_row", "tpl", (F.col("at") - F.col("pos")).alias("off")).agg(
@@ -141,3 +137,10 @@ def _all(conditions):
     for c in conditions:
         out = out & c
     return out
+
+
+def _any(conditions):
+    out = F.lit(False)
+    for c in conditions:
+        out = out | c
+    return out

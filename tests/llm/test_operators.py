@@ -228,6 +228,20 @@ def test_license_text_only(spark):
     assert got[1].label_list == ["bsd-text"] and 0.6 < got[1].score <= 1 and got[2].label_list == []
 
 
+def test_license_partial_texts(spark):
+    """Changed openings keep five agreeing words of three or more letters; texts without the mandatory phrases give nothing."""
+    texts = ["This work is licensed under a Creative Commons license.",
+             "This Source Code Form is subject to the Mozilla Public License",
+             "Redistribution and use in source and binary forms are allowed provided that the following conditions hold",
+             "This work is licensed under a public commons attribution international license", "creative commons",
+             "Permission to use copy modify and distribute this code for any purpose"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.label_list for r in license_scan.scan(df).collect()}
+    assert got == {0: ["cc-text"], 1: ["mpl-text"], 2: ["bsd-text"], 3: [], 4: [], 5: ["isc-text"]}
+    none = license_scan.scan(df, templates=()).collect()
+    assert len(none) == 6 and all(r.label_list == [] and r.score == 0 for r in none)
+
+
 def test_repeated_passages(docs, rows, empty):
     got = {r.doc_id: ([tuple(s) for s in r.repeated], [tuple(s) for s in r["cut"]]) for r in suffix_dedup.repeated_passages(docs).collect()}
     owners = defaultdict(set)
