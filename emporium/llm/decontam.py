@@ -6,7 +6,10 @@ does not disturb the hash.  The masked hashes of all training windows are
 joined with those of the benchmark; a hit fixes the alignment (diagonal) of
 document and item, and the alignment around the hits is verified: some
 ``SPAN`` consecutive words (all words of a shorter item) must agree in at
-least ``AGREE`` percent of their places.
+least ``AGREE`` percent of their places.  The masks are chosen by enumeration:
+wherever the places that may differ lie, some mask misses them all.  Items
+shorter than ``LEAST`` words have masks of their own for each length that the
+benchmark holds; an item of up to four words must be found word for word.
 
 The benchmark's hashes are broadcast only after they are counted: up to
 ``BROADCAST_ROWS`` rows (16 bytes each); beyond that both sides are shuffled
@@ -14,8 +17,8 @@ on the hash.  Hits carry ids only; texts of documents with hits are joined
 back once per document.
 
 Defined results: null, empty or word-less texts on either side match nothing;
-items shorter than ``MIN_ITEM`` words are not searched; very long texts are
-searched whole; repeated benchmark rows count once per id; repeated rows of a
+very short items are searched like all others; very long texts are searched
+whole; repeated benchmark rows count once per id; repeated rows of a
 document with equal text give one result row each in :func:`contaminated` and
 share their matches; null ids are kept apart by the text's hash; empty tables
 give empty results; columns other than id and text are not read.
@@ -23,15 +26,18 @@ give empty results; columns other than id and text are not read.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporium.llm.common import cut, keys
 
-#: Offsets that are hashed, of two masks.
-MASKS = ((0, 1, 2, 5, 7, 8), (0, 2, 3, 4, 9, 11))
+#: Offsets that are hashed, of three masks: they hit any two substitutions in 12, 13 or 14 words.
+MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 2, 5, 7, 8), (0, 1, 3, 5, 9, 10))
 SPAN, AGREE = 14, 80
-MIN_ITEM = 12
+#: Items from this length on are searched by ``MASKS``.
+LEAST = 12
 BROADCAST_ROWS = 2_000_000
 SEPARATOR = r"[^\p{L}\p{N}]+"
 
@@ -41,20 +47,39 @@ def _words(text: str):
     return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " "))
 
 
-def _seeds(hashes: str, masks) -> F.Column:
-    """All masked hashes, mask after mask, as one array of longs."""
+def missed(masks, size: int, wrong: int) -> set[tuple[int, ...]]:
+    """Places of ``wrong`` substitutions in ``size`` words that disturb every mask at every start."""
+    hashed = [{t + o for o in m} for m in masks for t in range(size - max(m))]
+    return {p for p in combinations(range(size), wrong) if all(h & set(p) for h in hashed)}
+
+
+def short_masks(size: int, agree: int = AGREE) -> list[tuple[int, ...]]:
+    """Masks of up to six offsets that miss no allowed substitutions in ``size`` words."""
+    wrong = size * (100 - agree) // 100
+    out: list[tuple[int, ...]] = []
+    pool = [(0, *x) for x in combinations(range(1, size), min(6, size - wrong) - 1)]
+    while not out or missed(out, size, wrong):
+        out.append(min(pool, key=lambda m: (len(missed([*out, m], size, wrong)), m)))
+    return out
+
+
+def _seeds(hashes: str, masks, items: bool) -> F.Column:
+    """All masked hashes, mask after mask, as one array of structs; each mask
+    comes with the least and the largest size of the items it is for."""
     parts = []
-    for m, offsets in enumerate(masks):
+    for m, (offsets, low, high) in enumerate(masks):
         span = max(offsets) + 1
         gets = ", ".join(f"get({hashes}, i + {o})" for o in offsets)
-        parts.append(f"CASE WHEN size({hashes}) < {span} THEN array() ELSE "
+        unfit = f"size({hashes}) < {span}" + (f" OR size({hashes}) NOT BETWEEN {low} AND {high}" if items else "")
+        parts.append(f"CASE WHEN {unfit} THEN array() ELSE "
                      f"transform(sequence(0, size({hashes}) - {span}), i -> struct(i AS i, xxhash64({m}, {gets}) AS h)) END")
     return F.expr(f"concat({', '.join(parts)})")
 
 
-def _seed_rows(df: DataFrame, keys: list[str], masks) -> DataFrame:
+def _seed_rows(df: DataFrame, keys: list[str], masks, items: bool = False) -> DataFrame:
     h = df.select(*keys, F.expr("transform(words, w -> xxhash64(w))").alias("_h"))
-    return h.select(*keys, F.explode(_seeds("_h", masks)).alias("_s")).select(*keys, F.col("_s.i").alias("i"), F.col("_s.h").alias("h"))
+    return (h.select(*keys, F.explode(_seeds("_h", masks, items)).alias("_s"))
+            .select(*keys, F.col("_s.i").alias("i"), F.col("_s.h").alias("h")))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -67,9 +92,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     src = d.select("doc_id", "text", F.xxhash64("text").alias("_row"))
     d = src.select("doc_id", "_row", _words("text").alias("words"))
     b = (benchmark.select(F.col(item_col).cast("long").alias("item_id"), _words(item_text).alias("words"))
-         .where(F.size("words") >= MIN_ITEM).dropDuplicates(["item_id", "words"])
+         .where(F.size("words") > 0).dropDuplicates(["item_id", "words"])
          .select("item_id", F.xxhash64("words").alias("item_row"), "words"))
-    test = _seed_rows(b, ["item_id", "item_row"], masks).withColumnRenamed("i", "j")
+    short = b.select(F.size("words").alias("n")).where(F.col("n") < LEAST).distinct().collect()  # fewer than LEAST rows
+    masks = [(m, LEAST, 1 << 30) for m in masks] + [(m, r.n, r.n) for r in sorted(short) for m in short_masks(r.n, agree)]
+    test = _seed_rows(b, ["item_id", "item_row"], masks, items=True).withColumnRenamed("i", "j")
     small = test.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     hits = cut(_seed_rows(d, ["doc_id", "_row"], masks).join(F.broadcast(test) if small else test, "h")
             .groupBy("doc_id", "_row", "item_id", "item_row", (F.col("i") - F.col("j")).alias("diag"))

@@ -314,6 +314,30 @@ def test_decontam(spark, docs, empty):
         decontam.BROADCAST_ROWS = old
 
 
+def test_decontam_masks():
+    assert not any(decontam.missed(decontam.MASKS, n, 2) for n in (12, 13, 14))
+    assert not any(decontam.missed(decontam.short_masks(n), n, n // 5) for n in range(1, 12))
+
+
+def test_decontam_all_substitutions(spark):
+    """Every allowed pattern of substitutions is found for isolated windows of all lengths, none beyond."""
+    from itertools import combinations
+    w = [f"w{k}" for k in range(40)]
+    bench = [(n, " ".join(f"i{n}{x}" for x in w[:n])) for n in range(1, 15)]
+    docs, want = [], set()
+    for n, text in bench:
+        for wrong in range(n // 5 + 2):
+            for p in combinations(range(n), min(wrong, n)):
+                x = [f"z{k}" if k in p else v for k, v in enumerate(text.split(" "))]
+                docs.append((len(docs), "some words before " + " ".join(x) + " and after"))
+                if len(p) <= n // 5:
+                    want.add((len(docs) - 1, n))
+    got = {(r.doc_id, int(x)) for r in decontam.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect()
+        for x in r["items"].split(",")}
+    assert got == want
+
+
 def test_decontam_given(spark):
     docs, bench = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     got = {(r.doc_id, x) for r in decontam.contaminated(docs, bench).collect() for x in map(int, r["items"].split(","))}
