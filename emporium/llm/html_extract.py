@@ -39,13 +39,16 @@ TRAIN_PAGES, TRAIN_CHARS = 400, 50_000
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"""
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"'=]++|=\s*+"[^"]*"|=\s*+'[^']*'|[="'])*+)>""", re.S)
-_ATTR = re.compile(r"""(?i)\b(class|id|role|hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+#: Any attribute by its full name, with its value.
+_ATTR = re.compile(r"""([^\s"'/=>][^\s/=>]*)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s"'>][^\s>]*)))?""")
+_READ = frozenset("class id role hidden style".split())
+_HINT = re.compile("(?i)class|id|role|hidden|style")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 #: Elements without readable text.
 _SKIP = frozenset("script style textarea title xmp iframe noembed noframes head noscript template svg math canvas object "
                   "select button option datalist audio video map".split())
-#: Elements that are never part of an article.
+#: Elements that are never part of an article; a form around the page's text counts as a div.
 _NEVER = frozenset("nav aside form footer dialog menu".split())
 _BLOCK = frozenset("html body address article aside blockquote caption center dd details dialog div dl dt fieldset "
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section "
@@ -73,6 +76,13 @@ _NAMES = {
 _GROUP = {n: g for g, names in _NAMES.items() for n in names.split()}
 
 
+def _attributes(source: str) -> list[tuple[str, str]]:
+    """The attributes that are read, names in lower case."""
+    if not _HINT.search(source):
+        return []
+    return [(k.lower(), a or b or c) for k, a, b, c in _ATTR.findall(source) if k.lower() in _READ]
+
+
 class Page:
     """Tree of one page: per node its parent, tag and names; ``pieces`` are
     (block number, node, inside a link, text) in page order."""
@@ -81,18 +91,34 @@ class Page:
         self.parent, self.tag, self.names, self.hidden = [-1], ["html"], [()], [False]
         self.pieces: list[tuple[int, int, bool, str]] = []
         self._read(source)
-
-    def _node(self, parent: int, tag: str, attrs: str) -> int:
+        for i in self._wrappers():
+            self.tag[i], self.names[i] = "div", tuple(w for w in self.names[i] if _GROUP.get(w) != "form")
+
+    def _wrappers(self) -> list[int]:
+        """Forms around the page's text: an article or main element stands in
+        them, or most of the text outside other furniture does."""
+        if "form" not in self.tag:
+            return []
+        n, off = len(self.tag), []
+        for i, tag in enumerate(self.tag):
+            off.append(tag in _NEVER and tag != "form" or self.hidden[i] or i > 0 and off[self.parent[i]])
+        main, chars = [t in ("article", "main") and not o for t, o in zip(self.tag, off)], [0] * n
+        for _, node, _, text in self.pieces:
+            chars[node] += 0 if off[node] else len(text.strip())
+        for i in range(n - 1, 0, -1):
+            chars[self.parent[i]] += chars[i]
+            main[self.parent[i]] |= main[i]
+        return [i for i, t in enumerate(self.tag) if t == "form" and not off[i] and (main[i] or 2 * chars[i] > chars[0])]
+
+    def _node(self, parent: int, tag: str, attrs: list[tuple[str, str]]) -> int:
         names, hidden = [], False
-        if attrs:
-            for key, a, b, c in _ATTR.findall(attrs):
-                value = a or b or c
-                if key.lower() in ("class", "id", "role"):
-                    names += [w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", value)]
-                elif key.lower() == "style":
-                    hidden = hidden or bool(re.search(r"display\s*:\s*none", value, re.I))
-                elif key == key.lower():
-                    hidden = True
+        for key, value in attrs:
+            if key == "style":
+                hidden = hidden or bool(re.search(r"display\s*:\s*none", value, re.I))
+            elif key == "hidden":
+                hidden = True
+            else:
+                names += [w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", value)]
         self.parent.append(parent)
         self.tag.append(tag)
         self.names.append(tuple(dict.fromkeys(names)))
@@ -166,8 +192,9 @@ class Page:
                     end = e.start() if e else -1
                 at = n if end < 0 else end
             own = stack[-1][1]
-            if tag not in _SKIP and (tag in _BLOCK or _ATTR.search(m[3])):
-                own = self._node(own, tag, m[3])
+            attrs = _attributes(m[3]) if tag not in _SKIP else []
+            if tag not in _SKIP and (tag in _BLOCK or attrs):
+                own = self._node(own, tag, attrs)
             stack.append((tag, own))
             links += tag == "a"
             skip += tag in _SKIP

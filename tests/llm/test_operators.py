@@ -391,6 +391,23 @@ def test_html(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_html_hidden_and_forms():
+    """Only an attribute of that name hides; a form around the page's text is no furniture."""
+    model = html_extract.train([])
+    text = lambda s: html_extract.extract_text(s, model)
+    body = f"<h1>T</h1><p>{P}</p><p>{P}</p>"
+    want = f"T\n{P}\n{P}"
+    for attr in ('aria-hidden="false"', 'title="the hidden garden"', "data-x='hidden'", "data-to=/hidden/x", 'data-style="display:none"'):
+        assert text(f"<body><article {attr}>{body}</article></body>") == want, attr
+    for attr in ("hidden", 'hidden=""', "class=a hidden", 'style="display: none"', "HIDDEN"):
+        assert text(f"<body><article>{body}<div {attr}><p>{P}</p></div></article></body>") == want, attr
+    assert text(f'<article><p>{P} See <a href="/hidden/x">these words</a>, too.</p></article>') == f"{P} See these words, too."
+    for shell in ("<article>%s</article>", '<div class="content">%s</div>', "<main>%s</main>"):
+        page = f'<body><form id="aspnetForm" method="post"><nav><a href="/">home</a></nav>{shell % body}<footer>foot</footer></form></body>'
+        assert text(page) == want, shell
+    assert text(f"<body><article>{body}<form><p>sign up</p></form></article><form class=search><p>find it</p></form></body>") == want
+
+
 def test_html_given(spark):
     """Held-out pages of the given table, text taken from their article by plain rules."""
     import html
