@@ -9,7 +9,9 @@ equal words hash alike on every executor and in every run.
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
+import types
 import uuid
 
 import numpy as np
@@ -99,6 +101,24 @@ def shingle_set(text: str | None, n: int = 5) -> np.ndarray:
     return np.unique(ngram_hashes(h, min(n, len(h))))
 
 
+# --- state of a Python worker ----------------------------------------------
+
+def worker_state(name: str, make):
+    """``make()`` once per worker process and ``name``, kept from task to task
+    (functions shipped by value get fresh globals with every task)."""
+    own = sys.modules.setdefault("_emporium_worker", types.ModuleType("_emporium_worker"))
+    if name not in own.__dict__:
+        own.__dict__[name] = make()
+    return own.__dict__[name]
+
+
+def halve(memo: dict, most: int) -> None:
+    """Forgets the older half of a memo that has more than ``most`` entries."""
+    if len(memo) > most:
+        for key in list(memo)[: len(memo) // 2]:
+            del memo[key]
+
+
 # --- Spark helpers ---------------------------------------------------------
 
 def shared_dir(spark: SparkSession) -> str:
@@ -168,6 +188,6 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def tokenizer_path(name: str) -> str:
-    """File of a public tokenizer in the environment's vocabulary folder."""
-    folder = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
-    return os.path.join(folder, name)
+    """File of a public tokenizer (read on the driver only)."""
+    import public_tokenizers
+    return public_tokenizers.path(name)

@@ -7,14 +7,20 @@ and arrays.  A twin exists where SQL can state the result over whole tables.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import (bpe, chat_format, decontam, html_extract, license_scan, lm_score, minhash_join, quality_rules,
-                          secret_scan, suffix_dedup)
-from emporium.llm.common import read, tokenizer_path
+from emporium.llm import (bpe, chat_format, decontam, html_extract, license_scan, lm_score, minhash_join, periodic_runs,
+                          quality_rules, secret_scan, suffix_dedup, token_align, token_counts)
+from emporium.llm.common import read, shared_dir, tokenizer_path
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+COUNTED = "byte_bpe_50k.json"
+ALIGNED = "piece_bpe_32k.model"
+#: Tokens of a training sequence.
+LIMIT = 512
 
 
 def _joined(spans: str, *fields: str):
@@ -90,9 +96,33 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_align.align(read(spark, sf_dir, "documents"), tokenizer_path(COUNTED), tokenizer_path(ALIGNED))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                      F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts from an empty cache, so every run does the whole work."""
+    cache = f"{shared_dir(spark)}/token-counts-{uuid.uuid4().hex}"
+    out = token_counts.token_counts(read(spark, sf_dir, "documents"), cache, tokenizer_path(COUNTED))
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > LIMIT).alias("over_limit"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic_runs.periodic_runs(periodic_runs.with_tails(read(spark, sf_dir, "documents")))
+    line = lambda s: F.concat(F.concat_ws(",", *[s[f].cast("string") for f in ("start", "length", "period")]), F.lit("\n"))
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_byte_bpe, op3_suffix_dedup, op4_minhash_dedup, op5_secret_scan, op6_license_scan,
-    op7_chat_format, op8_quality_rules, op9_lm_score, op10_html_extract)}
+    op7_chat_format, op8_quality_rules, op9_lm_score, op10_html_extract, op11_token_align, op12_token_counts,
+    op13_periodic_runs)}
 
 from emporium.llm.twins import SQL as ORACLE  # noqa: E402
 
