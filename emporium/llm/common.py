@@ -143,12 +143,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def table(df: DataFrame) -> DataFrame:
+def table(df: DataFrame, **options) -> DataFrame:
     """Like :func:`cut`, but as a Parquet table in the shared folder, which
     packs many narrow rows better; it goes when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path)

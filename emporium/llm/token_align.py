@@ -5,8 +5,9 @@ same bytes, a blank and the text.  Offsets at which tokens of both end cut them
 into groups; a link is a pair of token occurrences whose byte ranges overlap.
 The count of an id pair is the number of documents that hold it linked.
 
-1. First pass: every block of documents is aligned and sums, per id pair, the
-   documents that hold it.  Pairs are dealt into ``SHARDS`` by their A id.
+1. Documents are encoded once into a table of packed ids.  First pass: every
+   block of documents is aligned and sums, per id pair, the documents that hold
+   it.  Pairs are dealt into ``SHARDS`` by their A id.
 2. The distinct pairs of a shard are united over a tree of blocks
    (``FAN`` to one) and get a minimal perfect hash: per level a bit array in
    which the pairs that hash alone have a bit; the others go on to the next
@@ -23,7 +24,7 @@ The count of an id pair is the number of documents that hold it linked.
 Texts are aligned in segments that begin at a blank after a character that is
 no white space: A's pattern never matches across such a place and no piece of B
 continues over a blank (checked when B is loaded), so tokens, groups and links
-of segments are those of the whole text.  A worker remembers aligned segments.
+of segments are those of the whole text.  A worker remembers encoded segments.
 
 Defined results: null and empty texts, and texts whose joined token bytes
 differ from blank and text, have no tokens (zeros, empty groups) and count
@@ -35,6 +36,7 @@ columns are not read.
 from __future__ import annotations
 
 import hashlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +50,7 @@ SHARDS, FAN = 64, 16
 BROADCAST_PAIRS = 2_000_000  # 17 bytes each
 BLOCK_CHARS = 1_000_000
 FLUSH = 400_000
-MEMO = 120_000
+MEMO = 300_000
 
 
 # --- minimal perfect hash ----------------------------------------------------
@@ -102,7 +104,7 @@ def shard_of(keys: np.ndarray) -> np.ndarray:
     return (mix((keys >> 32).astype(np.uint64)) % np.uint64(SHARDS)).astype(np.int64)
 
 
-# --- alignment of segments ---------------------------------------------------
+# --- encoding ----------------------------------------------------------------
 
 def _byte_of_char() -> dict[str, int]:
     """The byte-level alphabet: printable bytes stand for themselves, the
@@ -112,8 +114,8 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(other)}
 
 
-class Aligner:
-    """Both tokenizers and the segments aligned so far."""
+class Tokenizers:
+    """Both tokenizers, the bytes of their tokens and the segments encoded so far."""
 
     def __init__(self, a_text: str, b_model: bytes):
         import os
@@ -125,128 +127,154 @@ class Aligner:
         self.a.no_truncation()
         self.a.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
-        byte = _byte_of_char()
-        self.a_bytes = {i: bytes(byte[c] for c in t) if all(c in byte for c in t) else t.encode()
-                        for t, i in self.a.get_vocab(with_added_tokens=True).items()}
+        byte, vocab = _byte_of_char(), self.a.get_vocab(with_added_tokens=True)
+        self.a_bytes = [b""] * (max(vocab.values()) + 1)
+        for t, i in vocab.items():
+            self.a_bytes[i] = bytes(byte[c] for c in t) if all(c in byte for c in t) else t.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
         if any(x != "▁" and y == "▁" for p in pieces for x, y in zip(p, p[1:])):
             raise ValueError("a piece continues over a blank")
-        self.memo: dict[str, tuple] = {}
-
-    def _entry(self, text: str, a: list[int], b: list[int]) -> tuple:
-        """``(right bytes, tokens of A, of B, groups, their text, pairs)``."""
-        ta, tb = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        want = text.encode("utf-8", "surrogatepass")
-        if b"".join(ta) != want or b"".join(tb) != want:
-            return False, 0, 0, 0, "", b""
-        groups, pairs, i, j, ea, eb, si, sj = [], [], 0, 0, 0, 0, 0, 0
-        if a:
-            ea, eb = len(ta[0]), len(tb[0])
-        while i < len(a):
-            pairs.append(a[i] << 32 | b[j])
-            if ea == eb:
-                groups.append(",".join(map(str, a[si: i + 1])) + "|" + ",".join(map(str, b[sj: j + 1])))
-                i, j = i + 1, j + 1
-                si, sj = i, j
-                if i < len(a):
-                    ea, eb = ea + len(ta[i]), eb + len(tb[j])
-            elif ea < eb:
-                i += 1
-                ea += len(ta[i])
-            else:
-                j += 1
-                eb += len(tb[j])
-        return True, len(a), len(b), len(groups), ";".join(groups), np.array(pairs, dtype="<i8").tobytes()
-
-    def _align(self, texts: list[str]) -> list[tuple]:
-        """Entries of texts that begin with a blank."""
-        a = self.a.encode_batch_fast(texts, add_special_tokens=False)
-        b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        return [self._entry(t, x.ids, y) for t, x, y in zip(texts, a, b)]
-
-    def block(self, texts: list[str]):
-        """Aligned block: ``(entries, documents)``; a document is the numbers
-        of its entries in order (none: without tokens)."""
-        number: dict[str, int] = {}
-        docs = [[number.setdefault(s, len(number)) for s in SEGMENT.findall(" " + t)] if t else [] for t in texts]
-        halve(self.memo, MEMO)
-        new = [s for s in number if s not in self.memo]
+        self.code = "H" if max(len(self.a_bytes), len(pieces)) <= 2 ** 16 else "I"
+        self.kind = np.dtype(self.code)
+        self.a_memo: dict[str, bytes] = {}
+        self.b_memo: dict[str, bytes | None] = {}  # None: other bytes than the text's
+        self.quick = self._ranked(a_text)
+
+    def _ranked(self, a_text: str):
+        """A's merges replayed by rank, for texts of Latin letters only (whose
+        classes no library sees otherwise); None unless A's ids are its ranks."""
+        import json
+
+        import public_tokenizers
+        import tiktoken
+        spec = json.loads(a_text)
+        merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+        vocab = spec["model"]["vocab"]
+        first = len(_byte_of_char())
+        if spec["normalizer"] or (spec["pre_tokenizer"] or {}).get("type") != "ByteLevel" or any(
+                vocab["".join(m)] != first + n for n, m in enumerate(merges)):
+            return None
+        ranks = {self.a_bytes[i]: i for i in range(first + len(merges))}
+        return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def _encode_a(self, texts: list[str]) -> list[list[int]]:
+        out: list = [None] * len(texts)
+        rest = range(len(texts))
+        if self.quick is not None:
+            for n, t in enumerate(texts):
+                if t.isascii() or max(t) < "\u0250":
+                    out[n] = self.quick.encode_ordinary(t)
+            rest = [n for n in rest if out[n] is None]
+        for n, e in zip(rest, self.a.encode_batch_fast([texts[n] for n in rest], add_special_tokens=False)):
+            out[n] = e.ids
+        return out
+
+    def _encode_b(self, texts: list[str]) -> list[list[int]]:
+        """Texts begin with a blank, which the model adds by itself."""
+        return self.b.encode([t[1:] for t in texts], num_threads=1)
+
+    def _pack(self, ids) -> bytes:
+        return array(self.code, ids).tobytes()
+
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Packed ids of A and B for blank and text; both empty without tokens."""
+        found = [SEGMENT.findall(" " + t) if t else [] for t in texts]
+        for memo in (self.a_memo, self.b_memo):  # filled alike, so halved alike
+            halve(memo, MEMO)
+        new = list(set().union(*found) - self.b_memo.keys())
         for n in range(0, len(new), 4096):
-            self.memo.update(zip(new[n: n + 4096], self._align(new[n: n + 4096])))
-        entries = [self.memo[s] for s in number]
-        for n, d in enumerate(docs):
-            if not all(entries[k][0] for k in d):  # decided on the whole text
-                e = self._align([" " + texts[n]])[0]
-                docs[n] = [len(entries)] if e[0] else []
-                entries.append(e)
-        return entries, docs
-
-
-def _aligner(shared, version: str) -> Aligner:
-    return worker_state(f"aligner-{version}", lambda: Aligner(*shared.value))
-
-
-class _Pairs:
-    """Pairs of a block: distinct keys, and per entry the numbers of its keys."""
-
-    def __init__(self, entries):
-        flat = np.frombuffer(b"".join(e[5] for e in entries), dtype="<i8")
-        self.keys, self.number = np.unique(flat, return_inverse=True)
-        self.size = np.array([len(e[5]) // 8 for e in entries], dtype=np.int64)
-        self.begin = np.concatenate(([0], np.cumsum(self.size)))[:-1]
-
-    def of(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``(place in entry, number of key)`` of all pairs of these entries."""
-        size = self.size[entry]
-        where = np.repeat(np.arange(len(entry)), size)
-        inside = np.arange(len(where)) - np.repeat(np.cumsum(size) - size, size)
-        return where, self.number[self.begin[entry][where] + inside]
-
-
-def _doc_entries(docs: list[list[int]], once: bool) -> tuple[np.ndarray, np.ndarray]:
-    """``(document, entry)`` of all entries, each once per document or all."""
-    size = [len(d) for d in docs]
-    doc = np.repeat(np.arange(len(docs)), size)
-    entry = np.fromiter((k for d in docs for k in d), dtype=np.int64, count=sum(size))
-    if once and len(entry):
-        top = int(entry.max()) + 1
-        both = np.unique(doc * top + entry)
-        doc, entry = both // top, both % top
-    return doc, entry
-
-
-def doc_pairs(entries, docs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(keys, document, number of key)``: every pair once per document."""
-    pairs = _Pairs(entries)
-    doc, entry = _doc_entries(docs, True)
-    where, number = pairs.of(entry)
-    both = np.unique(doc[where] * max(1, len(pairs.keys)) + number)
-    return pairs.keys, both // max(1, len(pairs.keys)), both % max(1, len(pairs.keys))
-
-
-def _stats(entries, docs):
-    """Per document: tokens of A and B, groups, links, text of the groups."""
-    out = []
-    for d in docs:
-        e = [entries[k] for k in d]
-        a, b, g = (sum(x[n] for x in e) for n in (1, 2, 3))
-        out.append((a, b, g, a + b - g, ";".join(x[4] for x in e)))
-    return out
-
-
-def _blocks(batches):
-    """``(batch part, texts)`` of about ``BLOCK_CHARS`` characters each."""
+            part = new[n: n + 4096]
+            self.a_memo.update(zip(part, map(self._pack, self._encode_a(part))))
+            for t, ids in zip(part, self._encode_b(part)):
+                same = b"".join(map(self.b_bytes.__getitem__, ids)) == t.encode("utf-8", "surrogatepass")
+                self.b_memo[t] = self._pack(ids) if same else None
+        a, b = [], []
+        for t, f in zip(texts, found):
+            parts = list(map(self.b_memo.__getitem__, f))
+            if None in parts:  # decided on the whole text
+                x, y = self._encode_a([" " + t])[0], self._encode_b([" " + t])[0]
+                want = (" " + t).encode("utf-8", "surrogatepass")
+                same = all(b"".join(map(of.__getitem__, ids)) == want for of, ids in ((self.a_bytes, x), (self.b_bytes, y)))
+                a.append(self._pack(x if same else []))
+                b.append(self._pack(y if same else []))
+            else:
+                a.append(b"".join(map(self.a_memo.__getitem__, f)))
+                b.append(b"".join(parts))
+        return a, b
+
+
+# --- alignment ---------------------------------------------------------------
+
+class Vocabulary:
+    """Lengths of tokens and their decimal ids before each separator."""
+
+    def __init__(self, a_bytes: list[int], b_bytes: list[int], kind: str):
+        self.kind = np.dtype(kind)
+        self.size = [np.array(x, dtype=np.int64) for x in (a_bytes, b_bytes)]
+        self.text = [[np.array([f"{i}{end}" for i in range(len(x))], dtype=object) for end in ends]
+                     for x, ends in ((a_bytes, ",|"), (b_bytes, ",;"))]
+
+
+class Aligned:
+    """A block of documents, aligned: between two neighbouring token ends (of
+    A or of B) lies one link; ends of both close a group."""
+
+    def __init__(self, vocabulary: Vocabulary, a: list[bytes], b: list[bytes]):
+        self.vocabulary = vocabulary
+        self.n = [np.array([len(x) for x in side], dtype=np.int64) // vocabulary.kind.itemsize for side in (a, b)]
+        self.ids = [np.frombuffer(b"".join(side), dtype=vocabulary.kind).astype(np.int64) for side in (a, b)]
+        self.ends = [np.cumsum(size[i]) for size, i in zip(vocabulary.size, self.ids)]
+        total = int(self.ends[0][-1]) if len(self.ends[0]) else 0
+        marks = []
+        for e in self.ends:
+            marks.append(np.zeros(total + 1, dtype=np.int64))
+            marks[-1][e] = 1
+        at = np.flatnonzero(marks[0] | marks[1])
+        left, right = (i[(np.cumsum(m) - m)[at]] for i, m in zip(self.ids, marks))
+        self.pairs = left << 32 | right
+        both = marks[0] & marks[1]
+        before = np.cumsum(both) - both
+        self.group = [before[e] for e in self.ends]
+        self.full = np.flatnonzero(self.n[0])  # documents with tokens
+        last = self.ends[0][np.cumsum(self.n[0])[self.full] - 1]
+        self.doc = self.full[np.searchsorted(last, at)]  # of every link
+        self.n_links = np.bincount(self.doc, minlength=len(a))
+        self.n_groups = np.bincount(self.full[np.searchsorted(last, np.flatnonzero(both))], minlength=len(a))
+
+    def sums(self, of_link: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(self.n_links), dtype=np.int64)
+        np.add.at(out, self.doc, of_link)
+        return out
+
+    def doc_pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``(keys, document, number of key, times)``: every pair once per document."""
+        keys, number = np.unique(self.pairs, return_inverse=True)
+        both, times = np.unique(self.doc * max(1, len(keys)) + number, return_counts=True)
+        return keys, both // max(1, len(keys)), both % max(1, len(keys)), times
+
+    def texts(self) -> list[str]:
+        parts = []
+        for ids, group, (more, end) in zip(self.ids, self.group, self.vocabulary.text):
+            close = np.append(group[1:] != group[:-1], [True] * min(1, len(group)))
+            parts.append(np.where(close, end[ids], more[ids]))
+        order = np.argsort(np.concatenate([self.group[0] * 2, self.group[1] * 2 + 1]), kind="stable")
+        parts = np.concatenate(parts)[order].tolist()
+        stop = np.cumsum(self.n[0] + self.n[1]).tolist()
+        return ["".join(parts[x:y])[:-1] for x, y in zip([0, *stop], stop)]
+
+
+def _blocks(batches, most: int, size_of):
+    """Parts of batches of about ``most`` units of ``size_of(part row)``."""
     for batch in batches:
         at = 0
         while at < batch.num_rows:
-            texts, size, end = [], 0, at
-            while end < batch.num_rows and (end == at or size < BLOCK_CHARS):
-                texts.append(batch.column(1)[end].as_py() or "")
-                size += len(texts[-1])
+            size, end = 0, at
+            while end < batch.num_rows and (end == at or size < most):
+                size += size_of(batch, end)
                 end += 1
-            yield batch.slice(at, end - at), texts
+            yield batch.slice(at, end - at)
             at = end
 
 
@@ -265,22 +293,40 @@ def _rows(names, *columns) -> pa.Table:
     return pa.table(dict(zip(names, columns)))
 
 
-def block_counts(docs: DataFrame, shared, version: str) -> DataFrame:
+def encode(docs: DataFrame, shared, version: str) -> DataFrame:
+    """``(doc_id, a, b)``: packed ids of both tokenizers."""
+
+    def run(batches):
+        both = worker_state(f"tokenizers-{version}", lambda: Tokenizers(*shared.value))
+        for part in _blocks(batches, BLOCK_CHARS, lambda x, i: len(x.column(1)[i].as_py() or "")):
+            a, b = both.encode([t or "" for t in part.column(1).to_pylist()])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(a, pa.binary()), pa.array(b, pa.binary())],
+                                             names=["doc_id", "a", "b"])
+
+    return docs.mapInArrow(run, "doc_id long, a binary, b binary")
+
+
+def _aligned(batches, vocabulary):
+    """``(part, Aligned)`` of blocks of encoded documents."""
+    for part in _blocks(batches, BLOCK_CHARS, lambda x, i: len(x.column(1)[i].as_py())):
+        yield part, Aligned(vocabulary, part.column(1).to_pylist(), part.column(2).to_pylist())
+
+
+def block_counts(ids: DataFrame, held) -> DataFrame:
     """First pass: ``(shard, node, pairs, counts)``; a node is a task's block."""
 
     def run(batches):
         from pyspark import TaskContext
-        node = TaskContext.get().partitionId()
-        aligner, held = _aligner(shared, version), []
+        node, held_counts = TaskContext.get().partitionId(), []
 
         def flush():
-            k, back = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
-            c = np.bincount(back, weights=np.concatenate([x[1] for x in held]), minlength=len(k)).astype(np.int64)
-            held[:] = [(k, c)]
+            k, back = np.unique(np.concatenate([x[0] for x in held_counts]), return_inverse=True)
+            c = np.bincount(back, weights=np.concatenate([x[1] for x in held_counts]), minlength=len(k)).astype(np.int64)
+            held_counts[:] = [(k, c)]
 
         def out():
             flush()
-            (k, c), s = held.pop(), None
+            k, c = held_counts.pop()
             s = shard_of(k)
             order = np.argsort(s, kind="stable")
             here, begin = np.unique(s[order], return_index=True)
@@ -289,18 +335,17 @@ def block_counts(docs: DataFrame, shared, version: str) -> DataFrame:
                 [pa.array(here, pa.int32()), pa.array([node] * len(here), pa.int64()), _lists([k[x] for x in cut], pa.int64()),
                  _lists([c[x] for x in cut], pa.int64())], names=["shard", "node", "pairs", "counts"])
 
-        for _, texts in _blocks(batches):
-            entries, found = aligner.block(texts)
-            k, _, number = doc_pairs(entries, found)
-            held.append((k, np.bincount(number, minlength=len(k))))
-            if sum(len(x[0]) for x in held) > FLUSH:
+        for _, block in _aligned(batches, held.value):
+            k, _, number, _ = block.doc_pairs()
+            held_counts.append((k, np.bincount(number, minlength=len(k))))
+            if sum(len(x[0]) for x in held_counts) > FLUSH:
                 flush()
-                if len(held[0][0]) > FLUSH:
+                if len(held_counts[0][0]) > FLUSH:
                     yield out()
-        if held:
+        if held_counts:
             yield out()
 
-    return docs.mapInArrow(run, "shard int, node long, pairs array<long>, counts array<long>")
+    return ids.mapInArrow(run, "shard int, node long, pairs array<long>, counts array<long>")
 
 
 def _tree(df: DataFrame, top: int, value: str, join) -> DataFrame:
@@ -384,75 +429,59 @@ _OUT = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "g
 _STATS = "doc_id long, n_a long, n_b long, n_groups long, n_links long"
 
 
-def _stat_columns(part, found):
-    return [part.column(0), *[pa.array([s[n] for s in found], pa.int64()) for n in range(4)]]
+def _stat_columns(part, block: Aligned):
+    return [part.column(0), *[pa.array(x, pa.int64()) for x in (*block.n, block.n_groups, block.n_links)]]
 
 
-def _scored(docs: DataFrame, shared, version: str, tables: dict[int, Shard]) -> DataFrame:
+def _scored(ids: DataFrame, held, tables: dict[int, Shard]) -> DataFrame:
     """Second pass with the tables in every worker."""
-    held = docs.sparkSession.sparkContext.broadcast(tables)
+    shards = ids.sparkSession.sparkContext.broadcast(tables)
 
     def run(batches):
-        aligner = _aligner(shared, version)
-        for part, texts in _blocks(batches):
-            entries, found = aligner.block(texts)
-            pairs = _Pairs(entries)
-            count, best, s = np.zeros(len(pairs.keys), dtype=np.int64), np.zeros(len(pairs.keys), dtype=np.int64), shard_of(pairs.keys)
+        for part, block in _aligned(batches, held.value):
+            keys, number = np.unique(block.pairs, return_inverse=True)
+            count, best = np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=np.int64)
+            s = shard_of(keys)
             order = np.argsort(s, kind="stable")
             here, begin = np.unique(s[order], return_index=True)
             for k, a, b in zip(here.tolist(), begin, [*begin[1:], len(order)]):
                 x = order[a:b]
-                count[x], best[x] = held.value[k].look_up(pairs.keys[x])
-            where, number = pairs.of(np.arange(len(entries)))
-            by_entry = [np.zeros(len(entries), dtype=np.int64) for _ in "cb"]
-            for into, v in zip(by_entry, (count, best)):
-                np.add.at(into, where, v[number])
-            doc, entry = _doc_entries(found, False)
-            sums = [np.zeros(len(found), dtype=np.int64) for _ in "cb"]
-            for into, v in zip(sums, by_entry):
-                np.add.at(into, doc, v[entry])
-            stats = _stats(entries, found)
+                count[x], best[x] = shards.value[k].look_up(keys[x])
             yield pa.RecordBatch.from_arrays(
-                [*_stat_columns(part, stats), pa.array(sums[1], pa.int64()), pa.array(sums[0], pa.int64()),
-                 pa.array([x[4] for x in stats], pa.string())], names=list(_OUT))
+                [*_stat_columns(part, block), pa.array(block.sums(best[number]), pa.int64()),
+                 pa.array(block.sums(count[number]), pa.int64()), pa.array(block.texts(), pa.string())], names=list(_OUT))
 
-    return docs.mapInArrow(run, f"{_STATS}, n_best long, count_sum long, groups string")
+    return ids.mapInArrow(run, f"{_STATS}, n_best long, count_sum long, groups string")
 
 
-def _scored_by_shard(docs: DataFrame, shared, version: str, pairs: DataFrame) -> DataFrame:
+def _scored_by_shard(ids: DataFrame, held, pairs: DataFrame) -> DataFrame:
     """Second pass where documents' pairs go to their shards: one table of the
     documents (shard -1) and of their pairs per block and shard."""
-    names = ["shard", "row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "rows", "pairs", "times"]
+    names = ["shard", "row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "rows", "asked", "times"]
 
     def run(batches):
         from pyspark import TaskContext
         row = TaskContext.get().partitionId() << 40
-        aligner = _aligner(shared, version)
-        for part, texts in _blocks(batches):
-            entries, found = aligner.block(texts)
-            stats, n = _stats(entries, found), len(found)
+        for part, block in _aligned(batches, held.value):
+            n = part.num_rows
             empty = _lists([np.empty(0, dtype=np.int64)] * n, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([-1] * n, pa.int32()), pa.array(np.arange(row, row + n), pa.int64()), *_stat_columns(part, stats),
-                 pa.array([x[4] for x in stats], pa.string()), empty, empty, empty], names=names)
-            p = _Pairs(entries)
-            doc, entry = _doc_entries(found, False)
-            where, number = p.of(entry)
-            both, times = np.unique(doc[where] * max(1, len(p.keys)) + number, return_counts=True)
-            at, keys = row + both // max(1, len(p.keys)), p.keys[both % max(1, len(p.keys))]
-            s = shard_of(keys)
+                [pa.array([-1] * n, pa.int32()), pa.array(np.arange(row, row + n), pa.int64()), *_stat_columns(part, block),
+                 pa.array(block.texts(), pa.string()), empty, empty, empty], names=names)
+            keys, doc, number, times = block.doc_pairs()
+            s = shard_of(keys)[number]
             here = np.unique(s)
             cut = [np.flatnonzero(s == k) for k in here]
             none = [pa.nulls(len(here), pa.int64())] * 6
             yield pa.RecordBatch.from_arrays(
                 [pa.array(here, pa.int32()), *none, pa.nulls(len(here), pa.string()), *[_lists([v[x] for x in cut], pa.int64())
-                 for v in (at, keys, times)]], names=names)
+                 for v in (row + doc, keys[number], times)]], names=names)
             row += n
 
-    both = table(docs.mapInArrow(run, f"shard int, row long, {_STATS}, groups string, rows array<long>, "
-                                      "pairs array<long>, times array<long>"))
+    both = table(ids.mapInArrow(run, f"shard int, row long, {_STATS}, groups string, rows array<long>, "
+                                     "asked array<long>, times array<long>"))
     # The blocks' rows of one shard are many: the join splits them (skew join) or has the few rows of ``pairs`` everywhere.
-    asked = both.where("shard >= 0").select(F.col("shard").alias("to"), "rows", F.col("pairs").alias("asked"), "times")
+    asked = both.where("shard >= 0").select(F.col("shard").alias("to"), "rows", "asked", "times")
 
     def look(batches):
         for batch in batches:
@@ -478,14 +507,14 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
           broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
     """``(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups)`` of
     every row; ``groups`` reads ``a1,a2|b1;a3|b2,b3`` in order."""
-    spark = docs.sparkSession
+    sc = docs.sparkSession.sparkContext
     with open(a_path, encoding="utf-8") as f, open(b_path, "rb") as g:
         files = f.read(), g.read()
     version = hashlib.sha256(files[0].encode() + files[1]).hexdigest()
-    shared = spark.sparkContext.broadcast(files)
+    both = Tokenizers(*files)
+    held = sc.broadcast(Vocabulary([len(x) for x in both.a_bytes], [len(x) for x in both.b_bytes], both.kind.str))
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    pairs = pair_table(table(block_counts(docs, shared, version)))
+    ids = table(encode(docs, sc.broadcast(files), version), compression="zstd")
+    pairs = pair_table(table(block_counts(ids, held)))
     total = pairs.agg(F.coalesce(F.sum(F.size("pairs")), F.lit(0))).first()[0]
-    if total > broadcast_pairs:
-        return _scored_by_shard(docs, shared, version, pairs)
-    return _scored(docs, shared, version, _shards(pairs.toArrow()))
+    return _scored_by_shard(ids, held, pairs) if total > broadcast_pairs else _scored(ids, held, _shards(pairs.toArrow()))
