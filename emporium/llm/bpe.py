@@ -1,13 +1,15 @@
 """Byte-level BPE encoding and decoding by merge replay.
 
 Texts are split by the tokenizer's pattern; the distinct pieces of a block of
-documents form a small corpus on which all merges are replayed at once: an
-inverted index maps the rank of a token pair to the places where that pair
-stands, ranks are taken in ascending order, every place is merged, and only
-the two touched neighbours enter the index anew.  A piece that is itself a
-token is that token.  Blocks are bounded by characters and pieces already
-encoded are remembered up to ``MEMO`` entries per worker, so memory is bounded
-and no row is shuffled.
+documents that the worker has not met yet form a small corpus on which all
+merges are replayed: an inverted index maps the rank of a token pair to the
+places where that pair stands, ranks are taken in ascending order, every place
+is merged, and only the two touched neighbours enter the index anew.  The
+first ranks, with many places each, are merged as arrays.  A piece that is itself a token is
+that token.  Blocks are bounded by characters; pieces already encoded are
+remembered per worker process, over its tasks, and the older half is forgotten
+above ``MEMO`` entries, so memory is bounded and no row is shuffled.  Encoding
+and decoding (always from the packed ids) share one worker and its vocabulary.
 
 Defined results: null text counts as empty and has no ids; very long texts
 are encoded whole (a block then holds that one text); repeated rows give equal
@@ -18,17 +20,25 @@ than id and text are not read.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emporium.llm.common import halve, worker_state
+
 #: Fixed value: the pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BLOCK_CHARS = 1_000_000
-MEMO = 200_000
+MEMO = 300_000
+#: Ranks whose merges are made at all places at once (arrays); later ones have few places each.
+BULK = 3_000
+#: Pieces replayed at once after that: lists and heap of so many stay in the processor's cache.
+REPLAY = 2_000
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -44,43 +54,100 @@ class Merger:
     def __init__(self, tokens: list[bytes]):
         self.tokens = tokens
         self.rank = {t: i for i, t in enumerate(tokens)}
-        self.byte = [self.rank[bytes([i])] for i in range(256)]
+        self.byte = np.array([self.rank[bytes([i])] for i in range(256)], dtype=np.int64)
         self.pairs: dict[int, int] = {}  # key: left << 20 | right
         for r, t in enumerate(tokens):
             for k in range(1, len(t)):
                 a, b = self.rank.get(t[:k]), self.rank.get(t[k:])
                 if a is not None and b is not None:
                     self.pairs[(a << 20) + b] = r
+        self._keys = np.array(sorted(self.pairs), dtype=np.int64)
+        self._ranks = np.array([self.pairs[k] for k in self._keys.tolist()], dtype=np.int64)
 
     def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
-        out: list[list[int] | None] = [None] * len(pieces)
-        tok: list[int] = [-1]
-        begins: list[tuple[int, int]] = []
-        for n, p in enumerate(pieces):
-            whole = self.rank.get(p)
-            if whole is not None:
-                out[n] = [whole]
-            else:
-                begins.append((n, len(tok)))
-                tok.extend(self.byte[c] for c in p)
-                tok.append(-1)
-        self._replay(tok, nxt := list(range(1, len(tok) + 1)))
-        for n, i in begins:
-            ids = []
-            while tok[i] >= 0:
-                ids.append(tok[i])
-                i = nxt[i]
-            out[n] = ids
+        out: list[list[int] | None] = [None if (whole := self.rank.get(p)) is None else [whole] for p in pieces]
+        rest = [n for n, ids in enumerate(out) if ids is None]
+        if not rest:
+            return out
+        size = np.array([len(pieces[n]) for n in rest], dtype=np.int64)
+        # Pieces one after another with a separator before, between and after them.
+        begin = np.cumsum(size + 1) - size
+        tok = np.full(int(size.sum()) + len(rest) + 1, -1, dtype=np.int64)
+        tok[np.arange(int(size.sum())) + np.repeat(np.arange(1, len(rest) + 1), size)] = self.byte[
+            np.frombuffer(b"".join(pieces[n] for n in rest), dtype=np.uint8)]
+        nxt, prv = np.arange(1, len(tok) + 1), np.arange(-1, len(tok) - 1)
+        nxt[-1] = len(tok) - 1
+        due, again = self._bulk(tok, nxt, prv, min(BULK, len(rest) // 10))
+        for x in range(0, len(rest), REPLAY):
+            y = min(x + REPLAY, len(rest))
+            s, e = int(begin[x]) - 1, int(begin[y - 1] + size[y - 1]) + 1
+            t, after = tok[s:e].tolist(), (nxt[s:e] - s).tolist()
+            self._replay(t, after, (prv[s:e] - s).tolist(), _index(due[s:e]))
+            for n, i in zip(rest[x:y], (begin[x:y] - s).tolist()):
+                ids = []
+                while t[i] >= 0:
+                    ids.append(t[i])
+                    i = after[i]
+                out[n] = ids
+        for x in np.unique(np.searchsorted(begin, again, side="right") - 1).tolist():
+            out[rest[x]] = self._alone(pieces[rest[x]])
         return out
 
-    def _replay(self, tok: list[int], nxt: list[int]) -> None:
+    def _alone(self, piece: bytes) -> list[int]:
+        tok = [-1, *self.byte[np.frombuffer(piece, dtype=np.uint8)].tolist(), -1]
+        due = np.append(self._rank_of(np.array(tok[:-1]), np.array(tok[1:])), -1)
+        self._replay(tok, list(range(1, len(tok) + 1)), list(range(-1, len(tok) - 1)), _index(due))
+        return [t for t in tok if t >= 0]
+
+    def _rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of every pair, -1 for those that do not merge."""
+        key = (left << 20) + right
+        at = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+        return np.where((self._keys[at] == key) & (left >= 0) & (right >= 0), self._ranks[at], -1)
+
+    def _bulk(self, tok: np.ndarray, nxt: np.ndarray, prv: np.ndarray, upto: int) -> tuple[np.ndarray, np.ndarray]:
+        """The merges of the first ``upto`` ranks, each at all its places at
+        once.  Returns the rank that is due at every place after them (-1:
+        none), and places where a merge of a lower rank came up late: their
+        pieces are to be replayed alone, place by place."""
+        late = [np.empty(0, dtype=np.int64)]
+        due = np.append(self._rank_of(tok[:-1], tok[1:]), -1)
+        index = {r: [x] for r, x in _groups(np.flatnonzero(due >= 0), due[due >= 0]) if r < upto}
+        heap = list(index)
+        heapq.heapify(heap)
+        while heap:
+            r = heapq.heappop(heap)
+            at = index.pop(r)
+            i = np.unique(np.concatenate(at)) if len(at) > 1 else at[0]
+            i = i[due[i] == r]
+            if not len(i):
+                continue
+            j = nxt[i]
+            if (due[j] == r).any():  # places that share a token: the left one merges
+                kept, taken = [], -1
+                for x, y in zip(i.tolist(), j.tolist()):
+                    if x != taken:
+                        kept.append(x)
+                        taken = y
+                i = np.array(kept)
+                j = nxt[i]
+            k = nxt[j]
+            tok[i], tok[j], due[j] = r, -2, -1
+            nxt[i], prv[k] = k, i
+            touched = np.concatenate([prv[i], i])
+            q = due[touched] = self._rank_of(tok[touched], tok[nxt[touched]])
+            late.append(touched[(q >= 0) & (q < r)])
+            new = (q >= 0) & (q < upto)
+            for rank, x in _groups(touched[new], q[new]):
+                if rank in index:
+                    index[rank].append(x)
+                else:
+                    index[rank] = [x]
+                    heapq.heappush(heap, rank)
+        return due, np.concatenate(late)
+
+    def _replay(self, tok: list[int], nxt: list[int], prv: list[int], index: dict[int, list[int]]) -> None:
         pair = self.pairs.get
-        prv = list(range(-1, len(tok) - 1))
-        index: dict[int, list[int]] = {}
-        for i in range(len(tok) - 1):
-            r = pair((tok[i] << 20) + tok[i + 1])
-            if r is not None:
-                index.setdefault(r, []).append(i)
         heap = list(index)
         heapq.heapify(heap)
         while heap:
@@ -112,26 +179,54 @@ class Merger:
                     break
 
 
-_MERGERS: dict[int, Merger] = {}
+def _groups(places: np.ndarray, ranks: np.ndarray):
+    """``(rank, places ascending)`` of every rank."""
+    order = np.lexsort((places, ranks))
+    ranks, places = ranks[order], places[order]
+    edge = np.flatnonzero(np.diff(ranks)) + 1
+    return zip(ranks[np.concatenate(([0], edge))].tolist() if len(ranks) else [], np.split(places, edge))
+
+
+def _index(due: np.ndarray) -> dict[int, list[int]]:
+    at = np.flatnonzero(due >= 0)
+    return {r: x.tolist() for r, x in _groups(at, due[at])}
+
+
+class _Vocabulary:
+    """A broadcast vocabulary; one merger and memo of pieces per worker."""
 
+    def __init__(self, spark, ranks_path: str):
+        tokens = load_ranks(ranks_path)
+        self._b = spark.sparkContext.broadcast(tokens)
+        self.id = hashlib.sha256(b"".join(len(t).to_bytes(4, "little") + t for t in tokens)).hexdigest()
 
-def _merger(tokens) -> Merger:
-    """One merger per worker and vocabulary."""
-    if tokens.id not in _MERGERS:
-        _MERGERS.clear()
-        _MERGERS[tokens.id] = Merger(tokens.value)
-    return _MERGERS[tokens.id]
+    def merger(self) -> Merger:
+        return worker_state(f"bpe-{self.id}", lambda: Merger(self._b.value))
 
+    def memo(self, pattern: str) -> dict[str, bytes]:
+        return worker_state(f"bpe-{self.id}-{pattern}", dict)
 
-class _Shared:
-    """A broadcast with an id that stays the same in the workers."""
 
-    def __init__(self, spark, value):
-        self._b, self.id = spark.sparkContext.broadcast(value), hash(tuple(value[:1000])) ^ len(value)
+def _encoder(vocabulary: _Vocabulary, pattern: str):
+    """Function from texts to their packed ids."""
+    import regex
+    find, merger, memo = regex.compile(pattern).findall, vocabulary.merger(), vocabulary.memo(pattern)
 
-    @property
-    def value(self):
-        return self._b.value
+    def pack(texts: list) -> list[bytes]:
+        found = [find(t) if t else [] for t in texts]
+        halve(memo, MEMO)
+        new = list(set().union(*found) - memo.keys())
+        for p, x in zip(new, merger.encode_pieces([p.encode("utf-8", "surrogatepass") for p in new])):
+            memo[p] = array("I", x).tobytes()
+        return [b"".join(map(memo.__getitem__, f)) for f in found]
+
+    return pack
+
+
+def _decoder(vocabulary: _Vocabulary):
+    """Function from packed ids to the bytes that they stand for."""
+    token = vocabulary.merger().tokens.__getitem__
+    return lambda packed: b"".join(map(token, np.frombuffer(packed, "<u4").tolist()))
 
 
 def blocks(texts: pa.Array, limit: int = BLOCK_CHARS):
@@ -146,48 +241,61 @@ def blocks(texts: pa.Array, limit: int = BLOCK_CHARS):
         yield at, len(texts)
 
 
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str = PATTERN, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """``(doc_id, token_ids)``: ids of the whole text as little-endian unsigned
     32-bit integers in one binary value (:func:`unpack` gives an array)."""
-    shared = _Shared(docs.sparkSession, load_ranks(ranks_path))
+    shared = _Vocabulary(docs.sparkSession, ranks_path)
 
     def run(batches):
-        import regex
-        find, merger, memo = regex.compile(pattern).findall, _merger(shared), {}
+        pack = _encoder(shared, pattern)
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
-            for a, b in blocks(texts):
-                found = [find(t) if t else [] for t in texts.slice(a, b - a).to_pylist()]
-                if len(memo) > MEMO:
-                    memo.clear()
-                new = list({p for f in found for p in f if p not in memo})
-                for p, x in zip(new, merger.encode_pieces([p.encode("utf-8", "surrogatepass") for p in new])):
-                    memo[p] = np.array(x, dtype="<u4").tobytes()
-                packed = [b"".join(map(memo.__getitem__, f)) for f in found]
-                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(packed, pa.binary())],
+            for a, b in blocks(batch.column(1)):
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(pack(part.column(1).to_pylist()), pa.binary())],
                                                  names=["doc_id", "token_ids"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id long, token_ids binary")
+    return _source(docs, id_col, text_col).mapInArrow(run, "doc_id long, token_ids binary")
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """Adds ``decoded``: the bytes that ``token_ids`` stand for."""
-    shared = _Shared(encoded.sparkSession, load_ranks(ranks_path))
+    """``(doc_id, token_ids, decoded)``: the bytes that ``token_ids`` stand for."""
+    shared = _Vocabulary(encoded.sparkSession, ranks_path)
 
     def run(batches):
-        token = shared.value.__getitem__
+        text = _decoder(shared)
         for batch in batches:
             for n in range(0, batch.num_rows, 256):
                 part = batch.slice(n, 256)
-                text = [b"".join(map(token, np.frombuffer(x, "<u4").tolist())) for x in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(text, pa.binary())],
-                                                 names=["doc_id", "token_ids", "decoded"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(list(map(text, part.column(1).to_pylist())), pa.binary())],
+                    names=["doc_id", "token_ids", "decoded"])
 
     return encoded.select("doc_id", "token_ids").mapInArrow(run, "doc_id long, token_ids binary, decoded binary")
 
 
+def encode_and_decode(docs: DataFrame, ranks_path: str, pattern: str = PATTERN, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """:func:`decode` of :func:`encode` in one worker: ``(doc_id, token_ids, decoded)``."""
+    shared = _Vocabulary(docs.sparkSession, ranks_path)
+
+    def run(batches):
+        pack, text = _encoder(shared, pattern), _decoder(shared)
+        for batch in batches:
+            for a, b in blocks(batch.column(1)):
+                part = batch.slice(a, b - a)
+                packed = pack(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(packed, pa.binary()), pa.array(list(map(text, packed)), pa.binary())],
+                    names=["doc_id", "token_ids", "decoded"])
+
+    return _source(docs, id_col, text_col).mapInArrow(run, "doc_id long, token_ids binary, decoded binary")
+
+
 def unpack(token_ids: str):
     """Array of ids from the packed column (for models that want an array)."""
     return F.expr(f"""transform(sequence(0, cast(length({token_ids}) / 4 as int) - 1),

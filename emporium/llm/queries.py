@@ -39,8 +39,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path(RANKS)
-    out = bpe.decode(bpe.encode(read(spark, sf_dir, "documents"), path), path)
+    out = bpe.encode_and_decode(read(spark, sf_dir, "documents"), tokenizer_path(RANKS))
     return out.select("doc_id", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
                       F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
