@@ -43,8 +43,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, decoded again as a check."""
-    path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
-    out = bpe.decode(bpe.encode(docs, path), path)
+    out = bpe.encode_and_decode(docs, tokenizer_path("byte_bpe_multi_50k.tiktoken"))
     return out.select("doc_id", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
                       F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("text_sha256"), "token_ids")
 
