@@ -82,7 +82,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.apply_rules(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-                      F.array_join("failed_rules", ",").alias("failed_rules"))
+                      F.array_join("failed_rules", ",").alias("failed_rules"), "n_stop_words")
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
