@@ -50,7 +50,8 @@ MORE = (
     Rule("stripe", r"(?:sk|rk)_live_[A-Za-z0-9]{16,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("url", r"[a-z][a-z0-9+.-]*://[^\s:/@]+:[^\s:/@]+@"),
+    # A scheme has up to 31 characters and begins a run of letters: long runs are passed in one go.
+    Rule("url", r"(?<![a-z])[a-z][a-z0-9+.-]{0,30}://[^\s:/@]+:[^\s:/@]+@"),
 )
 
 # --- Boolean trigram queries -----------------------------------------------
