@@ -28,6 +28,7 @@ from __future__ import annotations
 import html as _html
 import math
 import re
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +37,8 @@ from pyspark.sql import functions as F
 
 TRAIN_PAGES, TRAIN_CHARS = 400, 50_000
 
-_TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"""
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"'=]++|=\s*+"[^"]*"|=\s*+'[^']*'|[="'])*+)>""", re.S)
+_OPEN = re.compile(r"<(?:(!--)|(!\[CDATA\[)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+_STEP = re.compile(r"""[^>"'=]*+(>|=\s*+(["'])?|["'])""")
 #: Any attribute by its full name, with its value.
 _ATTR = re.compile(r"""([^\s"'/=>][^\s/=>]*)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s"'>][^\s>]*)))?""")
 _READ = frozenset("class id role hidden style".split())
@@ -46,8 +46,8 @@ _HINT = re.compile("(?i)class|id|role|hidden|style")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 #: Elements without readable text.
-_SKIP = frozenset("script style textarea title xmp iframe noembed noframes head noscript template svg math canvas object "
-                  "select button option datalist audio video map".split())
+_SKIP = frozenset("script style textarea title xmp iframe noembed noframes head noscript template svg canvas object "
+                  "select option datalist audio video map".split())
 #: Elements that are never part of an article; a form around the page's text counts as a div.
 _NEVER = frozenset("nav aside form footer dialog menu".split())
 _BLOCK = frozenset("html body address article aside blockquote caption center dd details dialog div dl dt fieldset "
@@ -83,6 +83,45 @@ def _attributes(source: str) -> list[tuple[str, str]]:
     return [(k.lower(), a or b or c) for k, a, b, c in _ATTR.findall(source) if k.lower() in _READ]
 
 
+def _tokens(source: str):
+    """``(start, end, end tag, name, attributes)`` of the mark-up, in one pass;
+    the name is empty for comments and declarations.  A tag that the page never
+    ends stops at its first ``>``; without one the rest is text."""
+    at, n, none = 0, len(source), {'"': len(source), "'": len(source)}  # from where on a quote is not closed
+    while m := _OPEN.search(source, at):
+        start, at = m.start(), m.end()
+        if m[1] or m[2]:
+            end = source.find("-->" if m[1] else "]]>", at)
+            at = n if end < 0 else end + 3
+            yield start, at, "", "", ""
+            continue
+        if m[3]:
+            end = source.find(">", at)
+            if end < 0:
+                return
+            at = end + 1
+            yield start, at, "", "", ""
+            continue
+        here = at
+        while step := _STEP.match(source, here):
+            here = step.end()
+            if step[1] == ">":
+                break
+            if (quote := step[2]) and here < none[quote]:
+                end = source.find(quote, here)
+                if end < 0:
+                    none[quote] = here
+                else:
+                    here = end + 1
+        else:
+            end = source.find(">", at)
+            if end < 0:
+                return
+            here = end + 1
+        yield start, here, m[4], m[5].lower(), source[at:here - 1]
+        at = here
+
+
 class Page:
     """Tree of one page: per node its parent, tag and names; ``pieces`` are
     (block number, node, inside a link, text) in page order."""
@@ -126,59 +165,70 @@ class Page:
         return len(self.parent) - 1
 
     def _read(self, source: str) -> None:
-        stack: list[tuple[str, int]] = [("html", 0)]  # (tag, node that its text belongs to)
+        stack: list[tuple[str, int]] = [("html", 0)]  # (tag, node that its text belongs to); a tag ended early is ""
+        opened: dict[str, list[int]] = {}  # places of every open tag in the stack, ascending
+        blocks: list[int] = []  # places of open blocks
         links = skip = block = 0
         at, n, lower = 0, len(source), None
 
-        def close(upto: int) -> None:
+        def leave(tag: str) -> None:
             nonlocal links, skip, block
-            while len(stack) > upto:
+            links -= tag == "a"
+            skip -= tag in _SKIP
+            block += tag in _BLOCK
+
+        def close(upto: int) -> None:
+            while len(stack) > upto or not stack[-1][0]:
                 tag, _ = stack.pop()
-                links -= tag == "a"
-                skip -= tag in _SKIP
-                block += tag in _BLOCK
+                if tag:
+                    opened[tag].pop()
+                    if tag in _BLOCK:
+                        blocks.pop()
+                    leave(tag)
+
+        def last(tags) -> int:
+            return max((opened[t][-1] for t in tags if opened.get(t)), default=0)
+
+        def resume(tokens):
+            nonlocal at
+            for start, end, ends, tag, attrs in tokens:
+                if start < at:  # inside raw text
+                    continue
+                text, at = source[at:start], end
+                yield text, ends, tag, attrs
+            yield source[at:], "", None, ""
 
-        while at < n:
-            m = _TOKEN.search(source, at)
-            text = source[at:m.start()] if m else source[at:]
+        for text, ends, tag, attrs in resume(_tokens(source)):
             if text and not skip:
                 self.pieces.append((block, stack[-1][1], links > 0, text))
-            if not m:
+            if tag is None:
                 break
-            at = m.end()
-            tag = m[2].lower() if m[2] else ""
-            if not tag or tag in ("html", "body") and len(stack) > 1 and not m[1]:
+            if not tag or tag in ("html", "body") and len(stack) > 1 and not ends:
                 continue
-            if m[1]:
+            if ends:
                 if tag in ("html", "body"):
                     continue
-                where = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
-                if where and (tag in _BLOCK or all(t not in _BLOCK for t, _ in stack[where:])):
+                where = last((tag,))
+                if where and (tag in _BLOCK or not blocks or blocks[-1] < where):
                     close(where)
                 elif where:  # an inline end inside a block that began later
-                    stack.pop(where)
-                    links -= tag == "a"
-                    skip -= tag in _SKIP
+                    stack[where] = ("", stack[where][1])
+                    opened[tag].pop()
+                    leave(tag)
                 continue
             if tag in _ENDS_P:
-                where = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in ("p", "td", "th", "button")), 0)
+                where = last(("p", "td", "th", "button"))
                 if where and stack[where][0] == "p":
                     close(where)
             if tag in _SIBLING:
-                ends, stop = _SIBLING[tag]
-                where = 0
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] in stop:
-                        break
-                    if stack[i][0] in ends:
-                        where = i
+                mine, stop = _SIBLING[tag]
+                stop = last(stop)
+                where = [w[k] for t in mine if (w := opened.get(t)) and (k := bisect_right(w, stop)) < len(w)]
                 if where:
-                    close(where)
-            if tag == "body" or tag in _BLOCK and stack[-1][0] == "head":
-                where = next((i for i, (t, _) in enumerate(stack) if t == "head"), 0)
-                if where:
-                    close(where)
-            if tag in _VOID or m[3].endswith("/") and tag in ("path", "circle", "use"):
+                    close(min(where))
+            if (tag == "body" or tag in _BLOCK and stack[-1][0] == "head") and opened.get("head"):
+                close(opened["head"][0])
+            if tag in _VOID or attrs.endswith("/") and tag in ("path", "circle", "use"):
                 if tag == "br" and not skip:
                     self.pieces.append((block, stack[-1][1], links > 0, " "))
                 block += tag == "hr"
@@ -192,9 +242,12 @@ class Page:
                     end = e.start() if e else -1
                 at = n if end < 0 else end
             own = stack[-1][1]
-            attrs = _attributes(m[3]) if tag not in _SKIP else []
-            if tag not in _SKIP and (tag in _BLOCK or attrs):
-                own = self._node(own, tag, attrs)
+            read = _attributes(attrs) if tag not in _SKIP else []
+            if tag not in _SKIP and (tag in _BLOCK or read):
+                own = self._node(own, tag, read)
+            opened.setdefault(tag, []).append(len(stack))
+            if tag in _BLOCK:
+                blocks.append(len(stack))
             stack.append((tag, own))
             links += tag == "a"
             skip += tag in _SKIP
