@@ -53,6 +53,10 @@ def missed(masks, size: int, wrong: int) -> set[tuple[int, ...]]:
     return {p for p in combinations(range(size), wrong) if all(h & set(p) for h in hashed)}
 
 
+#: Items of fewer words are reported, but no reason to drop a document.
+LEAST_DROP = 5
+
+
 def short_masks(size: int, agree: int = AGREE) -> list[tuple[int, ...]]:
     """Masks of up to six offsets that miss no allowed substitutions in ``size`` words."""
     wrong = size * (100 - agree) // 100
@@ -131,10 +135,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
                     F.array_join(F.transform("_items", lambda x: x.cast("string")), ",").alias("items")))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
-                      text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that overlap a benchmark item."""
-    bad = keys(contaminated(docs, benchmark, id_col=id_col, text_col=text_col)
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      item_text: str = "text", least: int = LEAST_DROP) -> DataFrame:
+    """``docs`` without the documents that overlap a benchmark item of
+    ``least`` words or more (plain prose holds most shorter items)."""
+    benchmark = benchmark.where(F.size(_words(item_text)) >= least)
+    bad = keys(contaminated(docs, benchmark, id_col=id_col, text_col=text_col, item_text=item_text)
                .select(F.col("doc_id").alias("_d"), F.col("_row").alias("_r")))
     cond = docs[id_col].cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64(docs[text_col].cast("string")) == F.col("_r"))
     return docs.join(bad, cond, "left_anti")
