@@ -171,20 +171,33 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """``edges(a, b)`` of longs -> ``(id, root)``: the smallest id that each
-    id reaches.  Rounds of contraction: every id points to its smallest
-    neighbour (aggregated map-side, so a hub is never gathered), edges are
-    rewritten to the targets and loops dropped, until no edge is left."""
-    e = cut(edges.where("a <> b").select("a", "b").distinct())
-    m = e.select(F.col("a").alias("id")).union(e.select("b")).distinct().withColumn("root", F.col("id"))
+    id reaches.  Rounds of contraction: every id points to its neighbour (or
+    itself) of the least hash (aggregated map-side, so a hub is never
+    gathered), pointers are doubled twice, edges are rewritten to the targets
+    and loops dropped, until no edge is left.  The order by hash leaves about
+    a third of a long chain in a round, so rounds grow with its logarithm.
+    Steps are tables: checkpoints would hand on the optimiser's constraints,
+    which double with every join of the pointers with themselves."""
+    e = table(edges.where("a <> b").select("a", "b").distinct())
+    if e.isEmpty():
+        return e.select(F.col("a").alias("id"), F.col("b").alias("root"))
+    m = None
     while not e.isEmpty():
-        p = (e.union(e.select("b", "a")).groupBy("a").agg(F.min("b").alias("p"))
-             .select(F.col("a").alias("v"), F.least("a", "p").alias("p")))
-        m = m.join(p, m.root == p.v, "left").select("id", F.coalesce("p", "root").alias("root"))
+        best = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("p"))
+        p = (e.union(e.select("b", "a")).groupBy("a").agg(F.min(best("b")).alias("n"))
+             .select(F.col("a").alias("v"), F.least("n", best("a")).getField("p").alias("p")))
+        for _ in range(2):
+            p = table(p)
+            p = p.join(p.select(F.col("v").alias("w"), F.col("p").alias("q")), F.col("p") == F.col("w")).select("v", F.col("q").alias("p"))
+        p = table(p)
+        m = table(p.select(F.col("v").alias("id"), F.col("p").alias("label")) if m is None else
+                m.join(p, m.label == p.v, "left").select("id", F.coalesce("p", "label").alias("label")))
         pa = p.select(F.col("v").alias("a"), F.col("p").alias("na"))
         pb = p.select(F.col("v").alias("b"), F.col("p").alias("nb"))
-        e = cut(e.join(pa, "a").join(pb, "b").where("na <> nb")
+        e = table(e.join(pa, "a").join(pb, "b").where("na <> nb")
                 .select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct())
-    return cut(m)
+    first = m.groupBy("label").agg(F.min("id").alias("root"))
+    return table(m.join(first, "label").select("id", "root"))
 
 
 def tokenizer_path(name: str) -> str:

@@ -26,8 +26,8 @@ at 0.8 below 1e-6.
 Defined results: null or word-less texts have an empty set, are linked with
 nothing and are kept; a text of fewer than five words is one shingle;
 repeated rows of one id go together; a null id takes the component of its
-equals (null if none has an id) and is kept only if that is null; an empty
-table gives an empty table; columns other than id and text are not read.
+group (null if none has an id), links documents like any other and is kept
+only if that is null; an empty table gives an empty table; columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -75,25 +75,25 @@ def _fingerprint(s: np.ndarray) -> int:
 
 
 def shingled(docs: DataFrame) -> DataFrame:
-    """``(doc_id, cls, n_shingles, sig)``; ``cls`` fingerprints the set, null
-    for an empty one."""
+    """``(doc_id, key, cls, n_shingles, sig)``; ``cls`` fingerprints the set,
+    null for an empty one, ``key`` hashes the text."""
 
     def run(batches):
         for batch in batches:
             for n in range(0, batch.num_rows, 512):
                 part = batch.slice(n, 512)
                 cls, size, sig = [], [], []
-                for t in part.column(1).to_pylist():
+                for t in part.column(2).to_pylist():
                     s = shingle_set(t, N)
                     size.append(len(s))
                     cls.append(_fingerprint(s) if len(s) else None)
                     sig.append(_signature(s) if len(s) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(cls, pa.int64()), pa.array(size, pa.int64()),
-                     pa.array(sig, pa.list_(pa.int64()))], names=["doc_id", "cls", "n_shingles", "sig"])
+                    [part.column(0), part.column(1), pa.array(cls, pa.int64()), pa.array(size, pa.int64()),
+                     pa.array(sig, pa.list_(pa.int64()))], names=["doc_id", "key", "cls", "n_shingles", "sig"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, cls long, n_shingles long, sig array<long>")
+    return docs.select("doc_id", "key", "text").mapInArrow(
+        run, "doc_id long, key long, cls long, n_shingles long, sig array<long>")
 
 
 def _sketched(texts: DataFrame) -> DataFrame:
@@ -152,10 +152,18 @@ def _fits(x: str, y: str, similarity: int):
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     similarity: int = 75) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every row."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return _grouped(docs, id_col, text_col, similarity).drop("key", "root")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, similarity: int = 75) -> DataFrame:
+    """:func:`near_duplicates` with the text's ``key`` and the group's ``root``."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
+        .withColumn("key", F.xxhash64("text"))
     rows = cut(shingled(docs))
+    # One row stands for a class: the smallest id, a row without an id only where none has one.
     classes = cut(rows.where("cls is not null").groupBy("cls").agg(
-        F.min("doc_id").alias("carrier"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
+        F.min("doc_id").alias("carrier"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).getField("key").alias("key"),
+        F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
 
     lists = classes.select("cls", "n", F.posexplode("sig").alias("k", "v")) \
         .select("cls", "n", F.xxhash64("k", "v").alias("token"))
@@ -167,8 +175,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .select("cls", "n", F.col("l.token").alias("token")))
     post = cut(prefix.withColumn("grp", F.col("cls")))
     # Texts of the classes that can have a partner, one document each.
-    carriers = keys(post.select("cls").distinct().join(classes.select("cls", "carrier"), "cls"))
-    texts = cut(_sketched(docs.join(carriers, docs.doc_id == carriers.carrier).select("cls", "text")))
+    carriers = keys(post.select("cls").distinct().join(classes.select("cls", "carrier", F.col("key").alias("text_key")), "cls"))
+    texts = cut(_sketched(docs.join(carriers, docs.doc_id.eqNullSafe(carriers.carrier) & (docs.key == carriers.text_key))
+                          .select("cls", "text")))
     edges = None
     for turn in range(ROUNDS):
         mixed = post.groupBy("token").agg(
@@ -200,13 +209,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if edges is not None:
         roots = components(edges)
         first = (groups.join(roots, groups.cls == roots.id).groupBy("root").agg(F.min("carrier").alias("first")))
-        groups = (groups.join(roots.join(first, "root").select(F.col("id").alias("cls"), "first"), "cls", "left")
-                  .select("cls", F.coalesce("first", "carrier").alias("component")))
+        groups = (groups.join(roots.join(first, "root").select(F.col("id").alias("cls"), "root", "first"), "cls", "left")
+                  .select("cls", F.coalesce("first", "carrier").alias("component"), F.coalesce("root", "cls").alias("root")))
     else:
-        groups = groups.select("cls", F.col("carrier").alias("component"))
-    out = rows.select("doc_id", "cls", "n_shingles").join(groups, "cls", "left")
+        groups = groups.select("cls", F.col("carrier").alias("component"), F.col("cls").alias("root"))
+    out = rows.select("doc_id", "key", "cls", "n_shingles").join(groups, "cls", "left")
     comp = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component"))
-    return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
+    return out.select("doc_id", "key", "root", "n_shingles", comp.alias("component_id"),
+                      F.col("doc_id").eqNullSafe(comp).alias("kept"))
 
 
 def _regroup(post: DataFrame, roots: DataFrame) -> DataFrame:
@@ -247,8 +257,20 @@ def _cross_pairs(rest: DataFrame, sketch: DataFrame, similarity: int) -> DataFra
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group (the smallest id); word-less
-    documents and documents without an id whose group has none stay."""
-    found = near_duplicates(docs, id_col, text_col).where("not kept").select("doc_id").distinct()
-    gone = keys(found.where("doc_id is not null").select(F.col("doc_id").alias("_gone")))
-    return docs.join(gone, docs[id_col].cast("long") == F.col("_gone"), "left_anti")
+    """``docs`` with one document of each group: the smallest id, of several
+    texts under it the one of the smallest hash (a group without any id keeps
+    one text).  Documents go by id and text, so another text under the same id
+    stays; equal rows count as one document, of which one row stays; word-less
+    documents stay."""
+    named = docs.columns
+    own = docs.withColumn("__dedup_key", F.xxhash64(F.col(text_col).cast("string"))).withColumn("__dedup_id", F.col(id_col).cast("long"))
+    found = cut(_grouped(docs, id_col, text_col).where("root is not null").select("doc_id", "key", "root"))
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("one"))
+    each = found.groupBy("root", "doc_id", "key").agg(F.count("*").alias("n"))
+    me = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
+    marked = cut(each.join(first, "root").select(F.col("doc_id").alias("__dedup_d"), F.col("key").alias("__dedup_k"),
+                                                 (me == F.col("one")).alias("stays"), "n").where("NOT stays OR n > 1"))
+    same = F.col("__dedup_id").eqNullSafe(F.col("__dedup_d")) & (F.col("__dedup_key") == F.col("__dedup_k"))
+    out = own.join(keys(marked.select("__dedup_d", "__dedup_k")), same, "left_anti").select(named)
+    again = keys(marked.where("stays").select("__dedup_d", "__dedup_k"))
+    return out.unionByName(own.join(again, same, "left_semi").dropDuplicates(["__dedup_id", "__dedup_key"]).select(named))

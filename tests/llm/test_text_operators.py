@@ -77,6 +77,58 @@ def test_components(spark):
     assert components(e.limit(0)).count() == 0
 
 
+def test_components_of_a_long_chain(spark, monkeypatch):
+    """Rounds grow with the logarithm of a chain's length."""
+    from emporium.llm import common
+    tables = []
+    monkeypatch.setattr(common, "table", lambda df, f=common.table: (tables.append(1), f(df))[1])
+    chain = spark.range(10_000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).repartition(4)
+    got = components(chain)
+    assert got.count() == 10_001 and got.where("root <> 0").count() == 0
+    assert len(tables) <= 2 + 5 * 20
+
+
+def test_near_duplicates_without_ids(spark):
+    """Texts without an id link documents; copies are dropped by id and text."""
+    w = _prose(11, 400).split(" ")
+    edit = lambda upto: " ".join(["new%d" % i if i % 25 == 12 and i < upto else x for i, x in enumerate(w)])
+    base, middle, far = " ".join(w), edit(200), edit(400)
+    sim = lambda a, b: len(_set(a) & _set(b)) / len(_set(a) | _set(b))
+    assert sim(base, middle) >= .75 and sim(middle, far) >= .75 > sim(base, far)
+    other = _prose(12, 100)
+    docs = spark.createDataFrame([(1, base), (None, middle), (2, far), (2, other), (3, other), (3, other), (None, None), (4, "")],
+                                 "doc_id long, text string")
+    got = Counter((r.doc_id, r.component_id) for r in minhash_join.near_duplicates(docs).where("n_shingles > 0").collect())
+    assert got[(1, 1)] == 1 and got[(None, 1)] == 1 and {c for (i, c) in got if i == 2} == {1, 2}
+    kept = Counter((r.doc_id, r.text) for r in minhash_join.drop_near_duplicates(docs).collect())
+    assert kept == Counter([(1, base), (2, other), (None, None), (4, "")])
+
+
+def test_near_duplicates_of_given_documents(spark):
+    """All pairs of the given documents, by brute force over an inverted index."""
+    own = [(r.doc_id, r.text) for r in queries.read(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text").collect()]
+    sets = {i: _set(t) for i, t in own}
+    post = defaultdict(list)
+    for i, s in sets.items():
+        for x in s:
+            post[x].append(i)
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, s in sets.items():
+        both = Counter(j for x in s for j in post[x] if j < i)
+        for j, n in both.items():
+            if 100 * n >= 75 * (len(s) + len(sets[j]) - n):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    got = {r.doc_id: r.component_id for r in queries.op4_minhash_dedup(spark, "/root/testdata/sf0.01").collect()}
+    assert got == {i: find(i) for i in sets}
+
+
 def test_near_duplicates(docs, rows, empty):
     got = [(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash_join.near_duplicates(docs).collect()]
     sets = [(i, _set(t)) for i, t in rows]
@@ -154,6 +206,18 @@ def test_secret_scan(docs, rows, empty):
     assert secret_scan.scan(empty).count() == 0
 
 
+def test_secret_scan_long_runs():
+    import time
+    rules = secret_scan.BASE + secret_scan.MORE
+    trees = [secret_scan.trigram_query(r.pattern) for r in rules]
+    for run in ("a" * 2_000_000, "a1+." * 500_000, "a://" * 500_000, "eyJ" * 600_000, "sk_live_gh" * 200_000):
+        t0 = time.time()
+        secret_scan.scan_block(["see http://u:p@h " + run + " ftp://x:y@z"], rules, trees)
+        assert time.time() - t0 < 5, run[:20]
+    found = secret_scan.scan_block(["9http://u:p@h x.y+z://u:p@h http://u@h"], rules, trees)[0]
+    assert [(s, e) for s, k, e in found if rules[k].kind == "url"] == [(1, 12), (14, 26)]
+
+
 def test_trigram_queries():
     q = secret_scan.trigram_query(secret_scan.BASE[0].pattern)
     assert q[0] == "or" and "tok" in secret_scan.needed(q) and "pas" in secret_scan.needed(q)
@@ -408,6 +472,28 @@ def test_html_hidden_and_forms():
     assert text(f"<body><article>{body}<form><p>sign up</p></form></article><form class=search><p>find it</p></form></body>") == want
 
 
+def test_html_long_and_broken_pages():
+    """Work in proportion to the page, however it is nested or left open."""
+    import time
+    n = 100_000
+    for page in ("<div>" * n, "<b></i>" * n, '<a href="x' * n, "<a href='x" * n + ">", "<p>t</b>" * n, "<b><div></b>" * n, "<li>" * n,
+                 "<ul><li>" * (n // 2), "<!-- " * n, "<![CDATA[ " * n, "<x " * n, "<a =\"" * n + ">", "<td><p>" * n, "<" * n,
+                 "<script>" * n, "<button><p>" * (n // 2), "a < b " * n):
+        t0 = time.time()
+        html_extract.Page(page)
+        assert time.time() - t0 < 5, page[:20]
+
+
+def test_html_tokens():
+    page = '<P Class="a>b" x=\'>\'>one<br/>two</P ><!-- <b> --><![CDATA[ <i> ]]><!doctype x>t<a b="c>d</a>'
+    assert [x[2:] for x in html_extract._tokens(page)] == [
+        ("", "p", ' Class="a>b" x=\'>\''), ("", "br", "/"), ("/", "p", " "), ("", "", ""), ("", "", ""), ("", "", ""),
+        ("", "a", ' b="c'), ("/", "a", "")]
+    words = lambda s: "".join(t for *_, t in html_extract.Page(s).pieces)
+    assert words("<p>a <math><mi>x</mi></math> <button>go</button> b</p>") == "a x go b"
+    assert words("<p>open <a href=x") == "open <a href=x"
+
+
 def test_html_given(spark):
     """Held-out pages of the given table, text taken from their article by plain rules."""
     import html
@@ -454,3 +540,17 @@ def test_queries_digests(spark):
     text = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     assert all(hashlib.sha256((text[i] or "").encode()).hexdigest() == r.decoded_sha256 for i, r in ids.items())
     assert queries.op5_secret_scan(spark, SF.replace("0.001", "0.01")).where("n_assign > 0").count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_twins(spark, name):
+    import duckdb
+    con = duckdb.connect()
+    for t in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.01/{t}.parquet')")
+    got = queries.QUERIES[name](spark, "/root/testdata/sf0.01")
+    cur = con.execute(queries.ORACLE[name])
+    cols = [d[0] for d in cur.description]
+    assert sorted(cols) == sorted(got.columns)
+    order = [cols.index(c) for c in got.columns]
+    assert Counter(map(tuple, got.collect())) == Counter(tuple(r[i] for i in order) for r in cur.fetchall())
