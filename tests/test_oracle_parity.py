@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB SQL twin on sf0.001
+"""Every registered retail query against its DuckDB SQL twin on sf0.001
 (the driver runs the same comparison on sf0.01)."""
 
 import datetime as dt
@@ -8,13 +8,11 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from emporium.registry import ORACLE, QUERIES
 
 SMOKE = "/root/testdata/sf0.001"
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
 
 
 def norm(v):
