@@ -9,10 +9,20 @@ a running sum is wrong after the first refusal.  Distributed form:
 * the rows of the other keys are range-partitioned once on (key, ts,
   request_id) into chunks of about ``CHUNK_ROWS`` rows and stored, so a hot key
   spans many chunks;
-* turn n decides the n-th chunk of every key at once: the rows of a chunk pass
-  in order through one task that carries only the balance left; what the
-  accepted ones used is an aggregate and gives the next turn's balance.  There
-  are as many turns as the hottest key has chunks, whatever the requests say.
+* keys whose requests only take are settled by *halving* (:func:`_halve`), set
+  operations only, in at most 2 + log2(balance) rounds whatever their rows;
+* keys that also give back (signed balances) are decided chunk by chunk: turn n
+  takes the n-th chunk of every key at once, its rows pass in order through one
+  task that carries only the balance left, and what the accepted ones used
+  gives the next turn's balance.
+
+Halving, with ``f`` left for a key after some row: requests over ``f`` are
+refused for good; those up to ``f / 2`` are small, the others big.  Take the
+running sum of the small ones.  The next *event* is the first small request
+that no longer fits, or the first big one that fits beside the small ones
+before it.  Up to the event all small requests are accepted and all big ones
+refused, and either event leaves at most ``f / 2``: the next round starts there.
+Without an event the same holds for all rows that are left.
 
 Every request gets one decision: a missing quantity is refused.
 """
@@ -58,27 +68,79 @@ def _fold(rows: DataFrame, key: str, order: list[str], request_id: str) -> DataF
     return ordered.mapInArrow(run, schema)
 
 
+def _chunked(hard: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """``hard`` range-partitioned once, ``_chunk`` naming the partition (stored,
+    so that all uses see the same chunks)."""
+    return (hard.repartitionByRange(-(-max(1, hard.count()) // CHUNK_ROWS), key, *order)
+            .withColumn("_chunk", F.spark_partition_id()).checkpoint(eager=True))
+
+
+def _halve(chunks: DataFrame, key: str, order: list[str], request_id: str) -> DataFrame:
+    """Decisions for keys whose requests only take, by rounds of halving.  A
+    round keeps one row per key: the balance, where it starts and its event;
+    the rows are decided by them at the end, in one pass."""
+    me, cell = F.struct(*order), [key, "_chunk"]
+    cells = chunks.select(*cell).distinct().checkpoint(eager=True)  # one row per key and partition
+    rows = chunks.select(request_id, key, "_chunk", "_need", *[c for c in order if c != request_id])
+    none = F.lit(None).cast(rows.select(me).schema[0].dataType)
+    state = chunks.groupBy(key).agg(F.first("_free").alias("_free")).select(key, "_free", none.alias("_pos"))
+    small, upto = 2 * F.col("_need") <= F.col("_free"), Window.unboundedPreceding
+    rounds = None
+    while True:
+        live = (rows.join(cells.join(state, key), cell)
+                .where((F.col("_pos").isNull() | (me > F.col("_pos"))) & (F.col("_need") <= F.col("_free")))
+                .withColumn("_small", F.when(small, F.col("_need")).otherwise(0)))
+        before = (live.groupBy(*cell).agg(F.sum("_small").alias("_t")).withColumn(
+            "_before", F.sum("_t").over(Window.partitionBy(key).orderBy("_chunk").rowsBetween(upto, -1))).drop("_t"))
+        run = (live.withColumn("_run", F.sum("_small").over(Window.partitionBy(*cell).orderBy(*order).rowsBetween(upto, 0)))
+               .join(before, cell).withColumn("_sum", F.col("_run") + F.coalesce("_before", F.lit(0))))
+        event = F.when(small, F.col("_sum") > F.col("_free")).otherwise(F.col("_need") <= F.col("_free") - F.col("_sum"))
+        first = run.where(event).groupBy(key).agg(F.min(F.struct(me.alias("at"), "_need", "_small", "_sum")).alias("_e"))
+        left = F.col("_free") - (F.col("_e._sum") - F.col("_e._small")) - F.when(F.col("_e._small") == 0, F.col("_e._need")).otherwise(0)
+        step = state.join(first, key, "left").select(key, "_free", "_pos", F.col("_e.at").alias("_event"),
+                                                     left.alias("_left")).checkpoint(eager=True)
+        rounds = step if rounds is None else rounds.unionByName(step)
+        state = step.where(F.col("_event").isNotNull()).select(key, F.col("_left").alias("_free"), F.col("_event").alias("_pos"))
+        if state.isEmpty():
+            break
+    mine = ((F.col("_pos").isNull() | (me > F.col("_pos"))) & (F.col("_event").isNull() | (me <= F.col("_event"))))
+    at_event = F.coalesce(me == F.col("_event"), F.lit(False))
+    return (rows.join(cells.join(rounds, key), cell).where(mine)
+            .select(request_id, F.when(at_event, ~small).otherwise(small).alias("accepted"),
+                    (F.col("_need") <= F.col("_free")).alias("_fits"))
+            .select(request_id, (F.col("accepted") & F.col("_fits")).alias("accepted")))
+
+
 def _admit(requests: DataFrame, start: DataFrame, key: str, order: list[str], request_id: str) -> DataFrame:
     """``requests(request_id, key, _need, order...)`` x ``start(key, _free)`` ->
     ``(request_id, accepted)`` for requests of keys in ``start``."""
     ensure_checkpoint_dir(requests.sparkSession)
-    wanted = requests.groupBy(key).agg(F.sum(F.greatest("_need", F.lit(0))).alias("_wanted"))
+    wanted = requests.groupBy(key).agg(F.sum(F.greatest("_need", F.lit(0))).alias("_wanted"),
+                                       (F.min("_need") < 0).alias("_gives"))
     known = requests.join(start, key).join(wanted, key)
     decided = known.where(F.col("_wanted") <= F.col("_free")).select(request_id, F.lit(True).alias("accepted"))
     hard = known.where(F.col("_wanted") > F.col("_free")).drop("_wanted").checkpoint(eager=True)
-    n = hard.count()
-    if not n:
-        return decided
-    chunks = (hard.repartitionByRange(-(-n // CHUNK_ROWS), key, *order)
-              .withColumn("_chunk", F.spark_partition_id()).checkpoint(eager=True))
+    takes, gives = hard.where(~F.col("_gives")).drop("_gives"), hard.where("_gives").drop("_gives")
+    if not takes.isEmpty():
+        nothing = takes.where(F.col("_free") < 0).select(request_id, F.lit(False).alias("accepted"))
+        decided = decided.unionByName(nothing).unionByName(
+            _halve(_chunked(takes.where(F.col("_free") >= 0), key, order), key, order, request_id))
+    return decided if gives.isEmpty() else decided.unionByName(_in_turns(gives, key, order, request_id))
+
+
+def _in_turns(hard: DataFrame, key: str, order: list[str], request_id: str) -> DataFrame:
+    """Decisions chunk by chunk, for keys whose requests also give back."""
+    chunks = _chunked(hard, key, order)
     turns = (chunks.select(key, "_chunk").distinct()  # one row per key and partition
              .withColumn("_turn", F.row_number().over(Window.partitionBy(key).orderBy("_chunk"))).checkpoint(eager=True))
     rows = chunks.drop("_free").join(turns, [key, "_chunk"])
     free = hard.groupBy(key).agg(F.first("_free").alias("_free"))
     last = turns.agg(F.max("_turn")).first()[0]
+    decided = None
     for turn in range(1, last + 1):
         out = _fold(rows.where(F.col("_turn") == turn).join(free, key), key, order, request_id).checkpoint(eager=True)
-        decided = decided.unionByName(out.select(request_id, "accepted"))
+        done = out.select(request_id, "accepted")
+        decided = done if decided is None else decided.unionByName(done)
         if turn < last:
             used = out.where("accepted").groupBy(key).agg(F.sum("_need").alias("_used"))
             free = (free.join(turns.where(F.col("_turn") == turn + 1).select(key), key, "left_semi")

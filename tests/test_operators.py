@@ -309,3 +309,22 @@ def test_merges_reviews_and_products_follow_the_rules(spark):
                                 "stock int, ts long")
     assert {r.request_id: r.accepted for r in B.bat_new_products(t, new).collect()} == {
         1: False, 2: False, 3: False, 4: True, 5: False, 6: False}
+
+
+def test_admission_halves_in_logarithmic_rounds(spark, small_chunks, monkeypatch):
+    """One key holds a third of all requests; rounds follow the stock, not the
+    rows; no row passes through Python."""
+    from emporium.operators import admission
+    monkeypatch.setattr(admission, "CHUNK_ROWS", 2500)
+    monkeypatch.setattr(admission, "_fold", None)
+    rng, rounds = random.Random(41), []
+    sizes = [0, 1, 2, 3, 9, 60, 500, 3000, 5000]
+    reqs = [(i, 0 if i % 3 == 0 else rng.randrange(1, 60), rng.choice(sizes) + rng.randrange(3), rng.randrange(9000)) for i in range(30_000)]
+    caps = [(k, rng.choice([0, 1, 7, 100, 4096])) for k in range(58)] + [(0, 5000)]
+    caps = list(dict(caps).items())
+    window = admission.Window.partitionBy
+    monkeypatch.setattr(admission.Window, "partitionBy", lambda *c: rounds.append(1) or window(*c))  # twice a round
+    df = spark.createDataFrame(reqs, "request_id long, k long, qty long, ts long")
+    got = {r.request_id: r.accepted for r in greedy_admission(df, spark.createDataFrame(caps, "k long, cap long"), "k", "qty").collect()}
+    assert got == brute_admission(reqs, caps)
+    assert 4 < len(rounds) / 2 <= 2 + 13
