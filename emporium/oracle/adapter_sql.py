@@ -178,7 +178,7 @@ ADAPTER: list[tuple[str, str]] = [
         SELECT * FROM detalle_ventas WHERE NOT (id_venta % 13 = 0 AND id_producto % 2 = 0)"""),
     ("order_requests", """
         SELECT event_id AS request_id, ts, user_id AS id_cliente, CAST(event_id % 3 + 1 AS INTEGER) AS id_sucursal,
-               event_id % 20 AS id_producto, CAST(event_id % 9 + 1 AS INTEGER) AS cantidad
+               event_id % (SELECT count(*) FROM part) AS id_producto, CAST(event_id % 9 + 1 AS INTEGER) AS cantidad
         FROM events WHERE event_type = 'purchase'"""),
     ("product_requests", f"""
         SELECT p_partkey AS request_id, {AS_OF_SQL_} AS ts,
@@ -190,7 +190,7 @@ ADAPTER: list[tuple[str, str]] = [
                CASE WHEN p_partkey % 70 = 0 THEN CAST(-1 AS DECIMAL(10,2))
                     ELSE CAST(CAST(p_retailprice AS DECIMAL(10,2)) / 2 AS DECIMAL(10,2)) END AS costo,
                p_size AS stock
-        FROM part WHERE p_partkey % 10 = 0"""),
+        FROM part"""),
     ("address_requests", """
         SELECT event_id AS request_id, ts,
                user_id + CASE WHEN event_id % 50 = 0 THEN 1000000 ELSE 0 END AS id_cliente,
@@ -203,8 +203,7 @@ ADAPTER: list[tuple[str, str]] = [
                CAST(d.cantidad - COALESCE(r.r, 0) + CASE WHEN d.id_venta % 34 = 0 THEN 1 ELSE 0 END AS INTEGER) AS cantidad
         FROM detalle_ventas d JOIN ventas v ON v.id_venta = d.id_venta
         LEFT JOIN (SELECT id_venta, id_producto, sum(cantidad) AS r FROM devoluciones GROUP BY 1, 2) r
-               ON r.id_venta = d.id_venta AND r.id_producto = d.id_producto
-        WHERE d.id_venta % 17 = 0"""),
+               ON r.id_venta = d.id_venta AND r.id_producto = d.id_producto"""),
     ("stock_adjust_requests", """
         SELECT event_id AS request_id, ts, event_id % (SELECT count(*) FROM part) AS id_producto,
                CAST(event_id % 21 - 10 AS INTEGER) AS ajuste, 'Conteo ' || CAST(event_id AS VARCHAR) AS motivo
@@ -212,16 +211,16 @@ ADAPTER: list[tuple[str, str]] = [
     ("erasure_requests", f"""
         SELECT c_custkey AS request_id, {AS_OF_SQL_} AS ts,
                c_custkey + CASE WHEN c_custkey % 100 = 0 THEN 1000000 ELSE 0 END AS id_cliente
-        FROM customer WHERE c_custkey % 25 = 0"""),
+        FROM customer"""),
     ("transition_requests", f"""
         SELECT id_venta * 10 + 1 AS request_id, {AS_OF_SQL_} AS ts, id_venta,
                CASE WHEN id_venta % 13 = 0 THEN 'Perdido' WHEN id_venta % 14 = 0 THEN 'Cancelado'
                     WHEN estado = 'Pendiente de Pago' THEN 'Procesando' WHEN estado = 'Procesando' THEN 'Enviado'
                     ELSE 'Entregado' END AS nuevo_estado
-        FROM ventas WHERE id_venta % 7 = 0
+        FROM ventas
         UNION ALL
         SELECT id_venta * 10 + 2, {AS_OF_SQL_} + INTERVAL 1 HOUR, id_venta, 'Entregado'
-        FROM ventas WHERE id_venta % 7 = 0 AND id_venta % 21 = 0"""),
+        FROM ventas"""),
     ("registration_requests", """
         SELECT event_id AS request_id, ts, '  nuevo ' AS nombre, 'CLIENTE ' || CAST(event_id AS VARCHAR) AS apellido,
                CASE WHEN event_id % 10 = 0 THEN 'correo-invalido'
@@ -229,28 +228,24 @@ ADAPTER: list[tuple[str, str]] = [
                     ELSE 'n' || CAST(event_id % 500 AS VARCHAR) || '@example.com' END AS email
         FROM events WHERE event_type = 'signup'"""),
     ("merge_requests", f"""
-        SELECT c_custkey * 10 AS request_id, c_custkey AS primario, c_custkey + 1 AS secundario, {AS_OF_SQL_} AS ts
-        FROM customer WHERE c_custkey % 100 = 0 AND c_custkey > 0
-        UNION ALL
-        SELECT c_custkey * 10 + 1, c_custkey + 1, c_custkey + 2, {AS_OF_SQL_}
-        FROM customer WHERE c_custkey % 100 = 0 AND c_custkey > 0 AND c_custkey % 300 = 0
-        UNION ALL
-        SELECT c_custkey * 10 + 2, c_custkey, c_custkey + 3, {AS_OF_SQL_} FROM customer WHERE c_custkey % 300 = 100
-        UNION ALL
-        SELECT c_custkey * 10 + 3, c_custkey, c_custkey + 1000000000, {AS_OF_SQL_} FROM customer
-        WHERE c_custkey % 300 = 200"""),
+        SELECT c_custkey * 10 AS request_id,
+               CASE WHEN c_custkey % 40 = 20 OR c_custkey % 4 = 0 THEN c_custkey
+                    WHEN c_custkey % 8 = 2 THEN c_custkey - 1 ELSE c_custkey - c_custkey % 4 END AS primario,
+               CASE WHEN c_custkey % 4 = 0 AND c_custkey % 40 <> 20 THEN c_custkey + 1000000000 ELSE c_custkey END AS secundario,
+               {AS_OF_SQL_} AS ts
+        FROM customer"""),
     ("supplier_requests", f"""
         SELECT id_producto AS request_id, {AS_OF_SQL_} AS ts, id_producto,
                (id_producto // 10) % ((SELECT count(*) FROM supplier) + 1) AS id_proveedor
-        FROM productos_base WHERE id_producto % 10 = 1"""),
+        FROM productos_base"""),
     ("payment_requests", f"""
         SELECT id_venta * 10 + 1 AS request_id, {AS_OF_SQL_} AS ts, id_venta,
                CAST(CASE WHEN id_venta % 12 = 0 THEN NULL WHEN id_venta % 8 = 0 THEN total - 1 ELSE total END
                     AS DECIMAL(12,2)) AS monto
-        FROM ventas WHERE id_venta % 4 = 0
+        FROM ventas
         UNION ALL
         SELECT id_venta * 10 + 2, {AS_OF_SQL_} + INTERVAL 5 MINUTE, id_venta, CAST(total + 5 AS DECIMAL(12,2))
-        FROM ventas WHERE id_venta % 4 = 0 AND id_venta % 8 = 0"""),
+        FROM ventas"""),
     ("review_requests", """
         SELECT event_id AS request_id, ts, event_id % (SELECT count(*) FROM part) AS id_producto,
                user_id AS id_cliente, CAST(event_id % 6 AS INTEGER) AS calificacion,

@@ -2,7 +2,7 @@
 
 The retail jobs read tables named and typed as in the retail schema
 (``ventas``, ``detalle_ventas``, ``productos`` ...).  In production those
-are stored tables (see :mod:`emporium.sources.store`); for tests and the
+are stored tables (see :mod:`emporium.session`); for tests and the
 bench they are *derived* lazily from ``/root/testdata/sf*/`` by the rules
 in FIXTURES.md §2.  Every derivation is a plain DataFrame plan (joins,
 aggregates, column expressions) so it grows with the input.
@@ -428,18 +428,18 @@ class TestdataCatalog:
     @stored
     def order_requests(self) -> DataFrame:
         """Every 'purchase' event as a new-order request."""
-        return self._events("purchase").select(
+        return self._events("purchase").withColumn("n_parts", self._n_parts).select(
             F.col("event_id").alias("request_id"), F.col("ts"),
             F.col("user_id").alias("id_cliente"),
             (F.col("event_id") % 3 + 1).cast("int").alias("id_sucursal"),
-            (F.col("event_id") % 20).alias("id_producto"),
+            (F.col("event_id") % F.col("n_parts")).alias("id_producto"),
             (F.col("event_id") % 9 + 1).cast("int").alias("cantidad"))
 
     @stored
     def product_requests(self) -> DataFrame:
-        """Every tenth part offered again as a new product."""
+        """Every part offered again as a new product."""
         pid = F.col("p_partkey")
-        p = self.raw("part").where(pid % 10 == 0).withColumn("n_sup", self._n_suppliers)
+        p = self.raw("part").withColumn("n_sup", self._n_suppliers)
         price = F.col("p_retailprice").cast("decimal(10,2)")
         return p.select(
             pid.alias("request_id"), F.lit(self.as_of).cast("timestamp_ntz").alias("ts"),
@@ -465,11 +465,10 @@ class TestdataCatalog:
 
     @stored
     def return_requests(self) -> DataFrame:
-        """Every line of orders with id % 17 = 0 returned in full (one
-        unit too many when id % 34 = 0), 30 days after the sale."""
+        """Every line of every order returned in full (one unit too many
+        when the order id % 34 = 0), 30 days after the sale."""
         ret = self.devoluciones.groupBy("id_venta", "id_producto").agg(F.sum("cantidad").alias("_r"))
-        d = (self.detalle_ventas.where(F.col("id_venta") % 17 == 0)
-             .join(ret, ["id_venta", "id_producto"], "left")
+        d = (self.detalle_ventas.join(ret, ["id_venta", "id_producto"], "left")
              .join(self.ventas.select("id_venta", "fecha_venta"), "id_venta"))
         qty = (F.col("cantidad") - F.coalesce("_r", F.lit(0))
                + F.when(F.col("id_venta") % 34 == 0, F.lit(1)).otherwise(F.lit(0)))
@@ -488,18 +487,17 @@ class TestdataCatalog:
 
     @stored
     def erasure_requests(self) -> DataFrame:
-        """Customers with id % 25 = 0 (id % 100 = 0 shifted to unknown ids)."""
-        c = self.raw("customer").where(F.col("c_custkey") % 25 == 0)
+        """Every customer (id % 100 = 0 shifted to unknown ids)."""
+        c = self.raw("customer")
         cid = F.col("c_custkey")
         return c.select(cid.alias("request_id"), F.lit(self.as_of).cast("timestamp_ntz").alias("ts"),
                         (cid + F.when(cid % 100 == 0, F.lit(1000000)).otherwise(F.lit(0))).alias("id_cliente"))
 
     @stored
     def transition_requests(self) -> DataFrame:
-        """P10: orders with id % 7 = 0 move to the state of the after
-        snapshot (cancel when id % 14 = 0); id % 21 = 0 also asks for
-        'Entregado' an hour later; id % 13 = 0 asks for an unknown state."""
-        v = self.ventas.where(F.col("id_venta") % 7 == 0).select("id_venta", "estado")
+        """P10: every order asks for its next state (cancel when id % 14 = 0,
+        an unknown state when id % 13 = 0) and for 'Entregado' an hour later."""
+        v = self.ventas.select("id_venta", "estado")
         vid = F.col("id_venta")
         nxt = (F.when(vid % 14 == 0, F.lit("Cancelado"))
                .when(F.col("estado") == "Pendiente de Pago", F.lit("Procesando"))
@@ -508,7 +506,7 @@ class TestdataCatalog:
         ts = F.lit(self.as_of).cast("timestamp_ntz")
         first = v.select((vid * 10 + 1).alias("request_id"), ts.alias("ts"), vid.alias("id_venta"),
                          F.when(vid % 13 == 0, F.lit("Perdido")).otherwise(nxt).alias("nuevo_estado"))
-        second = v.where(vid % 21 == 0).select(
+        second = v.select(
             (vid * 10 + 2).alias("request_id"), F.timestamp_add("HOUR", F.lit(1), ts).alias("ts"),
             vid.alias("id_venta"), F.lit("Entregado").alias("nuevo_estado"))
         return first.unionByName(second)
@@ -528,39 +526,36 @@ class TestdataCatalog:
 
     @stored
     def merge_requests(self) -> DataFrame:
-        """Customer id (id % 100 = 0, id > 0) absorbs id + 1; when
-        id % 300 = 0, id + 1 also absorbs id + 2 (a chain, rejected); when
-        id % 300 = 100, id absorbs id + 3 too; when id % 300 = 200, id also
-        asks for a missing account."""
-        c = self.raw("customer").where((F.col("c_custkey") % 100 == 0) & (F.col("c_custkey") > 0))
+        """In every four customers the first asks for a missing account,
+        the second and the last join the first, the third joins the second (a
+        chain, when the second also leaves); customers with id % 40 = 20 name
+        themselves instead."""
         cid = F.col("c_custkey")
-        a = c.select((cid * 10).alias("request_id"), cid.alias("primario"), (cid + 1).alias("secundario"))
-        b = c.where(cid % 300 == 0).select((cid * 10 + 1).alias("request_id"), (cid + 1).alias("primario"),
-                                           (cid + 2).alias("secundario"))
-        d = c.where(cid % 300 == 100).select((cid * 10 + 2).alias("request_id"), cid.alias("primario"),
-                                             (cid + 3).alias("secundario"))
-        e = c.where(cid % 300 == 200).select((cid * 10 + 3).alias("request_id"), cid.alias("primario"),
-                                             (cid + 1_000_000_000).alias("secundario"))
-        return a.unionByName(b).unionByName(d).unionByName(e).withColumn("ts", F.lit(self.as_of).cast("timestamp_ntz"))
+        place = cid % 4
+        primary = F.when(cid % 40 == 20, cid).when(place == 0, cid).when(place == 2, F.when(cid % 8 == 2, cid - 1).otherwise(cid - 2)) \
+            .otherwise(cid - place)
+        secondary = F.when((place == 0) & (cid % 40 != 20), cid + 1_000_000_000).otherwise(cid)
+        return self.raw("customer").select((cid * 10).alias("request_id"), primary.alias("primario"), secondary.alias("secundario"),
+                                           F.lit(self.as_of).cast("timestamp_ntz").alias("ts"))
 
     @stored
     def supplier_requests(self) -> DataFrame:
-        """Products with id % 10 = 1 move to supplier (id div 10) mod (n + 1)."""
-        p = self.productos_base.where(F.col("id_producto") % 10 == 1).withColumn("n_sup", self._n_suppliers)
+        """Every product moves to supplier (id div 10) mod (n + 1)."""
+        p = self.productos_base.withColumn("n_sup", self._n_suppliers)
         return p.select(F.col("id_producto").alias("request_id"), F.lit(self.as_of).cast("timestamp_ntz").alias("ts"),
                         "id_producto", (F.floor(F.col("id_producto") / 10) % (F.col("n_sup") + 1)).alias("id_proveedor"))
 
     @stored
     def payment_requests(self) -> DataFrame:
-        """Payments for orders with id % 4 = 0: the total; short then
-        overpaid when id % 8 = 0; no amount when id % 12 = 0."""
-        v = self.ventas.where(F.col("id_venta") % 4 == 0).select("id_venta", "total")
+        """Two payments for every order: the total (short when id % 8 = 0,
+        no amount when id % 12 = 0), then five more five minutes later."""
+        v = self.ventas.select("id_venta", "total")
         vid = F.col("id_venta")
         ts = F.lit(self.as_of).cast("timestamp_ntz")
         amount = (F.when(vid % 12 == 0, F.lit(None))
                   .when(vid % 8 == 0, F.col("total") - 1).otherwise(F.col("total"))).cast("decimal(12,2)")
         first = v.select((vid * 10 + 1).alias("request_id"), ts.alias("ts"), vid.alias("id_venta"), amount.alias("monto"))
-        second = v.where(vid % 8 == 0).select((vid * 10 + 2).alias("request_id"),
+        second = v.select((vid * 10 + 2).alias("request_id"),
                                               F.timestamp_add("MINUTE", F.lit(5), ts).alias("ts"), vid.alias("id_venta"),
                                               (F.col("total") + 5).cast("decimal(12,2)").alias("monto"))
         return first.unionByName(second)
