@@ -7,11 +7,13 @@ DuckDB SQL twin for the keys that have one.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporium.operators import report_sink
 from emporium.oracle.adapter_sql import with_adapter
 from emporium.plans import analytics as Q
 from emporium.plans import batch as B
@@ -21,8 +23,9 @@ from emporium.plans import periodic as E
 from emporium.plans import quality as DQ
 from emporium.plans import reports as P
 from emporium.plans import views as V
+from emporium.session import ensure_checkpoint_dir
 from emporium.streaming import streams as ST
-from emporium.sources.testdata import AS_OF, AS_OF_EVENTS, RETENTION_AS_OF, TestdataCatalog
+from emporium.sources.testdata import AS_OF, AS_OF_EVENTS, AS_OF_EVENTS_NEXT, AS_OF_NEXT, RETENTION_AS_OF, TestdataCatalog
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +37,35 @@ def _cat(fn, **kw) -> Job:
     return run
 
 
+def _sink(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/reports/{uuid.uuid4().hex}"
+
+
+def _history(fn, first: str = AS_OF, then: str = AS_OF_NEXT) -> Job:
+    """A report run twice for one point in time and once for the next, read
+    back from its sink."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t, folder = TestdataCatalog(spark, sf_dir), _sink(spark)
+        for as_of in (first, first, then):
+            report_sink.publish(fn(t, as_of), folder, as_of[:10])
+        return report_sink.history(spark, folder)
+    return run
+
+
+def _over_stored(before, after) -> Job:
+    """``after(t, target)`` over a target that ``before(t)`` stored."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t, folder = TestdataCatalog(spark, sf_dir), _sink(spark)
+        report_sink.publish(before(t), folder, AS_OF[:10])
+        return after(t, report_sink.history(spark, folder).drop("run_date"))
+    return run
+
+
+def _velocity(t, as_of: str) -> DataFrame:
+    return E.job_order_velocity(t.order_requests.select("id_cliente", F.col("ts").alias("fecha_venta")), as_of,
+                                window_hours=24, min_orders=2)
+
+
 def _line_requests(t) -> DataFrame:
     return t.order_requests.select("request_id", "ts", "id_producto", "cantidad")
 
@@ -106,13 +138,21 @@ QUERIES: dict[str, Job] = {
     "job_mark_abandoned": _cat(E.job_mark_abandoned, as_of=AS_OF_EVENTS),
     "job_monthly_kpis": _cat(E.job_monthly_kpis, as_of=AS_OF),
     "job_refresh_counters": _cat(E.job_refresh_counters),
-    "job_order_velocity": _cat(lambda t: E.job_order_velocity(
-        t.order_requests.select("id_cliente", F.col("ts").alias("fecha_venta")), AS_OF_EVENTS,
-        window_hours=24, min_orders=2)),
+    "job_order_velocity": _cat(_velocity, as_of=AS_OF_EVENTS),
     "job_supplier_month": _cat(E.job_supplier_month, as_of=AS_OF),
     "job_purge_products": _cat(E.job_purge_products, as_of=AS_OF),
     "job_seed_category_count": _cat(E.job_seed_category_count),
     "job_seed_product_counters": _cat(E.job_seed_product_counters),
+    # E: reports appended by run date, and upsert / insert-ignore over a stored table
+    "job_weekly_sales_history": _history(E.job_weekly_sales),
+    "job_reorder_list_history": _history(E.job_reorder_list),
+    "job_catalog_snapshot_history": _history(E.job_catalog_snapshot),
+    "job_monthly_kpis_history": _history(E.job_monthly_kpis),
+    "job_order_velocity_history": _history(_velocity, AS_OF_EVENTS, AS_OF_EVENTS_NEXT),
+    "job_daily_sales_upsert": _over_stored(lambda t: E.job_daily_sales(t, AS_OF, backfill_from="first_order"),
+                                           lambda t, old: E.job_daily_sales(t, AS_OF_NEXT, old, backfill_from=AS_OF[:10])),
+    "job_catalog_snapshot_ignore": _over_stored(lambda t: E.job_catalog_snapshot(t, AS_OF), lambda t, old: E.job_catalog_snapshot(
+        t, AS_OF_NEXT, E.job_catalog_snapshot(t, AS_OF, old))),
     # DQ: constraints as data-quality reports
     "dq_checks": _cat(DQ.dq_checks),
     "dq_unique": _cat(DQ.dq_unique),

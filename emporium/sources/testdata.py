@@ -29,6 +29,9 @@ FIXTURE_VERSION = "1"
 # Clocks used by every job run over the test data (rule N1).
 AS_OF = "2001-08-01 12:00:00"
 AS_OF_EVENTS = "2024-01-31 00:00:00"
+#: The runs after those of ``AS_OF`` and ``AS_OF_EVENTS``.
+AS_OF_NEXT = "2001-09-03 12:00:00"
+AS_OF_EVENTS_NEXT = "2024-02-01 00:00:00"
 # Log-retention run: half a month after the first event rows turn 12 months old.
 RETENTION_AS_OF = "2025-01-16 00:00:00"
 
