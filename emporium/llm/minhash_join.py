@@ -13,11 +13,17 @@
    are contracted.  A large group of near copies needs about one pair per
    member and round, and its lists drop out once they hold one group only.
    Rounds go on while they confirm a tenth of what they propose.
-4. What is left, pairs of classes of *different* groups in a common list, is
-   joined whole, but members of one large group never meet: each list's groups
-   pair up first (those of up to ``CELL`` members count as one).  A pair comes
-   from its first common list only, and only if sizes and a one-bit sketch of
-   ``BITS`` more minima allow the similarity; survivors are confirmed on full sets.
+4. What is left are pairs of classes of *different* groups in a common list.
+   Classes of lists of more than ``CELL`` members take an anchor, one class
+   that most of their circle share, and those with an equal anchor meet by
+   their differences from it only (:func:`_anchored_pairs`): an exact prefix
+   join on rare differences, so a circle of near copies just below the
+   threshold does not meet pair by pair.
+5. Other pairs are joined whole within their lists, but members of one anchor
+   or of one large group never meet there: each list's sides pair up first
+   (groups of up to ``CELL`` members count as one).  A pair comes from its first
+   common list only.  Sizes and a one-bit sketch of ``BITS`` more minima must
+   allow the similarity; survivors are confirmed on full sets.
 
 No pair is lost for want of candidates but for the chance of the sketches: a
 pair at similarity 0.75 exactly fails them with a probability of about 1e-4,
@@ -43,6 +49,7 @@ K, T, N = 64, 34, 5
 ROUNDS = 3
 BITS, DIFFER = 2048, 316  # at 0.75 one bit in eight differs: 256 on average, deviation 15
 CELL = 32
+LOOSE = 0.3  # classes less similar than this to their anchor have none
 _rng = np.random.default_rng(75)
 _MULT = _rng.integers(0, 2 ** 63, K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -201,7 +208,10 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, similarity: int = 75)
             break
     rest = _left_over(post)
     if not rest.isEmpty():
-        pairs = cut(_cross_pairs(rest, texts.select("cls", "sketch"), similarity))
+        diffs = cut(_differences(_anchors(rest), texts))
+        sure, near = _anchored_pairs(diffs, rest, texts.select("cls", "sketch"), similarity)
+        edges = sure if edges is None else edges.union(sure)
+        pairs = cut(near.union(_cross_pairs(rest, diffs, texts.select("cls", "sketch"), similarity)).distinct())
         if not pairs.isEmpty():
             found = cut(_confirm(pairs, texts, similarity))
             edges = found if edges is None else edges.union(found)
@@ -230,13 +240,108 @@ def _left_over(post: DataFrame) -> DataFrame:
     return cut(post.join(mixed.select("token"), "token"))
 
 
-def _cross_pairs(rest: DataFrame, sketch: DataFrame, similarity: int) -> DataFrame:
-    """Pairs of classes of different groups that share a list of ``rest`` and
-    that sizes and sketches allow, each from its first common list.  ``side``
-    is a member's group in the list, 0 for all groups of up to ``CELL``."""
+def _anchors(rest: DataFrame) -> DataFrame:
+    """``(cls, anchor)`` for classes of lists of more than ``CELL`` members:
+    the class of the least hash in any of these lists."""
+    low = F.struct(F.xxhash64("cls", F.lit("anchor")).alias("h"), "cls")
+    long = rest.groupBy("token").agg(F.count("*").alias("len"), F.min(low).alias("low")).where(F.col("len") > CELL)
+    return (rest.select("token", "cls").join(long, "token").groupBy("cls")
+            .agg(F.min("low").getField("cls").alias("anchor")))
+
+
+def _differences(anchors: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(cls, anchor, diff)``: the shingles that only one of class and anchor
+    has; classes unlike their anchor (below ``LOOSE``) go."""
+    own = texts.select("cls", F.col("text").alias("t"))
+    base = texts.select(F.col("cls").alias("anchor"), F.col("text").alias("ta"))
+
+    def run(batches):
+        last = (None, None)
+        for batch in batches:
+            cls, anchor, diff = [], [], []
+            for c, a, t, ta in zip(*(col.to_pylist() for col in batch.columns)):
+                if last[0] != a:
+                    last = (a, shingle_set(ta, N))
+                s = shingle_set(t, N)
+                d = np.setxor1d(s, last[1], assume_unique=True)
+                union = (len(s) + len(last[1]) + len(d)) // 2
+                if union - len(d) >= LOOSE * union:
+                    cls.append(c), anchor.append(a), diff.append(d.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(anchor, pa.int64()),
+                                              pa.array(diff, pa.list_(pa.int64()))], names=["cls", "anchor", "diff"])
+
+    return (anchors.join(own, "cls").join(base, "anchor").select("cls", "anchor", "t", "ta")
+            .mapInArrow(run, "cls long, anchor long, diff array<long>"))
+
+
+def _anchored_pairs(diffs: DataFrame, rest: DataFrame, sketch: DataFrame, similarity: int) -> tuple[DataFrame, DataFrame]:
+    """Links and candidate pairs of classes with one anchor, from ``diffs``.
+
+    With ``D`` the differences from the anchor, sets of ``n_a`` and ``n_b`` members
+    differ in ``|D_a| + |D_b| - 2 |D_a & D_b|``, and are linked if ``more`` times that is
+    at most ``less * (n_a + n_b)``.  So with ``x = more |D| - less n`` a link needs
+    ``2 more |D_a & D_b| >= x_a + x_b``.
+
+    * Without a common difference it needs ``x_a + x_b <= 0``; then both are
+      linked with the class of the least ``x`` for certain.  These links are the
+      first result; they join all such pairs.
+    * Other pairs have as many common differences as the bound asks, so they
+      meet in one of the rarest ones (prefix, by frequency within the anchor; differences
+      that one class has are left out).  Members of the anchor's main group
+      look for others only, whose least ``x`` is known and mostly high, so their
+      prefixes are short.  Places in the prefix, counts of lone differences,
+      sizes and sketches must allow the link.
+    """
+    more, less = 100 + similarity, 100 - similarity
+    of = rest.select("cls", "grp", "n").distinct()
+    base = cut(diffs.join(of, "cls").select("cls", "anchor", "grp", "n", "diff", (F.size("diff") * more - F.col("n") * less).alias("x")))
+    main = (base.groupBy("anchor", "grp").agg(F.count("*").alias("c"))
+            .groupBy("anchor").agg(F.max_by("grp", F.struct("c", "grp")).alias("main")))
+    least = cut(base.join(main, "anchor").groupBy("anchor", "main").agg(
+        F.min(F.struct("x", "cls")).alias("least"), F.min(F.when(F.col("grp") != F.col("main"), F.col("x"))).alias("other")))
+    sure = cut(base.join(least, "anchor").where((F.col("x") + F.col("least.x") <= 0) & (F.col("cls") != F.col("least.cls")))
+               .select(F.least("cls", "least.cls").alias("a"), F.greatest("cls", "least.cls").alias("b")))
+
+    places = base.select("cls", "anchor", F.explode("diff").alias("e"))
+    often = places.groupBy("anchor", "e").agg(F.count("*").alias("c")).where("c > 1")
+    ranked = (places.join(often, ["anchor", "e"]).groupBy("cls")
+              .agg(F.sort_array(F.collect_list(F.struct("c", "e"))).alias("l")))  # at most the differences of a text
+    low = F.when(F.col("grp") == F.col("main"), F.col("other")).otherwise(F.col("least.x"))
+    need = F.greatest(F.lit(1), F.ceil((F.col("x") + F.col("low")) / (2 * more))).cast("int")
+    posts = cut(base.join(least, "anchor").withColumn("low", low).where("low IS NOT NULL").join(ranked, "cls").join(sketch, "cls")
+                .select("cls", "anchor", "grp", "n", "x", (F.col("grp") == F.col("main")).alias("inner"), "sketch",
+                        F.size("l").alias("s"), (F.size("diff") - F.size("l")).alias("u"),
+                        F.posexplode(F.slice("l", F.lit(1), F.greatest(F.lit(0), F.size("l") - need + 1))).alias("at", "l"))
+                .select("*", F.col("l.e").alias("e")).drop("l"))
+    names = [c for c in posts.columns if c not in ("anchor", "e")]
+    a = posts.where("NOT inner").select("anchor", "e", *[F.col(c).alias(f"{c}_a") for c in names])
+    b = posts.select(F.col("anchor").alias("anchor_b"), F.col("e").alias("e_b"), *[F.col(c).alias(f"{c}_b") for c in names])
+    near = F.expr(f"""anchor = anchor_b AND e = e_b AND grp_a <> grp_b AND (inner_b OR cls_a < cls_b)
+        AND least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {similarity}
+        AND {2 * more} * least(s_a - at_a, s_b - at_b) >= x_a + x_b
+        AND {more} * (u_a + u_b + abs(s_a - s_b)) <= {less} * (n_a + n_b)
+        AND {_differ()} <= {DIFFER}""")
+    pairs = a.join(b, near).select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b"))
+    return sure, pairs
+
+
+def _differ() -> str:
+    return " + ".join(f"bit_count(get(sketch_a, {i}) ^ get(sketch_b, {i}))" for i in range(BITS // 64))
+
+
+def _cross_pairs(rest: DataFrame, anchored: DataFrame, sketch: DataFrame, similarity: int) -> DataFrame:
+    """Pairs of classes of different groups and anchors that share a list of
+    ``rest`` and that sizes and sketches allow, each from its first common list.
+    ``side`` is a member's anchor, without one its group in the list, 0 for
+    all groups of up to ``CELL``."""
     alone = rest.groupBy("token", "grp").agg(F.count("*").alias("c"))
-    sides = cut(rest.join(alone, ["token", "grp"]).select("token", "grp", "cls", "n", F.when(F.col("c") > CELL, F.col("grp"))
-                                                         .otherwise(F.lit(0)).alias("side")))
+    side = F.when(F.col("anchor").isNull(), F.when(F.col("c") > CELL, F.col("grp")).otherwise(F.lit(0))).otherwise(
+        F.xxhash64("anchor", F.lit("side")))
+    sides = (rest.join(alone, ["token", "grp"]).join(anchored.select("cls", "anchor"), "cls", "left")
+             .select("token", "grp", "cls", "n", side.alias("side")))
+    mixed = (sides.groupBy("token").agg(F.min("side").alias("s1"), F.max("side").alias("s2"))
+             .where("s1 <> s2 OR s1 = 0").select("token"))
+    sides = cut(sides.join(mixed, "token"))
     order = (sides.groupBy("cls").agg(F.array_sort(F.collect_list("token")).alias("all"))  # at most K entries
              .join(sketch, "cls"))
     wide = cut(sides.join(order, "cls").select("token", "side", "grp", "cls", "n", "sketch", F.expr(
@@ -248,10 +353,9 @@ def _cross_pairs(rest: DataFrame, sketch: DataFrame, similarity: int) -> DataFra
         "grp", "cls", "n", "sketch", "before")])
     b = wide.select(F.col("token").alias("token_b"), F.col("side").alias("side_b"), *[F.col(c).alias(f"{c}_b") for c in (
         "grp", "cls", "n", "sketch", "before")])
-    differ = " + ".join(f"bit_count(get(sketch_a, {i}) ^ get(sketch_b, {i}))" for i in range(BITS // 64))
     near = F.expr(f"""token = token_b AND other = side_b AND grp_a <> grp_b AND (side <> other OR cls_a < cls_b)
         AND least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {similarity}
-        AND {differ} <= {DIFFER} AND NOT arrays_overlap(before_a, before_b)""")
+        AND {_differ()} <= {DIFFER} AND NOT arrays_overlap(before_a, before_b)""")
     return (a.join(b, near)
             .select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")).distinct())
 

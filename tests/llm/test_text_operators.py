@@ -175,6 +175,40 @@ def test_near_duplicates_hot_group(spark):
     assert got == dict(enumerate(root))
 
 
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_near_duplicates_circle_below_the_threshold(spark, monkeypatch, rounds):
+    """Near copies with one to eight changed words, few places and words to
+    share, around 0.75 and below it, with and without hub rounds; two such
+    circles and texts that share a passage only.  Links are found by brute
+    force; hardly any pair is confirmed on texts beside them."""
+    monkeypatch.setattr(minhash_join, "ROUNDS", rounds)
+    r, texts = random.Random(8), []
+    for seed, places in ((61, 25), (62, 140)):
+        base = _prose(seed, 150).split(" ")
+        for k in range(130):
+            w = list(base)
+            for p in r.sample(range(4, 4 + places), r.choice((1, 3, 4, 5, 6, 7, 8)) if k else 2):
+                w[p] = "z%d" % r.randint(0, 3)
+            texts.append(" ".join(w))
+    shared = _prose(63, 30)
+    texts += [shared + " " + _prose(300 + k, 60) for k in range(60)]
+    asked = []
+    confirm = minhash_join._confirm
+    monkeypatch.setattr(minhash_join, "_confirm", lambda pairs, *a: asked.append(pairs.count()) or confirm(pairs, *a))
+    got = {x.doc_id: x.component_id for x in minhash_join.near_duplicates(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    sets, root, links = [_set(t) for t in texts], list(range(len(texts))), 0
+    for a in range(len(texts)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                links += 1
+                x, y = sorted((root[a], root[b]))
+                root = [x if v == y else v for v in root]
+    assert got == dict(enumerate(root)) and 20 < len(set(root)) < len(texts)
+    if rounds:
+        assert sum(asked) < 6 * len(texts), (asked, links)
+
+
 def test_bpe(docs, rows, empty):
     import tiktoken
     ranks = {t: i for i, t in enumerate(bpe.load_ranks(RANKS))}
