@@ -169,6 +169,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Rows of a few longs that one task takes where a table's rows are counted.
+TASK_ROWS = 200_000
+
+
+def tasks(rows: int) -> int:
+    """Tasks for a counted table of narrow rows (``coalesce`` keeps fewer as they are)."""
+    return 1 + rows // TASK_ROWS
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``edges(a, b)`` of longs -> ``(id, root)``: the smallest id that each
     id reaches.  Rounds of contraction: every id points to its neighbour (or
@@ -177,27 +186,33 @@ def components(edges: DataFrame) -> DataFrame:
     and loops dropped, until no edge is left.  The order by hash leaves about
     a third of a long chain in a round, so rounds grow with its logarithm.
     Steps are tables: checkpoints would hand on the optimiser's constraints,
-    which double with every join of the pointers with themselves."""
-    e = table(edges.where("a <> b").select("a", "b").distinct())
-    if e.isEmpty():
+    which double with every join of the pointers with themselves.  No step has
+    more rows than the given edges have ends: these are counted (``edges`` is
+    read twice, so give a stored table), set the number of tasks, and pointers
+    are broadcast up to ``BROADCAST_ROWS``."""
+    e = edges.where("a <> b").select("a", "b")
+    left = ends = 2 * e.count()
+    if not ends:
         return e.select(F.col("a").alias("id"), F.col("b").alias("root"))
-    m = None
-    while not e.isEmpty():
+    step = lambda df: table(df.coalesce(tasks(ends)))
+    hand = F.broadcast if ends <= BROADCAST_ROWS else lambda df: df
+    e, m = step(e), None
+    while left:
         best = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("p"))
-        p = (e.union(e.select("b", "a")).groupBy("a").agg(F.min(best("b")).alias("n"))
-             .select(F.col("a").alias("v"), F.least("n", best("a")).getField("p").alias("p")))
+        p = step(e.union(e.select("b", "a")).groupBy("a").agg(F.min(best("b")).alias("n"))
+                 .select(F.col("a").alias("v"), F.least("n", best("a")).getField("p").alias("p")))
         for _ in range(2):
-            p = table(p)
-            p = p.join(p.select(F.col("v").alias("w"), F.col("p").alias("q")), F.col("p") == F.col("w")).select("v", F.col("q").alias("p"))
-        p = table(p)
-        m = table(p.select(F.col("v").alias("id"), F.col("p").alias("label")) if m is None else
-                m.join(p, m.label == p.v, "left").select("id", F.coalesce("p", "label").alias("label")))
-        pa = p.select(F.col("v").alias("a"), F.col("p").alias("na"))
-        pb = p.select(F.col("v").alias("b"), F.col("p").alias("nb"))
-        e = table(e.join(pa, "a").join(pb, "b").where("na <> nb")
-                .select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct())
-    first = m.groupBy("label").agg(F.min("id").alias("root"))
-    return table(m.join(first, "label").select("id", "root"))
+            to = hand(p.select(F.col("v").alias("w"), F.col("p").alias("q")))
+            p = step(p.join(to, F.col("p") == F.col("w")).select("v", F.col("q").alias("p")))
+        m = step(p.select(F.col("v").alias("id"), F.col("p").alias("label")) if m is None else
+                 m.join(hand(p), m.label == p.v, "left").select("id", F.coalesce("p", "label").alias("label")))
+        pa = hand(p.select(F.col("v").alias("a"), F.col("p").alias("na")))
+        pb = hand(p.select(F.col("v").alias("b"), F.col("p").alias("nb")))
+        e = step(e.join(pa, "a").join(pb, "b").where("na <> nb")
+                 .select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct())
+        left = e.count()
+    first = hand(m.groupBy("label").agg(F.min("id").alias("root")))
+    return step(m.join(first, "label").select("id", "root"))
 
 
 def tokenizer_path(name: str) -> str:

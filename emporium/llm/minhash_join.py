@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporium.llm.common import components, cut, keys, mix, shingle_set
+from emporium.llm.common import components, cut, keys, mix, shingle_set, tasks
 
 K, T, N = 64, 34, 5
 ROUNDS = 3
@@ -185,7 +185,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, similarity: int = 75)
     carriers = keys(post.select("cls").distinct().join(classes.select("cls", "carrier", F.col("key").alias("text_key")), "cls"))
     texts = cut(_sketched(docs.join(carriers, docs.doc_id.eqNullSafe(carriers.carrier) & (docs.key == carriers.text_key))
                           .select("cls", "text")))
-    edges = None
+    edges, few = None, tasks(post.count())  # no table of ids below has more rows than post
     for turn in range(ROUNDS):
         mixed = post.groupBy("token").agg(
             F.min("grp").alias("g1"), F.max("grp").alias("g2"),
@@ -195,7 +195,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, similarity: int = 75)
                  .where("grp <> hgrp").where(_fits("n", "hn", similarity))
                  .groupBy("cls", "hub").count())
         pick = cut(meets.groupBy("cls").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
-                   .select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct())
+                   .select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct().coalesce(few))
         proposed = pick.count()
         if not proposed:
             break
@@ -203,10 +203,10 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, similarity: int = 75)
         confirmed = found.count()
         if confirmed:
             edges = found if edges is None else edges.union(found)
-            post = _regroup(post, components(edges))
+            post = _regroup(post, components(edges), few)
         if confirmed * 10 < proposed:
             break
-    rest = _left_over(post)
+    rest = _left_over(post, few)
     if not rest.isEmpty():
         diffs = cut(_differences(_anchors(rest), texts))
         sure, near = _anchored_pairs(diffs, rest, texts.select("cls", "sketch"), similarity)
@@ -229,15 +229,15 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, similarity: int = 75)
                       F.col("doc_id").eqNullSafe(comp).alias("kept"))
 
 
-def _regroup(post: DataFrame, roots: DataFrame) -> DataFrame:
+def _regroup(post: DataFrame, roots: DataFrame, few: int) -> DataFrame:
     return cut(post.drop("grp").join(roots.select(F.col("id").alias("cls"), "root"), "cls", "left")
-               .select("cls", "n", "token", F.coalesce("root", "cls").alias("grp")))
+               .select("cls", "n", "token", F.coalesce("root", "cls").alias("grp")).coalesce(few))
 
 
-def _left_over(post: DataFrame) -> DataFrame:
+def _left_over(post: DataFrame, few: int) -> DataFrame:
     """Entries of lists that still hold more than one group."""
     mixed = post.groupBy("token").agg(F.min("grp").alias("g1"), F.max("grp").alias("g2")).where("g1 <> g2")
-    return cut(post.join(mixed.select("token"), "token"))
+    return cut(post.join(mixed.select("token"), "token").coalesce(few))
 
 
 def _anchors(rest: DataFrame) -> DataFrame:
