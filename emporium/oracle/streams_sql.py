@@ -56,3 +56,11 @@ sessions AS (
     FROM numbered GROUP BY user_id, sid)
 SELECT * FROM sessions
 WHERE session_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM ev)"""
+
+# ST2 with conversions: the closed sessions (the final watermark is the lesser
+# of both event kinds') without a purchase from the last click to the end.
+SQL["st_open_carts"] = SQL["st_cart_abandonment"].replace(
+    "(SELECT max(ts) - INTERVAL 1 HOUR FROM ev)",
+    "(SELECT least(max(ts) FILTER (event_type = 'click'), max(ts) FILTER (event_type = 'purchase')) - INTERVAL 1 HOUR FROM events)") + """
+  AND NOT EXISTS (SELECT 1 FROM events p WHERE p.event_type = 'purchase' AND p.user_id = sessions.customer_id
+                  AND p.ts BETWEEN sessions.last_click AND sessions.session_end)"""

@@ -217,6 +217,7 @@ QUERIES: dict[str, Job] = {
     # ST: streaming jobs (availableNow runs into file sinks)
     "st_order_velocity": lambda spark, sf_dir: ST.st_order_velocity(spark, sf_dir),
     "st_cart_abandonment": lambda spark, sf_dir: ST.st_cart_abandonment(spark, sf_dir),
+    "st_open_carts": lambda spark, sf_dir: ST.st_open_carts(spark, sf_dir),
     "st_price_log": _cat(ST.st_price_log, ts=AS_OF),
     "st_status_log": _cat(ST.st_status_log, ts=AS_OF),
     "st_customer_audit": _cat(ST.st_customer_audit, ts=AS_OF),

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from emporium.functions import semantics as S
-from emporium.operators import overlay
+from emporium.operators import bucketed
 from emporium.plans import changes as C
 from emporium.session import ensure_checkpoint_dir
 
@@ -37,6 +37,20 @@ def stage(df: DataFrame, name: str) -> str:
     return path
 
 
+def stage_in_order(df: DataFrame, name: str, at: str, parts: int) -> str:
+    """Like :func:`stage`, as ``parts`` or more files whose order (file sources
+    take the oldest file first) is that of the column ``at``: ranges of time
+    are written one after another."""
+    path = _scratch(df.sparkSession, f"src-{name}")
+    micros = F.unix_micros(F.col(at).cast("timestamp"))
+    lo, hi = df.agg(F.min(micros), F.max(micros)).first()
+    width = (hi - lo) // parts + 1 if lo is not None else 1
+    for n in range(parts):
+        here = df.where(F.lit(True) if lo is None else F.floor((micros - lo) / width) == n)
+        here.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def file_stream(spark: SparkSession, path: str, schema, glob: str | None = None,
                 max_files: int | None = None) -> DataFrame:
     r = spark.readStream.schema(schema)
@@ -70,49 +84,25 @@ def run_append(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{out}/data")
 
 
-def _published_versions(spark: SparkSession, out: str) -> list[int]:
-    """Batch ids of the complete versions under ``out`` (``v=<id>/_SUCCESS``)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(out)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    found = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            found.append(int(name[2:]))
-    return sorted(found)
-
-
 def run_update_upsert(stream: DataFrame, name: str, keys: list[str], out: str | None = None) -> DataFrame:
     """Update-mode query whose micro-batches are upserted by ``keys`` into a
-    versioned Parquet table (one immutable version per batch, the last one
-    is current).  Returns the current version.
+    bucketed table (:mod:`emporium.operators.bucketed`): a batch rewrites only
+    the buckets of its keys.  Returns the current rows.
 
-    The previous version is found in the sink folder, not in driver memory,
-    so a query restarted from its checkpoint continues from the last
-    published version, and a micro-batch that is re-run after a failure
-    rebuilds the same version (idempotent)."""
+    Earlier versions are found in the sink folder, not in driver memory, so a
+    query restarted from its checkpoint continues from the last published
+    version, and a micro-batch that is re-run after a failure rebuilds the same
+    version (idempotent)."""
     spark = stream.sparkSession
     out = out or _scratch(spark, name)
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        prior = [v for v in _published_versions(batch.sparkSession, out) if v < batch_id]
-        if prior:
-            prev = batch.sparkSession.read.parquet(f"{out}/v={prior[-1]:012d}")
-            new = overlay.upsert(prev, batch, keys)
-        else:
-            new = batch
-        new.write.mode("overwrite").parquet(f"{out}/v={batch_id:012d}")
+        bucketed.upsert(out, batch, keys, version=batch_id)
 
     q = (stream.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", f"{out}/_checkpoint")
          .outputMode("update").trigger(availableNow=True).start())
     q.awaitTermination()
-    versions = _published_versions(spark, out)
-    if not versions:
-        return spark.createDataFrame([], stream.schema)
-    return spark.read.parquet(f"{out}/v={versions[-1]:012d}")
+    return bucketed.read(spark, out, stream.schema)
 
 
 # -- ST1 -----------------------------------------------------------------------
@@ -138,19 +128,50 @@ def st_cart_abandonment(spark: SparkSession, sf_dir: str, gap: str = "3 days", l
     """Q10/E14 as a stream: a customer's click activity forms a session that
     closes after ``gap`` of silence; a closed session is an abandoned cart.
     Append mode emits a session once the watermark passes its end."""
-    ev = events_stream(spark, sf_dir).where(F.col("event_type") == "click")
-    sess = (ev.withWatermark("ets", lateness)
+    return _as_carts(run_append(_click_sessions(events_stream(spark, sf_dir), gap, lateness).drop("closed"), "st2-carts"))
+
+
+def _click_sessions(events: DataFrame, gap: str, lateness: str) -> DataFrame:
+    return (events.where(F.col("event_type") == "click").withWatermark("ets", lateness)
             .groupBy(F.session_window("ets", gap).alias("s"), F.col("user_id").alias("customer_id"))
             .agg(F.count(F.lit(1)).alias("clicks"), F.max("ets").alias("last_click"))
             .select("customer_id", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
-                    "clicks", "last_click"))
-    out = run_append(sess, "st2-carts")
+                    "clicks", "last_click", F.window_time("s").alias("closed")))
+
+
+def _as_carts(out: DataFrame) -> DataFrame:
     return out.select("customer_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
                       F.col("session_end").cast("timestamp_ntz").alias("session_end"),
                       F.col("clicks").cast("bigint").alias("clicks"),
                       F.col("last_click").cast("timestamp_ntz").alias("last_click"))
 
 
+def open_carts(events: DataFrame, purchases: DataFrame, gap: str = "3 days", lateness: str = "1 hour") -> DataFrame:
+    """Closed click sessions that no purchase of the customer took out: one
+    between the last click and the session's end, ``gap`` later (both ends
+    included).  ``events`` and ``purchases`` are two event streams with their own
+    watermarks: a left outer join in event time of closed sessions and
+    purchases, which keeps purchases for about ``gap`` and sends a session without
+    one when no more purchase in time can come.  Matched
+    sessions are dropped, so each cart appears once."""
+    carts = _click_sessions(events, gap, lateness)  # `closed` is the end less one microsecond and carries the watermark
+    bought = (purchases.where(F.col("event_type") == "purchase").withWatermark("ets", lateness)
+              .select(F.col("user_id").alias("buyer"), F.col("ets").alias("bought")))
+    in_time = F.expr(f"buyer = customer_id AND bought > closed - INTERVAL {gap} "
+                     "AND bought <= closed + INTERVAL 1 MICROSECOND")
+    return carts.join(bought, in_time, "left_outer").where("buyer IS NULL").drop("buyer", "bought")
+
+
+def st_open_carts(spark: SparkSession, sf_dir: str, parts: int = 6) -> DataFrame:
+    """ST2 with conversions: abandoned carts less those bought in time.  The
+    events are staged in ``parts`` files in the order of time and read one file a
+    micro-batch, so sessions and conversions cross batches."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ets", F.col("ts").cast("timestamp"))
+    path = stage_in_order(ev, "st2-events", "ets", parts)
+    src = lambda: file_stream(spark, path, ev.schema, max_files=1)
+    return _as_carts(run_append(open_carts(src(), src()), "st2-open-carts"))
+
+
 # -- ST3 -----------------------------------------------------------------------
 def _feed_stream(feed: DataFrame, name: str) -> DataFrame:
     """A staged table as a file stream.  Its files are not in event-time

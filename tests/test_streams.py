@@ -79,3 +79,22 @@ def test_events_stream_reads_a_folder(spark, tmp_path):
     for job in (ST.st_order_velocity, ST.st_cart_abandonment):
         want, got = job(spark, SMOKE), job(spark, str(tmp_path))
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count()
+
+
+def test_open_carts_leave_out_what_was_bought(spark, tmp_path):
+    """A purchase in time takes a cart out, also one that arrives in a later
+    micro-batch than the clicks; another customer's or a late one does not."""
+    day = lambda d, h=0: f"2024-01-{d:02d} {h:02d}:00:00"
+    rows = [(1, "click", day(1)), (1, "click", day(2)), (1, "purchase", day(4)),  # bought two days after the last click
+            (2, "click", day(1)), (2, "purchase", day(8)),  # too late
+            (3, "click", day(1)), (4, "purchase", day(2)),  # somebody else
+            (5, "purchase", day(1)), (5, "click", day(1, 6)),  # bought before
+            (6, "click", day(3)), (6, "purchase", day(6)),  # at the very end
+            (9, "click", day(28)), (9, "purchase", day(28))]
+    ev = spark.createDataFrame(rows, "user_id long, event_type string, t string").select(
+        "user_id", "event_type", F.col("t").cast("timestamp").alias("ets"))
+    for parts in (1, 9):
+        path = ST.stage_in_order(ev, "carts", "ets", parts)
+        src = lambda: ST.file_stream(spark, path, ev.schema, max_files=1)  # noqa: B023, E731
+        got = ST.run_append(ST.open_carts(src(), src()), "carts")
+        assert sorted(r.customer_id for r in got.collect()) == [2, 3, 5]
