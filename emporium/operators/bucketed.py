@@ -25,7 +25,8 @@ from emporium.operators import overlay
 BUCKETS = 64
 
 
-def _listed(spark: SparkSession, path: str) -> list[str]:
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any store that Spark reads (none if it is not there)."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
     return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
@@ -34,9 +35,9 @@ def _listed(spark: SparkSession, path: str) -> list[str]:
 def versions(spark: SparkSession, folder: str) -> dict[int, list[int]]:
     """Published versions and the buckets that each of them wrote."""
     out = {}
-    for name in _listed(spark, folder):
+    for name in listed(spark, folder):
         if name.startswith("v="):
-            inside = _listed(spark, f"{folder}/{name}")
+            inside = listed(spark, f"{folder}/{name}")
             if "_SUCCESS" in inside:
                 out[int(name[2:])] = sorted(int(x.removeprefix("bucket=")) for x in inside if x.startswith("bucket="))
     return dict(sorted(out.items()))

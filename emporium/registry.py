@@ -216,6 +216,7 @@ QUERIES: dict[str, Job] = {
     "bat_move_category_products": _cat(lambda t: B.bat_move_category(t, t.category_move_requests)["products"]),
     # ST: streaming jobs (availableNow runs into file sinks)
     "st_order_velocity": lambda spark, sf_dir: ST.st_order_velocity(spark, sf_dir),
+    "st_order_velocity_sliding": lambda spark, sf_dir: ST.st_order_velocity_sliding(spark, sf_dir),
     "st_cart_abandonment": lambda spark, sf_dir: ST.st_cart_abandonment(spark, sf_dir),
     "st_open_carts": lambda spark, sf_dir: ST.st_open_carts(spark, sf_dir),
     "st_price_log": _cat(ST.st_price_log, ts=AS_OF),
