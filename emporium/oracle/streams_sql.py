@@ -68,8 +68,8 @@ SQL["st_open_carts"] = SQL["st_cart_abandonment"].replace(
 # ST1 sliding: every purchase lies in four windows of an hour that begin every
 # quarter of an hour, five minutes past; the event clock runs 96 times as fast.
 SQL["st_order_velocity_sliding"] = """
-WITH p AS (SELECT user_id, epoch_us(ts) // 96 AS at FROM events WHERE event_type = 'purchase'),
-w AS (SELECT user_id, ((at - 300000000) // 900000000 - k) * 900000000 + 300000000 AS ws
+WITH p AS (SELECT user_id, epoch_us(ts) // 96 AS made FROM events WHERE event_type = 'purchase'),
+w AS (SELECT user_id, ((made - 300000000) // 900000000 - k) * 900000000 + 300000000 AS ws
       FROM p, (SELECT unnest([0, 1, 2, 3]) AS k) s)
 SELECT user_id AS customer_id, make_timestamp(ws) AS window_start, make_timestamp(ws) + INTERVAL 1 HOUR AS window_end,
        CAST(count(*) AS BIGINT) AS order_count
