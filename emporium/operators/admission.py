@@ -4,8 +4,8 @@ Requests of a key are taken in (ts, request_id) order; one is accepted when
 what it needs is at most what is left, and a refused one consumes nothing, so
 a running sum is wrong after the first refusal.  Distributed form:
 
-* keys whose needs together fit the balance accept everything: one aggregate,
-  no ordering (the common case);
+* every request meets its key's balance and total needs once (stored); keys
+  whose needs together fit accept everything: no ordering (the common case);
 * the rows of the other keys are range-partitioned once on (key, ts,
   request_id) into chunks of about ``CHUNK_ROWS`` rows and stored, so a hot key
   spans many chunks;
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from emporium.session import ensure_checkpoint_dir
+from emporium.operators.kept import kept
 
 #: The trigger's message (fixed value); it is raised for an unknown product too.
 REJECT_CAPACITY = "Stock insuficiente para completar la venta"
@@ -43,8 +43,8 @@ REJECT_NEGATIVE = "negative balance"
 CHUNK_ROWS = 1_000_000
 
 
-def _refused(df: DataFrame, request_id: str, reason: str) -> DataFrame:
-    return df.select(F.col(request_id).alias("request_id"), F.lit(False).alias("accepted"), F.lit(reason).alias("reason"))
+def _refused(df: DataFrame, request_id: str, reason: str, keep: list[str] = ()) -> DataFrame:
+    return df.select(F.col(request_id).alias("request_id"), F.lit(False).alias("accepted"), F.lit(reason).alias("reason"), *keep)
 
 
 def _fold(rows: DataFrame, key: str, order: list[str], request_id: str) -> DataFrame:
@@ -111,21 +111,31 @@ def _halve(chunks: DataFrame, key: str, order: list[str], request_id: str) -> Da
             .select(request_id, (F.col("accepted") & F.col("_fits")).alias("accepted")))
 
 
-def _admit(requests: DataFrame, start: DataFrame, key: str, order: list[str], request_id: str) -> DataFrame:
-    """``requests(request_id, key, _need, order...)`` x ``start(key, _free)`` ->
-    ``(request_id, accepted)`` for requests of keys in ``start``."""
-    ensure_checkpoint_dir(requests.sparkSession)
-    wanted = requests.groupBy(key).agg(F.sum(F.greatest("_need", F.lit(0))).alias("_wanted"),
-                                       (F.min("_need") < 0).alias("_gives"))
-    known = requests.join(start, key).join(wanted, key)
-    decided = known.where(F.col("_wanted") <= F.col("_free")).select(request_id, F.lit(True).alias("accepted"))
-    hard = known.where(F.col("_wanted") > F.col("_free")).drop("_wanted").checkpoint(eager=True)
-    takes, gives = hard.where(~F.col("_gives")).drop("_gives"), hard.where("_gives").drop("_gives")
+def _admit(requests: DataFrame, start: DataFrame, key: list[str], order: list[str], request_id: str, keep: list[str]) -> DataFrame:
+    """``requests(request_id, key..., _need, order..., keep...)`` x
+    ``start(key..., _free)`` -> ``(request_id, accepted, keep...)``; no decision
+    (NULL) for keys that are not in ``start``.  Every request meets its balance
+    and its key's needs once, and that is stored: all later steps filter it."""
+    wanted = requests.groupBy(*key).agg(F.sum(F.greatest("_need", F.lit(0))).alias("_wanted"),
+                                        (F.min("_need") < 0).alias("_gives"))
+    known = kept(requests.join(start, key, "left").join(wanted, key, "left"), "admission")
+    tight = F.coalesce(F.col("_wanted") > F.col("_free"), F.lit(False))
+    out = [request_id, "accepted", *keep]
+    decided = known.where(~tight).withColumn("accepted", F.when(F.col("_free").isNotNull(), F.lit(True))).select(*out)
+    hard = known.where(tight).withColumn("_key", F.struct(*key) if len(key) > 1 else F.col(key[0]))
+    rows = hard.select(request_id, "_key", "_need", *[c for c in order if c != request_id], "_free", "_gives")
+    takes, gives = rows.where(~F.col("_gives")).drop("_gives"), rows.where("_gives").drop("_gives")
+    parts = []
     if not takes.isEmpty():
-        nothing = takes.where(F.col("_free") < 0).select(request_id, F.lit(False).alias("accepted"))
-        decided = decided.unionByName(nothing).unionByName(
-            _halve(_chunked(takes.where(F.col("_free") >= 0), key, order), key, order, request_id))
-    return decided if gives.isEmpty() else decided.unionByName(_in_turns(gives, key, order, request_id))
+        parts.append(takes.where(F.col("_free") < 0).select(request_id, F.lit(False).alias("accepted")))
+        parts.append(_halve(_chunked(takes.where(F.col("_free") >= 0), "_key", order), "_key", order, request_id))
+    if not gives.isEmpty():
+        parts.append(_in_turns(gives, "_key", order, request_id))
+    for part in parts:
+        if keep:
+            part = part.join(hard.select(request_id, *keep), request_id)
+        decided = decided.unionByName(part.select(*out))
+    return decided
 
 
 def _in_turns(hard: DataFrame, key: str, order: list[str], request_id: str) -> DataFrame:
@@ -149,21 +159,27 @@ def _in_turns(hard: DataFrame, key: str, order: list[str], request_id: str) -> D
     return decided
 
 
-def _needs(requests: DataFrame, key: str, need, order: list[str], request_id: str) -> DataFrame:
-    return requests.select(request_id, key, need.cast("bigint").alias("_need"), *[c for c in order if c != request_id])
+def _needs(requests: DataFrame, key: list[str], need, order: list[str], request_id: str, keep: list[str]) -> DataFrame:
+    cols = dict.fromkeys([request_id, *key, *order, *keep])
+    return requests.select(*cols, need.cast("bigint").alias("_need"))
 
 
-def greedy_admission(requests: DataFrame, capacity: DataFrame, key: str, qty: str = "qty",
-                     order: tuple[str, ...] = ("ts", "request_id"), request_id: str = "request_id") -> DataFrame:
+def greedy_admission(requests: DataFrame, capacity: DataFrame, key: str | list[str], qty: str = "qty",
+                     order: tuple[str, ...] = ("ts", "request_id"), request_id: str = "request_id",
+                     unknown: str = REJECT_CAPACITY, keep: tuple[str, ...] = ()) -> DataFrame:
     """``requests(request_id, key, qty, order...)`` x ``capacity(key, cap)`` ->
-    ``(request_id, accepted, reason)``, one row per request."""
-    req = _needs(requests.where(F.col(qty).isNotNull()), key, F.col(qty), list(order), request_id)
-    free = capacity.where("cap IS NOT NULL").select(key, F.col("cap").cast("bigint").alias("_free"))
-    dec = _admit(req, free, key, list(order), request_id).select(
-        F.col(request_id).alias("request_id"), "accepted",
-        F.when(~F.col("accepted"), F.lit(REJECT_CAPACITY)).alias("reason"))
-    return (dec.unionByName(_refused(req.join(free, key, "left_anti"), request_id, REJECT_CAPACITY))
-            .unionByName(_refused(requests.where(F.col(qty).isNull()), request_id, REJECT_MISSING)))
+    ``(request_id, accepted, reason)``, one row per request, and its columns
+    ``keep``.  ``key`` may be several columns; ``unknown`` is the reason for a key
+    without a capacity."""
+    keys, keep = [key] if isinstance(key, str) else list(key), list(keep)
+    req = _needs(requests.where(F.col(qty).isNotNull()), keys, F.col(qty), list(order), request_id, keep)
+    free = capacity.where("cap IS NOT NULL").select(*keys, F.col("cap").cast("bigint").alias("_free"))
+    ok = F.col("accepted")
+    dec = _admit(req, free, keys, list(order), request_id, keep).select(
+        F.col(request_id).alias("request_id"), F.coalesce(ok, F.lit(False)).alias("accepted"),
+        F.when(ok.isNull(), F.lit(unknown)).when(~ok, F.lit(REJECT_CAPACITY)).alias("reason"), *keep)
+    missing = requests.where(F.col(qty).isNull())
+    return dec.unionByName(_refused(missing, request_id, REJECT_MISSING, keep))
 
 
 def sequential_balance(requests: DataFrame, start: DataFrame, key: str, delta: str = "delta",
@@ -172,9 +188,9 @@ def sequential_balance(requests: DataFrame, start: DataFrame, key: str, delta: s
     zero is refused and changes nothing (it needs ``-delta``).  ``start(key,
     bal)``; keys without a start row are not handled here (callers refuse them
     first); a missing delta is refused."""
-    req = _needs(requests.where(F.col(delta).isNotNull()), key, -F.col(delta).cast("bigint"), list(order), request_id)
+    req = _needs(requests.where(F.col(delta).isNotNull()), [key], -F.col(delta).cast("bigint"), list(order), request_id, [])
     free = start.select(key, F.coalesce("bal", F.lit(0)).cast("bigint").alias("_free"))
-    dec = _admit(req, free, key, list(order), request_id).select(
+    dec = _admit(req, free, [key], list(order), request_id, []).where(F.col("accepted").isNotNull()).select(
         F.col(request_id).alias("request_id"), "accepted",
         F.when(~F.col("accepted"), F.lit(REJECT_NEGATIVE)).alias("reason"))
     return dec.unionByName(_refused(requests.where(F.col(delta).isNull()), request_id, REJECT_MISSING))

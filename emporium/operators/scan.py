@@ -44,9 +44,18 @@ def _partitions(spark, partitions: int | None) -> int:
         return spark.sparkContext.defaultParallelism
 
 
+def _windowed(df: DataFrame, keys: list[str], order: list[str], sums: dict, rank: str | None, lags: dict) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.select(*df.columns, *[F.sum(c).over(run).alias(o) for o, c in sums.items()],
+                     *([F.row_number().over(w).cast("bigint").alias(rank)] if rank else []),
+                     *[F.lag(c).over(w).alias(o) for o, c in lags.items()])
+
+
 def keyed_running(df: DataFrame, keys: list[str], order: list[str], *,
                   sums: dict[str, str] | None = None, rank: str | None = None,
-                  lags: dict[str, str] | None = None, partitions: int | None = None) -> DataFrame:
+                  lags: dict[str, str] | None = None, partitions: int | None = None,
+                  whole: int | None = None) -> DataFrame:
     """Add per-key running columns over rows ordered by ``order``.
 
     ``sums``: ``{out: col}`` inclusive running sum of ``col``;
@@ -55,6 +64,10 @@ def keyed_running(df: DataFrame, keys: list[str], order: list[str], *,
     (NULL on the key's first row).  ``order`` should be a total order within
     a key (e.g. ``(ts, request_id)``) for the results to be deterministic.
 
+    ``whole``: keys of up to that many rows are done by one window each (one
+    shuffle, nothing stored), only the larger ones in chunks.  ``df`` is then
+    read twice more, so it should be stored.
+
     The chunk id is always materialised before its two uses: evaluated
     lazily, ``spark_partition_id()`` is only the range partition while the
     plan keeps that exchange's partitioning, and AQE may change how a
@@ -63,6 +76,16 @@ def keyed_running(df: DataFrame, keys: list[str], order: list[str], *,
     """
     sums, lags = dict(sums or {}), dict(lags or {})
     spark = df.sparkSession
+    if whole:
+        ensure_checkpoint_dir(spark)
+        same = [F.col(k).eqNullSafe(F.col(f"_big_{k}")) for k in keys]
+        big = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > whole)
+               .select(*[F.col(k).alias(f"_big_{k}") for k in keys]).checkpoint(eager=True))  # rows / whole at most
+        if big.isEmpty():
+            return _windowed(df, keys, order, sums, rank, lags)
+        small = _windowed(df.join(F.broadcast(big), same, "left_anti"), keys, order, sums, rank, lags)
+        return small.unionByName(keyed_running(df.join(F.broadcast(big), same, "left_semi"), keys, order, sums=sums,
+                                               rank=rank, lags=lags, partitions=partitions))
     ensure_checkpoint_dir(spark)
     n = _partitions(spark, partitions)
     sum_types = {o: df.select(F.sum(c)).schema.fields[0].dataType for o, c in sums.items()}

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from emporium.functions import semantics as S
 from emporium.operators.admission import greedy_admission, sequential_balance
+from emporium.operators.kept import kept
 from emporium.operators.ledger import floored_totals
 from emporium.operators.scan import keyed_running
 from emporium.operators.scalars import attach_scalars
@@ -63,6 +64,7 @@ PROMO_NAME = "Descuento Categoria "
 # ---------------------------------------------------------------------------
 
 ORDER = ("ts", "request_id")
+ORDER_ROWS = 1_000_000  # return requests of one order that one window holds
 
 
 def _decision(df: DataFrame, accepted, reason) -> DataFrame:
@@ -176,41 +178,37 @@ def bat_returns(t, requests: DataFrame) -> dict[str, DataFrame]:
     (product bought) and what is left to return, in order per line.  An
     order is cancelled once everything bought was returned; requests after
     that see a cancelled order."""
-    o = t.ventas.select("id_venta", F.col("estado").alias("_st"), F.col("total").alias("_tot"), "id_cliente")
-    bought = t.detalle_ventas.select("id_venta", "id_producto", F.col("cantidad").alias("_bought"))
-    done = t.devoluciones.groupBy("id_venta", "id_producto").agg(F.sum("cantidad").alias("_done"))
-    r = (requests.join(o, "id_venta", "left").join(bought, ["id_venta", "id_producto"], "left")
-         .join(done, ["id_venta", "id_producto"], "left"))
+    line = ["id_venta", "id_producto"]
+    r = requests.join(t.ventas.select("id_venta", F.col("estado").alias("_st")), "id_venta", "left")
     why = _first_reason((F.col("cantidad").isNull() | (F.col("cantidad") <= 0), MSG_RETURN_QTY),
-                        (F.col("_st").isNull(), MSG_NO_ORDER_RETURN), (F.col("_st") != S.DELIVERED, MSG_NOT_DELIVERED),
-                        (F.col("_bought").isNull(), MSG_NOT_IN_ORDER))
-    r = r.withColumn("_why", why).withColumn("_line", F.struct("id_venta", "id_producto"))  # exact composite key
+                        (F.col("_st").isNull(), MSG_NO_ORDER_RETURN), (F.col("_st") != S.DELIVERED, MSG_NOT_DELIVERED))
+    r = kept(r.select("request_id", "ts", *line, "cantidad", why.alias("_why")), "returns")
     static_rej = r.where(F.col("_why").isNotNull()).select("request_id", F.lit(False).alias("accepted"),
                                                           F.col("_why").alias("reason"))
-    passing = r.where(F.col("_why").isNull())
-    cap = (passing.select("_line", (F.col("_bought") - F.coalesce("_done", F.lit(0))).alias("cap")).distinct())
-    dec = greedy_admission(passing.select("request_id", "_line", F.col("cantidad").alias("qty"), "ts"), cap, "_line", "qty")
-    p2 = passing.join(dec, "request_id")
+    done = t.devoluciones.groupBy(*line).agg(F.sum("cantidad").alias("_done"))
+    cap = (t.detalle_ventas.select(*line, "cantidad").join(done, line, "left")
+           .select(*line, (F.col("cantidad") - F.coalesce("_done", F.lit(0))).alias("cap")))
+    dec = greedy_admission(r.where(F.col("_why").isNull()), cap, line, "cantidad", unknown=MSG_NOT_IN_ORDER,
+                           keep=("ts", *line, "cantidad"))
     # order completeness: running returned units per order over accepted requests
+    back = F.when(F.col("accepted"), F.col("cantidad")).otherwise(F.lit(0))
+    run = keyed_running(dec.withColumn("_back", back), ["id_venta"], list(ORDER), sums={"_run": "_back"},
+                        whole=ORDER_ROWS)
     tot_bought = t.detalle_ventas.groupBy("id_venta").agg(F.sum("cantidad").alias("_tb"))
     tot_done = t.devoluciones.groupBy("id_venta").agg(F.sum("cantidad").alias("_td"))
-    accp = keyed_running(p2.where("accepted").select("request_id", "id_venta", "ts", "cantidad"),
-                         ["id_venta"], list(ORDER), sums={"_run": "cantidad"})
-    accp = (accp.join(tot_bought, "id_venta").join(tot_done, "id_venta", "left")
-            .withColumn("_ret", F.coalesce("_td", F.lit(0)) + F.col("_run")))
-    closing = (accp.where(F.col("_ret") >= F.col("_tb")).groupBy("id_venta")
-               .agg(F.min(F.struct(*ORDER)).alias("_close")))
+    run = run.join(tot_bought, "id_venta", "left").join(tot_done, "id_venta", "left")
     # requests after the closing one find the order cancelled
-    p3 = p2.join(closing, "id_venta", "left")
-    after_close = F.col("_close").isNotNull() & (F.struct(*ORDER) > F.col("_close"))
-    decided = p3.select("request_id", F.when(after_close, F.lit(False)).otherwise(F.col("accepted")).alias("accepted"),
-                        F.when(after_close, F.lit(MSG_NOT_DELIVERED))
-                        .when(~F.col("accepted"), F.lit(MSG_RETURN_EXCEEDS)).alias("reason"))
-    decisions = static_rej.unionByName(decided)
-    cancelled = closing.join(o, "id_venta").select(F.col("id_venta").alias("order_id"), "id_cliente",
-                                                   F.col("_tot").alias("total"))
-    acc_final = requests.join(decisions.where("accepted").select("request_id"), "request_id")
-    moved = acc_final.groupBy("id_producto").agg(F.sum("cantidad").alias("_q"))
+    td, before = F.coalesce("_td", F.lit(0)), F.col("_run") - F.col("_back")
+    late = F.coalesce((before > 0) & (td + before >= F.col("_tb")), F.lit(False))
+    decided = run.select(
+        "request_id", *line, "cantidad", (F.col("accepted") & ~late).alias("accepted"),
+        F.when(F.col("reason") == MSG_NOT_IN_ORDER, F.lit(MSG_NOT_IN_ORDER)).when(late, F.lit(MSG_NOT_DELIVERED))
+        .when(~F.col("accepted"), F.lit(MSG_RETURN_EXCEEDS)).alias("reason"),
+        (F.col("accepted") & ~late & (td + F.col("_run") >= F.col("_tb"))).alias("_closes"))
+    decisions = static_rej.unionByName(decided.select("request_id", "accepted", "reason"))
+    cancelled = (decided.where("_closes").select("id_venta").join(t.ventas, "id_venta")
+                 .select(F.col("id_venta").alias("order_id"), "id_cliente", "total"))
+    moved = decided.where("accepted").groupBy("id_producto").agg(F.sum("cantidad").alias("_q"))
     stock = (t.productos.select("id_producto", "stock", "total_vendido").join(moved, "id_producto")
              .select(F.col("id_producto").alias("product_id"), (F.col("stock") + F.col("_q")).cast("bigint").alias("stock"),
                      F.greatest(F.lit(0), F.col("total_vendido") - F.col("_q")).cast("bigint").alias("total_sold")))
