@@ -15,6 +15,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -277,18 +278,21 @@ def _low_stock(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -
     """Running stock of one product; emit when it crosses from above the
     threshold to at or below it (T14).  The state starts from the opening
     stock carried by the product's first movement (stream-static lookup).
-    Vectorised: one sort and one cumulative sum per product and micro-batch;
-    a product's rows in one call are those of one micro-batch, which a live
-    source bounds with ``maxFilesPerTrigger``."""
-    pdf = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "seq"], kind="mergesort")
-    start = state.get[0] if state.exists else int(pdf["opening"].iloc[0])
-    after = start + pdf["delta"].cumsum()
-    before = after - pdf["delta"]
-    hit = (before > S.LOW_STOCK) & (after <= S.LOW_STOCK)
-    state.update((int(after.iloc[-1]),))
+    Vectorised: one sort and one cumulative sum per product and micro-batch, on
+    plain arrays, as most products have a few rows and a frame operation costs
+    more than those; a product's rows in one call are those of one micro-batch,
+    which a live source bounds with ``maxFilesPerTrigger``."""
+    parts = [[b[c].to_numpy() for c in ("ts", "seq", "delta", "opening")] for b in batches]
+    ts, seq, delta, opening = parts[0] if len(parts) == 1 else (np.concatenate(c) for c in zip(*parts))
+    start = state.get[0] if state.exists else int(opening[0])  # the same on every row
+    if len(ts) > 1:
+        order = np.lexsort((seq, ts))
+        ts, delta = ts[order], delta[order]
+    after = start + delta.cumsum()
+    hit = (after - delta > S.LOW_STOCK) & (after <= S.LOW_STOCK)
+    state.update((int(after[-1]),))
     if hit.any():
-        yield pd.DataFrame({"product_id": key[0], "ts": pdf["ts"][hit].values,
-                            "stock_after": after[hit].astype("int64").values})
+        yield pd.DataFrame({"product_id": key[0], "ts": ts[hit], "stock_after": after[hit]})
 
 
 def sales_movements(t) -> DataFrame:
