@@ -9,6 +9,8 @@ Row locks and transactions become per-key ordered folds
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -389,7 +391,23 @@ def bat_register_customers(t, requests: DataFrame) -> DataFrame:
 
 
 # -- P13 ---------------------------------------------------------------------------
-def bat_merge_accounts(t, requests: DataFrame) -> dict[str, DataFrame]:
+class _OnDemand(Mapping):
+    """Outputs of a job by name; each is built, and its tables derived, when it is taken."""
+
+    def __init__(self, **build):
+        self._build = build
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._build[name]()
+
+    def __iter__(self):
+        return iter(self._build)
+
+    def __len__(self) -> int:
+        return len(self._build)
+
+
+def bat_merge_accounts(t, requests: DataFrame) -> Mapping[str, DataFrame]:
     """Secondary accounts folded into primaries.  A primary may absorb
     several accounts.  Of the requests that pass the checks, those that name an
     account as secondary twice, or in both roles, are all refused (chains), so
@@ -415,33 +433,36 @@ def bat_merge_accounts(t, requests: DataFrame) -> dict[str, DataFrame]:
         j = df.join(m.withColumnRenamed("id_cliente", col), col, "left")
         return j.withColumn(col, F.coalesce("_to", col)).drop("_to").select(*df.columns)
 
-    orders = rekey(t.ventas)
-    # UPDATE IGNORE: a moved review that meets one of the primary, or of an
-    # account merged before it, is left on the secondary and dies with it
-    turn = merges.select(F.col("secundario").alias("id_cliente"), F.col("primario").alias("_to"),
-                         F.struct(*ORDER).alias("_turn"))
-    own = t.resenas_productos.select(F.col("id_cliente").alias("_to"), "id_producto")
-    moving = t.resenas_productos.join(turn, "id_cliente").join(own, ["_to", "id_producto"], "left_anti")
-    first = moving.groupBy("_to", "id_producto").agg(F.min("_turn").alias("_turn"))
-    moved = (moving.join(first, ["_to", "id_producto", "_turn"]).withColumn("id_cliente", F.col("_to"))
-             .select(*t.resenas_productos.columns))
-    reviews = t.resenas_productos.join(m, "id_cliente", "left_anti").select(*moved.columns).unionByName(moved)
-    c = t.clientes.join(m, "id_cliente", "left_anti")
-    sec_spend = (t.clientes.join(m, "id_cliente").groupBy(F.col("_to").alias("id_cliente"))
-                 .agg(F.sum("total_gastado").alias("_add")))
-    c = c.join(sec_spend, "id_cliente", "left")
-    spent = (F.col("total_gastado") + F.coalesce("_add", F.lit(0))).cast("decimal(12,2)")
-    m2 = m.select(F.col("id_cliente").alias("referido_por"), F.col("_to").alias("_ref_to"))
-    c = c.join(m2, "referido_por", "left")
-    ref = F.when(F.col("_ref_to").isNotNull() & (F.col("_ref_to") == F.col("id_cliente")), F.lit(None)) \
-        .otherwise(F.coalesce("_ref_to", "referido_por"))
-    customers = c.select(*[spent.alias(x) if x == "total_gastado" else
-                           F.when(F.col("_add").isNotNull(), S.loyalty_tier(spent)).otherwise(F.col("nivel_lealtad"))
-                           .alias(x) if x == "nivel_lealtad" else
-                           ref.cast("bigint").alias(x) if x == "referido_por" else F.col(x)
-                           for x in t.clientes.columns])
-    return {"decisions": decisions, "customers": customers, "orders": orders, "reviews": reviews,
-            "views": rekey(t.vistas_productos), "carts": rekey(t.carritos)}
+    def reviews() -> DataFrame:
+        # UPDATE IGNORE: a moved review that meets one of the primary, or of an
+        # account merged before it, is left on the secondary and dies with it
+        turn = merges.select(F.col("secundario").alias("id_cliente"), F.col("primario").alias("_to"),
+                             F.struct(*ORDER).alias("_turn"))
+        own = t.resenas_productos.select(F.col("id_cliente").alias("_to"), "id_producto")
+        moving = t.resenas_productos.join(turn, "id_cliente").join(own, ["_to", "id_producto"], "left_anti")
+        first = moving.groupBy("_to", "id_producto").agg(F.min("_turn").alias("_turn"))
+        moved = (moving.join(first, ["_to", "id_producto", "_turn"]).withColumn("id_cliente", F.col("_to"))
+                 .select(*t.resenas_productos.columns))
+        return t.resenas_productos.join(m, "id_cliente", "left_anti").select(*moved.columns).unionByName(moved)
+
+    def customers() -> DataFrame:
+        c = t.clientes.join(m, "id_cliente", "left_anti")
+        sec_spend = (t.clientes.join(m, "id_cliente").groupBy(F.col("_to").alias("id_cliente"))
+                     .agg(F.sum("total_gastado").alias("_add")))
+        c = c.join(sec_spend, "id_cliente", "left")
+        spent = (F.col("total_gastado") + F.coalesce("_add", F.lit(0))).cast("decimal(12,2)")
+        m2 = m.select(F.col("id_cliente").alias("referido_por"), F.col("_to").alias("_ref_to"))
+        c = c.join(m2, "referido_por", "left")
+        ref = F.when(F.col("_ref_to").isNotNull() & (F.col("_ref_to") == F.col("id_cliente")), F.lit(None)) \
+            .otherwise(F.coalesce("_ref_to", "referido_por"))
+        return c.select(*[spent.alias(x) if x == "total_gastado" else
+                               F.when(F.col("_add").isNotNull(), S.loyalty_tier(spent)).otherwise(F.col("nivel_lealtad"))
+                               .alias(x) if x == "nivel_lealtad" else
+                               ref.cast("bigint").alias(x) if x == "referido_por" else F.col(x)
+                               for x in t.clientes.columns])
+
+    return _OnDemand(decisions=lambda: decisions, customers=customers, orders=lambda: rekey(t.ventas), reviews=reviews,
+                     views=lambda: rekey(t.vistas_productos), carts=lambda: rekey(t.carritos))
 
 
 # -- P14 ---------------------------------------------------------------------------

@@ -58,3 +58,45 @@ def test_returns_read_their_tables_once(spark, monkeypatch):
     monkeypatch.setattr(B, "ORDER_ROWS", 1_000_000, raising=False)
     # no hard line: requests, lines and balances are joined before the plan below, once
     assert joins(B.bat_returns(t, req.where("request_id >= 5000").where(F.col("id_venta") % 3 != 0))["decisions"]) <= 4
+
+
+def test_table_sums_stay_within_long_arithmetic(spark, cat):
+    """Amounts per line and order are summed as long cents, exactly."""
+    from decimal import Decimal
+
+    from emporium.functions import semantics as S
+    from emporium.sources.testdata import TestdataCatalog
+    amounts = ["0.01", "-0.01", "9999999999.99", "123.45"]
+    df = spark.createDataFrame([(Decimal(a),) for a in amounts], "a decimal(12,2)")
+    assert df.select(S.from_cents(F.sum(S.cents("a")))).first()[0] == sum(map(Decimal, amounts))
+    lazy = TestdataCatalog(spark, cat.sf_dir, materialize=False)
+    plan = lazy.ventas._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(" in plan
+    assert not any(f"decimal({n}" in plan for n in range(22, 39))
+
+
+def test_tasks_hold_a_bounded_number_of_rows(spark, cat, monkeypatch):
+    """The pair join and the ranking of related products take more tasks for
+    more rows, though they compress to almost nothing."""
+    from emporium.plans import analytics as Q
+    from emporium.plans import reports as P
+    monkeypatch.setattr(Q, "PAIR_LINES", 100, raising=False)
+    monkeypatch.setattr(P, "RELATED_ROWS", 50, raising=False)
+    for df, per_task, rows in ((Q.q07_basket_pairs(cat), 100, cat.detalle_ventas.count()),
+                               (P.rpt_related_products(cat), 50, 6 * cat.productos.count())):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert f", {-(-rows // per_task)}" in "".join(x for x in plan.splitlines() if "RepartitionByExpression" in x)
+
+
+def test_merged_carts_derive_no_other_output(spark):
+    from emporium.plans import batch as B
+
+    class Tables:
+        clientes = spark.createDataFrame([(1,), (2,)], "id_cliente long")
+        carritos = spark.createDataFrame([(7, 2)], "id_carrito long, id_cliente long")
+
+        def __getattr__(self, name):
+            raise AssertionError(f"{name} is not part of the carts")
+
+    req = spark.createDataFrame([(1, 1, 2, 1)], "request_id long, primario long, secundario long, ts long")
+    assert [tuple(r) for r in B.bat_merge_accounts(Tables(), req)["carts"].collect()] == [(7, 1)]
