@@ -15,10 +15,9 @@
    Rounds go on while they confirm a tenth of what they propose.
 4. What is left are pairs of classes of *different* groups in a common list.
    Classes of lists of more than ``CELL`` members take an anchor, one class
-   that most of their circle share, and those with an equal anchor meet by
-   their differences from it only (:func:`_anchored_pairs`): an exact prefix
-   join on rare differences, so a circle of near copies just below the
-   threshold does not meet pair by pair.
+   that most of their circle share, and those with an equal anchor are compared
+   by their differences from it only (:func:`_anchored_links`): exactly, in
+   blocks, without a row per pair or difference.
 5. Other pairs are joined whole within their lists, but members of one anchor
    or of one large group never meet there: each list's sides pair up first
    (groups of up to ``CELL`` members count as one).  A pair comes from its first
@@ -49,6 +48,7 @@ K, T, N = 64, 34, 5
 ROUNDS = 3
 BITS, DIFFER = 2048, 316  # at 0.75 one bit in eight differs: 256 on average, deviation 15
 CELL = 32
+BLOCK, BLOCK_DIFFS = 512, 1_000_000  # classes and differences of a block, see _anchored_links
 LOOSE = 0.3  # classes less similar than this to their anchor have none
 _rng = np.random.default_rng(75)
 _MULT = _rng.integers(0, 2 ** 63, K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -209,9 +209,11 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, similarity: int = 75)
     rest = _left_over(post, few)
     if not rest.isEmpty():
         diffs = cut(_differences(_anchors(rest), texts))
-        sure, near = _anchored_pairs(diffs, rest, texts.select("cls", "sketch"), similarity)
-        edges = sure if edges is None else edges.union(sure)
-        pairs = cut(near.union(_cross_pairs(rest, diffs, texts.select("cls", "sketch"), similarity)).distinct())
+        sure = cut(_anchored_links(diffs, rest, similarity))
+        if not sure.isEmpty():
+            edges = sure if edges is None else edges.union(sure)
+            rest = _left_over(_regroup(rest, components(edges), few), few)
+        pairs = cut(_cross_pairs(rest, diffs, texts.select("cls", "sketch"), similarity))
         if not pairs.isEmpty():
             found = cut(_confirm(pairs, texts, similarity))
             edges = found if edges is None else edges.union(found)
@@ -274,55 +276,74 @@ def _differences(anchors: DataFrame, texts: DataFrame) -> DataFrame:
             .mapInArrow(run, "cls long, anchor long, diff array<long>"))
 
 
-def _anchored_pairs(diffs: DataFrame, rest: DataFrame, sketch: DataFrame, similarity: int) -> tuple[DataFrame, DataFrame]:
-    """Links and candidate pairs of classes with one anchor, from ``diffs``.
-
-    With ``D`` the differences from the anchor, sets of ``n_a`` and ``n_b`` members
-    differ in ``|D_a| + |D_b| - 2 |D_a & D_b|``, and are linked if ``more`` times that is
-    at most ``less * (n_a + n_b)``.  So with ``x = more |D| - less n`` a link needs
-    ``2 more |D_a & D_b| >= x_a + x_b``.
-
-    * Without a common difference it needs ``x_a + x_b <= 0``; then both are
-      linked with the class of the least ``x`` for certain.  These links are the
-      first result; they join all such pairs.
-    * Other pairs have as many common differences as the bound asks, so they
-      meet in one of the rarest ones (prefix, by frequency within the anchor; differences
-      that one class has are left out).  Members of the anchor's main group
-      look for others only, whose least ``x`` is known and mostly high, so their
-      prefixes are short.  Places in the prefix, counts of lone differences,
-      sizes and sketches must allow the link.
-    """
+def _anchored_links(diffs: DataFrame, rest: DataFrame, similarity: int) -> DataFrame:
+    """``(a, b)`` of classes with one anchor that links connect, from ``diffs``.
+
+    Sets of ``n_a`` and ``n_b`` members with the differences ``D`` from one anchor differ in
+    ``|D_a| + |D_b| - 2 |D_a & D_b|``, so with ``x = more |D| - less n`` they are
+    linked if and only if ``2 more |D_a & D_b| >= x_a + x_b``: an exact test on full sets.
+
+    The classes of an anchor are dealt into blocks of about ``BLOCK`` classes and at
+    most some ``BLOCK_DIFFS`` differences; a cell compares two blocks in memory of
+    that size and returns who is connected there, one row per class at most, never
+    the pairs.  Anchors whose classes are in one group already have no cells."""
     more, less = 100 + similarity, 100 - similarity
-    of = rest.select("cls", "grp", "n").distinct()
-    base = cut(diffs.join(of, "cls").select("cls", "anchor", "grp", "n", "diff", (F.size("diff") * more - F.col("n") * less).alias("x")))
-    main = (base.groupBy("anchor", "grp").agg(F.count("*").alias("c"))
-            .groupBy("anchor").agg(F.max_by("grp", F.struct("c", "grp")).alias("main")))
-    least = cut(base.join(main, "anchor").groupBy("anchor", "main").agg(
-        F.min(F.struct("x", "cls")).alias("least"), F.min(F.when(F.col("grp") != F.col("main"), F.col("x"))).alias("other")))
-    sure = cut(base.join(least, "anchor").where((F.col("x") + F.col("least.x") <= 0) & (F.col("cls") != F.col("least.cls")))
-               .select(F.least("cls", "least.cls").alias("a"), F.greatest("cls", "least.cls").alias("b")))
-
-    places = base.select("cls", "anchor", F.explode("diff").alias("e"))
-    often = places.groupBy("anchor", "e").agg(F.count("*").alias("c")).where("c > 1")
-    ranked = (places.join(often, ["anchor", "e"]).groupBy("cls")
-              .agg(F.sort_array(F.collect_list(F.struct("c", "e"))).alias("l")))  # at most the differences of a text
-    low = F.when(F.col("grp") == F.col("main"), F.col("other")).otherwise(F.col("least.x"))
-    need = F.greatest(F.lit(1), F.ceil((F.col("x") + F.col("low")) / (2 * more))).cast("int")
-    posts = cut(base.join(least, "anchor").withColumn("low", low).where("low IS NOT NULL").join(ranked, "cls").join(sketch, "cls")
-                .select("cls", "anchor", "grp", "n", "x", (F.col("grp") == F.col("main")).alias("inner"), "sketch",
-                        F.size("l").alias("s"), (F.size("diff") - F.size("l")).alias("u"),
-                        F.posexplode(F.slice("l", F.lit(1), F.greatest(F.lit(0), F.size("l") - need + 1))).alias("at", "l"))
-                .select("*", F.col("l.e").alias("e")).drop("l"))
-    names = [c for c in posts.columns if c not in ("anchor", "e")]
-    a = posts.where("NOT inner").select("anchor", "e", *[F.col(c).alias(f"{c}_a") for c in names])
-    b = posts.select(F.col("anchor").alias("anchor_b"), F.col("e").alias("e_b"), *[F.col(c).alias(f"{c}_b") for c in names])
-    near = F.expr(f"""anchor = anchor_b AND e = e_b AND grp_a <> grp_b AND (inner_b OR cls_a < cls_b)
-        AND least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {similarity}
-        AND {2 * more} * least(s_a - at_a, s_b - at_b) >= x_a + x_b
-        AND {more} * (u_a + u_b + abs(s_a - s_b)) <= {less} * (n_a + n_b)
-        AND {_differ()} <= {DIFFER}""")
-    pairs = a.join(b, near).select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b"))
-    return sure, pairs
+    base = cut(diffs.join(rest.select("cls", "grp", "n").distinct(), "cls")
+               .select("cls", "anchor", "grp", "diff", (F.size("diff") * more - F.col("n") * less).alias("x")))
+    sizes = (base.groupBy("anchor").agg(F.count("*").alias("c"), F.sum(F.size("diff")).alias("d"),
+                                        F.min("grp").alias("g1"), F.max("grp").alias("g2")).where("g1 <> g2")
+             .select("anchor", F.ceil(F.greatest(F.col("c") / BLOCK, F.col("d") / BLOCK_DIFFS)).alias("blocks")))
+    mine = F.pmod(F.xxhash64("cls", F.lit("block")), F.col("blocks"))
+    cells = (base.join(sizes, "anchor").withColumn("mine", mine)
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .select("anchor", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"),
+                     "mine", "cls", "grp", "x", "diff"))
+
+    def run(cell: pa.Table) -> pa.Table:
+        cls, grp, x, side = (cell.column(c).to_numpy() for c in ("cls", "grp", "x", "mine"))
+        diff = cell.column("diff").combine_chunks()
+        row = np.repeat(np.arange(len(cls)), np.diff(diff.offsets.to_numpy()))
+        linked = 2 * more * _common(row, diff.flatten().to_numpy(), len(cls)) >= x[:, None] + x[None, :]
+        if side.min() != side.max():  # pairs within a block meet in its own cell
+            linked &= side[:, None] != side[None, :]
+        linked |= grp[:, None] == grp[None, :]
+        label, before = np.arange(len(cls)), None
+        while before is None or (label != before).any():
+            before = label
+            label = np.where(linked, label[None, :], len(cls)).min(axis=1)
+            label = label[label]
+        far = grp != grp[label]
+        return pa.table({"a": cls[label][far], "b": cls[far]})
+
+    return cells.groupBy("anchor", "lo", "hi").applyInArrow(run, "a long, b long")
+
+
+def _common(row: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
+    """``n x n`` numbers of common values of the rows (a value is once in a row).
+    Values of up to 32 rows are counted by their pairs, others by products of
+    incidence matrices of bounded width."""
+    _, col, freq = np.unique(value, return_inverse=True, return_counts=True)
+    out = np.zeros(n * n, dtype=np.int64)
+    few = freq[col] <= CELL
+    r, c = row[few], col[few]
+    order = np.argsort(c, kind="stable")
+    r, c = r[order], c[order]
+    for d in range(1, CELL):
+        same = c[d:] == c[:-d]
+        if not same.any():
+            break
+        out += np.bincount(r[:-d][same] * n + r[d:][same], minlength=n * n)
+    out = out.reshape(n, n)
+    out += out.T
+    place = np.cumsum(freq > CELL) - 1
+    r, c = row[~few], place[col[~few]]
+    for at in range(0, (c.max() + 1) if len(c) else 0, 4096):
+        here = (c >= at) & (c < at + 4096)
+        m = np.zeros((n, 4096), dtype=np.float32)
+        m[r[here], c[here] - at] = 1
+        out += (m @ m.T).astype(np.int64)
+    np.fill_diagonal(out, np.bincount(row, minlength=n))
+    return out
 
 
 def _differ() -> str:

@@ -209,6 +209,49 @@ def test_near_duplicates_circle_below_the_threshold(spark, monkeypatch, rounds):
         pytest.xfail(f"components are right, but {sum(asked)} pairs were confirmed for {len(texts)} texts, aim: under {6 * len(texts)}")
 
 
+def test_near_duplicates_circle_without_rows_per_pair(spark, monkeypatch):
+    """A circle around 0.75 that no hub round has joined is settled in cells of
+    bounded size: components equal brute force, and neither links nor pairs to
+    confirm outnumber the texts."""
+    monkeypatch.setattr(minhash_join, "ROUNDS", 0)
+    monkeypatch.setattr(minhash_join, "BLOCK", 60, raising=False)
+    r, texts, base = random.Random(12), [], _prose(64, 110).split(" ")
+    for k in range(260):
+        w = list(base)
+        for p in r.sample(range(2, 108), r.choice((1, 2, 3, 4, 5, 6)) if k else 0):
+            w[p] = "z%d" % r.randint(0, 5)
+        texts.append(" ".join(w))
+    made = []
+    for name in ("_confirm", "_anchored_links"):
+        call = getattr(minhash_join, name)
+
+        def counted(*args, call=call):
+            out = call(*args)
+            made.append((args[0] if call.__name__ == "_confirm" else out).count())
+            return out
+        monkeypatch.setattr(minhash_join, name, counted)
+    got = {x.doc_id: x.component_id for x in minhash_join.near_duplicates(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    sets, root, links = [_set(t) for t in texts], list(range(len(texts))), 0
+    for a in range(len(texts)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                links += 1
+                x, y = sorted((root[a], root[b]))
+                root = [x if v == y else v for v in root]
+    assert got == dict(enumerate(root)) and 1 < len(set(root)) < len(texts)
+    blocks = 6  # at least, of up to 60 classes
+    assert links > 4 * len(texts) and sum(made) <= blocks * len(texts)
+
+
+def test_common_values():
+    r = np.random.default_rng(5)
+    sets = [np.unique(r.integers(0, 400, r.integers(0, 90))) for _ in range(70)]
+    sets += [np.union1d(sets[0], r.integers(400, 9000, 30)) for _ in range(40)]  # values of many rows
+    got = minhash_join._common(np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate(sets), len(sets))
+    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+
+
 def test_bpe(docs, rows, empty):
     import tiktoken
     ranks = {t: i for i, t in enumerate(bpe.load_ranks(RANKS))}
