@@ -100,3 +100,26 @@ def test_merged_carts_derive_no_other_output(spark):
 
     req = spark.createDataFrame([(1, 1, 2, 1)], "request_id long, primario long, secundario long, ts long")
     assert [tuple(r) for r in B.bat_merge_accounts(Tables(), req)["carts"].collect()] == [(7, 1)]
+
+
+def test_new_names_meet_in_one_hash_join(spark):
+    """Names that differ in case, accent, end spaces or ignorable characters are
+    one name; they are neither sorted nor aggregated under the collation."""
+    from emporium.plans import batch as B
+    t = SimpleNamespace(
+        categorias=spark.createDataFrame([(1, "SMALL")], "id_categoria int, nombre string"),
+        proveedores=spark.createDataFrame([(1,)], "id_proveedor long"),
+        productos=spark.createDataFrame([(7, "Café"), (8, "CAFE"), (9, "Mesa"), (10, None)], "id_producto long, nombre string"))
+    rows = [(1, 5, "cafe ", 1), (2, 5, "Straße", 1), (3, 4, "STRASSE", 1), (4, 3, "strasse", 0), (5, 5, "Silla", 1), (6, 5, "silla  ", 1),
+            (7, 5, "sílla", 1), (8, 1, None, 1), (9, 5, "me\u0001sa", 1), (10, 5, "mesas", 1), (11, 6, "Silla", 1)]
+    req = spark.createDataFrame(rows, "request_id long, ts long, nombre string, precio int").selectExpr(
+        "*", "1 AS costo", "1 AS stock", "CAST(NULL AS INT) AS id_categoria", "1L AS id_proveedor")
+    out = B.bat_new_products(t, req)
+    dup = B.MSG_DUPLICATE_NAME
+    assert {r.request_id: r.reason for r in out.collect()} == {
+        1: dup, 2: dup, 3: None, 4: B.MSG_PRICE, 5: None, 6: dup, 7: dup, 8: B.MSG_NULL, 9: dup, 10: None, 11: dup}
+    assert {r.request_id: r.product_id for r in out.where("accepted").collect()} == {3: 14, 5: 16, 10: 21}
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin [collationkey" in plan and "SortMergeJoin [collationkey" not in plan
+    assert not any("Aggregate" in x and "collate(" in x.split("functions=")[0] for x in plan.splitlines())
+    assert "Aggregate(key=[_k" not in plan
