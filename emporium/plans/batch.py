@@ -179,23 +179,49 @@ def bat_address_updates(t, requests: DataFrame) -> dict[str, DataFrame]:
 
 
 # -- P04 ---------------------------------------------------------------------------
-def bat_returns(t, requests: DataFrame) -> dict[str, DataFrame]:
+def bat_returns(t, requests: DataFrame) -> Mapping[str, DataFrame]:
     """Returns checked against the order (exists, delivered), the line
     (product bought) and what is left to return, in order per line.  An
     order is cancelled once everything bought was returned; requests after
-    that see a cancelled order."""
+    that see a cancelled order.  Requests that fail the first checks are stored
+    for the decisions only."""
     line = ["id_venta", "id_producto"]
     r = requests.join(t.ventas.select("id_venta", F.col("estado").alias("_st")), "id_venta", "left")
     why = _first_reason((F.col("cantidad").isNull() | (F.col("cantidad") <= 0), MSG_RETURN_QTY),
                         (F.col("_st").isNull(), MSG_NO_ORDER_RETURN), (F.col("_st") != S.DELIVERED, MSG_NOT_DELIVERED))
-    r = kept(r.select("request_id", "ts", *line, "cantidad", why.alias("_why")), "returns")
-    static_rej = r.where(F.col("_why").isNotNull()).select("request_id", F.lit(False).alias("accepted"),
-                                                          F.col("_why").alias("reason"))
+    r = r.select("request_id", "ts", *line, "cantidad", why.alias("_why"))
+
+    def passing() -> DataFrame:
+        return kept(r.where(F.col("_why").isNull()).drop("_why"), "returns")
+
+    def decisions() -> DataFrame:
+        rows = kept(r, "returns")
+        static_rej = rows.where(F.col("_why").isNotNull()).select("request_id", F.lit(False).alias("accepted"),
+                                                                 F.col("_why").alias("reason"))
+        return static_rej.unionByName(_decided_returns(t, rows.where(F.col("_why").isNull()))
+                                      .select("request_id", "accepted", "reason"))
+
+    def cancelled() -> DataFrame:
+        return (_decided_returns(t, passing()).where("_closes").select("id_venta").join(t.ventas, "id_venta")
+                .select(F.col("id_venta").alias("order_id"), "id_cliente", "total"))
+
+    def stock() -> DataFrame:
+        moved = _decided_returns(t, passing()).where("accepted").groupBy("id_producto").agg(F.sum("cantidad").alias("_q"))
+        return (t.productos.select("id_producto", "stock", "total_vendido").join(moved, "id_producto")
+                .select(F.col("id_producto").alias("product_id"), (F.col("stock") + F.col("_q")).cast("bigint").alias("stock"),
+                        F.greatest(F.lit(0), F.col("total_vendido") - F.col("_q")).cast("bigint").alias("total_sold")))
+
+    return _OnDemand(decisions=decisions, cancelled=cancelled, stock=stock)
+
+
+def _decided_returns(t, passing: DataFrame) -> DataFrame:
+    """Requests for delivered orders, decided: ``accepted``, ``reason`` and
+    whether the request completes its order (``_closes``)."""
+    line = ["id_venta", "id_producto"]
     done = t.devoluciones.groupBy(*line).agg(F.sum("cantidad").alias("_done"))
     cap = (t.detalle_ventas.select(*line, "cantidad").join(done, line, "left")
            .select(*line, (F.col("cantidad") - F.coalesce("_done", F.lit(0))).alias("cap")))
-    dec = greedy_admission(r.where(F.col("_why").isNull()), cap, line, "cantidad", unknown=MSG_NOT_IN_ORDER,
-                           keep=("ts", *line, "cantidad"))
+    dec = greedy_admission(passing, cap, line, "cantidad", unknown=MSG_NOT_IN_ORDER, keep=("ts", *line, "cantidad"))
     # order completeness: running returned units per order over accepted requests
     back = F.when(F.col("accepted"), F.col("cantidad")).otherwise(F.lit(0))
     run = keyed_running(dec.withColumn("_back", back), ["id_venta"], list(ORDER), sums={"_run": "_back"},
@@ -206,19 +232,11 @@ def bat_returns(t, requests: DataFrame) -> dict[str, DataFrame]:
     # requests after the closing one find the order cancelled
     td, before = F.coalesce("_td", F.lit(0)), F.col("_run") - F.col("_back")
     late = F.coalesce((before > 0) & (td + before >= F.col("_tb")), F.lit(False))
-    decided = run.select(
+    return run.select(
         "request_id", *line, "cantidad", (F.col("accepted") & ~late).alias("accepted"),
         F.when(F.col("reason") == MSG_NOT_IN_ORDER, F.lit(MSG_NOT_IN_ORDER)).when(late, F.lit(MSG_NOT_DELIVERED))
         .when(~F.col("accepted"), F.lit(MSG_RETURN_EXCEEDS)).alias("reason"),
         (F.col("accepted") & ~late & (td + F.col("_run") >= F.col("_tb"))).alias("_closes"))
-    decisions = static_rej.unionByName(decided.select("request_id", "accepted", "reason"))
-    cancelled = (decided.where("_closes").select("id_venta").join(t.ventas, "id_venta")
-                 .select(F.col("id_venta").alias("order_id"), "id_cliente", "total"))
-    moved = decided.where("accepted").groupBy("id_producto").agg(F.sum("cantidad").alias("_q"))
-    stock = (t.productos.select("id_producto", "stock", "total_vendido").join(moved, "id_producto")
-             .select(F.col("id_producto").alias("product_id"), (F.col("stock") + F.col("_q")).cast("bigint").alias("stock"),
-                     F.greatest(F.lit(0), F.col("total_vendido") - F.col("_q")).cast("bigint").alias("total_sold")))
-    return {"decisions": decisions, "cancelled": cancelled, "stock": stock}
 
 
 # -- P06 ---------------------------------------------------------------------------

@@ -123,3 +123,21 @@ def test_new_names_meet_in_one_hash_join(spark):
     assert "ShuffledHashJoin [collationkey" in plan and "SortMergeJoin [collationkey" not in plan
     assert not any("Aggregate" in x and "collate(" in x.split("functions=")[0] for x in plan.splitlines())
     assert "Aggregate(key=[_k" not in plan
+
+
+def test_refused_returns_are_stored_for_the_decisions_only(spark, monkeypatch):
+    from emporium.plans import batch as B
+    t = SimpleNamespace(
+        ventas=spark.createDataFrame([(v, v, B.S.DELIVERED if v < 2 else "Enviado", 10) for v in range(20)],
+                                     "id_venta long, id_cliente long, estado string, total int"),
+        detalle_ventas=spark.createDataFrame([(v, 1, 3) for v in range(20)], "id_venta long, id_producto long, cantidad int"),
+        devoluciones=spark.createDataFrame([], "id_venta long, id_producto long, cantidad int"),
+        productos=spark.createDataFrame([(1, 5, 30)], "id_producto long, stock int, total_vendido int"))
+    req = spark.createDataFrame([(v, 1, v, 1, 3) for v in range(22)], "request_id long, ts long, id_venta long, id_producto long, cantidad int")
+    stored, call = [], B.kept
+    monkeypatch.setattr(B, "kept", lambda df, name: stored.append(df.count()) or call(df, name))
+    assert [tuple(r) for r in B.bat_returns(t, req)["stock"].collect()] == [(1, 11, 24)]
+    assert sorted(r.order_id for r in B.bat_returns(t, req)["cancelled"].collect()) == [0, 1]
+    assert stored == [2, 2]
+    assert B.bat_returns(t, req)["decisions"].groupBy("accepted").count().orderBy("accepted").collect()[0][1] == 20
+    assert stored == [2, 2, 22]
